@@ -86,7 +86,9 @@ SUPPLIER_AREAS = f"""SELECT notation AS fwdCode, label, coalesce(description, ''
   FROM ({SUPPLIER_ITEMS})"""
 
 QUALITY_MSGS = """SELECT CAST(l.l_suppkey AS VARCHAR) AS fwdCode, o.o_orderdate AS timeRaised,
-    'line ' || l.l_returnflag || l.l_linestatus AS severity, CAST(l.l_linenumber - 1 AS INTEGER) AS severityLevel,
+    'line ' || l.l_returnflag || l.l_linestatus AS severity, CAST(CASE WHEN l.l_linenumber = 7 THEN (CASE WHEN l.l_suppkey % 5 = 0 THEN 3 ELSE 4 END)
+      WHEN l.l_linenumber = 6 THEN 9 WHEN l.l_linenumber = 5 AND l.l_returnflag = 'N' THEN NULL
+      ELSE (l.l_linenumber - 1) % 3 + 1 END AS INTEGER) AS severityLevel,
     l.l_shipdate AS timeSeverityChanged,
     CASE WHEN l.l_linestatus = 'F' THEN l.l_shipdate END AS timeMessageChanged,
     CASE WHEN l.l_suppkey % 3 = 0 THEN NULL ELSE l.l_suppkey % 2 = 1 END AS isTidal,
@@ -276,5 +278,107 @@ def core_oracles() -> dict[str, str]:
     }
 
 
+def _fmt1(x: str) -> str:
+    return f"printf('%.1f', round_even(CAST({x} AS DOUBLE), 1))"
+
+
+def quality_oracles() -> dict[str, str]:
+    q = QUALITY_MSGS
+    both = "timeRaised IS NOT NULL AND timeSeverityChanged IS NOT NULL"
+    days = "((epoch_us(timeSeverityChanged) - epoch_us(timeRaised)) // 86400000000)"
+    md = MAX_WARNING_DURATION_DAYS
+    long_cond = f"{both} AND {days} > {md}"
+    incons = f"{both} AND timeSeverityChanged < timeRaised"
+    invalid = "NOT (severityLevel IN (1, 2, 3, 4))"
+    cols = ("timeSeverityChanged", "timeMessageChanged", "isTidal")
+    compl_rows = []
+    for i, c in enumerate(cols):
+        pct = f"(nn{i}::DOUBLE / total::DOUBLE * 100.0::DOUBLE)"
+        compl_rows.append(f"""SELECT {9 + i} AS check_order, CASE WHEN {pct} < 50.0 THEN 'warning' ELSE 'info' END AS severity,
+            'Field Completeness: {c}' AS category, 'Field is ' || {_fmt1(pct)} || '% complete' AS message,
+            CAST(total - nn{i} AS BIGINT) AS count, false AS subtracts_valid FROM w""")
+    wide = f"""w AS (SELECT count(*) AS total, count(*) FILTER (WHERE timeRaised IS NULL) AS v2,
+          count(*) FILTER (WHERE timeSeverityChanged IS NULL) AS v3, count(*) FILTER (WHERE {invalid}) AS v4,
+          count(*) FILTER (WHERE {long_cond}) AS v7, max(CASE WHEN {long_cond} THEN {days} END) AS v7max,
+          count(*) FILTER (WHERE {incons}) AS v8,
+          count(timeSeverityChanged) AS nn0, count(timeMessageChanged) AS nn1, count(isTidal) AS nn2 FROM ({q})),
+        g AS (SELECT fwdCode, severityLevel, timeRaised, count(*) AS n FROM ({q}) GROUP BY ALL),
+        dup AS (SELECT count(*) AS groups, coalesce(sum(n), 0) - count(*) AS excess FROM g WHERE n > 1),
+        inc AS (SELECT count(*) AS areas, sum(n) AS records FROM (
+            SELECT fwdCode, coalesce(bool_or(severityLevel = 4), false) AS has4, sum(n) AS n FROM g GROUP BY fwdCode)
+          WHERE NOT has4)"""
+    issues = f"""WITH {wide}
+      SELECT * FROM (
+        SELECT 2 AS check_order, 'error' AS severity, 'Missing timeRaised' AS category,
+          'Records have missing or invalid timeRaised timestamps' AS message, CAST(v2 AS BIGINT) AS count, true AS subtracts_valid FROM w WHERE v2 > 0
+        UNION ALL SELECT 3, 'warning', 'Missing timeSeverityChanged', 'Records have missing timeSeverityChanged timestamps', CAST(v3 AS BIGINT), false FROM w WHERE v3 > 0
+        UNION ALL SELECT 4, 'error', 'Invalid Severity Levels', 'Severity levels outside range {{1, 2, 3, 4}}', CAST(v4 AS BIGINT), true FROM w WHERE v4 > 0
+        UNION ALL SELECT 5, 'warning', 'Duplicate Records', 'Duplicate records found with identical key fields', CAST(excess AS BIGINT), false FROM dup WHERE groups > 0
+        UNION ALL SELECT 6, 'info', 'Incomplete Warning Lifecycles',
+          'Warning areas have no severity level 4 records (may indicate ongoing warnings or data truncation)', CAST(records AS BIGINT), false FROM inc WHERE areas > 0
+        UNION ALL SELECT 7, 'warning', 'Unusually Long Warnings',
+          'Warnings exceed maximum expected duration ({md} days). Longest: ' || {_fmt1('v7max')} || ' days', CAST(v7 AS BIGINT), false FROM w WHERE v7 > 0
+        UNION ALL SELECT 8, 'error', 'Timestamp Inconsistency', 'Records have timeSeverityChanged before timeRaised', CAST(v8 AS BIGINT), true FROM w WHERE v8 > 0
+        UNION ALL {' UNION ALL '.join(compl_rows)})"""
+    report = f"""WITH iss AS ({issues}), w2 AS (SELECT count(*) AS total FROM ({q}))
+      SELECT (SELECT total FROM w2) AS total_records,
+        (SELECT total FROM w2) - coalesce(sum(CASE WHEN subtracts_valid THEN count END), 0) AS valid_records,
+        count(*) FILTER (WHERE severity = 'error') = 0 AS passed,
+        count(*) FILTER (WHERE severity = 'error') AS error_count,
+        count(*) FILTER (WHERE severity = 'warning') AS warning_count,
+        count(*) FILTER (WHERE severity = 'info') AS info_count FROM iss"""
+    compl = " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", CAST(count({c}) AS BIGINT) AS non_null, CAST(count(*) - count({c}) AS BIGINT) AS missing,
+            count({c})::DOUBLE / count(*)::DOUBLE * 100.0::DOUBLE AS completeness_pct,
+            CASE WHEN count({c})::DOUBLE / count(*)::DOUBLE * 100.0::DOUBLE < 50.0 THEN 'warning' ELSE 'info' END AS severity
+            FROM ({q})""" for c in cols)
+    expected = f"SELECT DISTINCT fwdCode FROM ({SUPPLIER_AREAS}) WHERE {_contains_any('county', TEST_COUNTIES)}"
+    coverage = f"""WITH a AS (SELECT fwdCode, count(*) AS n FROM ({LINEITEM_MSGS}) GROUP BY fwdCode),
+        e AS ({expected}),
+        j AS (SELECT a.n, e.fwdCode AS efc, a.fwdCode AS afc FROM a FULL OUTER JOIN e ON a.fwdCode = e.fwdCode),
+        s AS (SELECT count(*) FILTER (WHERE n IS NULL) AS missing_areas, count(*) FILTER (WHERE efc IS NULL) AS unexpected_areas,
+                coalesce(sum(CASE WHEN efc IS NULL THEN n END), 0) AS unexpected_records FROM j)
+      SELECT 'warning' AS severity, 'Missing Warning Areas' AS category, CAST(missing_areas AS VARCHAR) || ' expected areas have no data' AS message,
+        CAST(missing_areas AS BIGINT) AS count FROM s WHERE missing_areas > 0
+      UNION ALL SELECT 'warning', 'Unexpected Warning Areas', CAST(unexpected_areas AS VARCHAR) || ' areas not in expected set',
+        CAST(unexpected_records AS BIGINT) FROM s WHERE unexpected_areas > 0"""
+    tallies = " UNION ALL ".join(
+        f"SELECT {_q(c)} AS county, count(*) FILTER (WHERE contains(coalesce(county, ''), {_q(c)})) AS area_count FROM ({SUPPLIER_AREAS})"
+        for c in TEST_COUNTIES)
+    return {
+        "data_summary": f"""SELECT count(*) AS total_records,
+            CAST(count(DISTINCT fwdCode) + max(CAST(fwdCode IS NULL AS INTEGER)) AS BIGINT) AS unique_warning_areas,
+            min(timeRaised) AS earliest, max(timeRaised) AS latest FROM ({LINEITEM_MSGS})""",
+        "severity_histogram": f"SELECT severityLevel, count(*) AS count FROM ({LINEITEM_MSGS}) GROUP BY severityLevel",
+        "class_histogram": f"SELECT isTidal, count(*) AS count FROM ({q}) GROUP BY isTidal",
+        "null_timestamps": f"""SELECT count(*) AS total_records, count(*) FILTER (WHERE timeRaised IS NULL) AS missing_timeRaised,
+            count(*) FILTER (WHERE timeSeverityChanged IS NULL) AS missing_timeSeverityChanged,
+            count(*) FILTER (WHERE timeMessageChanged IS NULL) AS missing_timeMessageChanged FROM ({q})""",
+        "duplicate_keys": f"""SELECT count(*) AS duplicate_groups, CAST(coalesce(sum(n), 0) - count(*) AS BIGINT) AS excess_records
+            FROM (SELECT count(*) AS n FROM ({q}) GROUP BY fwdCode, severityLevel, timeRaised) WHERE n > 1""",
+        "incomplete_areas": f"""SELECT * FROM (SELECT fwdCode, min(severityLevel) AS min_severity, max(severityLevel) AS max_severity,
+            coalesce(bool_or(severityLevel = 4), false) AS has_level_4, count(*) AS n_records FROM ({q}) GROUP BY fwdCode)
+            WHERE NOT has_level_4""",
+        "long_spans": f"""SELECT count(*) FILTER (WHERE {long_cond}) AS long_records,
+            max(CASE WHEN {long_cond} THEN {days} END) AS longest_days FROM ({q})""",
+        "time_inconsistency": f"SELECT count(*) FILTER (WHERE {incons}) AS inconsistent_records FROM ({q})",
+        "completeness": compl,
+        "invalid_levels": f"SELECT count(*) FILTER (WHERE {invalid}) AS invalid_records FROM ({q})",
+        "quality_issues": issues,
+        "quality_report": report,
+        "area_coverage": coverage,
+        "county_filter": f"SELECT fwdCode, county FROM ({SUPPLIER_AREAS}) WHERE {_contains_any('county', TEST_COUNTIES)}",
+        "class_from_text": f"SELECT fwdCode, riverOrSea, isTidal FROM ({SUPPLIER_AREAS})",
+        "area_dimension": SUPPLIER_AREAS,
+        "county_tallies": tallies,
+        "area_class_counts": f"""SELECT count(*) AS total_areas, count(*) FILTER (WHERE isTidal = false) AS fluvial_areas,
+            count(*) FILTER (WHERE isTidal = true) AS coastal_areas FROM ({SUPPLIER_AREAS})
+            WHERE {_contains_any('county', TEST_COUNTIES)}""",
+        "area_codes": f"SELECT DISTINCT fwdCode FROM ({LINEITEM_MSGS})",
+        "flood_areas": f"SELECT fwdCode, county FROM ({SUPPLIER_AREAS}) WHERE contains(coalesce(county, ''), 'EUROPE')",
+        "current_floods": f"SELECT msg_id, fwdCode, severityLevel FROM ({EVENTS}) WHERE severityLevel = 1",
+    }
+
+
 def registry() -> dict[str, str]:
-    return core_oracles()
+    return {**core_oracles(), **quality_oracles()}

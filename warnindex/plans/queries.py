@@ -196,3 +196,168 @@ CORE = {
 
 def registry() -> dict:
     return dict(CORE)
+
+
+# ---- quality, summary, areas --------------------------------------------------
+
+def _q_msgs(spark, d):
+    return A.quality_messages(spark, d)
+
+
+def _supplier_areas(spark, d):
+    return regions.areas_from_items(A.supplier_area_items(spark, d))
+
+
+def q_data_summary(spark, d):
+    from warnindex.operators.summary import data_summary
+
+    return data_summary(A.lineitem_messages(spark, d))
+
+
+def q_severity_histogram(spark, d):
+    from warnindex.operators.summary import severity_histogram
+
+    return severity_histogram(A.lineitem_messages(spark, d))
+
+
+def q_class_histogram(spark, d):
+    from warnindex.operators.summary import class_histogram
+
+    return class_histogram(_q_msgs(spark, d))
+
+
+def q_null_timestamps(spark, d):
+    return normalize.null_timestamps(_q_msgs(spark, d))
+
+
+def q_duplicate_keys(spark, d):
+    from warnindex.operators import quality
+
+    return quality.duplicate_keys(_q_msgs(spark, d))
+
+
+def q_incomplete_areas(spark, d):
+    from warnindex.operators import quality
+
+    return quality.incomplete_areas(_q_msgs(spark, d))
+
+
+def q_long_spans(spark, d):
+    from warnindex.operators import quality
+
+    return quality.long_spans(_q_msgs(spark, d))
+
+
+def q_time_inconsistency(spark, d):
+    from warnindex.operators import quality
+
+    return quality.time_inconsistency(_q_msgs(spark, d))
+
+
+def q_completeness(spark, d):
+    from warnindex.operators import quality
+
+    return quality.completeness(_q_msgs(spark, d))
+
+
+def q_invalid_levels(spark, d):
+    from warnindex.operators import quality
+
+    return quality.invalid_levels(_q_msgs(spark, d))
+
+
+def q_quality_issues(spark, d):
+    from warnindex.operators import quality
+
+    return quality.validate(_q_msgs(spark, d))
+
+
+def q_quality_report(spark, d):
+    from warnindex.operators import quality
+
+    return quality.report(_q_msgs(spark, d))
+
+
+def q_issue_examples(spark, d):
+    from warnindex.operators import quality
+
+    return quality.issue_examples(_q_msgs(spark, d))
+
+
+def q_area_coverage(spark, d):
+    from warnindex.operators import quality
+
+    expected = regions.county_filter(_supplier_areas(spark, d), A.TEST_COUNTIES)
+    return quality.area_coverage(A.lineitem_messages(spark, d), expected)
+
+
+def q_coverage_examples(spark, d):
+    from warnindex.operators import quality
+
+    expected = regions.county_filter(_supplier_areas(spark, d), A.TEST_COUNTIES)
+    return quality.coverage_examples(A.lineitem_messages(spark, d), expected)
+
+
+def q_county_filter(spark, d):
+    return regions.county_filter(_supplier_areas(spark, d), A.TEST_COUNTIES).select("fwdCode", "county")
+
+
+def q_class_from_text(spark, d):
+    return _supplier_areas(spark, d).select("fwdCode", "riverOrSea", "isTidal")
+
+
+def q_area_dimension(spark, d):
+    return _supplier_areas(spark, d)
+
+
+def q_county_tallies(spark, d):
+    return regions.county_tallies(_supplier_areas(spark, d), A.TEST_COUNTIES)
+
+
+def q_area_class_counts(spark, d):
+    return regions.area_class_counts(regions.county_filter(_supplier_areas(spark, d), A.TEST_COUNTIES))
+
+
+def q_area_codes(spark, d):
+    from warnindex.operators.summary import distinct_codes
+
+    return distinct_codes(A.lineitem_messages(spark, d))
+
+
+def q_flood_areas(spark, d):
+    return regions.flood_areas(_supplier_areas(spark, d), "EUROPE").select("fwdCode", "county")
+
+
+def q_current_floods(spark, d):
+    return regions.current_floods(A.events_messages(spark, d), 1).select("msg_id", "fwdCode", "severityLevel")
+
+
+QUALITY = {
+    "data_summary": q_data_summary,
+    "severity_histogram": q_severity_histogram,
+    "class_histogram": q_class_histogram,
+    "null_timestamps": q_null_timestamps,
+    "duplicate_keys": q_duplicate_keys,
+    "incomplete_areas": q_incomplete_areas,
+    "long_spans": q_long_spans,
+    "time_inconsistency": q_time_inconsistency,
+    "completeness": q_completeness,
+    "invalid_levels": q_invalid_levels,
+    "quality_issues": q_quality_issues,
+    "quality_report": q_quality_report,
+    "issue_examples": q_issue_examples,
+    "area_coverage": q_area_coverage,
+    "coverage_examples": q_coverage_examples,
+    "county_filter": q_county_filter,
+    "class_from_text": q_class_from_text,
+    "area_dimension": q_area_dimension,
+    "county_tallies": q_county_tallies,
+    "area_class_counts": q_area_class_counts,
+    "area_codes": q_area_codes,
+    "flood_areas": q_flood_areas,
+    "current_floods": q_current_floods,
+}
+
+
+def registry() -> dict:  # noqa: F811
+    return {**CORE, **QUALITY}

@@ -124,17 +124,26 @@ def quality_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Area = supplier, raised = order date, severity changed = ship date,
     message changed = ship date of finished lines only (partly null),
-    level = line number - 1 (0, 5, 6 are invalid levels), class from the
-    supplier key with every third supplier unknown.
+    level from the line number: 1-4 -> 1, 2, 3, 1; 5 -> 2 (null when the
+    return flag is N); 6 -> 9 (invalid); 7 -> 4, except for every fifth
+    supplier (3), so those areas never close; class from the supplier key
+    with every third supplier unknown.
     """
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_linenumber", "l_linestatus", "l_returnflag", "l_shipdate")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     sk = F.col("l_suppkey")
+    ln = F.col("l_linenumber")
+    lvl = (
+        F.when(ln == 7, F.when(sk % 5 == 0, F.lit(3)).otherwise(F.lit(4)))
+        .when(ln == 6, F.lit(9))
+        .when((ln == 5) & (F.col("l_returnflag") == "N"), F.lit(None))
+        .otherwise((ln - 1) % 3 + 1)
+    )
     return li.join(o, li.l_orderkey == o.o_orderkey, "inner").select(
         sk.cast("string").alias("fwdCode"),
         F.col("o_orderdate").cast("timestamp_ntz").alias("timeRaised"),
         F.concat(F.lit("line "), F.col("l_returnflag"), F.col("l_linestatus")).alias("severity"),
-        (F.col("l_linenumber") - 1).cast("int").alias("severityLevel"),
+        lvl.cast("int").alias("severityLevel"),
         F.col("l_shipdate").cast("timestamp_ntz").alias("timeSeverityChanged"),
         F.when(F.col("l_linestatus") == "F", F.col("l_shipdate").cast("timestamp_ntz")).alias("timeMessageChanged"),
         F.when(sk % 3 == 0, F.lit(None).cast("boolean")).otherwise(sk % 2 == 1).alias("isTidal"),
