@@ -14,7 +14,7 @@ handful of issue rows reaches the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -169,17 +169,22 @@ def _issue(order: int, severity, category, message, count: Column, subtracts: bo
     )
 
 
-def validate(df: DataFrame, max_days: int = MAX_WARNING_DURATION_DAYS) -> DataFrame:
+def validate(df: DataFrame, max_days: int = MAX_WARNING_DURATION_DAYS, by_year: bool = False) -> DataFrame:
     """All checks in order -> issue rows (check_order, severity,
-    category, message, count, subtracts_valid)."""
-    return _issues(df, max_days).where(F.col("check_order").isNotNull()).drop("total_records")
+    category, message, count, subtracts_valid).  ``by_year``: the same checks
+    for every calendar year of ``timeRaised`` in one job (leading ``year``
+    column), instead of one job per year."""
+    return _issues(df, max_days, by_year).where(F.col("check_order").isNotNull()).drop("total_records")
 
 
-def _issues(df: DataFrame, max_days: int) -> DataFrame:
+def _issues(df: DataFrame, max_days: int, by_year: bool = False) -> DataFrame:
     """Issue rows; the wide-aggregate rows carry ``total_records`` and there
-    is always one such row (a null issue when none fired)."""
-    spark: SparkSession = df.sparkSession
+    is always one such row per group (a null issue when none fired)."""
     miss = missing_columns(df, REQUIRED_COLUMNS)
+    grp: list[str] = []
+    if by_year:
+        df = df.withColumn("year", F.year("timeRaised"))
+        grp = ["year"]
     total = F.count(F.lit(1))
     aggs = [total.alias("total")]
     rows: list[tuple[Column, Column]] = []  # (issue struct, emit condition)
@@ -221,46 +226,47 @@ def _issues(df: DataFrame, max_days: int) -> DataFrame:
         rows.append((_issue(9 + i, sev, CAT_COMPLETENESS.format(c), msg, F.col("total") - F.col(f"nn{i}"), False),
                      F.lit(True)))
 
-    wide = df.agg(*aggs)
+    wide = df.groupBy(*grp).agg(*aggs)
     arr = F.filter(
         F.array(*[F.when(cond, s) for s, cond in rows]) if rows else F.array().cast(T.ArrayType(ISSUE_SCHEMA)),
         lambda x: x.isNotNull(),
     )
-    issues = wide.select("total", F.explode_outer(arr).alias("i")).select(
-        "i.*", F.col("total").cast("bigint").alias("total_records")
+    issues = wide.select(*grp, "total", F.explode_outer(arr).alias("i")).select(
+        *grp, "i.*", F.col("total").cast("bigint").alias("total_records")
     )
 
     if _has(df, *DUP_KEYS):
-        g = df.groupBy(*DUP_KEYS).agg(F.count(F.lit(1)).alias("n"))
-        dups = g.where(F.col("n") > 1).agg(
+        g = df.groupBy(*grp, *DUP_KEYS).agg(F.count(F.lit(1)).alias("n"))
+        dups = g.where(F.col("n") > 1).groupBy(*grp).agg(
             F.count(F.lit(1)).alias("groups"),
             (F.coalesce(F.sum("n"), F.lit(0)) - F.count(F.lit(1))).alias("excess"),
         )
         dup_row = dups.where(F.col("groups") > 0).select(
-            _issue(5, "warning", CAT_DUPLICATES, MSG_DUPLICATES, F.col("excess"), False).alias("i")
+            *grp, _issue(5, "warning", CAT_DUPLICATES, MSG_DUPLICATES, F.col("excess"), False).alias("i")
         )
         lvl = F.col("severityLevel")
-        per_area = g.groupBy("fwdCode").agg(
+        per_area = g.groupBy(*grp, "fwdCode").agg(
             F.coalesce(F.bool_or(lvl == F.lit(4)), F.lit(False)).alias("has4"),
             F.sum("n").alias("n"),
         )
-        inc = per_area.where(~F.col("has4")).agg(F.count(F.lit(1)).alias("areas"), F.sum("n").alias("records"))
+        inc = per_area.where(~F.col("has4")).groupBy(*grp).agg(
+            F.count(F.lit(1)).alias("areas"), F.sum("n").alias("records"))
         inc_row = inc.where(F.col("areas") > 0).select(
-            _issue(6, "info", CAT_INCOMPLETE, MSG_INCOMPLETE, F.col("records"), False).alias("i")
+            *grp, _issue(6, "info", CAT_INCOMPLETE, MSG_INCOMPLETE, F.col("records"), False).alias("i")
         )
-        extra = dup_row.unionByName(inc_row).select("i.*").withColumn("total_records", F.lit(None).cast("bigint"))
+        extra = dup_row.unionByName(inc_row).select(*grp, "i.*").withColumn("total_records", F.lit(None).cast("bigint"))
         issues = issues.unionByName(extra)
     return issues
 
 
-def report(df: DataFrame, max_days: int = MAX_WARNING_DURATION_DAYS) -> DataFrame:
+def report(df: DataFrame, max_days: int = MAX_WARNING_DURATION_DAYS, by_year: bool = False) -> DataFrame:
     """One row: total, valid (minus the error counts of V2, V4, V8 -- a
     row failing two checks is subtracted twice, N15), passed (no error), and
     the numbers of errors / warnings / infos."""
-    issues = _issues(df, max_days)
+    issues = _issues(df, max_days, by_year)
     sev = F.col("severity")
     total = F.max("total_records")
-    return issues.agg(
+    return issues.groupBy(*(["year"] if by_year else [])).agg(
         total.alias("total_records"),
         (total - F.coalesce(F.sum(F.when(F.col("subtracts_valid"), F.col("count"))), F.lit(0))).alias("valid_records"),
         (F.count_if(sev == "error") == 0).alias("passed"),

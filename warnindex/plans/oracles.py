@@ -282,8 +282,11 @@ def _fmt1(x: str) -> str:
     return f"printf('%.1f', round_even(CAST({x} AS DOUBLE), 1))"
 
 
-def quality_oracles() -> dict[str, str]:
-    q = QUALITY_MSGS
+def quality_sql(q: str, by_year: bool = False) -> tuple[str, str]:
+    """(issues, report) SQL for the quality checks, optionally per year."""
+    y = "CAST(year(timeRaised) AS INTEGER)"
+    gsel, gby, gcol, gjoin = ((f"{y} AS year, ", "GROUP BY 1", "year, ", "year")
+                              if by_year else ("", "", "", None))
     both = "timeRaised IS NOT NULL AND timeSeverityChanged IS NOT NULL"
     days = "((epoch_us(timeSeverityChanged) - epoch_us(timeRaised)) // 86400000000)"
     md = MAX_WARNING_DURATION_DAYS
@@ -294,39 +297,64 @@ def quality_oracles() -> dict[str, str]:
     compl_rows = []
     for i, c in enumerate(cols):
         pct = f"(nn{i}::DOUBLE / total::DOUBLE * 100.0::DOUBLE)"
-        compl_rows.append(f"""SELECT {9 + i} AS check_order, CASE WHEN {pct} < 50.0 THEN 'warning' ELSE 'info' END AS severity,
+        compl_rows.append(f"""SELECT {gcol}{9 + i} AS check_order, CASE WHEN {pct} < 50.0 THEN 'warning' ELSE 'info' END AS severity,
             'Field Completeness: {c}' AS category, 'Field is ' || {_fmt1(pct)} || '% complete' AS message,
             CAST(total - nn{i} AS BIGINT) AS count, false AS subtracts_valid FROM w""")
-    wide = f"""w AS (SELECT count(*) AS total, count(*) FILTER (WHERE timeRaised IS NULL) AS v2,
+    g_year = f"{y} AS year, " if by_year else ""
+    wide = f"""w AS (SELECT {gsel}count(*) AS total, count(*) FILTER (WHERE timeRaised IS NULL) AS v2,
           count(*) FILTER (WHERE timeSeverityChanged IS NULL) AS v3, count(*) FILTER (WHERE {invalid}) AS v4,
           count(*) FILTER (WHERE {long_cond}) AS v7, max(CASE WHEN {long_cond} THEN {days} END) AS v7max,
           count(*) FILTER (WHERE {incons}) AS v8,
-          count(timeSeverityChanged) AS nn0, count(timeMessageChanged) AS nn1, count(isTidal) AS nn2 FROM ({q})),
-        g AS (SELECT fwdCode, severityLevel, timeRaised, count(*) AS n FROM ({q}) GROUP BY ALL),
-        dup AS (SELECT count(*) AS groups, coalesce(sum(n), 0) - count(*) AS excess FROM g WHERE n > 1),
-        inc AS (SELECT count(*) AS areas, sum(n) AS records FROM (
-            SELECT fwdCode, coalesce(bool_or(severityLevel = 4), false) AS has4, sum(n) AS n FROM g GROUP BY fwdCode)
-          WHERE NOT has4)"""
+          count(timeSeverityChanged) AS nn0, count(timeMessageChanged) AS nn1, count(isTidal) AS nn2 FROM ({q}) {gby}),
+        g AS (SELECT {g_year}fwdCode, severityLevel, timeRaised, count(*) AS n FROM ({q}) GROUP BY ALL),
+        dup AS (SELECT {gcol}count(*) AS groups, coalesce(sum(n), 0) - count(*) AS excess FROM g WHERE n > 1
+                {"GROUP BY year" if by_year else ""}),
+        inc AS (SELECT {gcol}count(*) AS areas, sum(n) AS records FROM (
+            SELECT {gcol}fwdCode, coalesce(bool_or(severityLevel = 4), false) AS has4, sum(n) AS n FROM g GROUP BY ALL)
+          WHERE NOT has4 {"GROUP BY year" if by_year else ""})"""
     issues = f"""WITH {wide}
       SELECT * FROM (
-        SELECT 2 AS check_order, 'error' AS severity, 'Missing timeRaised' AS category,
+        SELECT {gcol}2 AS check_order, 'error' AS severity, 'Missing timeRaised' AS category,
           'Records have missing or invalid timeRaised timestamps' AS message, CAST(v2 AS BIGINT) AS count, true AS subtracts_valid FROM w WHERE v2 > 0
-        UNION ALL SELECT 3, 'warning', 'Missing timeSeverityChanged', 'Records have missing timeSeverityChanged timestamps', CAST(v3 AS BIGINT), false FROM w WHERE v3 > 0
-        UNION ALL SELECT 4, 'error', 'Invalid Severity Levels', 'Severity levels outside range {{1, 2, 3, 4}}', CAST(v4 AS BIGINT), true FROM w WHERE v4 > 0
-        UNION ALL SELECT 5, 'warning', 'Duplicate Records', 'Duplicate records found with identical key fields', CAST(excess AS BIGINT), false FROM dup WHERE groups > 0
-        UNION ALL SELECT 6, 'info', 'Incomplete Warning Lifecycles',
+        UNION ALL SELECT {gcol}3, 'warning', 'Missing timeSeverityChanged', 'Records have missing timeSeverityChanged timestamps', CAST(v3 AS BIGINT), false FROM w WHERE v3 > 0
+        UNION ALL SELECT {gcol}4, 'error', 'Invalid Severity Levels', 'Severity levels outside range {{1, 2, 3, 4}}', CAST(v4 AS BIGINT), true FROM w WHERE v4 > 0
+        UNION ALL SELECT {gcol}5, 'warning', 'Duplicate Records', 'Duplicate records found with identical key fields', CAST(excess AS BIGINT), false FROM dup WHERE groups > 0
+        UNION ALL SELECT {gcol}6, 'info', 'Incomplete Warning Lifecycles',
           'Warning areas have no severity level 4 records (may indicate ongoing warnings or data truncation)', CAST(records AS BIGINT), false FROM inc WHERE areas > 0
-        UNION ALL SELECT 7, 'warning', 'Unusually Long Warnings',
+        UNION ALL SELECT {gcol}7, 'warning', 'Unusually Long Warnings',
           'Warnings exceed maximum expected duration ({md} days). Longest: ' || {_fmt1('v7max')} || ' days', CAST(v7 AS BIGINT), false FROM w WHERE v7 > 0
-        UNION ALL SELECT 8, 'error', 'Timestamp Inconsistency', 'Records have timeSeverityChanged before timeRaised', CAST(v8 AS BIGINT), true FROM w WHERE v8 > 0
+        UNION ALL SELECT {gcol}8, 'error', 'Timestamp Inconsistency', 'Records have timeSeverityChanged before timeRaised', CAST(v8 AS BIGINT), true FROM w WHERE v8 > 0
         UNION ALL {' UNION ALL '.join(compl_rows)})"""
-    report = f"""WITH iss AS ({issues}), w2 AS (SELECT count(*) AS total FROM ({q}))
-      SELECT (SELECT total FROM w2) AS total_records,
-        (SELECT total FROM w2) - coalesce(sum(CASE WHEN subtracts_valid THEN count END), 0) AS valid_records,
-        count(*) FILTER (WHERE severity = 'error') = 0 AS passed,
-        count(*) FILTER (WHERE severity = 'error') AS error_count,
-        count(*) FILTER (WHERE severity = 'warning') AS warning_count,
-        count(*) FILTER (WHERE severity = 'info') AS info_count FROM iss"""
+    if by_year:
+        report = f"""WITH iss AS ({issues}), w2 AS (SELECT {y} AS year, count(*) AS total FROM ({q}) GROUP BY 1)
+          SELECT w2.year, w2.total AS total_records,
+            w2.total - coalesce(sum(CASE WHEN subtracts_valid THEN count END), 0) AS valid_records,
+            count(*) FILTER (WHERE severity = 'error') = 0 AS passed,
+            count(*) FILTER (WHERE severity = 'error') AS error_count,
+            count(*) FILTER (WHERE severity = 'warning') AS warning_count,
+            count(*) FILTER (WHERE severity = 'info') AS info_count
+          FROM w2 LEFT JOIN iss ON iss.year IS NOT DISTINCT FROM w2.year GROUP BY w2.year, w2.total"""
+    else:
+        report = f"""WITH iss AS ({issues}), w2 AS (SELECT count(*) AS total FROM ({q}))
+          SELECT (SELECT total FROM w2) AS total_records,
+            (SELECT total FROM w2) - coalesce(sum(CASE WHEN subtracts_valid THEN count END), 0) AS valid_records,
+            count(*) FILTER (WHERE severity = 'error') = 0 AS passed,
+            count(*) FILTER (WHERE severity = 'error') AS error_count,
+            count(*) FILTER (WHERE severity = 'warning') AS warning_count,
+            count(*) FILTER (WHERE severity = 'info') AS info_count FROM iss"""
+    return issues, report
+
+
+def quality_oracles() -> dict[str, str]:
+    q = QUALITY_MSGS
+    both = "timeRaised IS NOT NULL AND timeSeverityChanged IS NOT NULL"
+    days = "((epoch_us(timeSeverityChanged) - epoch_us(timeRaised)) // 86400000000)"
+    md = MAX_WARNING_DURATION_DAYS
+    long_cond = f"{both} AND {days} > {md}"
+    incons = f"{both} AND timeSeverityChanged < timeRaised"
+    invalid = "NOT (severityLevel IN (1, 2, 3, 4))"
+    cols = ("timeSeverityChanged", "timeMessageChanged", "isTidal")
+    issues, report = quality_sql(q)
     compl = " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", CAST(count({c}) AS BIGINT) AS non_null, CAST(count(*) - count({c}) AS BIGINT) AS missing,
             count({c})::DOUBLE / count(*)::DOUBLE * 100.0::DOUBLE AS completeness_pct,
@@ -380,5 +408,28 @@ def quality_oracles() -> dict[str, str]:
     }
 
 
+def file_oracles() -> dict[str, str]:
+    msgs = f"SELECT fwdCode, timeRaised, severity, severityLevel FROM ({EVENTS})"
+    issues_y, report_y = quality_sql(QUALITY_MSGS, by_year=True)
+    return {
+        "csv_scan": msgs,
+        "json_scan": msgs,
+        "ods_scan": msgs,
+        "archive_scan": msgs,
+        "landed_pages": SUPPLIER_AREAS,
+        "yearly_roundtrip": f"""SELECT msg_id, fwdCode, timeRaised, severityLevel, isTidal, CAST(1997 AS INTEGER) AS year
+            FROM ({ORDERS_REGION}) WHERE year(timeRaised) = 1997""",
+        "discover_years": f"""SELECT DISTINCT CAST(year(timeRaised) AS INTEGER) AS year FROM ({ORDERS_REGION})
+            WHERE year(timeRaised) >= {ORDERS_BASELINE_YEAR}""",
+        "trend_export": ORDERS_SUMMARY,
+        "baseline_roundtrip": core_oracles()["self_baseline"],
+        "quality_by_year": f"SELECT * FROM ({issues_y}) WHERE year IS NOT NULL",
+        "pipeline_results": f"""SELECT year, total_records AS records_loaded, passed AS validation_passed,
+            total_records > 0 AS success,
+            avg(CAST(total_records > 0 AS DOUBLE)) OVER () * 100.0::DOUBLE AS success_rate_pct
+            FROM ({report_y}) WHERE year IS NOT NULL""",
+    }
+
+
 def registry() -> dict[str, str]:
-    return {**core_oracles(), **quality_oracles()}
+    return {**core_oracles(), **quality_oracles(), **file_oracles()}

@@ -360,4 +360,6 @@ QUALITY = {
 
 
 def registry() -> dict:  # noqa: F811
-    return {**CORE, **QUALITY}
+    from warnindex.plans.filequeries import FILES
+
+    return {**CORE, **QUALITY, **FILES}
