@@ -1,13 +1,15 @@
 """Normalised indices and the composite.
 
-The baseline is attached as a scalar subquery (one row, computed once and
-folded into the projection as a value), so no join of the year table is
-needed; a fixed baseline is a literal.
+A fixed baseline is a literal.  A baseline taken from the data (A16) is read
+off the annual table itself with a window over all of its rows: that table
+has one row per year, so the window is a handful of rows in one task, and
+the messages are aggregated once (a scalar subquery or a join would run the
+whole duration pipeline a second time).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from warnindex.operators.scoring import annual_by_class
@@ -20,7 +22,7 @@ BASELINE_FIELDS = (
 
 
 def baseline_row(annual: DataFrame, params: IndexParams) -> Column:
-    """The baseline as a struct column (scalar)."""
+    """The baseline as a struct column, on every row of ``annual``."""
     if params.baseline is not None:
         b = params.baseline
         return F.struct(
@@ -29,10 +31,11 @@ def baseline_row(annual: DataFrame, params: IndexParams) -> Column:
               for f in BASELINE_FIELDS],
         )
     fields = F.struct(F.col("year"), *[F.col(f) for f in BASELINE_FIELDS])
+    every_year = Window.partitionBy()  # year-level table: one row per year
     if params.baseline_year is None:
         # The first year in the data is the baseline.
-        return annual.select(F.min_by(fields, F.col("year"))).scalar()
-    return annual.where(F.col("year") == F.lit(params.baseline_year)).select(F.first(fields)).scalar()
+        return F.min_by(fields, F.col("year")).over(every_year)
+    return F.max(F.when(F.col("year") == F.lit(params.baseline_year), fields)).over(every_year)
 
 
 def _index(score: Column, base: Column) -> Column:

@@ -96,6 +96,8 @@ class DurationParams:
         for w in list(self.weights.values()) + [self.fallback_weight]:
             if float(w) != int(w):
                 raise ValueError("severity weights must be whole numbers")
+        # durations must be whole seconds (checked here, not at first use)
+        _ = (self.default_seconds, self.fallback_seconds, self.max_gap_seconds)
 
     @property
     def default_seconds(self) -> dict:

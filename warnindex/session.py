@@ -46,15 +46,18 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    A folder of our own is set only where the session has none (tests and
-    local runs); on a cluster the configured shared folder is always used.
+    Read from the session; a folder of our own is set only where the session
+    has none (tests and local runs).  On a cluster the configured shared
+    folder is always used.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc._conf.get("spark.checkpoint.dir", None)
+    if not d:
+        d = sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="warnindex-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
