@@ -13,6 +13,7 @@ from warnindex.params import (
     COASTAL_KEYWORDS,
     FLUVIAL_WEIGHT,
     COASTAL_WEIGHT,
+    COVERAGE_EXAMPLES,
     MAX_WARNING_DURATION_DAYS,
     DurationParams,
 )
@@ -395,6 +396,14 @@ def quality_oracles() -> dict[str, str]:
         "quality_issues": issues,
         "quality_report": report,
         "area_coverage": coverage,
+        "coverage_examples": f"""WITH a AS (SELECT DISTINCT fwdCode FROM ({LINEITEM_MSGS})), e AS ({expected}),
+            j AS (SELECT CASE WHEN a.fwdCode IS NULL THEN 'Missing Warning Areas'
+                              WHEN e.fwdCode IS NULL THEN 'Unexpected Warning Areas' END AS category,
+                         coalesce(a.fwdCode, e.fwdCode) AS fwdCode
+                  FROM a FULL OUTER JOIN e ON a.fwdCode = e.fwdCode)
+            SELECT category, list_sort(list_filter(list(fwdCode ORDER BY fwdCode NULLS FIRST)[1:{COVERAGE_EXAMPLES}],
+                                                   lambda x: x IS NOT NULL)) AS examples
+            FROM j WHERE category IS NOT NULL GROUP BY category""",
         "county_filter": f"SELECT fwdCode, county FROM ({SUPPLIER_AREAS}) WHERE {_contains_any('county', TEST_COUNTIES)}",
         "class_from_text": f"SELECT fwdCode, riverOrSea, isTidal FROM ({SUPPLIER_AREAS})",
         "area_dimension": SUPPLIER_AREAS,

@@ -97,6 +97,22 @@ def _jvm_fs(spark: SparkSession, path: str):
     return p.getFileSystem(conf), p
 
 
+def list_paths(spark: SparkSession, directory: str) -> list[str]:
+    """Every file under ``directory`` (recursive; empty files included), from
+    the file system's listing -- metadata only."""
+    fs, p = _jvm_fs(spark, directory)
+    if not fs.exists(p):
+        return []
+    it = fs.listFiles(p, True)
+    out = []
+    while it.hasNext():
+        st = it.next()
+        name = st.getPath().getName()
+        if not name.startswith((".", "_")):
+            out.append(st.getPath().toString())
+    return out
+
+
 def first_line(spark: SparkSession, path: str) -> str | None:
     """The header line of one file (metadata-sized read on the driver)."""
     fs, p = _jvm_fs(spark, path)
@@ -136,8 +152,7 @@ def load_csv_files(spark: SparkSession, paths) -> DataFrame:
 def choose_snapshot(spark: SparkSession, directory: str) -> tuple[str, list[str]]:
     """Every CSV if there is any; else only the lexicographically last ODS
     (names start with YYYYMM).  Listing only."""
-    files = list_files(spark, directory).select("path")
-    rows = [r.path for r in files.where(F.lower("path").rlike(r"\.(csv|ods)$")).collect()]
+    rows = list_paths(spark, directory)
     csv = sorted(p for p in rows if p.lower().endswith(".csv"))
     ods = sorted(p for p in rows if p.lower().endswith(".ods"))
     if csv:
