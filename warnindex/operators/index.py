@@ -4,7 +4,7 @@ A fixed baseline is a literal.  A baseline taken from the data (A16) is read
 off the annual table itself with a window over all of its rows: that table
 has one row per year, so the window is a handful of rows in one task, and
 the messages are aggregated once (a scalar subquery or a join would run the
-whole duration pipeline a second time).
+whole duration computation a second time).
 """
 
 from __future__ import annotations

@@ -181,7 +181,7 @@ def q_quality_by_year(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.schema(issues.schema).json(root).select(*issues.columns)
 
 
-def q_pipeline_results(spark: SparkSession, d: str) -> DataFrame:
+def q_run_metrics(spark: SparkSession, d: str) -> DataFrame:
     """Per-year load/validation status and the success rate."""
     from warnindex.operators.quality import report
     from warnindex.sources.sinks import run_metrics
@@ -200,5 +200,5 @@ FILES = {
     "trend_export": q_trend_export,
     "baseline_roundtrip": q_baseline_roundtrip,
     "quality_by_year": q_quality_by_year,
-    "pipeline_results": q_pipeline_results,
+    "run_metrics": q_run_metrics,
 }

@@ -433,7 +433,7 @@ def file_oracles() -> dict[str, str]:
         "trend_export": ORDERS_SUMMARY,
         "baseline_roundtrip": core_oracles()["self_baseline"],
         "quality_by_year": f"SELECT * FROM ({issues_y}) WHERE year IS NOT NULL",
-        "pipeline_results": f"""SELECT year, total_records AS records_loaded, passed AS validation_passed,
+        "run_metrics": f"""SELECT year, total_records AS records_loaded, passed AS validation_passed,
             total_records > 0 AS success,
             avg(CAST(total_records > 0 AS DOUBLE)) OVER () * 100.0::DOUBLE AS success_rate_pct
             FROM ({report_y}) WHERE year IS NOT NULL""",
