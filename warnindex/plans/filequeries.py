@@ -189,6 +189,38 @@ def q_run_metrics(spark: SparkSession, d: str) -> DataFrame:
     return run_metrics(report(A.quality_messages(spark, d), by_year=True))
 
 
+def q_area_table(spark: SparkSession, d: str) -> DataFrame:
+    """S14 + S13: area dimension written (sorted by code, O4) with its class
+    and county tallies, and read back."""
+    root = scratch_path(spark, "areas")
+    areas = regions.areas_from_items(A.supplier_area_items(spark, d))
+    files.write_areas(areas, os.path.join(root, "areas"), os.path.join(root, "stats"), A.TEST_COUNTIES)
+    return files.read_areas(spark, os.path.join(root, "areas"))
+
+
+def q_area_stats_table(spark: SparkSession, d: str) -> DataFrame:
+    """The county tallies written next to the area table, read back."""
+    root = scratch_path(spark, "areas")
+    areas = regions.areas_from_items(A.supplier_area_items(spark, d))
+    files.write_areas(areas, os.path.join(root, "areas"), os.path.join(root, "stats"), A.TEST_COUNTIES)
+    return spark.read.parquet(os.path.join(root, "stats", "counties"))
+
+
+def q_ingest_region(spark: SparkSession, d: str) -> DataFrame:
+    """E1 end to end: landed CSV -> clean region messages -> per-year table
+    -> per-year quality report (areas = even user codes)."""
+    from warnindex.plans.flows import ingest
+
+    raw = _raw_events(spark, d)
+    root = scratch_path(spark, "ingest")
+    raw.drop("msg_id").write.options(**files.CSV_WRITE).csv(os.path.join(root, "landing"))
+    areas = (A.events_messages(spark, d).select("fwdCode").distinct()
+             .where(F.col("fwdCode").cast("bigint") % 2 == 0).withColumn("isTidal", F.lit(False)))
+    paths = [p for p in files.list_paths(spark, os.path.join(root, "landing")) if p.endswith(".csv")]
+    _, rep = ingest(spark, paths, areas, os.path.join(root, "table"), fmt="csv")
+    return rep
+
+
 FILES = {
     "csv_scan": q_csv_scan,
     "json_scan": q_json_scan,
@@ -201,4 +233,7 @@ FILES = {
     "baseline_roundtrip": q_baseline_roundtrip,
     "quality_by_year": q_quality_by_year,
     "run_metrics": q_run_metrics,
+    "area_table": q_area_table,
+    "area_stats_table": q_area_stats_table,
+    "ingest_region": q_ingest_region,
 }

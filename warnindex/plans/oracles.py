@@ -414,9 +414,37 @@ def quality_oracles() -> dict[str, str]:
         "area_codes": f"SELECT DISTINCT fwdCode FROM ({LINEITEM_MSGS})",
         "flood_areas": f"SELECT fwdCode, county FROM ({SUPPLIER_AREAS}) WHERE contains(coalesce(county, ''), 'EUROPE')",
         "current_floods": f"SELECT msg_id, fwdCode, severityLevel FROM ({EVENTS}) WHERE severityLevel = 1",
+        "class_counts": f"""SELECT CAST(year(timeRaised) AS INTEGER) AS year, count(*) AS total_warnings,
+            count(*) FILTER (WHERE isTidal = false) AS fluvial_warnings, count(*) FILTER (WHERE isTidal = true) AS coastal_warnings
+            FROM ({ORDERS_REGION}) WHERE timeRaised IS NOT NULL GROUP BY 1""",
     }
 
 
+def core_tallies() -> str:
+    return " UNION ALL ".join(
+        f"SELECT {_q(c)} AS county, count(*) FILTER (WHERE contains(coalesce(county, ''), {_q(c)})) AS area_count FROM ({SUPPLIER_AREAS})"
+        for c in TEST_COUNTIES)
+
+
+def ingest_region_sql() -> str:
+    msgs = f"""SELECT fwdCode, timeRaised, severity, severityLevel, false AS isTidal,
+        CAST(NULL AS TIMESTAMP) AS timeSeverityChanged FROM ({EVENTS}) WHERE CAST(fwdCode AS BIGINT) % 2 = 0"""
+    y = "CAST(year(timeRaised) AS INTEGER)"
+    return f"""WITH m AS ({msgs}),
+      w AS (SELECT {y} AS year, count(*) AS total, count(*) FILTER (WHERE NOT (severityLevel IN (1, 2, 3, 4))) AS v4
+            FROM m GROUP BY 1),
+      g AS (SELECT {y} AS year, fwdCode, severityLevel, timeRaised, count(*) AS n FROM m GROUP BY ALL),
+      dup AS (SELECT year, count(*) AS groups FROM g WHERE n > 1 GROUP BY year),
+      inc AS (SELECT year, count(*) AS areas FROM (
+          SELECT year, fwdCode, coalesce(bool_or(severityLevel = 4), false) AS has4 FROM g GROUP BY ALL)
+        WHERE NOT has4 GROUP BY year)
+      SELECT w.year, w.total AS total_records, w.total - w.v4 AS valid_records, w.v4 = 0 AS passed,
+        CAST(CASE WHEN w.v4 > 0 THEN 1 ELSE 0 END AS BIGINT) AS error_count,
+        CAST(CASE WHEN coalesce(dup.groups, 0) > 0 THEN 1 ELSE 0 END AS BIGINT) AS warning_count,
+        CAST(1 + CASE WHEN coalesce(inc.areas, 0) > 0 THEN 1 ELSE 0 END AS BIGINT) AS info_count
+      FROM w LEFT JOIN dup ON dup.year = w.year LEFT JOIN inc ON inc.year = w.year"""
+
+
 def file_oracles() -> dict[str, str]:
     msgs = f"SELECT fwdCode, timeRaised, severity, severityLevel FROM ({EVENTS})"
     issues_y, report_y = quality_sql(QUALITY_MSGS, by_year=True)
@@ -433,6 +461,9 @@ def file_oracles() -> dict[str, str]:
         "trend_export": ORDERS_SUMMARY,
         "baseline_roundtrip": core_oracles()["self_baseline"],
         "quality_by_year": f"SELECT * FROM ({issues_y}) WHERE year IS NOT NULL",
+        "area_table": SUPPLIER_AREAS,
+        "area_stats_table": core_tallies(),
+        "ingest_region": ingest_region_sql(),
         "run_metrics": f"""SELECT year, total_records AS records_loaded, passed AS validation_passed,
             total_records > 0 AS success,
             avg(CAST(total_records > 0 AS DOUBLE)) OVER () * 100.0::DOUBLE AS success_rate_pct

@@ -332,7 +332,12 @@ def q_current_floods(spark, d):
     return regions.current_floods(A.events_messages(spark, d), 1).select("msg_id", "fwdCode", "severityLevel")
 
 
+def q_class_counts(spark, d):
+    return scoring.class_counts(flows.orders_region_messages(spark, d))
+
+
 QUALITY = {
+    "class_counts": q_class_counts,
     "data_summary": q_data_summary,
     "severity_histogram": q_severity_histogram,
     "class_histogram": q_class_histogram,

@@ -80,9 +80,13 @@ def csv_members_to_raw(members: DataFrame, pattern: str = r"(?i)\.csv$") -> Data
         .select("archive", "member", cells.alias("hdr"))
     )
     body = parsed.where(F.col("pos") > 0).select("archive", "member", cells.alias("vals"))
+    # Which raw columns exist: one header row per member reaches the driver.
+    present = {r.c for r in header.select(F.explode("hdr").alias("c")).distinct().collect()}
     j = body.join(header, ["archive", "member"], "inner")
     cols = []
     for f in RAW.fields:
+        if f.name not in present:
+            continue
         pos = F.array_position(F.col("hdr"), f.name)
         cols.append(F.when(pos > 0, F.element_at(F.col("vals"), pos.cast("int"))).alias(f.name))
     return null_tokens_to_null(j.select(*cols, F.col("member").alias("_source")))

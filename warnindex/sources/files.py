@@ -54,14 +54,21 @@ def null_tokens_to_null(df: DataFrame, tokens=CSV_NULL_TOKENS) -> DataFrame:
 
 
 def _to_raw(df: DataFrame) -> DataFrame:
-    """Project onto the known raw columns (missing -> null), keep extra columns."""
-    present = set(df.columns)
-    cols = [F.col(f"`{f.name}`").cast("string").alias(f.name) if f.name in present
-            else F.lit(None).cast("string").alias(f.name) for f in RAW.fields]
-    extra = [F.col(f"`{c}`") for c in df.columns if c not in {f.name for f in RAW.fields}]
+    """Known raw columns as text (only those the source has: an optional
+    column that is absent stays absent), extra columns kept as they are."""
+    known = {f.name for f in RAW.fields}
+    cols = [F.col(f"`{f.name}`").cast("string").alias(f.name) for f in RAW.fields if f.name in df.columns]
+    extra = [F.col(f"`{c}`") for c in df.columns if c not in known]
     return df.select(*cols, *extra)
 
 
+def keep_columns(df: DataFrame, present) -> DataFrame:
+    """Drop raw columns that no input file has (decoders emit a fixed schema)."""
+    present = set(present)
+    known = {f.name for f in RAW.fields}
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in known or c in present])
+
+
 def read_csv(spark: SparkSession, paths, header_cols=None) -> DataFrame:
     """Header CSV, every column a string, null tokens mapped to null."""
     paths = [paths] if isinstance(paths, str) else list(paths)
@@ -72,11 +79,15 @@ def read_csv(spark: SparkSession, paths, header_cols=None) -> DataFrame:
     return null_tokens_to_null(reader.csv(paths))
 
 
-def read_json(spark: SparkSession, paths, multiline: bool = True) -> DataFrame:
+def read_json(spark: SparkSession, paths, multiline: bool = True, schema: T.StructType | None = None) -> DataFrame:
     """JSON documents holding an array of records (``multiline``) or JSON
-    lines; known raw columns read as text, no inference pass."""
+    lines.  Without ``schema`` the columns present are inferred (one pass,
+    every scalar read as text); with one, there is no inference pass."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    return spark.read.schema(RAW).option("multiLine", multiline).json(paths)
+    r = spark.read.option("multiLine", multiline)
+    if schema is not None:
+        return r.schema(schema).json(paths)
+    return _to_raw(r.option("primitivesAsString", True).json(paths))
 
 
 def list_files(spark: SparkSession, directory: str, pattern: str = "*") -> DataFrame:
@@ -171,9 +182,10 @@ def load_raw(spark: SparkSession, paths, fmt: str | None = None) -> DataFrame:
     if fmt == "json":
         return read_json(spark, paths)
     if fmt == "ods":
-        from warnindex.sources.ods import decode_ods
+        from warnindex.sources.ods import decode_ods, ods_headers
 
-        return decode_ods(spark.read.format("binaryFile").load(paths))
+        bins = spark.read.format("binaryFile").load(paths)
+        return keep_columns(decode_ods(bins), ods_headers(bins))
     raise LoadError(f"Unsupported format: {fmt}")
 
 

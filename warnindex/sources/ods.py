@@ -16,6 +16,7 @@ from xml.etree import ElementTree as ET
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from warnindex.schema import RAW
@@ -102,6 +103,22 @@ def _decode_batches(it):
                 yield pd.DataFrame(buf, columns=names + ["_source"])
 
 
+def _header_batches(it):
+    for pdf in it:
+        rows = []
+        for path, content in zip(pdf["path"], pdf["content"]):
+            first = next(iter_sheet_rows(bytes(content)), None)
+            rows.append((path, [(h or "").strip() for h in (first or [])]))
+        yield pd.DataFrame(rows, columns=["path", "header"])
+
+
+def ods_headers(files: DataFrame) -> set[str]:
+    """Column names found in the first row of any file (stops at that row;
+    one small row per file reaches the driver)."""
+    h = files.select("path", "content").mapInPandas(_header_batches, "path string, header array<string>")
+    return {c for r in h.select(F.explode("header").alias("c")).distinct().collect() for c in [r.c]}
+
+
 def decode_ods(files: DataFrame) -> DataFrame:
     """``files``: (path, content) rows as from the binaryFile source."""
     return files.select("path", "content").mapInPandas(_decode_batches, OUT)
