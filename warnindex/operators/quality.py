@@ -1,15 +1,16 @@
 """Data-quality checks and the report.
 
 Plan shape for ``validate`` (V11):
-* one wide aggregate over the messages for the row-level checks (V2-V4,
-  V7-V9, row count): a single pass, partial aggregation, one row out;
-* one aggregate on the duplicate key (fwdCode, severityLevel, timeRaised)
-  that feeds both the duplicate check (A9/V5) and, rolled up per area, the
-  lifecycle check (A10/V6/J2): records of areas without a level-4 message are
-  summed from the per-area counts, so no semi join over the messages is
-  needed.  The grouped exchange is shared by both branches.
-Issue rows are stacked with ``stack``/``unionByName``; nothing but the
-handful of issue rows reaches the driver.
+one aggregation chain over a single scan of the messages:
+* per duplicate key (fwdCode, severityLevel, timeRaised): the row count
+  (A9/V5) plus the row-level counters of V2-V4, V7-V9 as partial sums;
+* per area: lifecycle (any level 4, A10/V6) and duplicate statistics, so the
+  records of areas without a closing message are summed from per-area counts
+  (no semi join over the messages, J2);
+* per report (or per year): the totals, turned into issue rows by one
+  ``explode`` of an array of conditional structs.
+Every step is map-side combined (one row per key and task crosses a shuffle);
+nothing but the handful of issue rows reaches the driver.
 """
 
 from __future__ import annotations
@@ -178,37 +179,81 @@ def validate(df: DataFrame, max_days: int = MAX_WARNING_DURATION_DAYS, by_year:
 
 
 def _issues(df: DataFrame, max_days: int, by_year: bool = False) -> DataFrame:
-    """Issue rows; the wide-aggregate rows carry ``total_records`` and there
-    is always one such row per group (a null issue when none fired)."""
+    """Issue rows, each carrying ``total_records``; there is always at least
+    one row per group (a null issue when none fired).
+
+    One aggregation chain, one scan: messages -> per duplicate key (carrying
+    the row-level counters as partial sums) -> per area (lifecycle and
+    duplicate statistics) -> per report.  Each step is map-side combined.
+    """
     miss = missing_columns(df, REQUIRED_COLUMNS)
     grp: list[str] = []
     if by_year:
         df = df.withColumn("year", F.year("timeRaised"))
         grp = ["year"]
-    total = F.count(F.lit(1))
-    aggs = [total.alias("total")]
-    rows: list[tuple[Column, Column]] = []  # (issue struct, emit condition)
-    if miss:
-        rows.append((_issue(1, "error", CAT_REQUIRED,
-                            "Required fields are missing: " + ", ".join(sorted(miss)), F.col("total"), False),
-                     F.lit(True)))
+    counters: dict[str, Column] = {}  # per-row conditions, summed
+    maxima: dict[str, Column] = {}
     if _has(df, "timeRaised"):
-        aggs.append(F.count_if(F.col("timeRaised").isNull()).alias("v2"))
-        rows.append((_issue(2, "error", CAT_NULL_RAISED, MSG_NULL_RAISED, F.col("v2"), True), F.col("v2") > 0))
+        counters["v2"] = F.col("timeRaised").isNull()
     if _has(df, "timeSeverityChanged"):
-        aggs.append(F.count_if(F.col("timeSeverityChanged").isNull()).alias("v3"))
-        rows.append((_issue(3, "warning", CAT_NULL_CHANGED, MSG_NULL_CHANGED, F.col("v3"), False), F.col("v3") > 0))
+        counters["v3"] = F.col("timeSeverityChanged").isNull()
     if _has(df, "severityLevel"):
-        aggs.append(F.count_if(invalid_level()).alias("v4"))
-        rows.append((_issue(4, "error", CAT_INVALID_LEVEL, MSG_INVALID_LEVEL, F.col("v4"), True), F.col("v4") > 0))
+        counters["v4"] = invalid_level()
     if _has(df, "timeRaised", "timeSeverityChanged"):
         days = span_days(df)
         long_cond = _both_times(df) & (days > F.lit(max_days))
-        aggs += [
-            F.count_if(long_cond).alias("v7"),
-            F.max(F.when(long_cond, days)).alias("v7max"),
-            F.count_if(_both_times(df) & (F.col("timeSeverityChanged") < F.col("timeRaised"))).alias("v8"),
-        ]
+        counters["v7"] = long_cond
+        maxima["v7max"] = F.when(long_cond, days)
+        counters["v8"] = _both_times(df) & (F.col("timeSeverityChanged") < F.col("timeRaised"))
+    opt = [(i, c) for i, c in enumerate(OPTIONAL_COLUMNS) if c in df.columns]
+    for i, c in opt:
+        counters[f"nn{i}"] = F.col(c).isNotNull()
+
+    def roll(src_sum, src_max):
+        return [F.sum(src_sum(k)).alias(k) for k in counters] + [F.max(src_max(k)).alias(k) for k in maxima]
+
+    row_level = roll(lambda k: F.when(counters[k], 1).otherwise(0), lambda k: maxima[k])
+    has_keys = _has(df, *DUP_KEYS)
+    if has_keys:
+        lvl = F.col("severityLevel")
+        g = df.groupBy(*grp, *DUP_KEYS).agg(F.count(F.lit(1)).alias("n"), *row_level)
+        a = g.groupBy(*grp, "fwdCode").agg(
+            F.sum("n").alias("n"),
+            *roll(F.col, F.col),
+            F.coalesce(F.bool_or(lvl == F.lit(4)), F.lit(False)).alias("has4"),
+            F.count_if(F.col("n") > 1).alias("dup_groups"),
+            F.sum(F.when(F.col("n") > 1, F.col("n") - 1)).alias("dup_excess"),
+        )
+        w = a.groupBy(*grp).agg(
+            F.sum("n").alias("total"),
+            *roll(F.col, F.col),
+            F.sum("dup_groups").alias("groups"),
+            F.sum("dup_excess").alias("excess"),
+            F.count_if(~F.col("has4")).alias("inc_areas"),
+            F.sum(F.when(~F.col("has4"), F.col("n"))).alias("inc_records"),
+        )
+    else:
+        w = df.groupBy(*grp).agg(F.count(F.lit(1)).alias("total"), *row_level)
+    zero = [c for c in w.columns if c not in grp and c not in maxima]
+    w = w.select(*grp, *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in zero], *maxima)
+
+    total = F.col("total")
+    rows: list[tuple[Column, Column]] = []  # (issue struct, emit condition)
+    if miss:
+        rows.append((_issue(1, "error", CAT_REQUIRED, "Required fields are missing: " + ", ".join(sorted(miss)),
+                            total, False), F.lit(True)))
+    if "v2" in counters:
+        rows.append((_issue(2, "error", CAT_NULL_RAISED, MSG_NULL_RAISED, F.col("v2"), True), F.col("v2") > 0))
+    if "v3" in counters:
+        rows.append((_issue(3, "warning", CAT_NULL_CHANGED, MSG_NULL_CHANGED, F.col("v3"), False), F.col("v3") > 0))
+    if "v4" in counters:
+        rows.append((_issue(4, "error", CAT_INVALID_LEVEL, MSG_INVALID_LEVEL, F.col("v4"), True), F.col("v4") > 0))
+    if has_keys:
+        rows.append((_issue(5, "warning", CAT_DUPLICATES, MSG_DUPLICATES, F.col("excess"), False),
+                     F.col("groups") > 0))
+        rows.append((_issue(6, "info", CAT_INCOMPLETE, MSG_INCOMPLETE, F.col("inc_records"), False),
+                     F.col("inc_areas") > 0))
+    if "v7" in counters:
         msg7 = F.concat(
             F.lit(f"Warnings exceed maximum expected duration ({max_days} days). Longest: "),
             _fmt1(F.col("v7max")),
@@ -216,48 +261,21 @@ def _issues(df: DataFrame, max_days: int, by_year: bool = False) -> DataFrame:
         )
         rows.append((_issue(7, "warning", CAT_LONG, msg7, F.col("v7"), False), F.col("v7") > 0))
         rows.append((_issue(8, "error", CAT_INCONSISTENT, MSG_INCONSISTENT, F.col("v8"), True), F.col("v8") > 0))
-    for i, c in enumerate(OPTIONAL_COLUMNS):
-        if c not in df.columns:
-            continue
-        aggs.append(F.count(F.col(c)).alias(f"nn{i}"))
-        pct = F.try_divide(F.col(f"nn{i}").cast("double"), F.col("total").cast("double")) * F.lit(100.0)
+    for i, c in opt:
+        pct = F.try_divide(F.col(f"nn{i}").cast("double"), total.cast("double")) * F.lit(100.0)
         sev = F.when(pct < F.lit(COMPLETENESS_WARN_PCT), "warning").otherwise("info")
         msg = F.concat(F.lit("Field is "), _fmt1(pct), F.lit("% complete"))
-        rows.append((_issue(9 + i, sev, CAT_COMPLETENESS.format(c), msg, F.col("total") - F.col(f"nn{i}"), False),
+        rows.append((_issue(9 + i, sev, CAT_COMPLETENESS.format(c), msg, total - F.col(f"nn{i}"), False),
                      F.lit(True)))
 
-    wide = df.groupBy(*grp).agg(*aggs)
     arr = F.filter(
-        F.array(*[F.when(cond, s) for s, cond in rows]) if rows else F.array().cast(T.ArrayType(ISSUE_SCHEMA)),
+        F.array(*[F.when(cond, st) for st, cond in rows]) if rows else F.array().cast(T.ArrayType(ISSUE_SCHEMA)),
         lambda x: x.isNotNull(),
     )
-    issues = wide.select(*grp, "total", F.explode_outer(arr).alias("i")).select(
+    return w.select(*grp, "total", F.explode_outer(arr).alias("i")).select(
         *grp, "i.*", F.col("total").cast("bigint").alias("total_records")
     )
 
-    if _has(df, *DUP_KEYS):
-        g = df.groupBy(*grp, *DUP_KEYS).agg(F.count(F.lit(1)).alias("n"))
-        dups = g.where(F.col("n") > 1).groupBy(*grp).agg(
-            F.count(F.lit(1)).alias("groups"),
-            (F.coalesce(F.sum("n"), F.lit(0)) - F.count(F.lit(1))).alias("excess"),
-        )
-        dup_row = dups.where(F.col("groups") > 0).select(
-            *grp, _issue(5, "warning", CAT_DUPLICATES, MSG_DUPLICATES, F.col("excess"), False).alias("i")
-        )
-        lvl = F.col("severityLevel")
-        per_area = g.groupBy(*grp, "fwdCode").agg(
-            F.coalesce(F.bool_or(lvl == F.lit(4)), F.lit(False)).alias("has4"),
-            F.sum("n").alias("n"),
-        )
-        inc = per_area.where(~F.col("has4")).groupBy(*grp).agg(
-            F.count(F.lit(1)).alias("areas"), F.sum("n").alias("records"))
-        inc_row = inc.where(F.col("areas") > 0).select(
-            *grp, _issue(6, "info", CAT_INCOMPLETE, MSG_INCOMPLETE, F.col("records"), False).alias("i")
-        )
-        extra = dup_row.unionByName(inc_row).select(*grp, "i.*").withColumn("total_records", F.lit(None).cast("bigint"))
-        issues = issues.unionByName(extra)
-    return issues
-
 
 def report(df: DataFrame, max_days: int = MAX_WARNING_DURATION_DAYS, by_year: bool = False) -> DataFrame:
     """One row: total, valid (minus the error counts of V2, V4, V8 -- a
