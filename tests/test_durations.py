@@ -234,3 +234,30 @@ def test_result_independent_of_partitions_and_bucket_width(spark):
         got = {r.msg_id: (r.gap_seconds, r.score_seconds)
                for r in calculate_durations(base.repartition(parts), p).collect()}
         assert got == ref
+
+
+def test_hot_area_is_split_across_window_groups(spark):
+    """One area with half of all rows: no window group holds more than the
+    rows of one area-hour, and the answer equals the unsplit window."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from warnindex.operators.durations import window_group_sizes
+
+    base = spark.range(0, 6000).select(
+        F.when(F.col("id") % 2 == 0, F.lit("HOT")).otherwise((F.col("id") % 50).cast("string")).alias("fwdCode"),
+        (F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'") + F.make_dt_interval(secs=F.col("id") * 37)).alias("timeRaised"),
+        F.lit("Flood Alert").alias("severity"),
+        F.lit(3).alias("severityLevel"),
+        F.lit(False).alias("isTidal"),
+        F.col("id").alias("msg_id"),
+    )
+    p = DurationParams(gap_scope="all", bucket_seconds=3600)
+    sizes = window_group_sizes(base, p)
+    top = sizes.first()
+    hot_rows = base.where("fwdCode = 'HOT'").count()
+    assert top.rows <= 3600 // 37 // 2 + 2 and hot_rows == 3000
+    got = {r.msg_id: r.gap_seconds for r in lead_gaps(base, p).collect()}
+    w = Window.partitionBy("fwdCode").orderBy("timeRaised", "msg_id")
+    plain = base.withColumn("g", F.timestamp_diff("SECOND", "timeRaised", F.lead("timeRaised").over(w)))
+    assert got == {r.msg_id: r.g for r in plain.collect()}

@@ -50,18 +50,11 @@ def scope_columns(params: DurationParams) -> list[str]:
     return ["fwdCode"] if params.gap_scope == "all" else ["_scope_year", "fwdCode"]
 
 
-def with_next_time(df: DataFrame, params: DurationParams | None = None, id_col: str | None = None,
-                   time_col: str = "timeRaised") -> DataFrame:
-    """Add ``_next_time``: the time of the next message of the same area (and
-    year, for ``gap_scope="year"``), ordered by time then tie-break."""
-    p = params or DurationParams()
-    t = F.col(time_col)
-    ties = tie_break_columns(df, id_col)
+def _with_window_keys(df: DataFrame, p: DurationParams, ties: list[str], t: Column) -> DataFrame:
     d = df
     if p.gap_scope == "year":
         d = d.withColumn("_scope_year", F.year(t))
-    scope = scope_columns(p)
-    d = d.withColumn(
+    return d.withColumn(
         "_bucket",
         F.floor(F.timestamp_diff("SECOND", F.expr(_EPOCH), t) / F.lit(p.bucket_seconds)).cast("bigint"),
     ).withColumn(
@@ -70,6 +63,27 @@ def with_next_time(df: DataFrame, params: DurationParams | None = None, id_col:
         .otherwise(F.lit(0))
         .cast("int"),
     )
+
+
+def window_group_sizes(df: DataFrame, params: DurationParams | None = None, id_col: str | None = None,
+                       time_col: str = "timeRaised") -> DataFrame:
+    """Diagnostic: rows per window group (the unit one task sorts), largest
+    first -- bounded by messages per area and bucket, not per area."""
+    p = params or DurationParams()
+    d = _with_window_keys(df, p, tie_break_columns(df, id_col), F.col(time_col))
+    keys = scope_columns(p) + ["_bucket", "_salt"]
+    return d.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).orderBy(F.col("rows").desc())
+
+
+def with_next_time(df: DataFrame, params: DurationParams | None = None, id_col: str | None = None,
+                   time_col: str = "timeRaised") -> DataFrame:
+    """Add ``_next_time``: the time of the next message of the same area (and
+    year, for ``gap_scope="year"``), ordered by time then tie-break."""
+    p = params or DurationParams()
+    t = F.col(time_col)
+    ties = tie_break_columns(df, id_col)
+    scope = scope_columns(p)
+    d = _with_window_keys(df, p, ties, t)
     keys = scope + ["_bucket", "_salt"]
     w = Window.partitionBy(*keys).orderBy(*([t] + [F.col(c).asc_nulls_first() for c in ties]))
     main = d.withColumn("_lead_in_bucket", F.lead(t).over(w))

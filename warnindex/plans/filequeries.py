@@ -139,6 +139,16 @@ def q_yearly_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return files.read_year(spark, root, 1997).select("msg_id", "fwdCode", "timeRaised", "severityLevel", "isTidal", "year")
 
 
+def q_csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """S7 + S8 + S1 in CSV: the per-year export written as CSV and read back
+    (every year; times keep their microseconds)."""
+    from warnindex.plans.flows import orders_region_messages
+
+    root = scratch_path(spark, "yearly-csv")
+    files.write_yearly(orders_region_messages(spark, d).select("fwdCode", "timeRaised", "severity"), root, fmt="csv")
+    return files.read_year(spark, root, fmt="csv").select("fwdCode", "timeRaised", "severity", "year")
+
+
 def q_discover_years(spark: SparkSession, d: str) -> DataFrame:
     """Years of a per-year table from its partition folders."""
     from warnindex.plans.flows import orders_region_messages
@@ -228,6 +238,7 @@ FILES = {
     "archive_scan": q_archive_scan,
     "landed_pages": q_landed_pages,
     "yearly_roundtrip": q_yearly_roundtrip,
+    "csv_roundtrip": q_csv_roundtrip,
     "discover_years": q_discover_years,
     "trend_export": q_trend_export,
     "baseline_roundtrip": q_baseline_roundtrip,

@@ -456,6 +456,8 @@ def file_oracles() -> dict[str, str]:
         "landed_pages": SUPPLIER_AREAS,
         "yearly_roundtrip": f"""SELECT msg_id, fwdCode, timeRaised, severityLevel, isTidal, CAST(1997 AS INTEGER) AS year
             FROM ({ORDERS_REGION}) WHERE year(timeRaised) = 1997""",
+        "csv_roundtrip": f"""SELECT fwdCode, timeRaised, severity, CAST(year(timeRaised) AS INTEGER) AS year
+            FROM ({ORDERS_REGION}) WHERE timeRaised IS NOT NULL""",
         "discover_years": f"""SELECT DISTINCT CAST(year(timeRaised) AS INTEGER) AS year FROM ({ORDERS_REGION})
             WHERE year(timeRaised) >= {ORDERS_BASELINE_YEAR}""",
         "trend_export": ORDERS_SUMMARY,
