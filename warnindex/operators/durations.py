@@ -78,7 +78,10 @@ def window_group_sizes(df: DataFrame, params: DurationParams | None = None, id_c
 def with_next_time(df: DataFrame, params: DurationParams | None = None, id_col: str | None = None,
                    time_col: str = "timeRaised") -> DataFrame:
     """Add ``_next_time``: the time of the next message of the same area (and
-    year, for ``gap_scope="year"``), ordered by time then tie-break."""
+    year, for ``gap_scope="year"``), ordered by time then tie-break.
+
+    O1: the per-area time order is the window's own partition sort; there is
+    no global sort of the messages."""
     p = params or DurationParams()
     t = F.col(time_col)
     ties = tie_break_columns(df, id_col)
@@ -102,7 +105,9 @@ def with_next_time(df: DataFrame, params: DurationParams | None = None, id_col:
 
 
 def duration_seconds(gap: Column, level: Column, update: Column, params: DurationParams) -> Column:
-    """Null gap or gap > max -> default; update -> gap; else min(gap, default)."""
+    """Null gap or gap > max -> default; update -> gap; else min(gap, default).
+
+    F11 (``when`` chain), F12 (``least``; no null reaches it), F13 (null test)."""
     d = default_seconds(level, params)
     return (
         F.when(gap.isNull() | (gap > F.lit(params.max_gap_seconds)), d)
@@ -115,7 +120,10 @@ def calculate_durations(df: DataFrame, params: DurationParams | None = None,
                         id_col: str | None = None) -> DataFrame:
     """Scored messages: input columns plus is_update, gap_seconds,
     gap_to_next_hours, duration_seconds, duration_hours, weight,
-    score_seconds, score.  Seconds are BIGINT (exact sums); hours = s/3600."""
+    score_seconds, score.  Seconds are BIGINT (exact sums); hours = s/3600.
+
+    P15/F18: an empty input needs no special case -- the schema is static, so
+    an empty frame comes back with the added (typed) columns."""
     p = params or DurationParams()
     require_columns(df, DURATION_REQUIRED_COLUMNS, "calculate_durations")
     d = with_next_time(df, p, id_col)

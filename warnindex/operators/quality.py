@@ -77,7 +77,8 @@ def span_days(df: DataFrame) -> Column:
 
 
 def invalid_level(c: str = "severityLevel") -> Column:
-    """V4: level outside 1-4; a null level is not flagged (NOT IN on null is null)."""
+    """V4: level outside 1-4; a null level is not flagged (NOT IN on null is
+    null).  F14: ``isin`` and its negation both leave null as null."""
     return ~F.col(c).isin(*VALID_LEVELS)
 
 

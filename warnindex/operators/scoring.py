@@ -47,6 +47,7 @@ def filter_year(df: DataFrame, year: int, time_col: str = "timeRaised") -> DataF
 
 
 def with_year(df: DataFrame, time_col: str = "timeRaised") -> DataFrame:
+    """F8: calendar year of the raise time; rows without a time are dropped."""
     return df.withColumn("year", F.year(time_col)).where(F.col("year").isNotNull())
 
 

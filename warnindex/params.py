@@ -145,6 +145,7 @@ class IndexParams:
     baseline_year: int | None = None
 
     def __post_init__(self):
+        # Weight-sum check with a float tolerance (driver side).
         total = self.fluvial_weight + self.coastal_weight
         if not math.isclose(total, 1.0):
             raise ValueError(f"Weights must sum to 1.0, got {total}")

@@ -55,6 +55,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         d = sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name the cluster's shared folder")
         d = tempfile.mkdtemp(prefix="warnindex-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)

@@ -11,6 +11,7 @@ from __future__ import annotations
 import logging
 import os
 import re
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,7 @@ class LoadError(Exception):
 
 
 FORMATS = {".csv": "csv", ".json": "json", ".ods": "ods"}
+HEADER_PROBE_THREADS = 32
 # CSV writer options: keep text verbatim (Spark's writer trims by default).
 CSV_WRITE = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
@@ -142,14 +144,20 @@ def load_csv_files(spark: SparkSession, paths) -> DataFrame:
     none can be read (U1 is the union by name)."""
     groups: dict[str, list[str]] = {}
     failures = []
-    for p in paths:
+
+    def probe(p):
         try:
-            h = first_line(spark, p)
+            return p, first_line(spark, p), None
         except Exception as e:  # noqa: BLE001 - any unreadable file is skipped
-            failures.append((p, str(e)))
-            continue
-        if h is None:
-            failures.append((p, "empty file"))
+            return p, None, str(e)
+
+    # One header line per file; opens run concurrently (file-system latency,
+    # not data volume, is the cost here).
+    with ThreadPoolExecutor(max_workers=HEADER_PROBE_THREADS) as pool:
+        probed = list(pool.map(probe, paths))
+    for p, h, err in probed:
+        if err is not None or h is None:
+            failures.append((p, err or "empty file"))
             continue
         groups.setdefault(h.lstrip("\ufeff").strip(), []).append(p)
     if failures:

@@ -14,7 +14,8 @@ TREND_SCHEMA = ("year int, total_warnings bigint, fluvial_warnings bigint, coast
 
 
 def write_trend_csv(summary: DataFrame, path: str) -> None:
-    """The yearly summary as one CSV with a header (one row per year)."""
+    """The yearly summary as one CSV with a header (one row per year),
+    sorted by year (O3)."""
     summary.orderBy("year").coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
