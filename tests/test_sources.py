@@ -122,3 +122,16 @@ def test_landed_pages(spark, tmp_path):
                        for k in (0, 2)))
     items = files.read_landed_pages(spark, p)
     assert sorted(r.notation for r in items.collect()) == ["N0", "N1", "N2", "N3"]
+
+
+def test_ingest_flow_observes_counts(spark, tmp_path):
+    from warnindex.plans.flows import ingest
+
+    d = str(tmp_path / "land")
+    write(f"{d}/a.csv", "DATE,CODE,TYPE\n2024-01-01T00:00:00Z,C1,Flood Alert\nbad,C1,Flood Alert\n"
+                        "2024-01-02T00:00:00Z,C9,Flood Bulletin\n2023-05-01T00:00:00Z,C2,Flood Warning\n")
+    areas = spark.createDataFrame([("C1", False), ("C2", True)], "fwdCode string, isTidal boolean")
+    metrics, rep = ingest(spark, [f"{d}/a.csv"], areas, str(tmp_path / "table"))
+    assert metrics == {"records_loaded": 4, "unmapped_severity": 1, "missing_timeRaised": 1, "region_records": 3}
+    got = {r.year: r.total_records for r in rep.collect()}
+    assert got == {2023: 1, 2024: 1}

@@ -8,7 +8,7 @@ Each flow is one lazy plan; nothing but year-level rows reaches the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from warnindex.operators.durations import calculate_durations
@@ -28,22 +28,30 @@ def prepare_messages(raw: DataFrame, areas: DataFrame | None = None, require_off
 
 
 def ingest(spark: SparkSession, paths, areas: DataFrame, table_path: str, fmt: str | None = None,
-           require_offset: bool = False) -> tuple[DataFrame, DataFrame]:
+           require_offset: bool = False) -> tuple[dict, DataFrame]:
     """Raw files -> clean messages of the region -> per-year table.
 
-    Returns (null_times_before_region, report_by_year).  The null-time count
-    (V2) is taken on the frame before the region restriction and year split,
-    where the per-year files can no longer show it (N14); the per-year
-    report (A18) is computed on the written table, one job for all years.
+    Returns (load metrics, report_by_year).  The metrics -- rows loaded,
+    unmapped severity texts (P3), missing or invalid raise times (P6, and V2
+    before the year split, N14), rows kept by the region (P7) -- are
+    ``observe``d while the table is written, so they cost no extra pass.  The
+    per-year report (A18) runs on the written table, one job for all years.
     """
     from warnindex.operators.quality import report
     from warnindex.sources.files import load_raw, read_year, write_yearly
 
     parsed = parse_timestamps(normalize_schema(load_raw(spark, paths, fmt)), require_offset)
-    null_times = parsed.agg(F.count_if(F.col("timeRaised").isNull()).alias("missing_timeRaised"),
-                            F.count(F.lit(1)).alias("total_records"))
-    write_yearly(restrict_to_region(parsed, check_region(areas)), table_path)
-    return null_times, report(read_year(spark, table_path).drop("year"), by_year=True)
+    loaded = Observation("loaded")
+    parsed = parsed.observe(
+        loaded,
+        F.count(F.lit(1)).alias("records_loaded"),
+        F.count_if(F.col("severityLevel").isNull() & F.col("severity").isNotNull()).alias("unmapped_severity"),
+        F.count_if(F.col("timeRaised").isNull()).alias("missing_timeRaised"),
+    )
+    kept = Observation("region")
+    region = restrict_to_region(parsed, check_region(areas)).observe(kept, F.count(F.lit(1)).alias("region_records"))
+    write_yearly(region, table_path)
+    return {**loaded.get, **kept.get}, report(read_year(spark, table_path).drop("year"), by_year=True)
 
 
 def annual_index(messages: DataFrame, duration: DurationParams | None = None,
