@@ -30,6 +30,13 @@ def test_update_prefix_watch_case_and_whitespace(spark):
     assert levels(spark, texts) == [3, 3, 3, 2, 1, 3, 3, None, None]
 
 
+def test_unicode_space_after_update(spark):
+    # A no-break space after "Update" still strips the prefix and flags an update.
+    df = spark.createDataFrame([("Update\u00a0Flood Alert",), ("Flood Alert\u00a0",)], "severity string")
+    got = [(r.lvl, r.u) for r in df.select(severity_level("severity").alias("lvl"), is_update("severity").alias("u")).collect()]
+    assert got == [(3, True), (3, False)]
+
+
 def test_is_update_uses_raw_text(spark):
     # Leading space -> mapped but not an update; suffix -> neither.
     texts = ["Update Flood Alert", " Update Flood Alert", "Flood Alert Update", "update flood alert", "Updated x", None]

@@ -61,9 +61,7 @@ def test_completeness_threshold(spark):
 
 def test_zero_rows_and_missing_column(spark):
     empty = spark.createDataFrame([], SCHEMA)
-    got = issues(spark, empty)
-    assert set(got) == {f"Field Completeness: {c}" for c in ("timeSeverityChanged", "timeMessageChanged", "isTidal")}
-    assert all(r["count"] == 0 for r in got.values())
+    assert issues(spark, empty) == {}   # no share of nothing (N16: the original divides by zero)
     r = quality.report(empty).collect()[0]
     assert r.total_records == 0 and r.passed
     got = issues(spark, frame(spark).drop("severityLevel"))

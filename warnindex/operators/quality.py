@@ -266,8 +266,9 @@ def _issues(df: DataFrame, max_days: int, by_year: bool = False) -> DataFrame:
         pct = F.try_divide(F.col(f"nn{i}").cast("double"), total.cast("double")) * F.lit(100.0)
         sev = F.when(pct < F.lit(COMPLETENESS_WARN_PCT), "warning").otherwise("info")
         msg = F.concat(F.lit("Field is "), _fmt1(pct), F.lit("% complete"))
+        # emitted for every optional column present, when there are rows
         rows.append((_issue(9 + i, sev, CAT_COMPLETENESS.format(c), msg, total - F.col(f"nn{i}"), False),
-                     F.lit(True)))
+                     total > 0))
 
     arr = F.filter(
         F.array(*[F.when(cond, st) for st, cond in rows]) if rows else F.array().cast(T.ArrayType(ISSUE_SCHEMA)),

@@ -300,7 +300,7 @@ def quality_sql(q: str, by_year: bool = False) -> tuple[str, str]:
         pct = f"(nn{i}::DOUBLE / total::DOUBLE * 100.0::DOUBLE)"
         compl_rows.append(f"""SELECT {gcol}{9 + i} AS check_order, CASE WHEN {pct} < 50.0 THEN 'warning' ELSE 'info' END AS severity,
             'Field Completeness: {c}' AS category, 'Field is ' || {_fmt1(pct)} || '% complete' AS message,
-            CAST(total - nn{i} AS BIGINT) AS count, false AS subtracts_valid FROM w""")
+            CAST(total - nn{i} AS BIGINT) AS count, false AS subtracts_valid FROM w WHERE total > 0""")
     g_year = f"{y} AS year, " if by_year else ""
     wide = f"""w AS (SELECT {gsel}count(*) AS total, count(*) FILTER (WHERE timeRaised IS NULL) AS v2,
           count(*) FILTER (WHERE timeSeverityChanged IS NULL) AS v3, count(*) FILTER (WHERE {invalid}) AS v4,
