@@ -48,7 +48,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
     spark = build_session(f"local[{cpus}]", shuffle_partitions=max(2 * cpus, 8), app="warnindex-bench",
-                          extra={"spark.driver.memory": "16g"})
+                          extra={"spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false"})
     qs = registry()
     # warm-up (JIT, class loading, file listing caches)
     qs["annual_index"](spark, sf_dir).write.format("noop").mode("overwrite").save()
