@@ -86,3 +86,8 @@ def test_area_coverage(spark):
     assert got["Unexpected Warning Areas"]["count"] == 4
     ex = {r.category: r.examples for r in quality.coverage_examples(df, expected).collect()}
     assert ex["Missing Warning Areas"] == ["B", "C"]
+
+
+def test_validate_with_examples(spark):
+    got = {r.category: r.examples for r in quality.validate(frame(spark), examples=True).collect()}
+    assert len(got["Timestamp Inconsistency"]) == 1 and got["Duplicate Records"] is None

@@ -171,12 +171,18 @@ def _issue(order: int, severity, category, message, count: Column, subtracts: bo
     )
 
 
-def validate(df: DataFrame, max_days: int = MAX_WARNING_DURATION_DAYS, by_year: bool = False) -> DataFrame:
+def validate(df: DataFrame, max_days: int = MAX_WARNING_DURATION_DAYS, by_year: bool = False,
+             examples: bool = False) -> DataFrame:
     """All checks in order -> issue rows (check_order, severity,
     category, message, count, subtracts_valid).  ``by_year``: the same checks
     for every calendar year of ``timeRaised`` in one job (leading ``year``
-    column), instead of one job per year."""
-    return _issues(df, max_days, by_year).where(F.col("check_order").isNotNull()).drop("total_records")
+    column), instead of one job per year.  ``examples`` adds up to three
+    offending rows (JSON) to the row-level issues (O5; whole-report only)."""
+    out = _issues(df, max_days, by_year).where(F.col("check_order").isNotNull()).drop("total_records")
+    if examples and not by_year:
+        # both sides hold a handful of rows (one per issue / category)
+        out = out.join(issue_examples(df, ISSUE_EXAMPLES, max_days), "category", "left")
+    return out
 
 
 def _issues(df: DataFrame, max_days: int, by_year: bool = False) -> DataFrame:
