@@ -135,3 +135,27 @@ def test_ingest_flow_observes_counts(spark, tmp_path):
     assert metrics == {"records_loaded": 4, "unmapped_severity": 1, "missing_timeRaised": 1, "region_records": 3}
     got = {r.year: r.total_records for r in rep.collect()}
     assert got == {2023: 1, 2024: 1}
+
+
+def test_ods_cell_text_and_repeats():
+    import io
+    import zipfile
+
+    from warnindex.sources.ods import NS, iter_sheet_rows
+
+    xml = (f'<office:document-content xmlns:office="{NS["office"]}" xmlns:table="{NS["table"]}" '
+           f'xmlns:text="{NS["text"]}"><office:body><office:spreadsheet><table:table>'
+           '<table:table-row><table:table-cell office:value-type="string"><text:p>A<text:s text:c="2"/>B'
+           '<text:span>C</text:span><text:tab/>D</text:p></table:table-cell><table:table-cell '
+           'table:number-columns-repeated="2" office:value-type="float" office:value="3"/></table:table-row>'
+           '<table:table-row table:number-rows-repeated="2"><table:table-cell office:value-type="date" '
+           'office:date-value="2024-01-01T05:00:00"/></table:table-row>'
+           '<table:table-row table:number-rows-repeated="500"><table:table-cell table:number-columns-repeated="99"/>'
+           '</table:table-row></table:table><table:table><table:table-row><table:table-cell office:value-type="string">'
+           '<text:p>second sheet</text:p></table:table-cell></table:table-row></table:table>'
+           '</office:spreadsheet></office:body></office:document-content>')
+    b = io.BytesIO()
+    with zipfile.ZipFile(b, "w") as z:
+        z.writestr("content.xml", xml)
+    assert list(iter_sheet_rows(b.getvalue())) == [["A  BC\tD", "3", "3"], ["2024-01-01T05:00:00"],
+                                                   ["2024-01-01T05:00:00"]]

@@ -34,6 +34,23 @@ OUT = T.StructType(list(RAW.fields) + [T.StructField("_source", T.StringType())]
 BATCH_ROWS = 10_000
 
 
+def _para_text(el) -> str:
+    """Text of a paragraph: <text:s text:c="n"/> is n spaces, <text:tab/> a
+    tab, <text:line-break/> a newline; spans are read through."""
+    out = [el.text or ""]
+    for ch in el:
+        if ch.tag == _X + "s":
+            out.append(" " * int(ch.get(_X + "c", "1")))
+        elif ch.tag == _X + "tab":
+            out.append("\t")
+        elif ch.tag == _X + "line-break":
+            out.append("\n")
+        else:
+            out.append(_para_text(ch))
+        out.append(ch.tail or "")
+    return "".join(out)
+
+
 def _cell_value(cell) -> str | None:
     vt = cell.get(_O + "value-type")
     if vt == "date":
@@ -44,9 +61,7 @@ def _cell_value(cell) -> str | None:
         return cell.get(_O + "value")
     if vt == "boolean":
         return cell.get(_O + "boolean-value")
-    parts = []
-    for p in cell.iter(_X + "p"):
-        parts.append("".join(p.itertext()))
+    parts = [_para_text(p) for p in cell.iter(_X + "p")]
     return "\n".join(parts) if parts else None
 
 
