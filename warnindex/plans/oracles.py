@@ -329,7 +329,7 @@ def quality_sql(q: str, by_year: bool = False) -> tuple[str, str]:
     if by_year:
         report = f"""WITH iss AS ({issues}), w2 AS (SELECT {y} AS year, count(*) AS total FROM ({q}) GROUP BY 1)
           SELECT w2.year, w2.total AS total_records,
-            w2.total - coalesce(sum(CASE WHEN subtracts_valid THEN count END), 0) AS valid_records,
+            CAST(w2.total - coalesce(sum(CASE WHEN subtracts_valid THEN count END), 0) AS BIGINT) AS valid_records,
             count(*) FILTER (WHERE severity = 'error') = 0 AS passed,
             count(*) FILTER (WHERE severity = 'error') AS error_count,
             count(*) FILTER (WHERE severity = 'warning') AS warning_count,
@@ -338,7 +338,7 @@ def quality_sql(q: str, by_year: bool = False) -> tuple[str, str]:
     else:
         report = f"""WITH iss AS ({issues}), w2 AS (SELECT count(*) AS total FROM ({q}))
           SELECT (SELECT total FROM w2) AS total_records,
-            (SELECT total FROM w2) - coalesce(sum(CASE WHEN subtracts_valid THEN count END), 0) AS valid_records,
+            CAST((SELECT total FROM w2) - coalesce(sum(CASE WHEN subtracts_valid THEN count END), 0) AS BIGINT) AS valid_records,
             count(*) FILTER (WHERE severity = 'error') = 0 AS passed,
             count(*) FILTER (WHERE severity = 'error') AS error_count,
             count(*) FILTER (WHERE severity = 'warning') AS warning_count,
