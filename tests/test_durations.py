@@ -261,3 +261,13 @@ def test_hot_area_is_split_across_window_groups(spark):
     w = Window.partitionBy("fwdCode").orderBy("timeRaised", "msg_id")
     plain = base.withColumn("g", F.timestamp_diff("SECOND", "timeRaised", F.lead("timeRaised").over(w)))
     assert got == {r.msg_id: r.g for r in plain.collect()}
+
+
+def test_class_tables_need_the_class_column(msgs):
+    # Without isTidal the class tables fail with a clear error; the totals still work.
+    d = calculate_durations(msgs([("A", "2024-01-01T00:00:00", "Flood Alert", 3)]).drop("isTidal"), ALL)
+    with pytest.raises(ValueError, match="isTidal"):
+        annual_by_class(d)
+    with pytest.raises(ValueError, match="isTidal"):
+        breakdown_by_class(d)
+    assert annual_total(d).collect()[0].total_events == 1
