@@ -107,3 +107,14 @@ def test_yearly_summary_rounds_half_even(spark):
                                 "fluvial_index double, coastal_index double, composite_fwii double")
     r = yearly_summary(ind).collect()[0]
     assert (r.fluvial_index, r.total_warnings) == (0.2, 10)
+
+
+def test_year_selection_before_the_window_is_exact(spark):
+    from warnindex.plans.flows import annual_index, orders_region_messages
+
+    msgs = orders_region_messages(spark, "/root/testdata/sf0.001")
+    for scope in ("year", "all"):
+        p, ip = DurationParams(gap_scope=scope), IndexParams(baseline_year=1995)
+        full = {r.year: tuple(r) for r in annual_index(msgs, p, ip).collect()}
+        some = {r.year: tuple(r) for r in annual_index(msgs, p, ip, years=[1997, 2000]).collect()}
+        assert some == {y: full[y] for y in (1997, 2000)}

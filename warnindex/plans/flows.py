@@ -55,9 +55,28 @@ def ingest(spark: SparkSession, paths, areas: DataFrame, table_path: str, fmt: s
 
 
 def annual_index(messages: DataFrame, duration: DurationParams | None = None,
-                 index: IndexParams | None = None) -> DataFrame:
-    """E2 for every year at once: one row per year (I4)."""
-    return calculate_indicators(calculate_durations(messages, duration), index)
+                 index: IndexParams | None = None, years=None) -> DataFrame:
+    """E2 for every year at once (one row per year, I4), or for ``years``.
+
+    With ``gap_scope="year"`` no gap crosses a year, so the requested years
+    (plus a data-derived baseline year) are selected *before* the window --
+    a timestamp range the parquet scan can use.  With ``"all"`` gaps cross
+    years, so the selection happens after the computation.
+    """
+    from functools import reduce
+
+    from warnindex.operators.scoring import year_range
+
+    d = duration or DurationParams()
+    ip = index or IndexParams()
+    if years is None:
+        return calculate_indicators(calculate_durations(messages, d), ip)
+    wanted = sorted({int(y) for y in years})
+    if d.gap_scope == "year" and (ip.baseline is not None or ip.baseline_year is not None):
+        keep = set(wanted) | ({ip.baseline_year} if ip.baseline is None else set())
+        messages = messages.where(reduce(lambda a, b: a | b, [year_range(y) for y in sorted(keep)]))
+    ind = calculate_indicators(calculate_durations(messages, d), ip)
+    return ind.where(F.col("year").isin(wanted))
 
 
 def trend_summary(messages: DataFrame, duration: DurationParams | None = None,
