@@ -218,14 +218,17 @@ def q_area_stats_table(spark: SparkSession, d: str) -> DataFrame:
 
 def q_ingest_region(spark: SparkSession, d: str) -> DataFrame:
     """E1 end to end: landed CSV -> clean region messages -> per-year table
-    -> per-year quality report (areas = even user codes)."""
+    -> per-year quality report.  The region: user areas whose customer lives
+    in a nation of the test counties; class from that nation."""
     from warnindex.plans.flows import ingest
 
     raw = _raw_events(spark, d)
     root = scratch_path(spark, "ingest")
     raw.drop("msg_id").write.options(**files.CSV_WRITE).csv(os.path.join(root, "landing"))
-    areas = (A.events_messages(spark, d).select("fwdCode").distinct()
-             .where(F.col("fwdCode").cast("bigint") % 2 == 0).withColumn("isTidal", F.lit(False)))
+    cust = A.table(spark, d, "customer").select(
+        F.col("c_custkey").cast("string").alias("fwdCode"), F.col("c_nationkey").cast("string").alias("nation"))
+    nations = A.region_areas(spark, d).select(F.col("fwdCode").alias("nation"), "isTidal")
+    areas = cust.join(nations, "nation", "inner").select("fwdCode", "isTidal")
     paths = [p for p in files.list_paths(spark, os.path.join(root, "landing")) if p.endswith(".csv")]
     _, rep = ingest(spark, paths, areas, os.path.join(root, "table"), fmt="csv")
     return rep

@@ -283,8 +283,11 @@ def _fmt1(x: str) -> str:
     return f"printf('%.1f', round_even(CAST({x} AS DOUBLE), 1))"
 
 
-def quality_sql(q: str, by_year: bool = False) -> tuple[str, str]:
-    """(issues, report) SQL for the quality checks, optionally per year."""
+def quality_sql(q: str, by_year: bool = False, has_changes: bool = True,
+                optional=("timeSeverityChanged", "timeMessageChanged", "isTidal")) -> tuple[str, str]:
+    """(issues, report) SQL for the quality checks, optionally per year.
+    ``has_changes``: the frame has timeSeverityChanged; ``optional``: the
+    optional columns it has."""
     y = "CAST(year(timeRaised) AS INTEGER)"
     gsel, gby, gcol, gjoin = ((f"{y} AS year, ", "GROUP BY 1", "year, ", "year")
                               if by_year else ("", "", "", None))
@@ -297,16 +300,22 @@ def quality_sql(q: str, by_year: bool = False) -> tuple[str, str]:
     cols = ("timeSeverityChanged", "timeMessageChanged", "isTidal")
     compl_rows = []
     for i, c in enumerate(cols):
+        if c not in optional:
+            continue
         pct = f"(nn{i}::DOUBLE / total::DOUBLE * 100.0::DOUBLE)"
         compl_rows.append(f"""SELECT {gcol}{9 + i} AS check_order, CASE WHEN {pct} < 50.0 THEN 'warning' ELSE 'info' END AS severity,
             'Field Completeness: {c}' AS category, 'Field is ' || {_fmt1(pct)} || '% complete' AS message,
             CAST(total - nn{i} AS BIGINT) AS count, false AS subtracts_valid FROM w WHERE total > 0""")
     g_year = f"{y} AS year, " if by_year else ""
-    wide = f"""w AS (SELECT {gsel}count(*) AS total, count(*) FILTER (WHERE timeRaised IS NULL) AS v2,
-          count(*) FILTER (WHERE timeSeverityChanged IS NULL) AS v3, count(*) FILTER (WHERE {invalid}) AS v4,
+    if has_changes:
+        change_aggs = f"""count(*) FILTER (WHERE timeSeverityChanged IS NULL) AS v3,
           count(*) FILTER (WHERE {long_cond}) AS v7, max(CASE WHEN {long_cond} THEN {days} END) AS v7max,
-          count(*) FILTER (WHERE {incons}) AS v8,
-          count(timeSeverityChanged) AS nn0, count(timeMessageChanged) AS nn1, count(isTidal) AS nn2 FROM ({q}) {gby}),
+          count(*) FILTER (WHERE {incons}) AS v8"""
+    else:
+        change_aggs = "0 AS v3, 0 AS v7, NULL AS v7max, 0 AS v8"
+    nn = ", ".join(f"count({c}) AS nn{i}" for i, c in enumerate(cols) if c in optional) or "0 AS nn_none"
+    wide = f"""w AS (SELECT {gsel}count(*) AS total, count(*) FILTER (WHERE timeRaised IS NULL) AS v2,
+          count(*) FILTER (WHERE {invalid}) AS v4, {change_aggs}, {nn} FROM ({q}) {gby}),
         g AS (SELECT {g_year}fwdCode, severityLevel, timeRaised, count(*) AS n FROM ({q}) GROUP BY ALL),
         dup AS (SELECT {gcol}count(*) AS groups, coalesce(sum(n), 0) - count(*) AS excess FROM g WHERE n > 1
                 {"GROUP BY year" if by_year else ""}),
@@ -325,7 +334,7 @@ def quality_sql(q: str, by_year: bool = False) -> tuple[str, str]:
         UNION ALL SELECT {gcol}7, 'warning', 'Unusually Long Warnings',
           'Warnings exceed maximum expected duration ({md} days). Longest: ' || {_fmt1('v7max')} || ' days', CAST(v7 AS BIGINT), false FROM w WHERE v7 > 0
         UNION ALL SELECT {gcol}8, 'error', 'Timestamp Inconsistency', 'Records have timeSeverityChanged before timeRaised', CAST(v8 AS BIGINT), true FROM w WHERE v8 > 0
-        UNION ALL {' UNION ALL '.join(compl_rows)})"""
+        {''.join(' UNION ALL ' + r for r in compl_rows)})"""
     if by_year:
         report = f"""WITH iss AS ({issues}), w2 AS (SELECT {y} AS year, count(*) AS total FROM ({q}) GROUP BY 1)
           SELECT w2.year, w2.total AS total_records,
@@ -427,22 +436,11 @@ def core_tallies() -> str:
 
 
 def ingest_region_sql() -> str:
-    msgs = f"""SELECT fwdCode, timeRaised, severity, severityLevel, false AS isTidal,
-        CAST(NULL AS TIMESTAMP) AS timeSeverityChanged FROM ({EVENTS}) WHERE CAST(fwdCode AS BIGINT) % 2 = 0"""
-    y = "CAST(year(timeRaised) AS INTEGER)"
-    return f"""WITH m AS ({msgs}),
-      w AS (SELECT {y} AS year, count(*) AS total, count(*) FILTER (WHERE NOT (severityLevel IN (1, 2, 3, 4))) AS v4
-            FROM m GROUP BY 1),
-      g AS (SELECT {y} AS year, fwdCode, severityLevel, timeRaised, count(*) AS n FROM m GROUP BY ALL),
-      dup AS (SELECT year, count(*) AS groups FROM g WHERE n > 1 GROUP BY year),
-      inc AS (SELECT year, count(*) AS areas FROM (
-          SELECT year, fwdCode, coalesce(bool_or(severityLevel = 4), false) AS has4 FROM g GROUP BY ALL)
-        WHERE NOT has4 GROUP BY year)
-      SELECT w.year, w.total AS total_records, w.total - w.v4 AS valid_records, w.v4 = 0 AS passed,
-        CAST(CASE WHEN w.v4 > 0 THEN 1 ELSE 0 END AS BIGINT) AS error_count,
-        CAST(CASE WHEN coalesce(dup.groups, 0) > 0 THEN 1 ELSE 0 END AS BIGINT) AS warning_count,
-        CAST(1 + CASE WHEN coalesce(inc.areas, 0) > 0 THEN 1 ELSE 0 END AS BIGINT) AS info_count
-      FROM w LEFT JOIN dup ON dup.year = w.year LEFT JOIN inc ON inc.year = w.year"""
+    msgs = f"""SELECT e.fwdCode, e.timeRaised, e.severity, e.severityLevel, a.isTidal
+      FROM ({EVENTS}) e JOIN (SELECT DISTINCT CAST(c.c_custkey AS VARCHAR) AS fwdCode, r.isTidal
+                              FROM customer c JOIN ({REGION_AREAS}) r ON CAST(c.c_nationkey AS VARCHAR) = r.fwdCode) a
+        ON e.fwdCode = a.fwdCode"""
+    return quality_sql(msgs, by_year=True, has_changes=False, optional=("isTidal",))[1]
 
 
 def file_oracles() -> dict[str, str]:
