@@ -159,3 +159,12 @@ def test_ods_cell_text_and_repeats():
         z.writestr("content.xml", xml)
     assert list(iter_sheet_rows(b.getvalue())) == [["A  BC\tD", "3", "3"], ["2024-01-01T05:00:00"],
                                                    ["2024-01-01T05:00:00"]]
+
+
+def test_load_archives(spark, tmp_path):
+    for k in range(3):
+        (tmp_path / f"a{k}.zip").write_bytes(encode_zip({f"d/w{k}.csv": f"CODE,DATE,TYPE\nC{k},2024-01-0{k + 1}T00:00:00Z,Flood Alert\n"}))
+    df = files.load_archives(spark, [str(tmp_path / f"a{k}.zip") for k in range(3)])
+    got = sorted((r.fwdCode, r.timeRaised.day, r.severityLevel) for r in df.collect())
+    assert got == [("C0", 1, 3), ("C1", 2, 3), ("C2", 3, 3)]
+    assert "timeSeverityChanged" not in df.columns

@@ -87,9 +87,10 @@ def q_ods_scan(spark: SparkSession, d: str) -> DataFrame:
     """S3: spreadsheets (one per batch of rows, built in tasks) -> messages."""
     from warnindex.sources.ods import decode_ods
 
-    raw = _raw_events(spark, d).withColumn("DATE", F.regexp_replace("DATE", "Z$", ""))
+    n = max(1, spark.sparkContext.defaultParallelism)
+    raw = _raw_events(spark, d).withColumn("DATE", F.regexp_replace("DATE", "Z$", "")).repartition(n)
     ods = raw.mapInPandas(_encode_ods_batches, "path string, content binary")
-    return _clean(decode_ods(ods))
+    return _clean(decode_ods(files.spread_files(ods, n)))
 
 
 def _encode_zip_batches(it):
@@ -112,7 +113,9 @@ def q_archive_scan(spark: SparkSession, d: str) -> DataFrame:
     """ZIP archives (built in tasks) -> members -> CSV rows -> messages."""
     from warnindex.sources.archive import archive_members, csv_members_to_raw
 
-    zips = _raw_events(spark, d).mapInPandas(_encode_zip_batches, "path string, content binary")
+    n = max(1, spark.sparkContext.defaultParallelism)
+    zips = _raw_events(spark, d).repartition(n).mapInPandas(_encode_zip_batches, "path string, content binary")
+    zips = files.spread_files(zips, n)
     return _clean(csv_members_to_raw(archive_members(zips)))
 
 
