@@ -223,10 +223,20 @@ def _issues(df: DataFrame, max_days: int, by_year: bool = False) -> DataFrame:
     has_keys = _has(df, *DUP_KEYS)
     if has_keys:
         lvl = F.col("severityLevel")
-        g = df.groupBy(*grp, *DUP_KEYS).agg(F.count(F.lit(1)).alias("n"), *row_level)
+        # V2 and V4 depend on key columns only: counted from the key groups
+        # instead of being carried through the key shuffle.
+        on_keys = [k for k in ("v2", "v4") if k in counters]
+        carried = {k: c for k, c in counters.items() if k not in on_keys}
+        g = df.groupBy(*grp, *DUP_KEYS).agg(
+            F.count(F.lit(1)).alias("n"),
+            *[F.sum(F.when(c, 1).otherwise(0)).alias(k) for k, c in carried.items()],
+            *[F.max(e).alias(k) for k, e in maxima.items()],
+        )
         a = g.groupBy(*grp, "fwdCode").agg(
             F.sum("n").alias("n"),
-            *roll(F.col, F.col),
+            *[F.sum(F.when(counters[k], F.col("n")).otherwise(0)).alias(k) for k in on_keys],
+            *[F.sum(k).alias(k) for k in carried],
+            *[F.max(k).alias(k) for k in maxima],
             F.coalesce(F.bool_or(lvl == F.lit(4)), F.lit(False)).alias("has4"),
             F.count_if(F.col("n") > 1).alias("dup_groups"),
             F.sum(F.when(F.col("n") > 1, F.col("n") - 1)).alias("dup_excess"),
