@@ -32,21 +32,21 @@ ROWS = [
 def test_self_baseline_gives_100(msgs):
     ind = {r.year: r for r in calculate_indicators(scored(msgs, ROWS), IndexParams(baseline_year=2020)).collect()}
     r = ind[2020]
-    assert (r.fluvial_index, r.coastal_index, r.composite_fwii) == (100.0, 100.0, 100.0)
+    assert (r.fluvial_index, r.coastal_index, r.composite_index) == (100.0, 100.0, 100.0)
     assert ind[2021].fluvial_index == 200.0 and ind[2021].coastal_index == 75.0
-    assert ind[2021].composite_fwii == pytest.approx(0.55 * 200 + 0.45 * 75)
+    assert ind[2021].composite_index == pytest.approx(0.55 * 200 + 0.45 * 75)
 
 
 def test_first_year_is_baseline_when_unset(msgs):
     ind = {r.year: r for r in calculate_indicators(scored(msgs, ROWS), IndexParams()).collect()}
-    assert ind[2020].composite_fwii == 100.0
+    assert ind[2020].composite_index == 100.0
 
 
 def test_fixed_baseline(msgs):
     b = Baseline(year=2020, fluvial_score=24.0, coastal_score=96.0, total_score=120.0)
     ind = {r.year: r for r in calculate_indicators(scored(msgs, ROWS), IndexParams(baseline=b)).collect()}
     assert ind[2020].fluvial_index == 200.0 and ind[2020].coastal_index == 50.0
-    assert ind[2020].composite_fwii == pytest.approx(0.55 * 200 + 0.45 * 50)
+    assert ind[2020].composite_index == pytest.approx(0.55 * 200 + 0.45 * 50)
 
 
 def test_zero_fluvial_baseline_gives_zero(msgs):
@@ -73,7 +73,7 @@ def test_baseline_change_labels(msgs):
 
 def summary_frame(spark, rows):
     return spark.createDataFrame(rows, "year int, total_warnings bigint, fluvial_warnings bigint, coastal_warnings bigint, "
-                                       "fluvial_index double, coastal_index double, composite_fwii double")
+                                       "fluvial_index double, coastal_index double, composite_index double")
 
 
 def test_trend_tables(spark):
@@ -104,7 +104,7 @@ def test_extreme_ties_take_earlier_year_and_zero_pct_is_null(spark):
 def test_yearly_summary_rounds_half_even(spark):
     ind = spark.createDataFrame([(2020, 10, 4, 6, 0.25, 2.35, 100.05)],
                                 "year int, total_events bigint, fluvial_events bigint, coastal_events bigint, "
-                                "fluvial_index double, coastal_index double, composite_fwii double")
+                                "fluvial_index double, coastal_index double, composite_index double")
     r = yearly_summary(ind).collect()[0]
     assert (r.fluvial_index, r.total_warnings) == (0.2, 10)
 

@@ -29,7 +29,7 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     rows = df.collect()
     assert len(rows) > 0
-    assert {"year", "fluvial_index", "coastal_index", "composite_fwii"} <= set(df.columns)
+    assert {"year", "fluvial_index", "coastal_index", "composite_index"} <= set(df.columns)
 
 
 @pytest.fixture(scope="module")

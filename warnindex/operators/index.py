@@ -66,7 +66,7 @@ def indicators_from_annual(annual: DataFrame, params: IndexParams | None = None)
         "flood_alerts",
     )
     return out.withColumn(
-        "composite_fwii",
+        "composite_index",
         F.col("fluvial_index") * F.lit(p.fluvial_weight) + F.col("coastal_index") * F.lit(p.coastal_weight),
     )
 
@@ -100,10 +100,10 @@ def baseline_change(ind: DataFrame) -> DataFrame:
     ``composite_pct`` is the distance from 100 in points (the original's
     "% higher/lower"); an index of exactly 100 is labelled "same".
     """
-    c = F.col("composite_fwii")
+    c = F.col("composite_index")
     return ind.select(
         "year",
-        "composite_fwii",
+        "composite_index",
         _change_label(c, "higher", "lower").alias("composite_vs_baseline"),
         F.abs(c - F.lit(100.0)).alias("composite_pct"),
         _change_label(F.col("fluvial_index"), "increase", "decrease").alias("fluvial_change"),
@@ -124,12 +124,12 @@ def yearly_summary(ind: DataFrame, first_year: int | None = None) -> DataFrame:
         F.col("coastal_events").alias("coastal_warnings"),
         F.bround("fluvial_index", 1).alias("fluvial_index"),
         F.bround("coastal_index", 1).alias("coastal_index"),
-        F.bround("composite_fwii", 1).alias("composite_fwii"),
+        F.bround("composite_index", 1).alias("composite_index"),
     )
 
 
 def index_listing(ind: DataFrame, years) -> DataFrame:
     """I8: one line per requested year."""
     return ind.where(F.col("year").isin(list(years))).select(
-        "year", "composite_fwii", "fluvial_index", "coastal_index"
+        "year", "composite_index", "fluvial_index", "coastal_index"
     )

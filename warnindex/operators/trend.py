@@ -24,17 +24,17 @@ def year_on_year(summary: DataFrame) -> DataFrame:
     d = summary.select(
         "year",
         F.lag("year").over(w).alias("prev_year"),
-        "composite_fwii",
-        F.lag("composite_fwii").over(w).alias("prev_composite_fwii"),
+        "composite_index",
+        F.lag("composite_index").over(w).alias("prev_composite_index"),
     ).where(F.col("prev_year").isNotNull())
-    change = F.col("composite_fwii") - F.col("prev_composite_fwii")
+    change = F.col("composite_index") - F.col("prev_composite_index")
     return d.select(
         "prev_year",
         "year",
-        "prev_composite_fwii",
-        "composite_fwii",
+        "prev_composite_index",
+        "composite_index",
         change.alias("change_pts"),
-        _pct(F.col("composite_fwii"), F.col("prev_composite_fwii")).alias("change_pct"),
+        _pct(F.col("composite_index"), F.col("prev_composite_index")).alias("change_pct"),
         arrow(change).alias("direction"),
     )
 
@@ -46,8 +46,8 @@ def endpoint_change(summary: DataFrame) -> DataFrame:
     Components get points and a true percentage (N24).
     """
     y = F.col("year")
-    first = {c: F.min_by(c, y) for c in ("composite_fwii", "fluvial_index", "coastal_index")}
-    last = {c: F.max_by(c, y) for c in ("composite_fwii", "fluvial_index", "coastal_index")}
+    first = {c: F.min_by(c, y) for c in ("composite_index", "fluvial_index", "coastal_index")}
+    last = {c: F.max_by(c, y) for c in ("composite_index", "fluvial_index", "coastal_index")}
     d = summary.agg(
         F.min(y).alias("first_year"),
         F.max(y).alias("last_year"),
@@ -55,7 +55,7 @@ def endpoint_change(summary: DataFrame) -> DataFrame:
         *[last[c].alias(f"last_{c}") for c in last],
     )
     cols = ["first_year", "last_year"]
-    for c, name in (("composite_fwii", "composite"), ("fluvial_index", "fluvial"), ("coastal_index", "coastal")):
+    for c, name in (("composite_index", "composite"), ("fluvial_index", "fluvial"), ("coastal_index", "coastal")):
         a, b = F.col(f"first_{c}"), F.col(f"last_{c}")
         d = d.withColumn(f"{name}_change_pts", b - a).withColumn(f"{name}_change_pct", _pct(b, a))
         cols += [f"first_{c}", f"last_{c}", f"{name}_change_pts", f"{name}_change_pct"]
@@ -65,12 +65,12 @@ def endpoint_change(summary: DataFrame) -> DataFrame:
 
 def extreme_years(summary: DataFrame) -> DataFrame:
     """Lowest and highest composite year; the earlier year wins ties."""
-    c, y = F.col("composite_fwii"), F.col("year")
+    c, y = F.col("composite_index"), F.col("year")
     return summary.agg(
         F.min_by(y, F.struct(c, y)).alias("lowest_year"),
-        F.min(c).alias("lowest_fwii"),
+        F.min(c).alias("lowest_composite"),
         F.max_by(y, F.struct(c, -y)).alias("highest_year"),
-        F.max(c).alias("highest_fwii"),
+        F.max(c).alias("highest_composite"),
     )
 
 

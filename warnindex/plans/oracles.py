@@ -154,7 +154,7 @@ def indicators(annual: str, baseline_year: int | None) -> str:
             else f"SELECT * FROM ({annual}) ORDER BY year LIMIT 1")
     fi = f"CASE WHEN b.fluvial_score > 0.0 THEN a.fluvial_score / b.fluvial_score * 100.0::DOUBLE ELSE 0.0::DOUBLE END"
     ci = f"CASE WHEN b.coastal_score > 0.0 THEN a.coastal_score / b.coastal_score * 100.0::DOUBLE ELSE 0.0::DOUBLE END"
-    return f"""SELECT *, fluvial_index * {FLUVIAL_WEIGHT}::DOUBLE + coastal_index * {COASTAL_WEIGHT}::DOUBLE AS composite_fwii FROM (
+    return f"""SELECT *, fluvial_index * {FLUVIAL_WEIGHT}::DOUBLE + coastal_index * {COASTAL_WEIGHT}::DOUBLE AS composite_index FROM (
   SELECT a.year, a.fluvial_score AS fluvial_score_raw, a.coastal_score AS coastal_score_raw,
     a.total_score AS total_score_raw, {fi} AS fluvial_index, {ci} AS coastal_index,
     a.fluvial_hours, a.coastal_hours, a.fluvial_events, a.coastal_events, a.total_events,
@@ -167,7 +167,7 @@ ORDERS_ANNUAL = annual_by_class(ORDERS_SCORED)
 ORDERS_IND = indicators(ORDERS_ANNUAL, ORDERS_BASELINE_YEAR)
 ORDERS_SUMMARY = f"""SELECT year, total_events AS total_warnings, fluvial_events AS fluvial_warnings,
     coastal_events AS coastal_warnings, round_even(fluvial_index, 1) AS fluvial_index,
-    round_even(coastal_index, 1) AS coastal_index, round_even(composite_fwii, 1) AS composite_fwii
+    round_even(coastal_index, 1) AS coastal_index, round_even(composite_index, 1) AS composite_index
   FROM ({ORDERS_IND})"""
 EVENTS_SCORED = scored(EVENTS, "all")
 
@@ -207,7 +207,7 @@ S = ORDERS_SUMMARY
 def core_oracles() -> dict[str, str]:
     ev_sc = EVENTS_SCORED
     endpoint_cols = []
-    for c, name in (("composite_fwii", "composite"), ("fluvial_index", "fluvial"), ("coastal_index", "coastal")):
+    for c, name in (("composite_index", "composite"), ("fluvial_index", "fluvial"), ("coastal_index", "coastal")):
         a, b = f"first_{c}", f"last_{c}"
         endpoint_cols += [a, b, f"{b} - {a} AS {name}_change_pts", f"{_pct(b, a)} AS {name}_change_pct"]
     return {
@@ -237,34 +237,34 @@ def core_oracles() -> dict[str, str]:
             total_score_raw AS total_score, fluvial_hours, coastal_hours, fluvial_events, coastal_events
             FROM ({ORDERS_IND}) WHERE year = {ORDERS_BASELINE_YEAR}""",
         "annual_index": ORDERS_IND,
-        "baseline_change": f"""SELECT year, composite_fwii, {_label('composite_fwii', 'higher', 'lower')} AS composite_vs_baseline,
-            abs(composite_fwii - 100.0::DOUBLE) AS composite_pct,
+        "baseline_change": f"""SELECT year, composite_index, {_label('composite_index', 'higher', 'lower')} AS composite_vs_baseline,
+            abs(composite_index - 100.0::DOUBLE) AS composite_pct,
             {_label('fluvial_index', 'increase', 'decrease')} AS fluvial_change, abs(fluvial_index - 100.0::DOUBLE) AS fluvial_pct,
             {_label('coastal_index', 'increase', 'decrease')} AS coastal_change, abs(coastal_index - 100.0::DOUBLE) AS coastal_pct
             FROM ({ORDERS_IND})""",
         "yearly_summary": S,
-        "index_listing": f"""SELECT year, composite_fwii, fluvial_index, coastal_index FROM ({ORDERS_IND})
+        "index_listing": f"""SELECT year, composite_index, fluvial_index, coastal_index FROM ({ORDERS_IND})
             WHERE year IN (1996, 1998, 2000)""",
-        "year_on_year": f"""SELECT prev_year, year, prev_composite_fwii, composite_fwii,
-            composite_fwii - prev_composite_fwii AS change_pts,
-            {_pct('composite_fwii', 'prev_composite_fwii')} AS change_pct,
-            {_arrow('composite_fwii - prev_composite_fwii')} AS direction
-            FROM (SELECT year, lag(year) OVER (ORDER BY year) AS prev_year, composite_fwii,
-                  lag(composite_fwii) OVER (ORDER BY year) AS prev_composite_fwii FROM ({S}))
+        "year_on_year": f"""SELECT prev_year, year, prev_composite_index, composite_index,
+            composite_index - prev_composite_index AS change_pts,
+            {_pct('composite_index', 'prev_composite_index')} AS change_pct,
+            {_arrow('composite_index - prev_composite_index')} AS direction
+            FROM (SELECT year, lag(year) OVER (ORDER BY year) AS prev_year, composite_index,
+                  lag(composite_index) OVER (ORDER BY year) AS prev_composite_index FROM ({S}))
             WHERE prev_year IS NOT NULL""",
         "endpoint_change": f"""SELECT first_year, last_year, {', '.join(endpoint_cols)},
-            {_arrow('last_composite_fwii - first_composite_fwii')} AS direction FROM (
+            {_arrow('last_composite_index - first_composite_index')} AS direction FROM (
               SELECT min(year) AS first_year, max(year) AS last_year,
-                arg_min(composite_fwii, year) AS first_composite_fwii, arg_min(fluvial_index, year) AS first_fluvial_index,
+                arg_min(composite_index, year) AS first_composite_index, arg_min(fluvial_index, year) AS first_fluvial_index,
                 arg_min(coastal_index, year) AS first_coastal_index,
-                arg_max(composite_fwii, year) AS last_composite_fwii, arg_max(fluvial_index, year) AS last_fluvial_index,
+                arg_max(composite_index, year) AS last_composite_index, arg_max(fluvial_index, year) AS last_fluvial_index,
                 arg_max(coastal_index, year) AS last_coastal_index
               FROM ({S}))""",
         "extreme_years": f"""SELECT
-              (SELECT year FROM ({S}) ORDER BY composite_fwii, year LIMIT 1) AS lowest_year,
-              (SELECT min(composite_fwii) FROM ({S})) AS lowest_fwii,
-              (SELECT year FROM ({S}) ORDER BY composite_fwii DESC, year LIMIT 1) AS highest_year,
-              (SELECT max(composite_fwii) FROM ({S})) AS highest_fwii""",
+              (SELECT year FROM ({S}) ORDER BY composite_index, year LIMIT 1) AS lowest_year,
+              (SELECT min(composite_index) FROM ({S})) AS lowest_composite,
+              (SELECT year FROM ({S}) ORDER BY composite_index DESC, year LIMIT 1) AS highest_year,
+              (SELECT max(composite_index) FROM ({S})) AS highest_composite""",
         "trend_totals": f"""SELECT min(year) AS first_year, max(year) AS last_year, count(*) AS n_years,
             CAST(sum(total_warnings) AS BIGINT) AS total_warnings, avg(total_warnings) AS avg_warnings_per_year FROM ({S})""",
         "trend_bars": f"""SELECT year, fluvial_index, repeat('#', CAST(greatest(trunc(fluvial_index / 5.0::DOUBLE), 0) AS INTEGER)) AS fluvial_bar,

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 TREND_SCHEMA = ("year int, total_warnings bigint, fluvial_warnings bigint, coastal_warnings bigint, "
-                "fluvial_index double, coastal_index double, composite_fwii double")
+                "fluvial_index double, coastal_index double, composite_index double")
 
 
 def write_trend_csv(summary: DataFrame, path: str) -> None:
