@@ -61,6 +61,11 @@ MSG_INCONSISTENT = "Records have timeSeverityChanged before timeRaised"
 CAT_COMPLETENESS = "Field Completeness: {}"
 CAT_MISSING_AREAS = "Missing Warning Areas"
 CAT_UNEXPECTED_AREAS = "Unexpected Warning Areas"
+MSG_REQUIRED = "Required fields are missing: "
+MSG_LONG = "Warnings exceed maximum expected duration ({days} days). Longest: {longest} days"
+MSG_COMPLETENESS = "Field is {}% complete"
+MSG_MISSING_AREAS = "{} expected areas have no data"
+MSG_UNEXPECTED_AREAS = "{} areas not in expected set"
 
 
 def _has(df: DataFrame, *cols) -> bool:
@@ -257,7 +262,7 @@ def _issues(df: DataFrame, max_days: int, by_year: bool = False) -> DataFrame:
     total = F.col("total")
     rows: list[tuple[Column, Column]] = []  # (issue struct, emit condition)
     if miss:
-        rows.append((_issue(1, "error", CAT_REQUIRED, "Required fields are missing: " + ", ".join(sorted(miss)),
+        rows.append((_issue(1, "error", CAT_REQUIRED, MSG_REQUIRED + ", ".join(sorted(miss)),
                             total, False), F.lit(True)))
     if "v2" in counters:
         rows.append((_issue(2, "error", CAT_NULL_RAISED, MSG_NULL_RAISED, F.col("v2"), True), F.col("v2") > 0))
@@ -271,17 +276,15 @@ def _issues(df: DataFrame, max_days: int, by_year: bool = False) -> DataFrame:
         rows.append((_issue(6, "info", CAT_INCOMPLETE, MSG_INCOMPLETE, F.col("inc_records"), False),
                      F.col("inc_areas") > 0))
     if "v7" in counters:
-        msg7 = F.concat(
-            F.lit(f"Warnings exceed maximum expected duration ({max_days} days). Longest: "),
-            _fmt1(F.col("v7max")),
-            F.lit(" days"),
-        )
+        head, tail = MSG_LONG.format(days=max_days, longest="{}").split("{}")
+        msg7 = F.concat(F.lit(head), _fmt1(F.col("v7max")), F.lit(tail))
         rows.append((_issue(7, "warning", CAT_LONG, msg7, F.col("v7"), False), F.col("v7") > 0))
         rows.append((_issue(8, "error", CAT_INCONSISTENT, MSG_INCONSISTENT, F.col("v8"), True), F.col("v8") > 0))
     for i, c in opt:
         pct = F.try_divide(F.col(f"nn{i}").cast("double"), total.cast("double")) * F.lit(100.0)
         sev = F.when(pct < F.lit(COMPLETENESS_WARN_PCT), "warning").otherwise("info")
-        msg = F.concat(F.lit("Field is "), _fmt1(pct), F.lit("% complete"))
+        head, tail = MSG_COMPLETENESS.split("{}")
+        msg = F.concat(F.lit(head), _fmt1(pct), F.lit(tail))
         # emitted for every optional column present, when there are rows
         rows.append((_issue(9 + i, sev, CAT_COMPLETENESS.format(c), msg, total - F.col(f"nn{i}"), False),
                      total > 0))
@@ -362,13 +365,13 @@ def area_coverage(df: DataFrame, expected_areas: DataFrame, k: int = COVERAGE_EX
                 F.struct(
                     F.lit("warning").alias("severity"),
                     F.lit(CAT_MISSING_AREAS).alias("category"),
-                    F.concat(F.col("missing_areas").cast("string"), F.lit(" expected areas have no data")).alias("message"),
+                    F.concat(F.col("missing_areas").cast("string"), F.lit(MSG_MISSING_AREAS.split("{}")[1])).alias("message"),
                     F.col("missing_areas").cast("bigint").alias("count"),
                 ),
                 F.struct(
                     F.lit("warning").alias("severity"),
                     F.lit(CAT_UNEXPECTED_AREAS).alias("category"),
-                    F.concat(F.col("unexpected_areas").cast("string"), F.lit(" areas not in expected set")).alias("message"),
+                    F.concat(F.col("unexpected_areas").cast("string"), F.lit(MSG_UNEXPECTED_AREAS.split("{}")[1])).alias("message"),
                     F.col("unexpected_records").cast("bigint").alias("count"),
                 ),
             )

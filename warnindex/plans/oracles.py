@@ -9,7 +9,9 @@ the year is cast to INTEGER like Spark's ``year()``.
 
 from __future__ import annotations
 
+from warnindex.operators import quality as Q
 from warnindex.params import (
+    SEVERITY_LEVELS,
     COASTAL_KEYWORDS,
     FLUVIAL_WEIGHT,
     COASTAL_WEIGHT,
@@ -30,13 +32,10 @@ def _contains_any(col: str, words) -> str:
     return "(" + " OR ".join(f"contains(coalesce({col}, ''), {_q(w)})" for w in words) + ")"
 
 
-LEVEL_SQL = """CASE lower(regexp_replace(regexp_replace({c}, '^\\s+|\\s+$', '', 'g'), '^update\\s+', '', 'i'))
-    WHEN 'severe flood warning' THEN 1 WHEN 'flood warning' THEN 2 WHEN 'flood alert' THEN 3
-    WHEN 'flood watch' THEN 3 WHEN 'warning no longer in force' THEN 4 END"""
-
-
 def level(c: str = "severity") -> str:
-    return "CAST(" + LEVEL_SQL.format(c=c) + " AS INTEGER)"
+    whens = " ".join(f"WHEN {_q(k)} THEN {v}" for k, v in SEVERITY_LEVELS.items())
+    norm = f"lower(regexp_replace(regexp_replace({c}, '^\\s+|\\s+$', '', 'g'), '^update\\s+', '', 'i'))"
+    return f"CAST(CASE {norm} {whens} END AS INTEGER)"
 
 
 def is_update(c: str = "severity") -> str:
@@ -294,6 +293,7 @@ def quality_sql(q: str, by_year: bool = False, has_changes: bool = True,
     both = "timeRaised IS NOT NULL AND timeSeverityChanged IS NOT NULL"
     days = "((epoch_us(timeSeverityChanged) - epoch_us(timeRaised)) // 86400000000)"
     md = MAX_WARNING_DURATION_DAYS
+    long_head, long_tail = Q.MSG_LONG.format(days=md, longest="{}").split("{}")
     long_cond = f"{both} AND {days} > {md}"
     incons = f"{both} AND timeSeverityChanged < timeRaised"
     invalid = "NOT (severityLevel IN (1, 2, 3, 4))"
@@ -304,7 +304,7 @@ def quality_sql(q: str, by_year: bool = False, has_changes: bool = True,
             continue
         pct = f"(nn{i}::DOUBLE / total::DOUBLE * 100.0::DOUBLE)"
         compl_rows.append(f"""SELECT {gcol}{9 + i} AS check_order, CASE WHEN {pct} < 50.0 THEN 'warning' ELSE 'info' END AS severity,
-            'Field Completeness: {c}' AS category, 'Field is ' || {_fmt1(pct)} || '% complete' AS message,
+            {_q(Q.CAT_COMPLETENESS.format(c))} AS category, {_q(Q.MSG_COMPLETENESS.split('{}')[0])} || {_fmt1(pct)} || {_q(Q.MSG_COMPLETENESS.split('{}')[1])} AS message,
             CAST(total - nn{i} AS BIGINT) AS count, false AS subtracts_valid FROM w WHERE total > 0""")
     g_year = f"{y} AS year, " if by_year else ""
     if has_changes:
@@ -324,16 +324,16 @@ def quality_sql(q: str, by_year: bool = False, has_changes: bool = True,
           WHERE NOT has4 {"GROUP BY year" if by_year else ""})"""
     issues = f"""WITH {wide}
       SELECT * FROM (
-        SELECT {gcol}2 AS check_order, 'error' AS severity, 'Missing timeRaised' AS category,
-          'Records have missing or invalid timeRaised timestamps' AS message, CAST(v2 AS BIGINT) AS count, true AS subtracts_valid FROM w WHERE v2 > 0
-        UNION ALL SELECT {gcol}3, 'warning', 'Missing timeSeverityChanged', 'Records have missing timeSeverityChanged timestamps', CAST(v3 AS BIGINT), false FROM w WHERE v3 > 0
-        UNION ALL SELECT {gcol}4, 'error', 'Invalid Severity Levels', 'Severity levels outside range {{1, 2, 3, 4}}', CAST(v4 AS BIGINT), true FROM w WHERE v4 > 0
-        UNION ALL SELECT {gcol}5, 'warning', 'Duplicate Records', 'Duplicate records found with identical key fields', CAST(excess AS BIGINT), false FROM dup WHERE groups > 0
-        UNION ALL SELECT {gcol}6, 'info', 'Incomplete Warning Lifecycles',
-          'Warning areas have no severity level 4 records (may indicate ongoing warnings or data truncation)', CAST(records AS BIGINT), false FROM inc WHERE areas > 0
-        UNION ALL SELECT {gcol}7, 'warning', 'Unusually Long Warnings',
-          'Warnings exceed maximum expected duration ({md} days). Longest: ' || {_fmt1('v7max')} || ' days', CAST(v7 AS BIGINT), false FROM w WHERE v7 > 0
-        UNION ALL SELECT {gcol}8, 'error', 'Timestamp Inconsistency', 'Records have timeSeverityChanged before timeRaised', CAST(v8 AS BIGINT), true FROM w WHERE v8 > 0
+        SELECT {gcol}2 AS check_order, 'error' AS severity, {_q(Q.CAT_NULL_RAISED)} AS category,
+          {_q(Q.MSG_NULL_RAISED)} AS message, CAST(v2 AS BIGINT) AS count, true AS subtracts_valid FROM w WHERE v2 > 0
+        UNION ALL SELECT {gcol}3, 'warning', {_q(Q.CAT_NULL_CHANGED)}, {_q(Q.MSG_NULL_CHANGED)}, CAST(v3 AS BIGINT), false FROM w WHERE v3 > 0
+        UNION ALL SELECT {gcol}4, 'error', {_q(Q.CAT_INVALID_LEVEL)}, {_q(Q.MSG_INVALID_LEVEL)}, CAST(v4 AS BIGINT), true FROM w WHERE v4 > 0
+        UNION ALL SELECT {gcol}5, 'warning', {_q(Q.CAT_DUPLICATES)}, {_q(Q.MSG_DUPLICATES)}, CAST(excess AS BIGINT), false FROM dup WHERE groups > 0
+        UNION ALL SELECT {gcol}6, 'info', {_q(Q.CAT_INCOMPLETE)},
+          {_q(Q.MSG_INCOMPLETE)}, CAST(records AS BIGINT), false FROM inc WHERE areas > 0
+        UNION ALL SELECT {gcol}7, 'warning', {_q(Q.CAT_LONG)},
+          {_q(long_head)} || {_fmt1('v7max')} || {_q(long_tail)}, CAST(v7 AS BIGINT), false FROM w WHERE v7 > 0
+        UNION ALL SELECT {gcol}8, 'error', {_q(Q.CAT_INCONSISTENT)}, {_q(Q.MSG_INCONSISTENT)}, CAST(v8 AS BIGINT), true FROM w WHERE v8 > 0
         {''.join(' UNION ALL ' + r for r in compl_rows)})"""
     if by_year:
         report = f"""WITH iss AS ({issues}), w2 AS (SELECT {y} AS year, count(*) AS total FROM ({q}) GROUP BY 1)
@@ -376,9 +376,10 @@ def quality_oracles() -> dict[str, str]:
         j AS (SELECT a.n, e.fwdCode AS efc, a.fwdCode AS afc FROM a FULL OUTER JOIN e ON a.fwdCode = e.fwdCode),
         s AS (SELECT count(*) FILTER (WHERE n IS NULL) AS missing_areas, count(*) FILTER (WHERE efc IS NULL) AS unexpected_areas,
                 coalesce(sum(CASE WHEN efc IS NULL THEN n END), 0) AS unexpected_records FROM j)
-      SELECT 'warning' AS severity, 'Missing Warning Areas' AS category, CAST(missing_areas AS VARCHAR) || ' expected areas have no data' AS message,
+      SELECT 'warning' AS severity, {_q(Q.CAT_MISSING_AREAS)} AS category,
+        CAST(missing_areas AS VARCHAR) || {_q(Q.MSG_MISSING_AREAS.split("{}")[1])} AS message,
         CAST(missing_areas AS BIGINT) AS count FROM s WHERE missing_areas > 0
-      UNION ALL SELECT 'warning', 'Unexpected Warning Areas', CAST(unexpected_areas AS VARCHAR) || ' areas not in expected set',
+      UNION ALL SELECT 'warning', {_q(Q.CAT_UNEXPECTED_AREAS)}, CAST(unexpected_areas AS VARCHAR) || {_q(Q.MSG_UNEXPECTED_AREAS.split("{}")[1])},
         CAST(unexpected_records AS BIGINT) FROM s WHERE unexpected_areas > 0"""
     tallies = " UNION ALL ".join(
         f"SELECT {_q(c)} AS county, count(*) FILTER (WHERE contains(coalesce(county, ''), {_q(c)})) AS area_count FROM ({SUPPLIER_AREAS})"
@@ -406,8 +407,8 @@ def quality_oracles() -> dict[str, str]:
         "quality_report": report,
         "area_coverage": coverage,
         "coverage_examples": f"""WITH a AS (SELECT DISTINCT fwdCode FROM ({LINEITEM_MSGS})), e AS ({expected}),
-            j AS (SELECT CASE WHEN a.fwdCode IS NULL THEN 'Missing Warning Areas'
-                              WHEN e.fwdCode IS NULL THEN 'Unexpected Warning Areas' END AS category,
+            j AS (SELECT CASE WHEN a.fwdCode IS NULL THEN {_q(Q.CAT_MISSING_AREAS)}
+                              WHEN e.fwdCode IS NULL THEN {_q(Q.CAT_UNEXPECTED_AREAS)} END AS category,
                          coalesce(a.fwdCode, e.fwdCode) AS fwdCode
                   FROM a FULL OUTER JOIN e ON a.fwdCode = e.fwdCode)
             SELECT category, list_sort(list_filter(list(fwdCode ORDER BY fwdCode NULLS FIRST)[1:{COVERAGE_EXAMPLES}],
