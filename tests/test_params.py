@@ -32,6 +32,14 @@ def test_fractional_weight_rejected_and_scope_checked():
         DurationParams(default_hours={1: 1.0000001})
 
 
+def test_suggested_partitioning():
+    from warnindex.session import MiB, suggested_conf
+
+    c = suggested_conf(10 * (1 << 40), 8000)          # 10 TiB widest shuffle, 8000 cores
+    assert c["spark.sql.shuffle.partitions"] == str(10 * (1 << 40) // (128 * MiB))
+    assert suggested_conf(1 << 20, 8)["spark.sql.shuffle.partitions"] == "16"
+
+
 def test_published_baseline_consistent():
     b = PUBLISHED_BASELINE
     assert b.year == 2020

@@ -36,6 +36,26 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     return spark
 
 
+MiB = 1 << 20
+
+
+def suggested_conf(shuffle_bytes: int, cores: int, target_bytes: int = 128 * MiB) -> dict:
+    """Partition sizing for a cluster run: enough initial shuffle partitions
+    that each holds about ``target_bytes`` (AQE then coalesces small ones),
+    never fewer than two per core, and scan splits of the same size.
+
+    ``shuffle_bytes`` is the volume of the widest shuffle -- for the flagship,
+    the projected message rows (area, time, text, level, id: ~60 B/row).
+    """
+    parts = max(2 * cores, -(-int(shuffle_bytes) // int(target_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(int(target_bytes)),
+        "spark.sql.files.maxPartitionBytes": str(int(target_bytes)),
+    }
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings the library relies on to an existing session."""
     for k, v in REQUIRED_CONF.items():
