@@ -118,3 +118,19 @@ def test_year_selection_before_the_window_is_exact(spark):
         full = {r.year: tuple(r) for r in annual_index(msgs, p, ip).collect()}
         some = {r.year: tuple(r) for r in annual_index(msgs, p, ip, years=[1997, 2000]).collect()}
         assert some == {y: full[y] for y in (1997, 2000)}
+
+
+def test_calculate_year_and_trend_report(spark, tmp_path):
+    from warnindex.plans.flows import calculate_year, orders_region_messages, trend_report, trend_summary
+    from warnindex.sources.files import read_baseline
+
+    msgs = orders_region_messages(spark, "/root/testdata/sf0.001")
+    ip = IndexParams(baseline_year=1995)
+    r = calculate_year(msgs, 1995, DurationParams(), ip, save_baseline_to=str(tmp_path / "b")).collect()
+    assert len(r) == 1 and r[0].composite_index == 100.0
+    assert read_baseline(spark, str(tmp_path / "b")).collect()[0].year == 1995
+    calculate_year(msgs, 1996, DurationParams(), ip, save_baseline_to=str(tmp_path / "c")).collect()
+    assert read_baseline(spark, str(tmp_path / "c")) is None          # only the baseline year is saved
+    rep = trend_report(trend_summary(msgs, DurationParams(), ip))
+    assert set(rep) == {"summary", "year_on_year", "endpoint_change", "extreme_years", "totals", "bars"}
+    assert rep["totals"].collect()[0].n_years == rep["summary"].count()

@@ -102,3 +102,36 @@ def orders_annual_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def orders_yearly_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return yearly_summary(orders_annual_index(spark, sf_dir))
+
+
+def calculate_year(messages: DataFrame, year: int, duration: DurationParams | None = None,
+                   index: IndexParams | None = None, save_baseline_to: str | None = None) -> DataFrame:
+    """E2 for one year (the single-year command): that year's indicator row.
+
+    ``save_baseline_to``: persist the year's scores as the baseline, only when
+    ``year`` is the baseline year (I6); otherwise nothing is written.
+    """
+    from warnindex.operators.index import baseline_from_indicators
+    from warnindex.sources.files import write_baseline
+
+    ip = index or IndexParams()
+    ind = annual_index(messages, duration, ip, years=[year])
+    base_year = ip.baseline.year if ip.baseline is not None else ip.baseline_year
+    if save_baseline_to is not None and base_year is not None and int(year) == int(base_year):
+        write_baseline(baseline_from_indicators(ind, year), save_baseline_to)
+    return ind
+
+
+def trend_report(summary: DataFrame) -> dict[str, DataFrame]:
+    """Every table of the trend report from the yearly summary (W2-W4,
+    A15, F17); all run over the year-level rows."""
+    from warnindex.operators import trend
+
+    return {
+        "summary": summary,
+        "year_on_year": trend.year_on_year(summary),
+        "endpoint_change": trend.endpoint_change(summary),
+        "extreme_years": trend.extreme_years(summary),
+        "totals": trend.trend_totals(summary),
+        "bars": trend.trend_bars(summary),
+    }
