@@ -25,7 +25,11 @@ def component(c="isTidal") -> Column:
 
 def _is(comp: str) -> Column:
     t = F.col("isTidal")
-    return {"fluvial": t == F.lit(False), "coastal": t == F.lit(True), "other": t.isNull()}[comp]
+    if comp == "fluvial":
+        return t == F.lit(False)
+    if comp == "coastal":
+        return t == F.lit(True)
+    return t.isNull()
 
 
 def _hours(sec_sum: Column) -> Column:
