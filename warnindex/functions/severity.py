@@ -52,6 +52,12 @@ def is_update(c="severity") -> Column:
     return _col(c).rlike(_UPDATE_FLAG)
 
 
+def sql_case(col_sql: str, mapping: dict, default) -> str:
+    """``CASE col WHEN k THEN v ... ELSE default END`` for integer maps (SQL text)."""
+    whens = " ".join(f"WHEN {int(k)} THEN {int(v)}" for k, v in mapping.items())
+    return f"CASE {col_sql} {whens} ELSE {int(default)} END"
+
+
 def default_seconds(level="severityLevel", params: DurationParams | None = None) -> Column:
     p = params or DurationParams()
     return _case(_col(level), p.default_seconds, p.fallback_seconds).cast("bigint")

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from warnindex.functions.severity import default_seconds, is_update, weight
+from warnindex.functions.severity import default_seconds, is_update, sql_case
 from warnindex.functions.timeparse import seconds_between
 from warnindex.params import DURATION_REQUIRED_COLUMNS, DurationParams
 from warnindex.schema import require_columns
@@ -126,24 +126,31 @@ def calculate_durations(df: DataFrame, params: DurationParams | None = None,
     an empty frame comes back with the added (typed) columns."""
     p = params or DurationParams()
     require_columns(df, DURATION_REQUIRED_COLUMNS, "calculate_durations")
-    d = with_next_time(df, p, id_col)
-    gap = seconds_between(F.col("timeRaised"), F.col("_next_time"))
-    d = d.withColumn("is_update", is_update("severity")).withColumn("gap_seconds", gap).drop("_next_time")
-    d = d.withColumn(
-        "duration_seconds",
-        duration_seconds(F.col("gap_seconds"), F.col("severityLevel"), F.col("is_update"), p).cast("bigint"),
-    ).withColumn("weight", weight("severityLevel", p))
-    d = d.withColumn("score_seconds", F.col("duration_seconds") * F.col("weight"))
-    return d.select(
-        *df.columns,
+    keep = [f"`{c}`" for c in df.columns]
+    d = with_next_time(df, p, id_col).withColumn("is_update", is_update("severity"))
+    d = d.selectExpr(
+        *keep,
+        "is_update",
+        "timestampdiff(SECOND, timeRaised, _next_time) AS gap_seconds",
+        f"CAST({sql_case('severityLevel', p.default_seconds, p.fallback_seconds)} AS BIGINT) AS _default_s",
+        f"CAST({sql_case('severityLevel', p.int_weights, int(p.fallback_weight))} AS BIGINT) AS weight",
+    )
+    # P12 (same branch order as duration_seconds())
+    d = d.selectExpr(
+        *keep, "is_update", "gap_seconds", "weight",
+        f"""CAST(CASE WHEN gap_seconds IS NULL OR gap_seconds > {p.max_gap_seconds} THEN _default_s
+                 WHEN is_update THEN gap_seconds ELSE least(gap_seconds, _default_s) END AS BIGINT) AS duration_seconds""",
+    )
+    return d.selectExpr(
+        *keep,
         "is_update",
         "gap_seconds",
-        (F.col("gap_seconds") / F.lit(3600.0)).alias("gap_to_next_hours"),
+        "gap_seconds / 3600.0D AS gap_to_next_hours",
         "duration_seconds",
-        (F.col("duration_seconds") / F.lit(3600.0)).alias("duration_hours"),
+        "duration_seconds / 3600.0D AS duration_hours",
         "weight",
-        "score_seconds",
-        (F.col("score_seconds") / F.lit(3600.0)).alias("score"),
+        "duration_seconds * weight AS score_seconds",
+        "(duration_seconds * weight) / 3600.0D AS score",
     )
 
 

@@ -156,26 +156,6 @@ def completeness(df: DataFrame) -> DataFrame:
 
 # ---- the fused report -------------------------------------------------------
 
-def _fmt1(x: Column) -> Column:
-    """One decimal, rounded half-even first so the text is unambiguous."""
-    return F.format_string("%.1f", F.bround(x.cast("double"), 1))
-
-
-def _issue(order: int, severity, category, message, count: Column, subtracts: bool) -> Column:
-    def lit(v):
-        return v if isinstance(v, Column) else F.lit(v)
-
-    return F.struct(
-        F.lit(order).alias("check_order"),
-        lit(severity).alias("severity"),
-        lit(category).alias("category"),
-        lit(message).alias("message"),
-        count.cast("bigint").alias("count"),
-        F.lit(subtracts).alias("subtracts_valid"),
-        # emitted only when count > 0 (completeness rows are always emitted)
-    )
-
-
 def validate(df: DataFrame, max_days: int = MAX_WARNING_DURATION_DAYS, by_year: bool = False,
              examples: bool = False) -> DataFrame:
     """All checks in order -> issue rows (check_order, severity,
@@ -190,6 +170,21 @@ def validate(df: DataFrame, max_days: int = MAX_WARNING_DURATION_DAYS, by_year:
     return out
 
 
+def _s(text: str) -> str:
+    """A Spark SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _issue_sql(order: int, severity: str, category: str, message: str, count: str, subtracts: bool) -> str:
+    """An issue row as SQL (severity/message may be SQL expressions)."""
+    return (f"named_struct('check_order', {order}, 'severity', {severity}, 'category', {_s(category)}, "
+            f"'message', {message}, 'count', CAST({count} AS BIGINT), 'subtracts_valid', {str(subtracts).lower()})")
+
+
+def _fmt1_sql(x: str) -> str:
+    return f"format_string('%.1f', bround(CAST({x} AS DOUBLE), 1))"
+
+
 def _issues(df: DataFrame, max_days: int, by_year: bool = False) -> DataFrame:
     """Issue rows, each carrying ``total_records``; there is always at least
     one row per group (a null issue when none fired).
@@ -197,105 +192,92 @@ def _issues(df: DataFrame, max_days: int, by_year: bool = False) -> DataFrame:
     One aggregation chain, one scan: messages -> per duplicate key (carrying
     the row-level counters as partial sums) -> per area (lifecycle and
     duplicate statistics) -> per report.  Each step is map-side combined.
+    The aggregate lists are Spark SQL expressions (same plan, far fewer
+    driver round trips than composing Column objects).
     """
     miss = missing_columns(df, REQUIRED_COLUMNS)
     grp: list[str] = []
     if by_year:
         df = df.withColumn("year", F.year("timeRaised"))
         grp = ["year"]
-    counters: dict[str, Column] = {}  # per-row conditions, summed
-    maxima: dict[str, Column] = {}
+    both = "timeRaised IS NOT NULL AND timeSeverityChanged IS NOT NULL"
+    days = "timestampdiff(DAY, timeRaised, timeSeverityChanged)"
+    counters: dict[str, str] = {}  # per-row conditions, summed
+    maxima: dict[str, str] = {}
     if _has(df, "timeRaised"):
-        counters["v2"] = F.col("timeRaised").isNull()
+        counters["v2"] = "timeRaised IS NULL"
     if _has(df, "timeSeverityChanged"):
-        counters["v3"] = F.col("timeSeverityChanged").isNull()
+        counters["v3"] = "timeSeverityChanged IS NULL"
     if _has(df, "severityLevel"):
-        counters["v4"] = invalid_level()
+        counters["v4"] = "NOT (severityLevel IN (" + ", ".join(str(v) for v in VALID_LEVELS) + "))"
     if _has(df, "timeRaised", "timeSeverityChanged"):
-        days = span_days(df)
-        long_cond = _both_times(df) & (days > F.lit(max_days))
+        long_cond = f"{both} AND {days} > {int(max_days)}"
         counters["v7"] = long_cond
-        maxima["v7max"] = F.when(long_cond, days)
-        counters["v8"] = _both_times(df) & (F.col("timeSeverityChanged") < F.col("timeRaised"))
+        maxima["v7max"] = f"CASE WHEN {long_cond} THEN {days} END"
+        counters["v8"] = f"{both} AND timeSeverityChanged < timeRaised"
     opt = [(i, c) for i, c in enumerate(OPTIONAL_COLUMNS) if c in df.columns]
     for i, c in opt:
-        counters[f"nn{i}"] = F.col(c).isNotNull()
+        counters[f"nn{i}"] = f"`{c}` IS NOT NULL"
 
-    def roll(src_sum, src_max):
-        return [F.sum(src_sum(k)).alias(k) for k in counters] + [F.max(src_max(k)).alias(k) for k in maxima]
+    def agg(frame: DataFrame, keys, exprs) -> DataFrame:
+        return frame.groupBy(*keys).agg(*[F.expr(e) for e in exprs])
 
-    row_level = roll(lambda k: F.when(counters[k], 1).otherwise(0), lambda k: maxima[k])
     has_keys = _has(df, *DUP_KEYS)
     if has_keys:
-        lvl = F.col("severityLevel")
         # V2 and V4 depend on key columns only: counted from the key groups
         # instead of being carried through the key shuffle.
         on_keys = [k for k in ("v2", "v4") if k in counters]
-        carried = {k: c for k, c in counters.items() if k not in on_keys}
-        g = df.groupBy(*grp, *DUP_KEYS).agg(
-            F.count(F.lit(1)).alias("n"),
-            *[F.sum(F.when(c, 1).otherwise(0)).alias(k) for k, c in carried.items()],
-            *[F.max(e).alias(k) for k, e in maxima.items()],
-        )
-        a = g.groupBy(*grp, "fwdCode").agg(
-            F.sum("n").alias("n"),
-            *[F.sum(F.when(counters[k], F.col("n")).otherwise(0)).alias(k) for k in on_keys],
-            *[F.sum(k).alias(k) for k in carried],
-            *[F.max(k).alias(k) for k in maxima],
-            F.coalesce(F.bool_or(lvl == F.lit(4)), F.lit(False)).alias("has4"),
-            F.count_if(F.col("n") > 1).alias("dup_groups"),
-            F.sum(F.when(F.col("n") > 1, F.col("n") - 1)).alias("dup_excess"),
-        )
-        w = a.groupBy(*grp).agg(
-            F.sum("n").alias("total"),
-            *roll(F.col, F.col),
-            F.sum("dup_groups").alias("groups"),
-            F.sum("dup_excess").alias("excess"),
-            F.count_if(~F.col("has4")).alias("inc_areas"),
-            F.sum(F.when(~F.col("has4"), F.col("n"))).alias("inc_records"),
-        )
+        carried = [k for k in counters if k not in on_keys]
+        g = agg(df, [*grp, *DUP_KEYS], ["count(1) AS n"]
+                + [f"sum(CASE WHEN {counters[k]} THEN 1 ELSE 0 END) AS {k}" for k in carried]
+                + [f"max({e}) AS {k}" for k, e in maxima.items()])
+        a = agg(g, [*grp, "fwdCode"], ["sum(n) AS n"]
+                + [f"sum(CASE WHEN {counters[k]} THEN n ELSE 0 END) AS {k}" for k in on_keys]
+                + [f"sum({k}) AS {k}" for k in carried] + [f"max({k}) AS {k}" for k in maxima]
+                + ["coalesce(bool_or(severityLevel = 4), false) AS has4", "count_if(n > 1) AS dup_groups",
+                   "sum(CASE WHEN n > 1 THEN n - 1 END) AS dup_excess"])
+        w = agg(a, grp, ["sum(n) AS total"] + [f"sum({k}) AS {k}" for k in counters]
+                + [f"max({k}) AS {k}" for k in maxima]
+                + ["sum(dup_groups) AS groups", "sum(dup_excess) AS excess", "count_if(NOT has4) AS inc_areas",
+                   "sum(CASE WHEN NOT has4 THEN n END) AS inc_records"])
     else:
-        w = df.groupBy(*grp).agg(F.count(F.lit(1)).alias("total"), *row_level)
+        w = agg(df, grp, ["count(1) AS total"]
+                + [f"sum(CASE WHEN {c} THEN 1 ELSE 0 END) AS {k}" for k, c in counters.items()]
+                + [f"max({e}) AS {k}" for k, e in maxima.items()])
     zero = [c for c in w.columns if c not in grp and c not in maxima]
-    w = w.select(*grp, *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in zero], *maxima)
+    w = w.selectExpr(*grp, *[f"coalesce({c}, 0) AS {c}" for c in zero], *maxima)
 
-    total = F.col("total")
-    rows: list[tuple[Column, Column]] = []  # (issue struct, emit condition)
+    rows: list[tuple[str, str]] = []  # (issue struct, emit condition)
     if miss:
-        rows.append((_issue(1, "error", CAT_REQUIRED, MSG_REQUIRED + ", ".join(sorted(miss)),
-                            total, False), F.lit(True)))
+        rows.append((_issue_sql(1, "'error'", CAT_REQUIRED, _s(MSG_REQUIRED + ", ".join(sorted(miss))), "total", False),
+                     "true"))
     if "v2" in counters:
-        rows.append((_issue(2, "error", CAT_NULL_RAISED, MSG_NULL_RAISED, F.col("v2"), True), F.col("v2") > 0))
+        rows.append((_issue_sql(2, "'error'", CAT_NULL_RAISED, _s(MSG_NULL_RAISED), "v2", True), "v2 > 0"))
     if "v3" in counters:
-        rows.append((_issue(3, "warning", CAT_NULL_CHANGED, MSG_NULL_CHANGED, F.col("v3"), False), F.col("v3") > 0))
+        rows.append((_issue_sql(3, "'warning'", CAT_NULL_CHANGED, _s(MSG_NULL_CHANGED), "v3", False), "v3 > 0"))
     if "v4" in counters:
-        rows.append((_issue(4, "error", CAT_INVALID_LEVEL, MSG_INVALID_LEVEL, F.col("v4"), True), F.col("v4") > 0))
+        rows.append((_issue_sql(4, "'error'", CAT_INVALID_LEVEL, _s(MSG_INVALID_LEVEL), "v4", True), "v4 > 0"))
     if has_keys:
-        rows.append((_issue(5, "warning", CAT_DUPLICATES, MSG_DUPLICATES, F.col("excess"), False),
-                     F.col("groups") > 0))
-        rows.append((_issue(6, "info", CAT_INCOMPLETE, MSG_INCOMPLETE, F.col("inc_records"), False),
-                     F.col("inc_areas") > 0))
+        rows.append((_issue_sql(5, "'warning'", CAT_DUPLICATES, _s(MSG_DUPLICATES), "excess", False), "groups > 0"))
+        rows.append((_issue_sql(6, "'info'", CAT_INCOMPLETE, _s(MSG_INCOMPLETE), "inc_records", False),
+                     "inc_areas > 0"))
     if "v7" in counters:
         head, tail = MSG_LONG.format(days=max_days, longest="{}").split("{}")
-        msg7 = F.concat(F.lit(head), _fmt1(F.col("v7max")), F.lit(tail))
-        rows.append((_issue(7, "warning", CAT_LONG, msg7, F.col("v7"), False), F.col("v7") > 0))
-        rows.append((_issue(8, "error", CAT_INCONSISTENT, MSG_INCONSISTENT, F.col("v8"), True), F.col("v8") > 0))
+        msg7 = f"concat({_s(head)}, {_fmt1_sql('v7max')}, {_s(tail)})"
+        rows.append((_issue_sql(7, "'warning'", CAT_LONG, msg7, "v7", False), "v7 > 0"))
+        rows.append((_issue_sql(8, "'error'", CAT_INCONSISTENT, _s(MSG_INCONSISTENT), "v8", True), "v8 > 0"))
+    head, tail = MSG_COMPLETENESS.split("{}")
     for i, c in opt:
-        pct = F.try_divide(F.col(f"nn{i}").cast("double"), total.cast("double")) * F.lit(100.0)
-        sev = F.when(pct < F.lit(COMPLETENESS_WARN_PCT), "warning").otherwise("info")
-        head, tail = MSG_COMPLETENESS.split("{}")
-        msg = F.concat(F.lit(head), _fmt1(pct), F.lit(tail))
+        pct = f"(try_divide(CAST(nn{i} AS DOUBLE), CAST(total AS DOUBLE)) * 100.0D)"
+        sev = f"CASE WHEN {pct} < {float(COMPLETENESS_WARN_PCT)}D THEN 'warning' ELSE 'info' END"
+        msg = f"concat({_s(head)}, {_fmt1_sql(pct)}, {_s(tail)})"
         # emitted for every optional column present, when there are rows
-        rows.append((_issue(9 + i, sev, CAT_COMPLETENESS.format(c), msg, total - F.col(f"nn{i}"), False),
-                     total > 0))
+        rows.append((_issue_sql(9 + i, sev, CAT_COMPLETENESS.format(c), msg, f"total - nn{i}", False), "total > 0"))
 
-    arr = F.filter(
-        F.array(*[F.when(cond, st) for st, cond in rows]) if rows else F.array().cast(T.ArrayType(ISSUE_SCHEMA)),
-        lambda x: x.isNotNull(),
-    )
-    return w.select(*grp, "total", F.explode_outer(arr).alias("i")).select(
-        *grp, "i.*", F.col("total").cast("bigint").alias("total_records")
-    )
+    arr = "filter(array(" + ", ".join(f"CASE WHEN {cond} THEN {st} END" for st, cond in rows) + "), x -> x IS NOT NULL)"
+    return w.selectExpr(*grp, "CAST(total AS BIGINT) AS total_records", f"explode_outer({arr}) AS i").selectExpr(
+        *grp, "i.*", "total_records"
+    ).select(*grp, *[f.name for f in ISSUE_SCHEMA.fields], "total_records")
 
 
 def report(df: DataFrame, max_days: int = MAX_WARNING_DURATION_DAYS, by_year: bool = False) -> DataFrame:
@@ -320,7 +302,8 @@ def report(df: DataFrame, max_days: int = MAX_WARNING_DURATION_DAYS, by_year: bo
 def issue_examples(df: DataFrame, k: int = ISSUE_EXAMPLES, max_days: int = MAX_WARNING_DURATION_DAYS) -> DataFrame:
     """Up to ``k`` offending rows (as JSON) per row-level check, smallest
     (area, time) first.  ``row_number() <= k`` lets Spark cut each partition to
-    k rows per check before the shuffle, so no check's rows gather whole."""
+    k rows per check before the shuffle, so no check's rows gather whole; only
+    the kept rows are turned into JSON."""
     checks = []
     if _has(df, "timeRaised"):
         checks.append((CAT_NULL_RAISED, F.col("timeRaised").isNull()))
@@ -330,13 +313,16 @@ def issue_examples(df: DataFrame, k: int = ISSUE_EXAMPLES, max_days: int = MAX_W
         checks.append((CAT_INCONSISTENT, _both_times(df) & (F.col("timeSeverityChanged") < F.col("timeRaised"))))
     order_cols = [c for c in ("fwdCode", "timeRaised", "severityLevel", "msg_id") if c in df.columns]
     cats = F.filter(F.array(*[F.when(cond, F.lit(cat)) for cat, cond in checks]), lambda x: x.isNotNull())
+    every = [F.col(f"`{c}`") for c in df.columns]
     rows = df.select(
         F.explode(cats).alias("category"),
         *[F.col(c) for c in order_cols],
-        F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("example"),
+        F.xxhash64(*every).alias("_tie"),        # equal rows give equal JSON, whichever is kept
+        F.struct(*every).alias("_row"),
     )
-    w = Window.partitionBy("category").orderBy(*[F.col(c).asc_nulls_first() for c in order_cols + ["example"]])
+    w = Window.partitionBy("category").orderBy(*[F.col(c).asc_nulls_first() for c in order_cols + ["_tie"]])
     top = rows.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k)
+    top = top.withColumn("example", F.to_json("_row"))
     return top.groupBy("category").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("rn", "example"))), lambda s: s["example"]).alias("examples")
     )
