@@ -134,3 +134,12 @@ def test_calculate_year_and_trend_report(spark, tmp_path):
     rep = trend_report(trend_summary(msgs, DurationParams(), ip))
     assert set(rep) == {"summary", "year_on_year", "endpoint_change", "extreme_years", "totals", "bars"}
     assert rep["totals"].collect()[0].n_years == rep["summary"].count()
+
+
+def test_staged_input_gives_the_same_index(spark):
+    from warnindex.plans.flows import annual_index, orders_region_messages
+
+    msgs = orders_region_messages(spark, "/root/testdata/sf0.001")
+    p, ip = DurationParams(), IndexParams(baseline_year=1995)
+    assert sorted(map(tuple, annual_index(msgs, p, ip, stage_input=True).collect())) == \
+        sorted(map(tuple, annual_index(msgs, p, ip).collect()))

@@ -55,13 +55,17 @@ def ingest(spark: SparkSession, paths, areas: DataFrame, table_path: str, fmt: s
 
 
 def annual_index(messages: DataFrame, duration: DurationParams | None = None,
-                 index: IndexParams | None = None, years=None) -> DataFrame:
+                 index: IndexParams | None = None, years=None, stage_input: bool = False) -> DataFrame:
     """E2 for every year at once (one row per year, I4), or for ``years``.
 
     With ``gap_scope="year"`` no gap crosses a year, so the requested years
     (plus a data-derived baseline year) are selected *before* the window --
     a timestamp range the parquet scan can use.  With ``"all"`` gaps cross
     years, so the selection happens after the computation.
+
+    ``stage_input``: write the projected messages once as a table in the
+    shared folder first, so an expensive input (a large join, parsed text) is
+    not computed twice (the window and its bucket-head branch both read it).
     """
     from functools import reduce
 
@@ -69,6 +73,12 @@ def annual_index(messages: DataFrame, duration: DurationParams | None = None,
 
     d = duration or DurationParams()
     ip = index or IndexParams()
+    if stage_input:
+        from warnindex.sources.files import stage_table
+
+        cols = [c for c in ("fwdCode", "timeRaised", "severity", "severityLevel", "isTidal", "msg_id")
+                if c in messages.columns]
+        messages = stage_table(messages.select(*cols), "messages")
     if years is None:
         return calculate_indicators(calculate_durations(messages, d), ip)
     wanted = sorted({int(y) for y in years})
