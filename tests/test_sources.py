@@ -168,3 +168,12 @@ def test_load_archives(spark, tmp_path):
     got = sorted((r.fwdCode, r.timeRaised.day, r.severityLevel) for r in df.collect())
     assert got == [("C0", 1, 3), ("C1", 2, 3), ("C2", 3, 3)]
     assert "timeSeverityChanged" not in df.columns
+
+
+def test_load_directory_with_pattern(spark, tmp_path):
+    d = str(tmp_path / "p")
+    write(f"{d}/warnings_2024.csv", "DATE,CODE,TYPE\n2024-01-01T00:00:00Z,C1,Flood Alert\n")
+    write(f"{d}/other.csv", "DATE,CODE,TYPE\n2024-01-01T00:00:00Z,C2,Flood Alert\n")
+    assert [r.fwdCode for r in files.load_directory(spark, d, pattern="warnings_*.csv").collect()] == ["C1"]
+    with pytest.raises(files.LoadError):
+        files.load_directory(spark, d, pattern="*.json")

@@ -29,3 +29,13 @@ def test_level_four_counts_as_event(msgs):
     assert (r.fluvial_events, r.fluvial_hours, r.fluvial_score) == (2, 6.0, 6.0)
     top = sample_rows(d, 1).collect()
     assert len(top) == 1 and top[0].severityLevel == 3
+
+
+def test_summary_report_bundle(spark):
+    from warnindex.operators.summary import summary_report
+
+    df = spark.createDataFrame([("A", datetime(2024, 1, 1), 1, True)],
+                               "fwdCode string, timeRaised timestamp_ntz, severityLevel int, isTidal boolean")
+    rep = summary_report(df)
+    assert set(rep) == {"summary", "severity_distribution", "missing_timestamps", "tidal_distribution"}
+    assert rep["missing_timestamps"].collect()[0].missing_timeRaised == 0

@@ -54,3 +54,17 @@ def union_sources(frames) -> DataFrame:
 def distinct_codes(df: DataFrame) -> DataFrame:
     """The area codes present."""
     return df.select("fwdCode").distinct()
+
+
+def summary_report(df: DataFrame) -> dict[str, DataFrame]:
+    """A5-A8 together: totals and date range, severity histogram, missing
+    times, class histogram (when the class column exists)."""
+    out = {
+        "summary": data_summary(df),
+        "severity_distribution": severity_histogram(df),
+        "missing_timestamps": missing_timestamps(df),
+    }
+    tidal = class_histogram(df)
+    if tidal is not None:
+        out["tidal_distribution"] = tidal
+    return out
