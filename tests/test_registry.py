@@ -3,7 +3,6 @@ its DuckDB twin on the smallest tables."""
 
 import importlib.util
 import os
-import sys
 
 import duckdb
 import pytest
