@@ -7,7 +7,6 @@ whole (or data Spark derives from them).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from warnindex.functions.severity import normalized_severity
