@@ -58,8 +58,10 @@ def _with_window_keys(df: DataFrame, p: DurationParams, ties: list[str], t: Colu
         "_bucket",
         F.floor(F.timestamp_diff("SECOND", F.expr(_EPOCH), t) / F.lit(p.bucket_seconds)).cast("bigint"),
     ).withColumn(
+        # null times: spread by a hash of the whole row (their gap is null
+        # whatever group they land in, so the grouping never changes results)
         "_salt",
-        F.when(t.isNull(), F.pmod(F.xxhash64(*[F.col(c) for c in ties] or [F.lit(0)]), F.lit(_NULL_TIME_SALT)))
+        F.when(t.isNull(), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(_NULL_TIME_SALT)))
         .otherwise(F.lit(0))
         .cast("int"),
     )
