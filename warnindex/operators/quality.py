@@ -3,7 +3,8 @@
 Plan shape for ``validate`` (V11):
 one aggregation chain over a single scan of the messages:
 * per duplicate key (fwdCode, severityLevel, timeRaised): the row count
-  (A9/V5) plus the row-level counters of V2-V4, V7-V9 as partial sums;
+  (A9/V5) plus the row-level counters of V3, V7-V9 as partial sums (V2 and
+  V4 depend on key columns only and are counted from the key groups);
 * per area: lifecycle (any level 4, A10/V6) and duplicate statistics, so the
   records of areas without a closing message are summed from per-area counts
   (no semi join over the messages, J2);
