@@ -52,21 +52,33 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", shuffle_partitions=max(2 * cpus, 8), app="warnindex-bench",
                           extra={"spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false"})
     qs = registry()
-    for n in names:  # warm-up pass, untimed
+    errors = {}
+
+    def run(n):
         qs[n](spark, sf_dir).write.format("noop").mode("overwrite").save()
+
+    for n in names:  # warm-up pass, untimed
+        try:
+            run(n)
+        except Exception as e:  # noqa: BLE001 - report, keep benchmarking the rest
+            errors[n] = f"{type(e).__name__}: {str(e)[:200]}"
     times = {}
     for n in names:
+        if n in errors:
+            times[n] = None
+            continue
         t0 = time.perf_counter()
-        qs[n](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        run(n)
         times[n] = round(time.perf_counter() - t0, 3)
     sf = os.path.basename(os.path.normpath(sf_dir)).replace("sf", "")
     print(json.dumps({
         "metric": "total_query_seconds",
-        "value": round(sum(times.values()), 3),
+        "value": round(sum(t for t in times.values() if t is not None), 3),
         "unit": "sec",
         "queries": times,
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
         "cpus": cpus,
+        **({"errors": errors} if errors else {}),
     }))
     spark.stop()
 
