@@ -315,10 +315,15 @@ def issue_examples(df: DataFrame, k: int = ISSUE_EXAMPLES, max_days: int = MAX_W
     order_cols = [c for c in ("fwdCode", "timeRaised", "severityLevel", "msg_id") if c in df.columns]
     cats = F.filter(F.array(*[F.when(cond, F.lit(cat)) for cat, cond in checks]), lambda x: x.isNotNull())
     every = [F.col(f"`{c}`") for c in df.columns]
+    atomic = all(isinstance(f.dataType, T.AtomicType) for f in df.schema.fields)
+    # Final tie-break: the whole row, column by column (a total order SQL can
+    # state too); a hash when some column is not orderable.  Equal rows give
+    # equal JSON, whichever is kept.
+    tie = F.struct(*every) if atomic else F.xxhash64(*every)
     rows = df.select(
         F.explode(cats).alias("category"),
         *[F.col(c) for c in order_cols],
-        F.xxhash64(*every).alias("_tie"),        # equal rows give equal JSON, whichever is kept
+        tie.alias("_tie"),
         F.struct(*every).alias("_row"),
     )
     w = Window.partitionBy("category").orderBy(*[F.col(c).asc_nulls_first() for c in order_cols + ["_tie"]])

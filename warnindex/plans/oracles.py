@@ -16,6 +16,7 @@ from warnindex.params import (
     FLUVIAL_WEIGHT,
     COASTAL_WEIGHT,
     COVERAGE_EXAMPLES,
+    ISSUE_EXAMPLES,
     MAX_WARNING_DURATION_DAYS,
     DurationParams,
 )
@@ -406,6 +407,7 @@ def quality_oracles() -> dict[str, str]:
         "quality_issues": issues,
         "quality_report": report,
         "area_coverage": coverage,
+        "issue_examples": issue_examples_sql(),
         "coverage_examples": f"""WITH a AS (SELECT DISTINCT fwdCode FROM ({LINEITEM_MSGS})), e AS ({expected}),
             j AS (SELECT CASE WHEN a.fwdCode IS NULL THEN {_q(Q.CAT_MISSING_AREAS)}
                               WHEN e.fwdCode IS NULL THEN {_q(Q.CAT_UNEXPECTED_AREAS)} END AS category,
@@ -444,6 +446,36 @@ def ingest_region_sql() -> str:
     return quality_sql(msgs, by_year=True, has_changes=False, optional=("isTidal",))[1]
 
 
+def _json_field(name: str, kind: str) -> str:
+    """One "name":value member as Spark's to_json writes it (null -> omitted)."""
+    key = f"'\"{name}\":'"
+    if kind == "string":
+        val = f"to_json({name})"
+    elif kind == "timestamp":
+        val = f"'\"' || strftime({name}, '%Y-%m-%dT%H:%M:%S.%g') || '\"'"
+    elif kind == "boolean":
+        val = f"CASE WHEN {name} THEN 'true' ELSE 'false' END"
+    else:
+        val = f"CAST({name} AS VARCHAR)"
+    return f"CASE WHEN {name} IS NULL THEN NULL ELSE {key} || {val} END"
+
+
+def issue_examples_sql() -> str:
+    cols = [("fwdCode", "string"), ("timeRaised", "timestamp"), ("severity", "string"), ("severityLevel", "int"),
+            ("timeSeverityChanged", "timestamp"), ("timeMessageChanged", "timestamp"), ("isTidal", "boolean"),
+            ("msg_id", "bigint"), ("line_no", "int")]
+    js = "'{' || concat_ws(',', " + ", ".join(_json_field(c, k) for c, k in cols) + ") || '}'"
+    order = ", ".join(f"{c} ASC NULLS FIRST" for c in ["fwdCode", "timeRaised", "severityLevel", "msg_id"]
+                      + [c for c, _ in cols])
+    q = QUALITY_MSGS
+    both = "timeRaised IS NOT NULL AND timeSeverityChanged IS NOT NULL"
+    return f"""WITH x AS (
+        SELECT {_q(Q.CAT_NULL_RAISED)} AS category, * FROM ({q}) WHERE timeRaised IS NULL
+        UNION ALL SELECT {_q(Q.CAT_INVALID_LEVEL)}, * FROM ({q}) WHERE NOT (severityLevel IN (1, 2, 3, 4))
+        UNION ALL SELECT {_q(Q.CAT_INCONSISTENT)}, * FROM ({q}) WHERE {both} AND timeSeverityChanged < timeRaised)
+      SELECT category, list({js} ORDER BY {order})[1:{ISSUE_EXAMPLES}] AS examples FROM x GROUP BY category"""
+
+
 def file_oracles() -> dict[str, str]:
     msgs = f"SELECT fwdCode, timeRaised, severity, severityLevel FROM ({EVENTS})"
     issues_y, report_y = quality_sql(QUALITY_MSGS, by_year=True)
