@@ -1,8 +1,7 @@
 """Registry of the queries the driver runs: name -> (spark, sf_dir) -> DataFrame.
 
-Keys follow SURVEY §7.5; each has a DuckDB twin in ``oracles.py`` unless it
-is a file-format scan (rows-only check).  All queries read the given tables
-whole (or data Spark derives from them).
+Keys follow SURVEY §7.5; every one has a DuckDB twin in ``oracles.py``.  All
+queries read the given tables whole (or data Spark derives from them).
 """
 
 from __future__ import annotations
