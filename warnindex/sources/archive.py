@@ -63,15 +63,16 @@ def archive_members(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInPandas(_members, MEMBERS)
 
 
-def csv_members_to_raw(members: DataFrame, pattern: str = r"(?i)\.csv$") -> DataFrame:
-    """CSV members -> raw message rows (header by name, quotes honoured)."""
+def csv_members_to_raw(members: DataFrame, pattern: str = r"(?i)\.csv$", max_columns: int = 64) -> DataFrame:
+    """CSV members -> raw message rows (header by name, quotes honoured;
+    columns past ``max_columns`` are not read)."""
     m = members.where(F.col("member").rlike(pattern))
     lines = m.select(
         "archive",
         "member",
         F.posexplode(F.split(F.decode("content", "UTF-8"), r"\r?\n")).alias("pos", "line"),
     ).where(F.length("line") > 0)
-    width = 16
+    width = int(max_columns)
     generic = ", ".join(f"c{i} STRING" for i in range(width))
     parsed = lines.select("archive", "member", "pos", F.from_csv("line", generic).alias("r"))
     cells = F.array(*[F.col(f"r.c{i}") for i in range(width)])
