@@ -82,7 +82,7 @@ def test_archive_members_and_unsafe_paths(spark, tmp_path):
     bins = spark.read.format("binaryFile").load(str(tmp_path / "good.zip"))
     members = archive_members(bins)
     assert [r.member for r in members.collect()] == ["data/w.csv"]
-    raw = csv_members_to_raw(members).collect()
+    raw = csv_members_to_raw(bins).collect()
     assert raw[0].CODE == "C1" and raw[0].TYPE == "Flood, Alert"
     (tmp_path / "bad.zip").write_bytes(encode_zip({"../evil.csv": "x"}))
     bad = spark.read.format("binaryFile").load(str(tmp_path / "bad.zip"))

@@ -111,12 +111,12 @@ def _encode_zip_batches(it):
 
 def q_archive_scan(spark: SparkSession, d: str) -> DataFrame:
     """ZIP archives (built in tasks) -> members -> CSV rows -> messages."""
-    from warnindex.sources.archive import archive_members, csv_members_to_raw
+    from warnindex.sources.archive import csv_members_to_raw
 
     n = max(1, spark.sparkContext.defaultParallelism)
     zips = _raw_events(spark, d).repartition(n).mapInPandas(_encode_zip_batches, "path string, content binary")
     zips = files.spread_files(zips, n)
-    return _clean(csv_members_to_raw(archive_members(zips)))
+    return _clean(csv_members_to_raw(zips))
 
 
 def q_landed_pages(spark: SparkSession, d: str) -> DataFrame:

@@ -202,10 +202,10 @@ def load_raw(spark: SparkSession, paths, fmt: str | None = None) -> DataFrame:
         bins = spread_files(spark.read.format("binaryFile").load(paths), len(paths))
         return keep_columns(decode_ods(bins), ods_headers(bins))
     if fmt == "zip":
-        from warnindex.sources.archive import archive_members, csv_members_to_raw
+        from warnindex.sources.archive import csv_members_to_raw
 
         bins = spread_files(spark.read.format("binaryFile").load(paths), len(paths))
-        return csv_members_to_raw(archive_members(bins))
+        return csv_members_to_raw(bins)
     raise LoadError(f"Unsupported format: {fmt}")
 
 
