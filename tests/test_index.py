@@ -84,6 +84,9 @@ def test_trend_tables(spark):
     assert yoy[2021].change_pct == pytest.approx(-60.4)
     e = endpoint_change(s).collect()[0]
     assert (e.first_year, e.last_year, e.direction) == (2020, 2023, "^")
+    # Points and a true percentage for the components
+    assert e.coastal_change_pts == pytest.approx(-59.2) and e.coastal_change_pct == pytest.approx(-59.2)
+    assert e.fluvial_change_pct == pytest.approx(50.6)
     assert e.composite_change_pts == pytest.approx(1.2) and e.fluvial_change_pts == pytest.approx(50.6)
     x = extreme_years(s).collect()[0]
     assert (x.lowest_year, x.highest_year) == (2022, 2023)

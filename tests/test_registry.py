@@ -24,6 +24,12 @@ def test_every_query_has_an_oracle():
     assert set(q) - set(o) == ROWS_ONLY
 
 
+def test_bench_headline_is_registered():
+    import bench
+
+    assert set(bench.HEADLINE) <= set(E.queries())
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     rows = df.collect()

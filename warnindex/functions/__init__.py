@@ -3,7 +3,9 @@
 from warnindex.functions.severity import (
     default_seconds,
     is_update,
+    normalized_severity,
     severity_level,
+    sql_case,
     strip_ws,
     weight,
 )
@@ -17,9 +19,11 @@ __all__ = [
     "contains_any",
     "default_seconds",
     "is_update",
+    "normalized_severity",
     "parse_timestamp",
     "seconds_between",
     "severity_level",
+    "sql_case",
     "strip_ws",
     "weight",
     "whole_days_between",

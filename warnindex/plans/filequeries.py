@@ -68,7 +68,7 @@ def q_json_scan(spark: SparkSession, d: str) -> DataFrame:
     docs = (raw.withColumn("_c", F.floor(F.col("msg_id") / ROWS_PER_FILE))
             .groupBy("_c").agg(F.to_json(F.collect_list(rec)).alias("value")))
     docs.repartition("_c").write.partitionBy("_c").text(root)
-    paths = [r.path for r in files.list_files(spark, root, "*.txt").collect()]
+    paths = [p for p in files.list_paths(spark, root) if p.endswith(".txt")]
     return _clean(files.read_json(spark, paths, multiline=True))
 
 
