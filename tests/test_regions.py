@@ -48,3 +48,11 @@ def test_county_filter_and_tallies(spark):
     assert (c.total_areas, c.fluvial_areas, c.coastal_areas) == (4, 2, 2)
     assert regions.flood_areas(areas, None).count() == 4
     assert regions.flood_areas(areas, "South Gloucestershire").count() == 1
+
+
+def test_restrict_requires_areas(spark):
+    msgs = spark.createDataFrame([("F1", 1)], "fwdCode string, id int")
+    empty = spark.createDataFrame([], AREAS)
+    with pytest.raises(regions.EmptyRegionError):
+        regions.restrict_to_region(msgs, empty, require_areas=True)
+    assert regions.restrict_to_region(msgs, empty).count() == 0

@@ -45,9 +45,17 @@ def join_class(df: DataFrame, areas: DataFrame) -> DataFrame:
     return df.drop("isTidal").join(dim, "fwdCode", "left")
 
 
-def restrict_to_region(df: DataFrame, areas: DataFrame) -> DataFrame:
-    """P7 + P8 + J1 as one inner join: filter then left join == inner join."""
-    dim = broadcast_if_small(_area_classes(areas), AREA_BROADCAST_MAX_ROWS)
+def restrict_to_region(df: DataFrame, areas: DataFrame, require_areas: bool = False) -> DataFrame:
+    """P7 + P8 + J1 as one inner join: filter then left join == inner join.
+
+    ``require_areas``: an empty area set is an error (P22); the same bounded
+    count decides the broadcast, so the check costs no extra job."""
+    dim = _area_classes(areas)
+    n = dim.limit(AREA_BROADCAST_MAX_ROWS + 1).count()
+    if require_areas and n == 0:
+        raise EmptyRegionError("No warning area codes found")
+    if n <= AREA_BROADCAST_MAX_ROWS:
+        dim = F.broadcast(dim)
     return df.drop("isTidal").join(dim, "fwdCode", "inner")
 
 

@@ -14,16 +14,16 @@ from pyspark.sql import functions as F
 from warnindex.operators.durations import calculate_durations
 from warnindex.operators.index import calculate_indicators, yearly_summary
 from warnindex.operators.normalize import normalize_schema, parse_timestamps
-from warnindex.operators.regions import check_region, restrict_to_region
+from warnindex.operators.regions import restrict_to_region
 from warnindex.params import DurationParams, IndexParams
 from warnindex.sources import adapters
 
 
 def prepare_messages(raw: DataFrame, areas: DataFrame | None = None, require_offset: bool = False) -> DataFrame:
-    """E1 steps 4: P1-P6 then (optionally) P7+J1."""
+    """E1 step 4: P1-P6, then (optionally) P7 + J1."""
     d = parse_timestamps(normalize_schema(raw), require_offset)
     if areas is not None:
-        d = restrict_to_region(d, check_region(areas))
+        d = restrict_to_region(d, areas, require_areas=True)
     return d
 
 
@@ -49,7 +49,7 @@ def ingest(spark: SparkSession, paths, areas: DataFrame, table_path: str, fmt: s
         F.count_if(F.col("timeRaised").isNull()).alias("missing_timeRaised"),
     )
     kept = Observation("region")
-    region = restrict_to_region(parsed, check_region(areas)).observe(kept, F.count(F.lit(1)).alias("region_records"))
+    region = restrict_to_region(parsed, areas, require_areas=True).observe(kept, F.count(F.lit(1)).alias("region_records"))
     write_yearly(region, table_path)
     return {**loaded.get, **kept.get}, report(read_year(spark, table_path).drop("year"), by_year=True)
 
