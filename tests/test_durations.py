@@ -209,12 +209,13 @@ row_st = st.tuples(
 )
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=16, deadline=None, suppress_health_check=list(HealthCheck))
 @given(rows=st.lists(row_st, min_size=0, max_size=25), scope=st.sampled_from(["all", "year"]),
-       bucket=st.sampled_from([1, 600, 3600, 86400, 10 * 365 * 86400]))
-def test_brute_force_matches(spark, rows, scope, bucket):
+       bucket=st.sampled_from([1, 600, 3600, 86400, 10 * 365 * 86400]), coarse=st.sampled_from([None, 2, 24]))
+def test_brute_force_matches(spark, rows, scope, bucket, coarse):
     data = [(c, t, s, level_of(s), i) for i, (c, t, s) in enumerate(rows)]
-    p = DurationParams(gap_scope=scope, bucket_seconds=bucket)
+    p = DurationParams(gap_scope=scope, bucket_seconds=bucket,
+                       coarse_bucket_seconds=None if coarse is None else coarse * bucket)
     df = spark.createDataFrame(
         [(c, t, s, lv, True, i) for c, t, s, lv, i in data],
         "fwdCode string, timeRaised timestamp_ntz, severity string, severityLevel int, isTidal boolean, msg_id bigint",
@@ -229,8 +230,8 @@ def test_result_independent_of_partitions_and_bucket_width(spark):
 
     base = events_messages(spark, "/root/testdata/sf0.001")
     ref = {r.msg_id: (r.gap_seconds, r.score_seconds) for r in calculate_durations(base, ALL).collect()}
-    for parts, width in ((1, 60), (7, 86400 * 40), (3, 1)):
-        p = DurationParams(gap_scope="all", bucket_seconds=width)
+    for parts, width, coarse in ((1, 60, None), (7, 86400 * 40, None), (3, 1, None), (5, 1, 3600), (2, 60, 86400)):
+        p = DurationParams(gap_scope="all", bucket_seconds=width, coarse_bucket_seconds=coarse)
         got = {r.msg_id: (r.gap_seconds, r.score_seconds)
                for r in calculate_durations(base.repartition(parts), p).collect()}
         assert got == ref
@@ -271,3 +272,31 @@ def test_class_tables_need_the_class_column(msgs):
     with pytest.raises(ValueError, match="isTidal"):
         breakdown_by_class(d)
     assert annual_total(d).collect()[0].total_events == 1
+
+
+def test_burst_in_one_hour_is_split_with_two_levels(spark):
+    """Half of all rows in one area within one hour: 1 s buckets under 1 h
+    coarse buckets keep every window group small, and the answer is exact."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from warnindex.operators.durations import window_group_sizes
+
+    base = spark.range(0, 4000).select(
+        F.when(F.col("id") % 2 == 0, F.lit("HOT")).otherwise((F.col("id") % 40).cast("string")).alias("fwdCode"),
+        (F.expr("TIMESTAMP_NTZ '2024-03-01 10:00:00'")
+         + F.make_dt_interval(secs=F.when(F.col("id") % 2 == 0, F.col("id") / 2 % 3600).otherwise(F.col("id") * 97))
+         ).alias("timeRaised"),
+        F.lit("Flood Warning").alias("severity"),
+        F.lit(2).alias("severityLevel"),
+        F.lit(True).alias("isTidal"),
+        F.col("id").alias("msg_id"),
+    )
+    one_level = DurationParams(gap_scope="all")
+    assert window_group_sizes(base, one_level).first().rows >= 2000      # the burst is one hour-bucket
+    p = DurationParams(gap_scope="all", bucket_seconds=1, coarse_bucket_seconds=3600)
+    assert window_group_sizes(base, p).first().rows <= 2
+    got = {r.msg_id: r.gap_seconds for r in lead_gaps(base, p).collect()}
+    w = Window.partitionBy("fwdCode").orderBy("timeRaised", "severityLevel", "severity", "msg_id")
+    plain = base.withColumn("g", F.timestamp_diff("SECOND", "timeRaised", F.lead("timeRaised").over(w)))
+    assert got == {r.msg_id: r.g for r in plain.collect()}

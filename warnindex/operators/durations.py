@@ -99,13 +99,32 @@ def with_next_time(df: DataFrame, params: DurationParams | None = None, id_col:
     # so the join keys equal the window keys and the messages are not
     # shuffled a second time for the join.
     heads = d.where(t.isNotNull()).groupBy(*keys).agg(F.min(t).alias("_head_time"))
-    hw = Window.partitionBy(*scope).orderBy("_bucket")
-    next_heads = heads.select(*keys, F.lead("_head_time").over(hw).alias("_next_head_time"))
+    if p.coarse_bucket_seconds is None:
+        hw = Window.partitionBy(*scope).orderBy("_bucket")
+        next_heads = heads.select(*keys, F.lead("_head_time").over(hw).alias("_next_head_time"))
+    else:
+        next_heads = _next_heads_two_level(heads, scope, keys, p.coarse_bucket_seconds // p.bucket_seconds)
     out = main.join(next_heads, on=keys, how="left")
     out = out.withColumn("_next_time", F.when(t.isNotNull(), F.coalesce("_lead_in_bucket", "_next_head_time")))
     return out.drop("_bucket", "_salt", "_lead_in_bucket", "_next_head_time", "_scope_year")
 
 
+def _next_heads_two_level(heads: DataFrame, scope: list[str], keys: list[str], ratio: int) -> DataFrame:
+    """Next bucket head through coarse buckets: the heads of one coarse bucket
+    (at most ``ratio`` rows) are ordered together; the last one takes the
+    first head of the next non-empty coarse bucket, found by a lead over the
+    coarse heads of the area (bounded by time span / coarse width)."""
+    h = heads.withColumn("_coarse", F.floor(F.col("_bucket") / F.lit(ratio)).cast("bigint"))
+    w2 = Window.partitionBy(*scope, "_coarse").orderBy("_bucket")
+    h = h.withColumn("_lead_head", F.lead("_head_time").over(w2)).withColumn(
+        "_first_in_coarse", F.row_number().over(w2) == 1)
+    coarse = h.where(F.col("_first_in_coarse")).select(*scope, "_coarse", F.col("_head_time").alias("_c_head"))
+    w3 = Window.partitionBy(*scope).orderBy("_coarse")
+    coarse = coarse.select(*scope, "_coarse", F.lead("_c_head").over(w3).alias("_next_c_head"))
+    h = h.join(coarse, [*scope, "_coarse"], "left")
+    return h.select(*keys, F.coalesce("_lead_head", "_next_c_head").alias("_next_head_time"))
+
+
 def duration_seconds(gap: Column, level: Column, update: Column, params: DurationParams) -> Column:
     """Null gap or gap > max -> default; update -> gap; else min(gap, default).
 

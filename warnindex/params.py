@@ -87,12 +87,20 @@ class DurationParams:
     gap_scope: str = "year"
     # Width of the time buckets that split one area's window (skew guard).
     bucket_seconds: int = 3_600
+    # Optional second level: bucket heads are ordered within coarse buckets
+    # of this width, so ``bucket_seconds`` can go down to 1 s while every
+    # window stays bounded (a multiple of ``bucket_seconds``; None = one level).
+    coarse_bucket_seconds: int | None = None
 
     def __post_init__(self):
         if self.gap_scope not in ("year", "all"):
             raise ValueError("gap_scope must be 'year' or 'all'")
         if self.bucket_seconds <= 0:
             raise ValueError("bucket_seconds must be positive")
+        if self.coarse_bucket_seconds is not None and (
+            self.coarse_bucket_seconds < 2 * self.bucket_seconds or self.coarse_bucket_seconds % self.bucket_seconds
+        ):
+            raise ValueError("coarse_bucket_seconds must be a multiple (>= 2) of bucket_seconds")
         for w in list(self.weights.values()) + [self.fallback_weight]:
             if float(w) != int(w):
                 raise ValueError("severity weights must be whole numbers")
