@@ -65,10 +65,16 @@ def events_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.withColumn("severityLevel", severity_level("severity"))
 
 
-def orders_raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """orders + customer -> messages without class: area = customer's nation."""
+def orders_raw_messages(spark: SparkSession, sf_dir: str, areas: DataFrame | None = None) -> DataFrame:
+    """orders + customer -> messages: area = customer's nation.  With
+    ``areas`` the customers are first restricted to those areas and get the
+    area class (isTidal), before the large orders join."""
+    from warnindex.operators.regions import restrict_to_region
+
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    if areas is not None:
+        c = restrict_to_region(c.withColumn("fwdCode", F.col("c_nationkey").cast("string")), areas).drop("fwdCode")
     pr = F.col("o_orderpriority")
     sev = (
         F.when(pr == "1-URGENT", "Severe Flood Warning")
@@ -83,6 +89,7 @@ def orders_raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").cast("timestamp_ntz").alias("timeRaised"),
         sev.alias("severity"),
         F.col("o_orderkey").alias("msg_id"),
+        *(["isTidal"] if areas is not None else []),
     )
     return d.withColumn("severityLevel", severity_level("severity"))
 
