@@ -22,6 +22,7 @@ from warnindex.session import build_session  # noqa: E402
 
 HEADLINE = [
     "annual_index",
+    "index_listing",
     "yearly_summary",
     "year_on_year",
     "breakdown_grouping_sets",
@@ -42,6 +43,7 @@ HEADLINE = [
     "csv_scan",
     "ods_scan",
     "archive_scan",
+    "ingest_region",
 ]
 
 
