@@ -4,7 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from warnindex.llm.common import table
+from warnindex.llm.common import held_out, table
+
+
+def op2_toxicity_ftrl(spark, d):
+    from warnindex.llm import toxicity
+
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    weights = toxicity.train(docs, table(spark, d, "labels"))
+    s = toxicity.score(docs, weights)
+    return s.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
 def op9_simhash_near_dedup(spark, d):
@@ -15,6 +24,7 @@ def op9_simhash_near_dedup(spark, d):
 
 
 QUERIES = {
+    "op2_toxicity_ftrl": op2_toxicity_ftrl,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
