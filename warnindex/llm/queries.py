@@ -16,6 +16,12 @@ def op2_toxicity_ftrl(spark, d):
     return s.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op8_benchmark_decontamination(spark, d):
+    from warnindex.llm.decontaminate import find_leaks
+
+    return find_leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 def op9_simhash_near_dedup(spark, d):
     from warnindex.llm.simhash_dedup import fingerprint_hex, simhash_components
 
@@ -25,6 +31,7 @@ def op9_simhash_near_dedup(spark, d):
 
 QUERIES = {
     "op2_toxicity_ftrl": op2_toxicity_ftrl,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
