@@ -16,6 +16,18 @@ def op2_toxicity_ftrl(spark, d):
     return s.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op7_secret_scan(spark, d):
+    from warnindex.llm.secrets import scan, spans_text
+
+    s = scan(table(spark, d, "documents").select("doc_id", "text"))
+    n = lambda kind: F.size(F.filter("base_spans", lambda x: x["kind"] == kind)).cast("long")
+    return s.select(
+        "doc_id", n("assign").alias("n_assign"), n("access").alias("n_access"), n("hex").alias("n_hex"),
+        F.sha2(spans_text(F.col("base_spans")).cast("binary"), 256).alias("base_sha256"),
+        spans_text(F.array_sort(F.concat("base_spans", "entropy_spans"))).alias("spans"),
+    )
+
+
 def op8_benchmark_decontamination(spark, d):
     from warnindex.llm.decontaminate import find_leaks
 
@@ -31,6 +43,7 @@ def op9_simhash_near_dedup(spark, d):
 
 QUERIES = {
     "op2_toxicity_ftrl": op2_toxicity_ftrl,
+    "op7_secret_scan": op7_secret_scan,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
