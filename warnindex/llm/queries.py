@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from warnindex.llm import oracles
 from warnindex.llm.common import held_out, table
 
 
@@ -16,6 +17,12 @@ def op2_toxicity_ftrl(spark, d):
     return s.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op5_mixing_budgets(spark, d):
+    from warnindex.llm import mixing
+
+    return mixing.copies(mixing.with_domain(table(spark, d, "documents")))
+
+
 def op7_secret_scan(spark, d):
     from warnindex.llm.secrets import scan, spans_text
 
@@ -43,12 +50,15 @@ def op9_simhash_near_dedup(spark, d):
 
 QUERIES = {
     "op2_toxicity_ftrl": op2_toxicity_ftrl,
+    "op5_mixing_budgets": op5_mixing_budgets,
     "op7_secret_scan": op7_secret_scan,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_mixing_budgets": oracles.MIX,
+}
 
 
 def queries() -> dict:
