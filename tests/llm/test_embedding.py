@@ -1,0 +1,85 @@
+import numpy as np
+import pytest
+
+from conftest import SF_MID
+from warnindex.llm import embedding_dedup as E
+from warnindex.llm.queries import op4_embedding_near_dedup
+
+
+def brute(rows, thr=0.93):
+    """{row index: (n_links, component_id)} over all pairs."""
+    unit = []
+    for i, e, l in rows:
+        ok = e is not None and l is not None and len(e) and all(x is not None and np.isfinite(x) for x in e) and any(e)
+        a = np.array(e, dtype=np.float64) if ok else None
+        unit.append(None if a is None else (a / np.abs(a).max()) / np.linalg.norm(a / np.abs(a).max()))
+    n, adj = len(rows), [set() for _ in rows]
+    for i in range(n):
+        for j in range(i):
+            if unit[i] is not None and unit[j] is not None and rows[i][2] == rows[j][2] and len(unit[i]) == len(unit[j]) and unit[i] @ unit[j] >= thr:
+                adj[i].add(j), adj[j].add(i)
+    out, seen = {}, {}
+    for i in range(n):
+        if i in seen:
+            continue
+        stack, comp = [i], {i}
+        while stack:
+            for j in adj[stack.pop()] - comp:
+                comp.add(j), stack.append(j)
+        ids = [rows[j][0] for j in comp if rows[j][0] is not None]
+        for j in comp:
+            seen[j] = True
+            out[j] = (len(adj[j]), min(ids) if ids else None)
+    return [(rows[i][0], *out[i]) for i in range(n)]
+
+
+def data(seed):
+    rng = np.random.default_rng(seed)
+    rows, vid = [], 0
+
+    def add(v, label):
+        nonlocal vid
+        rows.append((vid, None if v is None else [None if x is None else float(x) for x in v], label))
+        vid += 3
+
+    for label in range(2):
+        for _ in range(120):
+            add(rng.standard_normal(16), label)
+        for _ in range(25):
+            b = rng.standard_normal(16)
+            add(b, label), add(b + 0.08 * rng.standard_normal(16), label)
+    b = rng.standard_normal(16)
+    for _ in range(90):  # a dense crowd, partly linked
+        add(b + 0.28 * rng.standard_normal(16), 1)
+    for _ in range(40):
+        add(rows[0][1], 0)  # exact copies
+    add(None, 0), add([], 0), add([0.0] * 16, 0), add([1.0, None] + [0.0] * 14, 0), add([float("inf")] + [1.0] * 15, 0)
+    add([float("nan")] + [1.0] * 15, 0), add(rows[0][1], None), add(rows[0][1][:8], 0), add([x * 1e200 for x in rows[1][1]], 0)
+    rows.append((None, rows[2][1], rows[2][2])), rows.append(rows[3])
+    return rows
+
+
+@pytest.mark.parametrize("block", [4096, 16])
+def test_against_brute_force(spark, block):
+    rows = data(3)
+    df = spark.createDataFrame([(i, e, l, 0) for i, e, l in rows], "vec_id long, embedding array<double>, label int, n_links int")
+    out, recall = E.near_duplicates(df, E.NNParams(block=block))
+    got, want = sorted(map(lambda r: (str(r.vec_id), r.n_links, str(r.component_id)), out.collect())), sorted(
+        (str(i), n, str(c)) for i, n, c in brute(rows))
+    assert len(got) == len(want) and recall >= 0.95
+    assert sum(n for _, n, _ in got) <= sum(n for _, n, _ in want)
+    assert sum(a == b for a, b in zip(got, want)) >= 0.95 * len(want)
+
+
+def test_empty(spark):
+    out, recall = E.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int"))
+    assert out.collect() == [] and recall == 1.0
+
+
+def test_query_recall(spark):
+    rows = [(r.vec_id, list(r.embedding), r.label) for r in spark.read.parquet(f"{SF_MID}/embeddings.parquet").collect()]
+    want = {i: (n, c) for i, n, c in brute(rows)}
+    got = {r.vec_id: (r.n_links, r.component_id) for r in op4_embedding_near_dedup(spark, SF_MID).collect()}
+    assert set(got) == set(want)
+    assert sum(n for n, _ in got.values()) >= 0.95 * sum(n for n, _ in want.values())
+    assert all(got[i][0] <= want[i][0] for i in got)

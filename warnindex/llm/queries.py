@@ -17,6 +17,12 @@ def op2_toxicity_ftrl(spark, d):
     return s.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op4_embedding_near_dedup(spark, d):
+    from warnindex.llm.embedding_dedup import near_duplicates
+
+    return near_duplicates(table(spark, d, "embeddings"))[0]
+
+
 def op5_mixing_budgets(spark, d):
     from warnindex.llm import mixing
 
@@ -50,6 +56,7 @@ def op9_simhash_near_dedup(spark, d):
 
 QUERIES = {
     "op2_toxicity_ftrl": op2_toxicity_ftrl,
+    "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op5_mixing_budgets": op5_mixing_budgets,
     "op7_secret_scan": op7_secret_scan,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
