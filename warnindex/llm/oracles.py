@@ -42,3 +42,12 @@ SELECT doc_id, domain, lang, source, CAST(n AS BIGINT) AS n_tokens,
 UNION ALL
 SELECT s.doc_id, s.domain, s.lang, s.source, CAST(s.n AS BIGINT), 0 FROM slim s ANTI JOIN src USING (domain, lang, source)
 """
+
+WARC = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b, sha256(coalesce(html, '')) AS d FROM pages),
+g AS (SELECT d, min(page_id) AS m FROM p WHERE octet_length(b) >= 100 GROUP BY d)
+SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, p.d AS payload_digest,
+  CASE WHEN m IS NULL OR page_id IS NOT DISTINCT FROM m THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM m THEN m END AS refers_to
+FROM p LEFT JOIN g ON p.d = g.d
+"""

@@ -8,6 +8,13 @@ from warnindex.llm import oracles
 from warnindex.llm.common import held_out, table
 
 
+def op1_warc_archives(spark, d):
+    from warnindex.llm import warc
+
+    manifest = warc.write_archives(table(spark, d, "pages"), warc.archive_folder(spark))
+    return warc.read_archives(spark, manifest, with_payload=False).drop("url")
+
+
 def op2_toxicity_ftrl(spark, d):
     from warnindex.llm import toxicity
 
@@ -55,6 +62,7 @@ def op9_simhash_near_dedup(spark, d):
 
 
 QUERIES = {
+    "op1_warc_archives": op1_warc_archives,
     "op2_toxicity_ftrl": op2_toxicity_ftrl,
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op5_mixing_budgets": op5_mixing_budgets,
@@ -64,6 +72,7 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_warc_archives": oracles.WARC,
     "op5_mixing_budgets": oracles.MIX,
 }
 
