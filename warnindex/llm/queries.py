@@ -36,6 +36,15 @@ def op5_mixing_budgets(spark, d):
     return mixing.copies(mixing.with_domain(table(spark, d, "documents")))
 
 
+def op6_chat_format(spark, d):
+    from warnindex.llm import chat
+
+    turns = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    probe = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", probe), (-7, 1, "assistant", probe)], "conv_id long, turn long, role string, text string")
+    return chat.read_back(chat.format_chats(turns.unionByName(extra)))
+
+
 def op7_secret_scan(spark, d):
     from warnindex.llm.secrets import scan, spans_text
 
@@ -66,6 +75,7 @@ QUERIES = {
     "op2_toxicity_ftrl": op2_toxicity_ftrl,
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op5_mixing_budgets": op5_mixing_budgets,
+    "op6_chat_format": op6_chat_format,
     "op7_secret_scan": op7_secret_scan,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
