@@ -63,6 +63,13 @@ def op8_benchmark_decontamination(spark, d):
     return find_leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
+def op10_html_site_style_tree(spark, d):
+    from warnindex.llm.html_extract import extract
+
+    t = extract(table(spark, d, "pages").select("page_id", "url", "html"))
+    return t.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op9_simhash_near_dedup(spark, d):
     from warnindex.llm.simhash_dedup import fingerprint_hex, simhash_components
 
@@ -78,6 +85,7 @@ QUERIES = {
     "op6_chat_format": op6_chat_format,
     "op7_secret_scan": op7_secret_scan,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
+    "op10_html_site_style_tree": op10_html_site_style_tree,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
