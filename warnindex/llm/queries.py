@@ -24,6 +24,14 @@ def op2_toxicity_ftrl(spark, d):
     return s.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op3_quality_knn(spark, d):
+    from warnindex.llm import quality
+
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    s = quality.score(docs, quality.fit(docs, table(spark, d, "labels")))
+    return s.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op4_embedding_near_dedup(spark, d):
     from warnindex.llm.embedding_dedup import near_duplicates
 
@@ -80,6 +88,7 @@ def op9_simhash_near_dedup(spark, d):
 QUERIES = {
     "op1_warc_archives": op1_warc_archives,
     "op2_toxicity_ftrl": op2_toxicity_ftrl,
+    "op3_quality_knn": op3_quality_knn,
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op5_mixing_budgets": op5_mixing_budgets,
     "op6_chat_format": op6_chat_format,
