@@ -7,7 +7,7 @@ from datetime import datetime
 import pytest
 
 from warnindex.sources import files
-from warnindex.sources.archive import UnsafeMemberError, archive_members, csv_members_to_raw, encode_zip, safe_member
+from warnindex.sources.archive import UnsafeMemberError, archive_members, encode_zip, safe_member
 from warnindex.sources.ods import encode_ods
 
 
@@ -82,11 +82,11 @@ def test_archive_members_and_unsafe_paths(spark, tmp_path):
     bins = spark.read.format("binaryFile").load(str(tmp_path / "good.zip"))
     members = archive_members(bins)
     assert [r.member for r in members.collect()] == ["data/w.csv"]
-    raw = csv_members_to_raw(bins).collect()
+    raw = files.load_raw(spark, str(tmp_path / "good.zip")).collect()
     assert raw[0].CODE == "C1" and raw[0].TYPE == "Flood, Alert"
     (tmp_path / "bad.zip").write_bytes(encode_zip({"../evil.csv": "x"}))
     bad = spark.read.format("binaryFile").load(str(tmp_path / "bad.zip"))
-    with pytest.raises(Exception, match="escapes target directory"):
+    with pytest.raises(Exception, match="outside the archive"):
         archive_members(bad).collect()
     assert issubclass(UnsafeMemberError, ValueError)
 
@@ -120,8 +120,10 @@ def test_landed_pages(spark, tmp_path):
     write(p, "\n".join(json.dumps({"meta": {"next": None}, "items": [{"notation": f"N{i}", "county": "Bristol",
                                                                        "riverOrSea": "Sea"} for i in range(k, k + 2)]})
                        for k in (0, 2)))
-    items = files.read_landed_pages(spark, p)
+    items = files.read_landed_pages(spark, p, multiline=False)
     assert sorted(r.notation for r in items.collect()) == ["N0", "N1", "N2", "N3"]
+    write(str(tmp_path / "one.json"), json.dumps({"items": [{"notation": "X", "extra": 1}], "meta": {}}, indent=2))
+    assert [(r.notation, r.county) for r in files.read_landed_pages(spark, str(tmp_path / "one.json")).collect()] == [("X", None)]
 
 
 def test_ingest_flow_observes_counts(spark, tmp_path):
@@ -177,3 +179,80 @@ def test_load_directory_with_pattern(spark, tmp_path):
     assert [r.fwdCode for r in files.load_directory(spark, d, pattern="warnings_*.csv").collect()] == ["C1"]
     with pytest.raises(files.LoadError):
         files.load_directory(spark, d, pattern="*.json")
+
+
+def test_quoted_csv(spark, tmp_path):
+    write(str(tmp_path / "q.csv"), 'DATE,CODE,TYPE,WARNING / ALERT AREA NAME,AREA\n'
+          '2024-01-01T00:00:00Z,C1,Flood Alert,"River ""Big"" Avon, north",a1\n'
+          '2024-01-01T00:00:00Z,C2,Flood Alert,"back\\",a2\n2024-01-01T00:00:00Z,C3,Flood Alert,"two\nlines",a3\n')
+    got = {r.fwdCode: (r.label, r.area_ref) for r in files.load_directory(spark, str(tmp_path), multiline=True).collect()}
+    assert got == {"C1": ('River "Big" Avon, north', "a1"), "C2": ("back\\", "a2"), "C3": ("two\nlines", "a3")}
+
+
+def test_mixed_formats_and_skipped_files(spark, tmp_path):
+    d = str(tmp_path / "m")
+    write(f"{d}/a.csv", "DATE,CODE,TYPE,extra\n2024-01-01T00:00:00Z,A,Flood Alert,e\n2024-01-01T00:00:00Z,B,too,many,fields\nshort\n")
+    write(f"{d}/b.json", json.dumps([{"DATE": "2024-01-01T00:00:00Z", "CODE": "J", "TYPE": "Flood Warning", "extra": 5}]))
+    write(f"{d}/bad.json", "[{")
+    write(f"{d}/foo.csv", "foo,bar\n1,2\n")
+    write(f"{d}/bad.ods", "not a spreadsheet")
+    write(f"{d}/notes.txt", "text")
+    (tmp_path / "m" / "c.ods").write_bytes(encode_ods(["DATE", "CODE", "TYPE", "extra"], [("2024-01-01T00:00:00", "O", "Flood Alert", "x")]))
+    (tmp_path / "m" / "d.zip").write_bytes(encode_zip({"x/w.csv": 'CODE,DATE,TYPE,extra\nZ,2024-01-01T00:00:00Z,"Flood ""x""\nAlert",z\n'}))
+    (tmp_path / "m" / "e.zip").write_bytes(encode_zip({"ok.csv": "CODE,DATE,TYPE\nGOOD,2024-01-01T00:00:00Z,Flood Alert\n", "bad.csv": "CODE\nX\n"}))
+    (tmp_path / "m" / "f.zip").write_bytes(encode_zip({"../evil.csv": "CODE,DATE,TYPE\nE,2024-01-01T00:00:00Z,Flood Alert\n"}))
+    paths = files.list_paths(spark, d)
+    rows, skipped = files.load_checked(spark, paths)
+    assert sorted((r.CODE, r.extra, r.TYPE) for r in rows.collect()) == [
+        ("A", "e", "Flood Alert"), ("J", "5", "Flood Warning"), ("O", "x", "Flood Alert"), ("Z", "z", 'Flood "x"\nAlert')]
+    assert rows.count() == 4
+    got = sorted((os.path.basename(r.path), r.record) for r in skipped.collect())
+    assert got == [("a.csv", "2024-01-01T00:00:00Z,B,too,many,fields"), ("a.csv", "short"), ("bad.json", None), ("bad.ods", None),
+                   ("e.zip", None), ("f.zip", None), ("foo.csv", None), ("notes.txt", None)]
+    assert all(r.reason for r in skipped.collect())
+    assert files.load_directory(spark, d, pattern="*").count() == 4
+
+
+def test_normalised_columns_pass(spark, tmp_path):
+    (tmp_path / "n.ods").write_bytes(encode_ods(["timeRaised", "fwdCode", "severity"], [("2024-01-01T00:00:00", "N", "Flood Alert")]))
+    r = files.load_directory(spark, str(tmp_path)).collect()[0]
+    assert (r.fwdCode, r.severityLevel, r.timeRaised.year) == ("N", 3, 2024)
+
+
+def test_long_runs_of_empty_cells_and_comments():
+    from warnindex.sources.ods import NS, iter_sheet_rows
+
+    cell = '<table:table-cell office:value-type="string"><text:p>{}</text:p></table:table-cell>'
+    row = ('<table:table-row>' + cell.format("a") + '<table:table-cell table:number-columns-repeated="2000"/>'
+           '<table:table-cell office:value-type="string"><office:annotation><text:p>a note</text:p></office:annotation><text:p>Flood Alert</text:p>'
+           '<table:table><table:table-row>' + cell.format("inner") + '</table:table-row></table:table></table:table-cell></table:table-row>')
+    xml = (f'<office:document-content xmlns:office="{NS["office"]}" xmlns:table="{NS["table"]}" xmlns:text="{NS["text"]}"><office:body>'
+           f'<office:spreadsheet><table:table>{row}<table:table-row>{cell.format("next")}</table:table-row></table:table></office:spreadsheet></office:body></office:document-content>')
+    import io
+    import zipfile
+
+    b = io.BytesIO()
+    with zipfile.ZipFile(b, "w") as z:
+        z.writestr("content.xml", xml)
+    assert list(iter_sheet_rows(b.getvalue())) == [["a"] + [None] * 2000 + ["Flood Alert"], ["next"]]
+
+
+def test_typed_read_back_and_absent_table(spark, tmp_path):
+    df = spark.createDataFrame([("A", datetime(2021, 5, 1, 3, 4, 5, 678), " odd \"text\", ", 3, True, 7)],
+                               "fwdCode string, timeRaised timestamp_ntz, severity string, severityLevel int, isTidal boolean, msg_id bigint")
+    files.write_yearly(df, str(tmp_path / "t"), fmt="csv")
+    from pyspark.sql import types as T
+
+    back = files.read_year(spark, str(tmp_path / "t"), fmt="csv", schema=T.StructType([T.StructField("msg_id", T.LongType())]))
+    assert [tuple(r) for r in back.select(*df.columns).collect()] == [tuple(r) for r in df.collect()]
+    assert {f.name: f.dataType for f in back.schema.fields} == {**{f.name: f.dataType for f in df.schema.fields}, "year": T.IntegerType()}
+    none = files.read_year(spark, str(tmp_path / "none"), 2020)
+    assert none.collect() == [] and set(none.columns) >= {"fwdCode", "timeRaised", "severityLevel", "year"}
+
+
+def test_yearly_write_is_one_file_a_small_year(spark, tmp_path):
+    import glob
+
+    df = spark.range(7000, numPartitions=8).selectExpr("cast(id as string) fwdCode", "timestamp_ntz'2018-01-01 00:00:00' + make_interval(id % 7) timeRaised")
+    files.write_yearly(df, str(tmp_path / "t"))
+    assert len(glob.glob(str(tmp_path / "t" / "year=*" / "*.parquet"))) == 7

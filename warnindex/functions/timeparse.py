@@ -6,6 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _OFFSET = r"(Z|z|[+-]\d{2}(:?\d{2})?)$"
+# A full date and a time of day (seconds optional), then at most an offset: a time
+# alone, a year, a date or a zone name is no instant.
+_INSTANT = r"^\d{4}-\d{2}-\d{2}[Tt ]\d{2}:\d{2}(:\d{2}([.]\d+)?)? ?(Z|z|[+-]\d{2}(:?\d{2})?)?$"
 
 
 def _col(c) -> Column:
@@ -21,7 +24,7 @@ def parse_timestamp(c, require_offset: bool = False) -> Column:
     """
     col = _col(c)
     txt = F.trim(col.cast("string"))
-    parsed = F.try_to_timestamp(txt).cast("timestamp_ntz")
+    parsed = F.when(txt.rlike(_INSTANT), F.try_to_timestamp(txt)).cast("timestamp_ntz")
     if require_offset:
         parsed = F.when(txt.rlike(_OFFSET), parsed)
     return parsed

@@ -13,8 +13,14 @@ from warnindex.schema import require_columns
 
 
 def rename_raw_columns(df: DataFrame) -> DataFrame:
-    """Source names -> schema names, only for columns that are present."""
-    return df.withColumnsRenamed({k: v for k, v in RAW_COLUMN_NAMES.items() if k in df.columns})
+    """Source names -> schema names, only for columns that are present.  Where a
+    column is there under both names, the schema's own comes first."""
+    for raw, name in RAW_COLUMN_NAMES.items():
+        if raw in df.columns and name in df.columns:
+            df = df.withColumn(name, F.coalesce(F.col(f"`{name}`"), F.col(f"`{raw}`"))).drop(raw)
+        elif raw in df.columns:
+            df = df.withColumnRenamed(raw, name)
+    return df
 
 
 def with_severity_level(df: DataFrame) -> DataFrame:

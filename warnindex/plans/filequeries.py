@@ -1,8 +1,8 @@
 """Queries over landed files.
 
 Each query first lands the given tables in the source format (written by
-Spark into the shared folder, or built as ``binaryFile``-shaped rows by
-tasks), then scans them back with the library's readers.  The result must
+Spark or by tasks into the shared folder), then scans them back with the
+library's readers.  The result must
 equal the source table, so these scans get a value check against SQL too.
 """
 
@@ -13,6 +13,7 @@ import os
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from warnindex.operators import regions
 from warnindex.operators.normalize import normalize_schema, parse_timestamps
@@ -67,56 +68,118 @@ def q_json_scan(spark: SparkSession, d: str) -> DataFrame:
     rec = F.struct(*[F.col(f"`{c}`") for c in ("DATE", "CODE", "TYPE", "AREA")])
     docs = (raw.withColumn("_c", F.floor(F.col("msg_id") / ROWS_PER_FILE))
             .groupBy("_c").agg(F.to_json(F.collect_list(rec)).alias("value")))
-    docs.repartition("_c").write.partitionBy("_c").text(root)
-    paths = [p for p in files.list_paths(spark, root) if p.endswith(".txt")]
-    return _clean(files.read_json(spark, paths, multiline=True))
+    _save_text(docs, root, "json")
+    return _clean(files.load_raw(spark, files.list_paths(spark, root)))
 
 
-def _encode_ods_batches(it):
-    from warnindex.sources.ods import encode_ods
+RAW_HEADER = ["DATE", "CODE", "TYPE", "WARNING / ALERT AREA NAME", "AREA"]
 
-    header = ["DATE", "CODE", "TYPE", "WARNING / ALERT AREA NAME", "AREA"]
-    for pdf in it:
-        if len(pdf) == 0:
-            continue
-        content = encode_ods(header, pdf[header].itertuples(index=False, name=None), date_columns=())
-        yield pd.DataFrame({"path": [f"landed/{pdf['msg_id'].min()}.ods"], "content": [content]})
 
+def _save_files(root: str, suffix: str):
+    """mapInPandas: the rows of each batch become one landed file; (path) out."""
 
-def q_ods_scan(spark: SparkSession, d: str) -> DataFrame:
-    """S3: spreadsheets (one per batch of rows, built in tasks) -> messages."""
-    from warnindex.sources.ods import decode_ods
+    def run(it):
+        import io
+
+        from warnindex.sources.archive import encode_zip
+        from warnindex.sources.ods import encode_ods
+        from warnindex.sources.storage import save_bytes
 
-    n = max(1, spark.sparkContext.defaultParallelism)
-    raw = _raw_events(spark, d).withColumn("DATE", F.regexp_replace("DATE", "Z$", "")).repartition(n)
-    ods = raw.mapInPandas(_encode_ods_batches, "path string, content binary")
-    return _clean(decode_ods(files.spread_files(ods, n)))
+        for pdf in it:
+            if len(pdf) == 0:
+                continue
+            name = f"warnings_{pdf['msg_id'].min()}"
+            if suffix == "ods":
+                content = encode_ods(RAW_HEADER, pdf[RAW_HEADER].itertuples(index=False, name=None), date_columns=())
+            else:
+                buf = io.StringIO()
+                pdf[RAW_HEADER].to_csv(buf, index=False)
+                content = encode_zip({f"{name}/data.csv": buf.getvalue(), f"{name}/README.txt": "landed"})
+            path = f"{root}/{name}.{suffix}"
+            save_bytes(path, content)
+            yield pd.DataFrame({"path": [path]})
 
+    return run
 
-def _encode_zip_batches(it):
-    import io
 
-    from warnindex.sources.archive import encode_zip
+def _land(raw: DataFrame, root: str, suffix: str) -> None:
+    n = max(1, raw.sparkSession.sparkContext.defaultParallelism)
+    raw.repartition(n, "msg_id").mapInPandas(_save_files(root, suffix), "path string").write.format("noop").mode("overwrite").save()
 
-    header = ["DATE", "CODE", "TYPE", "WARNING / ALERT AREA NAME", "AREA"]
-    for pdf in it:
-        if len(pdf) == 0:
-            continue
-        buf = io.StringIO()
-        pdf[header].to_csv(buf, index=False)
-        name = f"warnings_{pdf['msg_id'].min()}"
-        content = encode_zip({f"{name}/data.csv": buf.getvalue(), f"{name}/README.txt": "landed"})
-        yield pd.DataFrame({"path": [f"landed/{name}.zip"], "content": [content]})
+
+def q_ods_scan(spark: SparkSession, d: str) -> DataFrame:
+    """S3: spreadsheets written by tasks into the shared folder -> messages."""
+    root = scratch_path(spark, "landed-ods")
+    _land(_raw_events(spark, d).withColumn("DATE", F.regexp_replace("DATE", "Z$", "")), root, "ods")
+    return _clean(files.load_raw(spark, files.list_paths(spark, root)))
 
 
 def q_archive_scan(spark: SparkSession, d: str) -> DataFrame:
-    """ZIP archives (built in tasks) -> members -> CSV rows -> messages."""
-    from warnindex.sources.archive import csv_members_to_raw
+    """ZIP archives written by tasks -> members -> CSV rows -> messages."""
+    root = scratch_path(spark, "landed-zip")
+    _land(_raw_events(spark, d), root, "zip")
+    return files.load_archives(spark, files.list_paths(spark, root)).select(*MSG_COLS)
+
+
+def _odd_label():
+    """Text with everything that CSV has to quote."""
+    k = F.col("msg_id")
+    return (F.when(k % 5 == 0, F.concat(F.lit('say "'), F.col("CODE"), F.lit('"'))).when(k % 5 == 1, F.concat(F.lit("a, b, "), F.col("CODE")))
+            .when(k % 5 == 2, F.concat(F.col("CODE"), F.lit("\\"))).when(k % 5 == 3, F.concat(F.lit("line\n"), F.col("CODE"), F.lit("\n\"\",\"")))
+            .otherwise(F.concat(F.lit("\\\""), F.col("CODE"), F.lit("\\n"))))
+
+
+def q_csv_quoted(spark: SparkSession, d: str) -> DataFrame:
+    """Quoted CSV fields with doubled quotes, commas, backslashes and line breaks."""
+    raw = _raw_events(spark, d)
+    raw = raw.withColumn("WARNING / ALERT AREA NAME", _odd_label())
+    root = scratch_path(spark, "landed-quoted")
+    raw.repartition(4, "msg_id").write.options(**files.CSV_WRITE).csv(root)
+    m = files.load_directory(spark, root, multiline=True)
+    return m.select(F.col("msg_id").cast("bigint").alias("msg_id"), "label", *MSG_COLS)
+
+
+def q_mixed_directory(spark: SparkSession, d: str) -> DataFrame:
+    """S4 + S5: one folder of CSV, JSON, spreadsheet and ZIP files, each read in its own format."""
+    raw = _raw_events(spark, d)
+    root = scratch_path(spark, "landed-mixed")
+    part = lambda k: raw.where(F.col("msg_id") % 4 == k)
+    part(0).drop("msg_id").write.options(**files.CSV_WRITE).csv(os.path.join(root, "c"))
+    rec = F.struct(*[F.col(f"`{c}`") for c in ("DATE", "CODE", "TYPE", "AREA")])
+    docs = part(1).withColumn("_c", F.floor(F.col("msg_id") / ROWS_PER_FILE)).groupBy("_c").agg(F.to_json(F.collect_list(rec)).alias("value"))
+    _save_text(docs, os.path.join(root, "j"), "json")
+    _land(part(2), os.path.join(root, "o"), "ods")
+    _land(part(3), os.path.join(root, "z"), "zip")
+    return files.load_directory(spark, root, pattern="*").select(*MSG_COLS)
+
+
+def _save_text(docs: DataFrame, root: str, suffix: str) -> None:
+    """Each row (_c, value) becomes the file ``root/_c.suffix``."""
+
+    def run(it):
+        from warnindex.sources.storage import save_bytes
+
+        for pdf in it:
+            for c, v in zip(pdf["_c"], pdf["value"]):
+                save_bytes(f"{root}/{c}.{suffix}", v.encode())
+            yield pd.DataFrame({"n": [len(pdf)]})
+
+    docs.mapInPandas(run, "n long").write.format("noop").mode("overwrite").save()
+
 
-    n = max(1, spark.sparkContext.defaultParallelism)
-    zips = _raw_events(spark, d).repartition(n).mapInPandas(_encode_zip_batches, "path string, content binary")
-    zips = files.spread_files(zips, n)
-    return _clean(csv_members_to_raw(zips))
+def q_skipped_files(spark: SparkSession, d: str) -> DataFrame:
+    """A file per supplier; every third lacks the time column, every third is
+    no spreadsheet; those are skipped and named, single malformed rows too."""
+    s = A.table(spark, d, "supplier").select("s_suppkey")
+    k = F.col("s_suppkey")
+    root = scratch_path(spark, "landed-bad")
+    good = F.concat(F.lit("DATE,CODE,TYPE\n2024-01-01T00:00:00Z,"), k, F.lit(",Flood Alert\n"),
+                    F.when(k % 2 == 0, F.lit("2024-01-02T00:00:00Z,one,too,many\n")).otherwise(""))
+    _save_text(s.where(k % 3 == 0).select(k.alias("_c"), good.alias("value")), root, "csv")
+    _save_text(s.where(k % 3 == 1).select(k.alias("_c"), F.concat(F.lit("CODE,TYPE\n"), k, F.lit(",Flood Alert\n")).alias("value")), root, "csv")
+    _save_text(s.where(k % 3 == 2).select(k.alias("_c"), F.lit("no spreadsheet").alias("value")), root, "ods")
+    _, skipped = files.load_checked(spark, files.list_paths(spark, root))
+    return skipped.select(F.element_at(F.split("path", "/"), -1).alias("file"), "reason", "record")
 
 
 def q_landed_pages(spark: SparkSession, d: str) -> DataFrame:
@@ -129,7 +192,7 @@ def q_landed_pages(spark: SparkSession, d: str) -> DataFrame:
         F.struct(F.lit("landed").alias("source"), F.count(F.lit(1)).alias("limit")).alias("meta"),
     )
     pages.drop("_p").write.json(root)
-    return regions.areas_from_items(files.read_landed_pages(spark, root))
+    return regions.areas_from_items(files.read_landed_pages(spark, root, multiline=False))
 
 
 def q_yearly_roundtrip(spark: SparkSession, d: str) -> DataFrame:
@@ -148,8 +211,10 @@ def q_csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     from warnindex.plans.flows import orders_region_messages
 
     root = scratch_path(spark, "yearly-csv")
-    files.write_yearly(orders_region_messages(spark, d).select("fwdCode", "timeRaised", "severity"), root, fmt="csv")
-    return files.read_year(spark, root, fmt="csv").select("fwdCode", "timeRaised", "severity", "year")
+    files.write_yearly(orders_region_messages(spark, d), root, fmt="csv")
+    extra = T.StructType([T.StructField("msg_id", T.LongType())])
+    return files.read_year(spark, root, fmt="csv", schema=extra).select(
+        "msg_id", "fwdCode", "timeRaised", "severity", "severityLevel", "isTidal", "year")
 
 
 def q_discover_years(spark: SparkSession, d: str) -> DataFrame:
@@ -242,6 +307,9 @@ FILES = {
     "json_scan": q_json_scan,
     "ods_scan": q_ods_scan,
     "archive_scan": q_archive_scan,
+    "csv_quoted": q_csv_quoted,
+    "mixed_directory": q_mixed_directory,
+    "skipped_files": q_skipped_files,
     "landed_pages": q_landed_pages,
     "yearly_roundtrip": q_yearly_roundtrip,
     "csv_roundtrip": q_csv_roundtrip,

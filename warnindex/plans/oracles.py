@@ -484,10 +484,19 @@ def file_oracles() -> dict[str, str]:
         "json_scan": msgs,
         "ods_scan": msgs,
         "archive_scan": msgs,
+        "mixed_directory": msgs,
+        "csv_quoted": f"""SELECT msg_id, CASE msg_id % 5 WHEN 0 THEN 'say "' || fwdCode || '"' WHEN 1 THEN 'a, b, ' || fwdCode
+            WHEN 2 THEN fwdCode || chr(92) WHEN 3 THEN 'line' || chr(10) || fwdCode || chr(10) || '"","'
+            ELSE chr(92) || '"' || fwdCode || chr(92) || 'n' END AS label, fwdCode, timeRaised, severity, severityLevel FROM ({EVENTS})""",
+        "skipped_files": """SELECT s_suppkey || '.csv' AS file, 'ValueError: no column for timeRaised' AS reason, CAST(NULL AS VARCHAR) AS record
+              FROM supplier WHERE s_suppkey % 3 = 1
+            UNION ALL SELECT s_suppkey || '.ods', 'BadZipFile: File is not a zip file', NULL FROM supplier WHERE s_suppkey % 3 = 2
+            UNION ALL SELECT s_suppkey || '.csv', 'fields do not match the header', '2024-01-02T00:00:00Z,one,too,many'
+              FROM supplier WHERE s_suppkey % 6 = 0""",
         "landed_pages": SUPPLIER_AREAS,
         "yearly_roundtrip": f"""SELECT msg_id, fwdCode, timeRaised, severityLevel, isTidal, CAST(1997 AS INTEGER) AS year
             FROM ({ORDERS_REGION}) WHERE year(timeRaised) = 1997""",
-        "csv_roundtrip": f"""SELECT fwdCode, timeRaised, severity, CAST(year(timeRaised) AS INTEGER) AS year
+        "csv_roundtrip": f"""SELECT msg_id, fwdCode, timeRaised, severity, severityLevel, isTidal, CAST(year(timeRaised) AS INTEGER) AS year
             FROM ({ORDERS_REGION}) WHERE timeRaised IS NOT NULL""",
         "discover_years": f"""SELECT DISTINCT CAST(year(timeRaised) AS INTEGER) AS year FROM ({ORDERS_REGION})
             WHERE year(timeRaised) >= {ORDERS_BASELINE_YEAR}""",

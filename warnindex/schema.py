@@ -41,6 +41,9 @@ AREAS = T.StructType(
     ]
 )
 
+# Landed area items (P20).
+ITEMS = T.StructType([T.StructField(c, T.StringType()) for c in ("notation", "label", "description", "county", "riverOrSea")])
+
 BASELINE = T.StructType(
     [
         T.StructField("year", T.IntegerType()),
@@ -68,4 +71,4 @@ def require_columns(df: DataFrame, required, what: str = "input") -> None:
     """Driver-side check on the (static) schema; no Spark job is run."""
     missing = missing_columns(df, required)
     if missing:
-        raise MissingColumnsError(f"Missing required columns in {what}: {missing}")
+        raise MissingColumnsError(f"{what} lacks the columns {missing}")

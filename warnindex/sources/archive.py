@@ -1,27 +1,22 @@
 """Archive member scan.
 
-ZIP files arrive as ``binaryFile`` rows; ``mapInPandas`` lists and reads the
-members of each archive in one task and yields (archive, member, content).
-A member whose normalised path is absolute or climbs out of the archive
-root fails the job, as extraction would.  CSV members are streamed out as
-text lines in bounded batches and parsed by Spark (``from_csv``).
+Archives are opened by path in the task that got the path; members come out
+one at a time as (archive, member, size, content).  A member whose normalised
+path is absolute or climbs out of the archive root fails the job, as
+extraction would.  Message rows of CSV members: ``sources.decode``.
 """
 
 from __future__ import annotations
 
-import csv
 import io
 import posixpath
-import re
 import zipfile
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from warnindex.schema import RAW
-from warnindex.sources.files import null_tokens_to_null
+from warnindex.sources.storage import open_path
 
 MEMBERS = T.StructType(
     [
@@ -46,131 +41,21 @@ def safe_member(name: str) -> bool:
 
 def _members(it):
     for pdf in it:
-        for path, content in zip(pdf["path"], pdf["content"]):
-            rows = []
-            with zipfile.ZipFile(io.BytesIO(bytes(content))) as z:
+        for path in pdf["path"]:
+            with open_path(path) as f, zipfile.ZipFile(f) as z:
                 infos = z.infolist()
                 for info in infos:
                     if not safe_member(info.filename):
-                        raise UnsafeMemberError(f"ZIP member escapes target directory: {info.filename}")
+                        raise UnsafeMemberError(f"member lies outside the archive: {info.filename}")
                 for info in infos:
-                    if info.is_dir():
-                        continue
-                    rows.append((path, info.filename, info.file_size, z.read(info)))
-            yield pd.DataFrame(rows, columns=["archive", "member", "size", "content"])
+                    if not info.is_dir():  # one member in memory at a time
+                        yield pd.DataFrame([(path, info.filename, info.file_size, z.read(info))],
+                                           columns=["archive", "member", "size", "content"])
 
 
 def archive_members(files: DataFrame) -> DataFrame:
-    """(path, content) archives -> one row per member file (whole content)."""
-    return files.select("path", "content").mapInPandas(_members, MEMBERS)
-
-
-LINES = T.StructType(
-    [
-        T.StructField("archive", T.StringType()),
-        T.StructField("member", T.StringType()),
-        T.StructField("pos", T.LongType()),
-        T.StructField("line", T.StringType()),
-    ]
-)
-# Lines handed back to Spark per Arrow batch: no row ever holds a whole file.
-LINE_BATCH = 10_000
-
-
-def _member_lines(pattern: str):
-    rx = re.compile(pattern)
-
-    def run(it):
-        for pdf in it:
-            for path, content in zip(pdf["path"], pdf["content"]):
-                with zipfile.ZipFile(io.BytesIO(bytes(content))) as z:
-                    infos = z.infolist()
-                    for info in infos:
-                        if not safe_member(info.filename):
-                            raise UnsafeMemberError(f"ZIP member escapes target directory: {info.filename}")
-                    for info in infos:
-                        if info.is_dir() or not rx.search(info.filename):
-                            continue
-                        with z.open(info) as fh:
-                            text = io.TextIOWrapper(fh, encoding="utf-8", newline="")
-                            buf = []
-                            for pos, line in enumerate(text):
-                                line = line.rstrip("\r\n")
-                                if pos == 0:
-                                    line = line.lstrip("\ufeff")
-                                if line:
-                                    buf.append((path, info.filename, pos, line))
-                                if len(buf) >= LINE_BATCH:
-                                    yield pd.DataFrame(buf, columns=["archive", "member", "pos", "line"])
-                                    buf = []
-                            if buf:
-                                yield pd.DataFrame(buf, columns=["archive", "member", "pos", "line"])
-
-    return run
-
-
-def _member_headers(pattern: str):
-    rx = re.compile(pattern)
-
-    def run(it):
-        for pdf in it:
-            rows = []
-            for path, content in zip(pdf["path"], pdf["content"]):
-                with zipfile.ZipFile(io.BytesIO(bytes(content))) as z:
-                    for info in z.infolist():
-                        if info.is_dir() or not rx.search(info.filename) or not safe_member(info.filename):
-                            continue
-                        with z.open(info) as fh:  # decompresses only up to the first line
-                            first = io.TextIOWrapper(fh, encoding="utf-8", newline="").readline()
-                        rows.append((path, info.filename, first.rstrip("\r\n").lstrip("\ufeff")))
-            yield pd.DataFrame(rows, columns=["archive", "member", "line"])
-
-    return run
-
-
-def member_headers(files: DataFrame, pattern: str = r"(?i)\.csv$") -> DataFrame:
-    """(archive, member, header line) for the matching members (first lines only)."""
-    return files.select("path", "content").mapInPandas(
-        _member_headers(pattern), "archive string, member string, line string")
-
-
-def archive_lines(files: DataFrame, pattern: str = r"(?i)\.csv$") -> DataFrame:
-    """(path, content) archives -> text lines of the matching members, in
-    bounded batches (line 0 of a member is its header)."""
-    return files.select("path", "content").mapInPandas(_member_lines(pattern), LINES)
-
-
-def csv_members_to_raw(files: DataFrame, pattern: str = r"(?i)\.csv$") -> DataFrame:
-    """CSV members of ZIP archives -> raw message rows.
-
-    Header by name, quotes honoured (a quoted field must not span lines).
-    The header lines -- one small row per member -- are read first to learn
-    the column names and the widest header; the body lines are parsed by
-    Spark with ``from_csv`` against that width.
-    """
-    lines = archive_lines(files, pattern)
-    header_rows = member_headers(files, pattern).collect()  # one small row per member
-    headers = {(r.archive, r.member): next(csv.reader([r.line])) for r in header_rows}
-    if not headers:
-        return files.sparkSession.createDataFrame([], "_source string")
-    width = max(len(h) for h in headers.values())
-    present = {c.strip() for h in headers.values() for c in h}
-    generic = ", ".join(f"c{i} STRING" for i in range(width))
-    hdr = files.sparkSession.createDataFrame(
-        [(a, m, [c.strip() for c in h]) for (a, m), h in headers.items()], "archive string, member string, hdr array<string>"
-    )
-    body = lines.where(F.col("pos") > 0).select(
-        "archive", "member", F.from_csv("line", generic).alias("r")
-    ).select("archive", "member", F.array(*[F.col(f"r.c{i}") for i in range(width)]).alias("vals"))
-    # one header row per member: a size the driver already holds
-    j = body.join(F.broadcast(hdr), ["archive", "member"], "inner")
-    cols = []
-    for f in RAW.fields:
-        if f.name not in present:
-            continue
-        pos = F.array_position(F.col("hdr"), f.name)
-        cols.append(F.when(pos > 0, F.element_at(F.col("vals"), pos.cast("int"))).alias(f.name))
-    return null_tokens_to_null(j.select(*cols, F.col("member").alias("_source")))
+    """(path, ...) archives -> one row per member file (whole content)."""
+    return files.select("path").mapInPandas(_members, MEMBERS)
 
 
 def encode_zip(members: dict) -> bytes:

@@ -12,7 +12,6 @@ import fnmatch
 import logging
 import os
 import re
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,8 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from warnindex.params import CSV_NULL_TOKENS, TREND_FIRST_YEAR
-from warnindex.schema import AREAS, BASELINE, RAW
+from warnindex.schema import AREAS, BASELINE, ITEMS, RAW, WARNINGS
 from warnindex.session import scratch_path
+from warnindex.sources.decode import lacking
 
 log = logging.getLogger(__name__)
 
@@ -31,16 +31,20 @@ class LoadError(Exception):
 
 
 FORMATS = {".csv": "csv", ".json": "json", ".ods": "ods", ".zip": "zip"}
-HEADER_PROBE_THREADS = 32
+HEADER_PROBE_TASKS = 256
 # CSV writer options: keep text verbatim (Spark's writer trims by default).
-CSV_WRITE = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+# Quotes inside quoted fields are doubled, backslashes are plain text (RFC 4180).
+CSV_FORMAT = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+CSV_WRITE = CSV_FORMAT
+CORRUPT = "_corrupt_record"
+SKIPPED = "path string, reason string, record string"
 
 
 def infer_format(path: str) -> str:
     """Format from the lower-cased file suffix; unknown suffix -> error."""
     suffix = os.path.splitext(path)[1].lower()
     if suffix not in FORMATS:
-        raise LoadError(f"Cannot infer format from extension: {suffix}")
+        raise LoadError(f"no reader for files ending in {suffix!r}: {path}")
     return FORMATS[suffix]
 
 
@@ -65,21 +69,21 @@ def _to_raw(df: DataFrame) -> DataFrame:
     return df.select(*cols, *extra)
 
 
-def keep_columns(df: DataFrame, present) -> DataFrame:
-    """Drop raw columns that no input file has (decoders emit a fixed schema)."""
-    present = set(present)
-    known = {f.name for f in RAW.fields}
-    return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in known or c in present])
+def _csv_rows(spark: SparkSession, paths, header_cols=None, multiline: bool = False) -> DataFrame:
+    reader = spark.read.options(**CSV_FORMAT).option("inferSchema", False).option("mode", "PERMISSIVE").option("multiLine", multiline)
+    if header_cols is not None:
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header_cols, CORRUPT]])
+        # with pruned columns the parser would not see whether a row is whole
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False).schema(schema)
+    return reader.csv([paths] if isinstance(paths, str) else list(paths))
 
 
-def read_csv(spark: SparkSession, paths, header_cols=None) -> DataFrame:
-    """Header CSV, every column a string, null tokens mapped to null."""
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    reader = (spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE")
-              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
-    if header_cols is not None:
-        reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in header_cols]))
-    return null_tokens_to_null(reader.csv(paths))
+def read_csv(spark: SparkSession, paths, header_cols=None, multiline: bool = False) -> DataFrame:
+    """Header CSV (RFC 4180), every column a string, null tokens mapped to
+    null.  ``multiline``: quoted fields may hold line breaks (a file is then one
+    task's work).  With ``header_cols`` a column ``_corrupt_record`` holds the text
+    of rows that have more or fewer fields, which are null elsewhere."""
+    return null_tokens_to_null(_csv_rows(spark, paths, header_cols, multiline))
 
 
 def read_json(spark: SparkSession, paths, multiline: bool = True, schema: T.StructType | None = None) -> DataFrame:
@@ -127,52 +131,62 @@ def list_paths(spark: SparkSession, directory: str) -> list[str]:
     return out
 
 
-def first_line(spark: SparkSession, path: str) -> str | None:
-    """The header line of one file (metadata-sized read on the driver)."""
-    fs, p = _jvm_fs(spark, path)
-    jvm = spark.sparkContext._jvm
-    stream = fs.open(p)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        return reader.readLine()
-    finally:
-        stream.close()
-
-
-def spread_files(files: DataFrame, n_files: int) -> DataFrame:
-    """One binary file per task for CPU-bound decoding (the file source packs
-    small files together); the shuffle moves each file's bytes once."""
-    return files.repartition(max(1, int(n_files)), "path")
-
-
-def load_csv_files(spark: SparkSession, paths) -> DataFrame:
-    """S5 for CSV: files grouped by header so drifting headers still land on
-    the same columns; unreadable files are logged and skipped; fails only when
-    none can be read (U1 is the union by name)."""
-    groups: dict[str, list[str]] = {}
-    failures = []
-
-    def probe(p):
-        try:
-            return p, first_line(spark, p), None
-        except Exception as e:  # noqa: BLE001 - any unreadable file is skipped
-            return p, None, str(e)
-
-    # One header line per file; opens run concurrently (file-system latency,
-    # not data volume, is the cost here).
-    with ThreadPoolExecutor(max_workers=HEADER_PROBE_THREADS) as pool:
-        probed = list(pool.map(probe, paths))
-    for p, h, err in probed:
-        if err is not None or h is None:
-            failures.append((p, err or "empty file"))
-            continue
-        groups.setdefault(h.lstrip("\ufeff").strip(), []).append(p)
-    if failures:
-        log.warning("%d of %d files failed to load: %s", len(failures), len(paths), [f for f, _ in failures])
-    if not groups:
-        raise LoadError("Failed to load any files")
-    frames = [_to_raw(read_csv(spark, files)) for files in groups.values()]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+def _probe_headers(it):
+    """(path, header fields, reason) of each file: its first line only, read in a task."""
+    import csv
+    import io
+
+    import pandas as pd
+
+    from warnindex.sources.storage import open_path
+
+    for pdf in it:
+        rows = []
+        for path in pdf["path"]:
+            try:
+                with open_path(path) as f:
+                    header = next(csv.reader(io.TextIOWrapper(f, encoding="utf-8-sig", newline="")), None)
+                if not header:
+                    raise ValueError("no rows")
+                names = [h.strip() for h in header]
+                if len(set(names)) != len(names):
+                    raise ValueError("a column name occurs twice")
+                miss = lacking(names)
+                if miss:
+                    raise ValueError("no column for " + ", ".join(miss))
+                rows.append((path, names, None))
+            except Exception as e:  # noqa: BLE001 - any unreadable file is skipped
+                rows.append((path, None, f"{type(e).__name__}: {e}"))
+        yield pd.DataFrame(rows, columns=["path", "header", "reason"])
+
+
+def load_csv_files(spark: SparkSession, paths, multiline: bool = False) -> tuple[DataFrame | None, DataFrame, DataFrame | None]:
+    """S5 for CSV: (rows, skipped files, malformed rows).  Files are grouped by header, so drifting headers
+    still land on the same columns (U1 is the union by name); headers are read in
+    tasks, one row of metadata a file reaches the driver.  Files that cannot be read or lack a required column are
+    skipped whole, malformed rows one by one."""
+    paths = list(paths)
+    probe = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, min(len(paths), HEADER_PROBE_TASKS)))
+    groups: dict[tuple, list[str]] = {}
+    bad = []
+    for r in probe.mapInPandas(_probe_headers, "path string, header array<string>, reason string").collect():
+        if r["reason"] is not None:
+            bad.append((r["path"], r["reason"], None))
+        else:
+            groups.setdefault(tuple(r["header"]), []).append(r["path"])
+    frames, malformed = [], None
+    for header, files in sorted(groups.items()):
+        rows = _csv_rows(spark, files, header, multiline)
+        # not a null test: that would be pushed into the parser, which does not know the
+        # column yet; and a second column, as Spark refuses a scan of the corrupt one alone
+        length, any_ = F.length(F.concat_ws("", CORRUPT)), F.length(F.concat_ws("", CORRUPT, f"`{header[0]}`")) >= 0
+        torn, whole = (length > 0) & any_, (length == 0) & any_
+        bad_rows = rows.select(F.col("_metadata.file_path").alias("path"), "*").filter(torn).select(
+            "path", F.lit("fields do not match the header").alias("reason"), F.col(CORRUPT).alias("record"))
+        malformed = bad_rows if malformed is None else malformed.unionByName(bad_rows)
+        frames.append(_to_raw(null_tokens_to_null(rows.filter(whole).drop(CORRUPT))))
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else None
+    return rows, spark.createDataFrame(bad, SKIPPED), malformed
 
 
 def choose_snapshot(spark: SparkSession, directory: str) -> tuple[str, list[str]]:
@@ -185,79 +199,116 @@ def choose_snapshot(spark: SparkSession, directory: str) -> tuple[str, list[str]
         return "csv", csv
     if ods:
         return "ods", [max(ods, key=os.path.basename)]
-    raise FileNotFoundError(f"No CSV or ODS files found in {directory}")
+    raise FileNotFoundError(f"{directory} holds neither CSV nor ODS files")
 
 
-def load_raw(spark: SparkSession, paths, fmt: str | None = None) -> DataFrame:
-    """S4 raw part: one format for all paths (inferred from the first)."""
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    fmt = fmt or infer_format(paths[0])
-    if fmt == "csv":
-        return load_csv_files(spark, paths)
-    if fmt == "json":
-        return read_json(spark, paths)
-    if fmt == "ods":
-        from warnindex.sources.ods import decode_ods, ods_headers
+def load_checked(spark: SparkSession, paths, fmt: str | None = None, multiline: bool = False) -> tuple[DataFrame, DataFrame]:
+    """S4 + S5 raw part: (rows, skipped).  The format of each file is its own
+    (by suffix) unless ``fmt`` says otherwise.  A file that fails to open, to
+    decode or to show the required columns is skipped and named in ``skipped`` (path, reason, record: the text of
+    single malformed CSV rows); the load fails only when nothing is left."""
+    from warnindex.sources import decode
 
-        bins = spread_files(spark.read.format("binaryFile").load(paths), len(paths))
-        return keep_columns(decode_ods(bins), ods_headers(bins))
-    if fmt == "zip":
-        from warnindex.sources.archive import csv_members_to_raw
-
-        bins = spread_files(spark.read.format("binaryFile").load(paths), len(paths))
-        return csv_members_to_raw(bins)
-    raise LoadError(f"Unsupported format: {fmt}")
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    kinds: dict[str, list[str]] = {}
+    unknown = []
+    for p in paths:
+        try:
+            kinds.setdefault(fmt or infer_format(p), []).append(p)
+        except LoadError as e:
+            unknown.append((p, str(e), None))
+    skipped = spark.createDataFrame(unknown, SKIPPED)
+    frames, malformed = [], None
+    for kind, files in sorted(kinds.items()):
+        if kind == "csv":
+            df, bad, malformed = load_csv_files(spark, files, multiline)
+        elif kind in ("json", "ods", "zip"):
+            rows = decode.decode_json(spark, files) if kind == "json" else decode.decode_paths(spark, files, kind)
+            df, bad = decode.assemble(stage_table(rows, f"decoded-{kind}"))
+            bad = bad.withColumn("record", F.lit(None).cast("string"))
+            df = df if df is None else _to_raw(df.drop("_source") if kind != "zip" else df)
+        else:
+            raise LoadError(f"no reader for format {kind!r}")
+        skipped = skipped.unionByName(bad)
+        if df is not None:
+            frames.append(df)
+    n = skipped.count()
+    if n:
+        log.warning("%d of %d files are skipped, the first: %s", n, len(paths),
+                    [tuple(r) for r in skipped.orderBy("path").limit(20).select("path", "reason").collect()])
+    if not frames:
+        raise LoadError(f"none of {len(paths)} files could be read")
+    if malformed is not None:
+        skipped = skipped.unionByName(malformed)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames), skipped
+
+
+def load_raw(spark: SparkSession, paths, fmt: str | None = None, multiline: bool = False) -> DataFrame:
+    """``load_checked`` without the skipped files (they are logged)."""
+    return load_checked(spark, paths, fmt, multiline)[0]
 
 
 def load_warnings(spark: SparkSession, paths, fmt: str | None = None, areas: DataFrame | None = None,
-                  require_offset: bool = False) -> DataFrame:
+                  require_offset: bool = False, multiline: bool = False) -> DataFrame:
     """Raw scan -> P1-P6 -> optional region restriction."""
     from warnindex.plans.flows import prepare_messages
 
-    return prepare_messages(load_raw(spark, paths, fmt), areas, require_offset)
+    return prepare_messages(load_raw(spark, paths, fmt, multiline), areas, require_offset)
 
 
 def load_archives(spark: SparkSession, paths, areas: DataFrame | None = None) -> DataFrame:
-    """S16 + S4: ZIP archives of CSV files -> clean messages (members read in
-    the tasks, CSV lines parsed by Spark)."""
+    """S16 + S4: ZIP archives of CSV files -> clean messages (members read and
+    parsed in the tasks)."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     return load_warnings(spark, paths, "zip", areas)
 
 
 def load_directory(spark: SparkSession, directory: str, areas: DataFrame | None = None,
-                   pattern: str | None = None) -> DataFrame:
+                   pattern: str | None = None, multiline: bool = False) -> DataFrame:
     """S5 + S6: load the files of a landing folder.  Without ``pattern`` the
     snapshot rule picks the files (all CSV, else the newest ODS); with one,
-    every file whose name matches the glob is loaded (format from suffix)."""
+    every file whose name matches the glob is loaded, each in its own format."""
     if pattern is None:
         fmt, paths = choose_snapshot(spark, directory)
-        return load_warnings(spark, paths, fmt, areas)
+        return load_warnings(spark, paths, fmt, areas, multiline=multiline)
     paths = sorted(p for p in list_paths(spark, directory) if fnmatch.fnmatch(os.path.basename(p), pattern))
     if not paths:
-        raise LoadError(f"No files matching '{pattern}' found in {directory}")
-    return load_warnings(spark, paths, None, areas)
+        raise LoadError(f"{directory} holds no file like {pattern!r}")
+    return load_warnings(spark, paths, None, areas, multiline=multiline)
 
 
 # ---- partitioned per-year tables (S7-S9) ---------------------------------------
 
+TIME_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
 def write_yearly(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """One partition per year; only the years present are replaced."""
-    out = df.withColumn("year", F.year("timeRaised")).where(F.col("year").isNotNull())
+    """One partition per year; only the years present are replaced.  Rows are
+    rebalanced by year first: a small year becomes one file, a large one as many
+    as the advisory partition size asks for."""
+    out = df.withColumn("year", F.year("timeRaised")).where(F.col("year").isNotNull()).hint("rebalance", "year")
     w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year")
     if fmt == "csv":
-        w.options(**CSV_WRITE).option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").csv(path)
+        w.options(**CSV_WRITE).option("timestampNTZFormat", TIME_TEXT).option("emptyValue", '""').csv(path)
     else:
         w.format(fmt).save(path)
 
 
-def read_year(spark: SparkSession, path: str, year: int | None = None, fmt: str = "parquet") -> DataFrame:
-    """Read back (all years, or one by partition pruning); a missing year
-    is an empty frame, not an error."""
+def read_year(spark: SparkSession, path: str, year: int | None = None, fmt: str = "parquet",
+              schema: T.StructType | None = None) -> DataFrame:
+    """Read back (all years, or one by partition pruning) with declared types:
+    the message table's and those of ``schema`` for further columns.  A missing
+    year or table is an empty frame of those types, not an error."""
+    known = {f.name: f for f in [*WARNINGS.fields, *(schema.fields if schema is not None else [])]}
+    fs, p = _jvm_fs(spark, path)
+    if not fs.exists(p):
+        return spark.createDataFrame([], T.StructType([*known.values(), T.StructField("year", T.IntegerType())]))
     if fmt == "csv":
-        df = (spark.read.option("header", True)
-              .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-              .option("inferSchema", False).csv(path))
-        df = df.withColumn("timeRaised", F.col("timeRaised").cast("timestamp_ntz"))
+        # the header, from one file's first line, says which columns there are
+        header = spark.read.options(**CSV_FORMAT).option("inferSchema", False).csv(path).columns
+        fields = [known.get(c, T.StructField(c, T.IntegerType() if c == "year" else T.StringType())) for c in header]
+        df = (spark.read.options(**CSV_FORMAT).option("timestampNTZFormat", TIME_TEXT).option("emptyValue", "")
+              .schema(T.StructType(fields)).csv(path))
     else:
         df = spark.read.format(fmt).load(path)
     return df if year is None else df.where(F.col("year") == F.lit(year))
@@ -282,9 +333,11 @@ def discover_years(spark: SparkSession, path: str, first_year: int | None = TREN
 
 # ---- landed pages, areas, baseline (S13-S15, S17) ------------------------------
 
-def read_landed_pages(spark: SparkSession, paths) -> DataFrame:
-    """API response pages ({"items": [...], "meta": {...}}) -> one row per item."""
-    pages = spark.read.option("multiLine", False).json(paths)
+def read_landed_pages(spark: SparkSession, paths, multiline: bool = True, item_schema: T.StructType = ITEMS) -> DataFrame:
+    """API response pages ({"items": [...], "meta": {...}}) -> one row per item,
+    of the declared fields.  ``multiline``: a file is one document, however it is
+    indented; else every line is one."""
+    pages = spark.read.option("multiLine", multiline).schema(T.StructType([T.StructField("items", T.ArrayType(item_schema))])).json(paths)
     return pages.select(F.explode("items").alias("item")).select("item.*")
 
 

@@ -1,11 +1,10 @@
-"""S3: OpenDocument spreadsheet scan.
-
-``spark.read.format("binaryFile")`` lists the files; ``mapInPandas`` decodes
-each file in one task with the standard library (zip + streaming XML), first
-sheet only, first row as header.  Repeated cells/rows
-(``number-columns-repeated`` / ``number-rows-repeated``) are expanded; date
-cells give their ISO value, numbers their value text.  Output is the raw
-all-string schema plus the source path, so the usual normalisation applies.
+"""S3: rows of OpenDocument spreadsheets (read in tasks by ``sources.decode``).
+
+The standard library streams the XML of the first sheet.  Repeated cells and rows
+(``number-columns-repeated`` / ``number-rows-repeated``) are expanded; a run
+of empty cells costs nothing until a filled one follows.  Date cells give
+their ISO value, numbers their value text, text cells their own paragraphs
+(not those of a comment).
 """
 
 from __future__ import annotations
@@ -14,13 +13,6 @@ import io
 import zipfile
 from xml.etree import ElementTree as ET
 
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from warnindex.schema import RAW
-
 NS = {
     "office": "urn:oasis:names:tc:opendocument:xmlns:office:1.0",
     "table": "urn:oasis:names:tc:opendocument:xmlns:table:1.0",
@@ -29,9 +21,6 @@ NS = {
 _T = "{%s}" % NS["table"]
 _O = "{%s}" % NS["office"]
 _X = "{%s}" % NS["text"]
-OUT = T.StructType(list(RAW.fields) + [T.StructField("_source", T.StringType())])
-# Rows decoded per Arrow batch handed back to Spark.
-BATCH_ROWS = 10_000
 
 
 def _para_text(el) -> str:
@@ -61,82 +50,43 @@ def _cell_value(cell) -> str | None:
         return cell.get(_O + "value")
     if vt == "boolean":
         return cell.get(_O + "boolean-value")
-    parts = [_para_text(p) for p in cell.iter(_X + "p")]
+    parts = [_para_text(p) for p in cell if p.tag == _X + "p"]
     return "\n".join(parts) if parts else None
 
 
-def iter_sheet_rows(content: bytes):
-    """Rows (lists of str|None) of the first sheet, repeats expanded, fully
-    empty rows skipped."""
-    with zipfile.ZipFile(io.BytesIO(content)) as z:
-        with z.open("content.xml") as fh:
-            depth_table = 0
-            for event, el in ET.iterparse(fh, events=("start", "end")):
-                if el.tag == _T + "table":
-                    if event == "start":
-                        depth_table += 1
-                    else:
-                        return  # first sheet done
-                if event != "end" or el.tag != _T + "table-row" or depth_table != 1:
+def iter_sheet_rows(source):
+    """Rows (lists of str|None) of the first sheet of a file (bytes or an open
+    binary file), repeats expanded, fully empty rows skipped.  A table inside a
+    cell is not part of the sheet."""
+    with zipfile.ZipFile(io.BytesIO(source) if isinstance(source, bytes) else source) as z, z.open("content.xml") as fh:
+        depth = 0
+        for event, el in ET.iterparse(fh, events=("start", "end")):
+            if el.tag == _T + "table":
+                depth += 1 if event == "start" else -1
+                if depth == 0:
+                    return  # first sheet done
+                continue
+            if event != "end" or el.tag != _T + "table-row" or depth != 1:
+                continue
+            row: list[str | None] = []
+            empty = 0  # cells not written yet
+            for cell in el:
+                if cell.tag not in (_T + "table-cell", _T + "covered-table-cell"):
                     continue
-                row: list[str | None] = []
-                for cell in el:
-                    if cell.tag not in (_T + "table-cell", _T + "covered-table-cell"):
-                        continue
-                    rep = int(cell.get(_T + "number-columns-repeated", "1"))
-                    v = _cell_value(cell)
-                    if v is None and rep > 1:
-                        row.extend([None] * min(rep, 1024))  # trailing filler
-                    else:
-                        row.extend([v] * rep)
-                while row and row[-1] is None:
-                    row.pop()
-                rrep = int(el.get(_T + "number-rows-repeated", "1"))
-                el.clear()
-                if not row:
-                    continue
-                for _ in range(rrep):
-                    yield row
-
-
-def _decode_batches(it):
-    names = [f.name for f in RAW.fields]
-    for pdf in it:
-        for path, content in zip(pdf["path"], pdf["content"]):
-            header = None
-            buf = []
-            for row in iter_sheet_rows(bytes(content)):
-                if header is None:
-                    header = [(h or "").strip() for h in row]
-                    idx = {n: header.index(n) for n in names if n in header}
-                    continue
-                buf.append([row[idx[n]] if n in idx and idx[n] < len(row) else None for n in names] + [path])
-                if len(buf) >= BATCH_ROWS:
-                    yield pd.DataFrame(buf, columns=names + ["_source"])
-                    buf = []
-            if buf:
-                yield pd.DataFrame(buf, columns=names + ["_source"])
-
-
-def _header_batches(it):
-    for pdf in it:
-        rows = []
-        for path, content in zip(pdf["path"], pdf["content"]):
-            first = next(iter_sheet_rows(bytes(content)), None)
-            rows.append((path, [(h or "").strip() for h in (first or [])]))
-        yield pd.DataFrame(rows, columns=["path", "header"])
-
-
-def ods_headers(files: DataFrame) -> set[str]:
-    """Column names found in the first row of any file (stops at that row;
-    one small row per file reaches the driver)."""
-    h = files.select("path", "content").mapInPandas(_header_batches, "path string, header array<string>")
-    return {c for r in h.select(F.explode("header").alias("c")).distinct().collect() for c in [r.c]}
-
-
-def decode_ods(files: DataFrame) -> DataFrame:
-    """``files``: (path, content) rows as from the binaryFile source."""
-    return files.select("path", "content").mapInPandas(_decode_batches, OUT)
+                rep = int(cell.get(_T + "number-columns-repeated", "1"))
+                v = _cell_value(cell)
+                if v is None:
+                    empty += rep
+                else:
+                    row.extend([None] * empty)
+                    empty = 0
+                    row.extend([v] * rep)
+            rrep = int(el.get(_T + "number-rows-repeated", "1"))
+            el.clear()
+            if not row:
+                continue
+            for _ in range(rrep):
+                yield row
 
 
 # ---- writer (fixtures and exports) -------------------------------------------

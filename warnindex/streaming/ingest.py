@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from warnindex.plans.flows import prepare_messages
-from warnindex.sources.files import null_tokens_to_null
+from warnindex.sources.files import CSV_FORMAT, null_tokens_to_null
 
 # Column layout expected in streamed files (checked against each file's header).
 LANDED_COLUMNS = ("DATE", "CODE", "TYPE", "WARNING / ALERT AREA NAME", "AREA")
@@ -27,8 +27,7 @@ def landed_stream(spark: SparkSession, landing_dir: str, columns=LANDED_COLUMNS,
                   max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming scan of header CSV files; every column read as text."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    r = (spark.readStream.schema(schema).option("header", True).option("enforceSchema", False)
-         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+    r = spark.readStream.schema(schema).options(**CSV_FORMAT).option("enforceSchema", False)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
     return null_tokens_to_null(r.csv(landing_dir))
