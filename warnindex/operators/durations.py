@@ -6,19 +6,15 @@ one task, so one very busy area (a third of all rows, say) would be one
 task.  Instead the window is split by fixed time buckets:
 
 1. ``lead`` over ``(scope, bucket)`` gives the next message inside the bucket;
-2. the last message of a bucket takes the first time of the next non-empty
-   bucket of its area: bucket heads are a partial+final ``min`` per
-   ``(scope, bucket)`` (at most one row per bucket, never more rows than the
-   input), a ``lead`` over the heads of one area (one row per non-empty bucket
-   of that area, bounded by its time span / bucket width), and a join back on
-   ``(scope, bucket)`` that reuses the window's hash partitioning.
-
-The heads branch re-reads the input's area and time columns; when the input
-is expensive to produce (parsed text files, a large join), stage it once as a
-table in the shared folder (``warnindex.sources.files.stage_table``).
-
-The result is exactly the unsplit lead for any bucket width; the width only
-bounds the largest task (messages of one area in one bucket).
+2. the first and the last message of every bucket then meet in a second window
+   over the area (at most two rows per non-empty bucket), where the last one finds the head of
+   the next bucket; all other rows are spread over many groups of that window
+   and pass through.  With ``coarse_bucket_seconds`` there is a level in between.
+
+The input is computed once and nothing is joined; windows group null area
+codes like any other value.  The result is exactly the unsplit lead for any
+bucket width; the width only bounds the largest task (messages of one area
+in one bucket, or buckets of one area).
 """
 
 from __future__ import annotations
@@ -34,6 +30,8 @@ from warnindex.schema import require_columns
 _EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
 # Null times never get a gap; they are spread over this many window groups.
 _NULL_TIME_SALT = 1024
+# Rows that are no end of a bucket are spread over this many groups per scope.
+_SPREAD = 1024
 
 
 def tie_break_columns(df: DataFrame, id_col: str | None = None) -> list[str]:
@@ -50,7 +48,7 @@ def scope_columns(params: DurationParams) -> list[str]:
     return ["fwdCode"] if params.gap_scope == "all" else ["_scope_year", "fwdCode"]
 
 
-def _with_window_keys(df: DataFrame, p: DurationParams, ties: list[str], t: Column) -> DataFrame:
+def _with_window_keys(df: DataFrame, p: DurationParams, t: Column) -> DataFrame:
     d = df
     if p.gap_scope == "year":
         d = d.withColumn("_scope_year", F.year(t))
@@ -72,7 +70,7 @@ def window_group_sizes(df: DataFrame, params: DurationParams | None = None, id_c
     """Diagnostic: rows per window group (the unit one task sorts), largest
     first -- bounded by messages per area and bucket, not per area."""
     p = params or DurationParams()
-    d = _with_window_keys(df, p, tie_break_columns(df, id_col), F.col(time_col))
+    d = _with_window_keys(df, p, F.col(time_col))
     keys = scope_columns(p) + ["_bucket", "_salt"]
     return d.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).orderBy(F.col("rows").desc())
 
@@ -88,53 +86,30 @@ def with_next_time(df: DataFrame, params: DurationParams | None = None, id_col:
     t = F.col(time_col)
     ties = tie_break_columns(df, id_col)
     scope = scope_columns(p)
-    d = _with_window_keys(df, p, ties, t)
-    keys = scope + ["_bucket", "_salt"]
-    w = Window.partitionBy(*keys).orderBy(*([t] + [F.col(c).asc_nulls_first() for c in ties]))
-    main = d.withColumn("_lead_in_bucket", F.lead(t).over(w))
-
-    # Bucket heads.  This branch reads only the area and time columns, and the
-    # partial aggregate leaves one row per (area, bucket) and task before the
-    # shuffle.  ``_salt`` is data (0 whenever there is a time), not a literal,
-    # so the join keys equal the window keys and the messages are not
-    # shuffled a second time for the join.
-    heads = d.where(t.isNotNull()).groupBy(*keys).agg(F.min(t).alias("_head_time"))
-    if p.coarse_bucket_seconds is None:
-        hw = Window.partitionBy(*scope).orderBy("_bucket")
-        next_heads = heads.select(*keys, F.lead("_head_time").over(hw).alias("_next_head_time"))
-    else:
-        next_heads = _next_heads_two_level(heads, scope, keys, p.coarse_bucket_seconds // p.bucket_seconds)
-    out = main.join(next_heads, on=keys, how="left")
-    out = out.withColumn("_next_time", F.when(t.isNotNull(), F.coalesce("_lead_in_bucket", "_next_head_time")))
-    return out.drop("_bucket", "_salt", "_lead_in_bucket", "_next_head_time", "_scope_year")
-
-
-def _next_heads_two_level(heads: DataFrame, scope: list[str], keys: list[str], ratio: int) -> DataFrame:
-    """Next bucket head through coarse buckets: the heads of one coarse bucket
-    (at most ``ratio`` rows) are ordered together; the last one takes the
-    first head of the next non-empty coarse bucket, found by a lead over the
-    coarse heads of the area (bounded by time span / coarse width)."""
-    h = heads.withColumn("_coarse", F.floor(F.col("_bucket") / F.lit(ratio)).cast("bigint"))
-    w2 = Window.partitionBy(*scope, "_coarse").orderBy("_bucket")
-    h = h.withColumn("_lead_head", F.lead("_head_time").over(w2)).withColumn(
-        "_first_in_coarse", F.row_number().over(w2) == 1)
-    coarse = h.where(F.col("_first_in_coarse")).select(*scope, "_coarse", F.col("_head_time").alias("_c_head"))
-    w3 = Window.partitionBy(*scope).orderBy("_coarse")
-    coarse = coarse.select(*scope, "_coarse", F.lead("_c_head").over(w3).alias("_next_c_head"))
-    h = h.join(coarse, [*scope, "_coarse"], "left")
-    return h.select(*keys, F.coalesce("_lead_head", "_next_c_head").alias("_next_head_time"))
-
-
-def duration_seconds(gap: Column, level: Column, update: Column, params: DurationParams) -> Column:
-    """Null gap or gap > max -> default; update -> gap; else min(gap, default).
-
-    F11 (``when`` chain), F12 (``least``; no null reaches it), F13 (null test)."""
-    d = default_seconds(level, params)
-    return (
-        F.when(gap.isNull() | (gap > F.lit(params.max_gap_seconds)), d)
-        .when(update, gap)
-        .otherwise(F.least(gap, d))
-    )
+    d = _with_window_keys(df, p, t)
+    w = Window.partitionBy(*scope, "_bucket", "_salt").orderBy(*([t] + [F.col(c).asc_nulls_first() for c in ties]))
+    d = d.withColumns({"_next_time": F.lead(t).over(w), "_pos": F.row_number().over(w), "_end": F.lead(F.lit(1)).over(w).isNull()})
+    # the ends of a group, in order, as long as they still matter: first its head, then its last row
+    d = d.withColumn("_at", F.when(t.isNotNull() & (F.col("_end") | (F.col("_pos") == 1)), F.col("_pos")))
+    if p.coarse_bucket_seconds is not None:
+        ratio = p.coarse_bucket_seconds // p.bucket_seconds
+        d = _link_ends(d, scope, F.floor(F.col("_bucket") / F.lit(ratio)).cast("bigint"), t)
+    d = _link_ends(d, scope, F.lit(0).cast("bigint"), t)
+    return d.drop("_bucket", "_salt", "_scope_year", "_pos", "_end", "_at")
+
+
+def _link_ends(d: DataFrame, scope: list[str], group: Column, t: Column) -> DataFrame:
+    """Among the end rows (``_at`` not null) of each (scope, group): the last row of a bucket
+    takes the time of the next row, which is the head of the next non-empty bucket.
+    Only the group's own head and last row stay end rows.  All other rows are
+    spread by their bucket and a hash, where they order nothing."""
+    end = F.col("_at").isNotNull()
+    d = d.withColumns({"_group": F.when(end, group), "_spread": F.when(~end, F.pmod(F.xxhash64("_bucket", "_pos"), F.lit(_SPREAD)))})
+    w = Window.partitionBy(*scope, "_group", "_spread").orderBy(F.when(end, F.col("_bucket")), "_at")
+    d = d.withColumns({"_lead": F.lead(t).over(w), "_rank": F.row_number().over(w), "_closes": F.lead(F.lit(1)).over(w).isNull()})
+    d = d.withColumn("_next_time", F.when(end & F.col("_end") & F.col("_next_time").isNull(), F.col("_lead")).otherwise(F.col("_next_time")))
+    d = d.withColumn("_at", F.when(end & ((F.col("_rank") == 1) | F.col("_closes")), F.col("_at")))
+    return d.drop("_group", "_spread", "_lead", "_rank", "_closes")
 
 
 def calculate_durations(df: DataFrame, params: DurationParams | None = None,
@@ -156,7 +131,8 @@ def calculate_durations(df: DataFrame, params: DurationParams | None = None,
         f"CAST({sql_case('severityLevel', p.default_seconds, p.fallback_seconds)} AS BIGINT) AS _default_s",
         f"CAST({sql_case('severityLevel', p.int_weights, int(p.fallback_weight))} AS BIGINT) AS weight",
     )
-    # P12 (same branch order as duration_seconds())
+    # Null gap or gap > max -> default; update -> gap; else min(gap, default).
+    # F11 (branches in order), F12 (``least``; no null reaches it), F13 (null test)
     d = d.selectExpr(
         *keep, "is_update", "gap_seconds", "weight",
         f"""CAST(CASE WHEN gap_seconds IS NULL OR gap_seconds > {p.max_gap_seconds} THEN _default_s
