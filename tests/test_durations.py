@@ -202,14 +202,14 @@ def brute(rows, scope, p):
 
 BASE = datetime(2023, 12, 30, 0, 0, 0)
 row_st = st.tuples(
-    st.sampled_from(["a", "b", "c"]),
+    st.sampled_from(["a", "b", None]),
     st.one_of(st.none(), st.integers(min_value=0, max_value=6 * 24 * 3600).map(
         lambda s: BASE + timedelta(seconds=s, microseconds=(s * 7919) % 1000000))),
     st.sampled_from(TEXTS),
 )
 
 
-@settings(max_examples=16, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=24, deadline=None, suppress_health_check=list(HealthCheck))
 @given(rows=st.lists(row_st, min_size=0, max_size=25), scope=st.sampled_from(["all", "year"]),
        bucket=st.sampled_from([1, 600, 3600, 86400, 10 * 365 * 86400]), coarse=st.sampled_from([None, 2, 24]))
 def test_brute_force_matches(spark, rows, scope, bucket, coarse):
@@ -300,3 +300,34 @@ def test_burst_in_one_hour_is_split_with_two_levels(spark):
     w = Window.partitionBy("fwdCode").orderBy("timeRaised", "severityLevel", "severity", "msg_id")
     plain = base.withColumn("g", F.timestamp_diff("SECOND", "timeRaised", F.lead("timeRaised").over(w)))
     assert got == {r.msg_id: r.g for r in plain.collect()}
+
+
+def test_null_codes_are_one_area_at_any_width(msgs):
+    rows = [(None, "2024-01-01T00:00:00", "Flood Alert", 3), (None, "2024-01-01T05:00:00", "Flood Alert", 3)]
+    for width in (60, 3600, 86400):
+        got = by_id(calculate_durations(msgs(rows), DurationParams(gap_scope="all", bucket_seconds=width)), "gap_seconds")
+        assert got == {0: (18000,), 1: (None,)}
+
+
+def test_fractional_weights_sum_exactly(spark, msgs):
+    from warnindex.operators.scoring import annual_by_class
+
+    p = DurationParams(gap_scope="all", weights={3: 0.1}, fallback_weight=0.3)
+    rows = [("A", f"2024-01-{d:02d}T00:00:00", "Flood Alert", 3) for d in range(1, 31)]
+    d = calculate_durations(msgs(rows), p)
+    assert dict(d.dtypes)["weight"] == "decimal(9,4)"
+    # 29 gaps of 24 h and one default of 48 h, times a tenth
+    assert annual_by_class(d).collect()[0].total_score == (29 * 24 + 48) / 10
+
+
+def test_input_is_read_once(spark):
+    from warnindex.plans.flows import orders_annual_index
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = orders_annual_index(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("orders.parquet") == 1
+    assert len(re.findall(r"(?:SortMergeJoin|ShuffledHashJoin) \[o_custkey", plan)) == 1

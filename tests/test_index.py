@@ -146,3 +146,28 @@ def test_staged_input_gives_the_same_index(spark):
     p, ip = DurationParams(), IndexParams(baseline_year=1995)
     assert sorted(map(tuple, annual_index(msgs, p, ip, stage_input=True).collect())) == \
         sorted(map(tuple, annual_index(msgs, p, ip).collect()))
+
+
+def test_absent_baseline_year_gives_no_index(spark, msgs):
+    from warnindex.operators.durations import calculate_durations
+    from warnindex.operators.index import calculate_indicators
+    from warnindex.params import DurationParams, IndexParams
+
+    d = calculate_durations(msgs([("A", "2024-01-01T00:00:00", "Flood Alert", 3)]), DurationParams())
+    r = calculate_indicators(d, IndexParams(baseline_year=1999)).collect()[0]
+    assert (r.fluvial_index, r.coastal_index, r.composite_index) == (None, None, None) and r.fluvial_score_raw == 48.0
+
+
+def test_stored_baseline_feeds_the_index(spark, msgs, tmp_path):
+    import pytest
+
+    from warnindex.plans.flows import index_from_stored_baseline
+    from warnindex.sources import files
+
+    m = msgs([("A", "2024-01-01T00:00:00", "Flood Alert", 3)])
+    with pytest.raises(files.LoadError):
+        index_from_stored_baseline(m, str(tmp_path / "none"))
+    files.write_baseline(spark.createDataFrame([(2020, 96.0, 10.0, 106.0)], "year int, fluvial_score double, coastal_score double, total_score double"),
+                         str(tmp_path / "b"))
+    assert files.load_baseline(spark, str(tmp_path / "b")).fluvial_score == 96.0
+    assert index_from_stored_baseline(m, str(tmp_path / "b")).collect()[0].fluvial_index == 50.0

@@ -23,9 +23,15 @@ def test_weights_must_sum_to_one():
         IndexParams(0.6, 0.5)
 
 
-def test_fractional_weight_rejected_and_scope_checked():
-    with pytest.raises(ValueError):
-        DurationParams(weights={1: 1.5})
+def test_weights_are_exact_and_scope_checked():
+    from decimal import Decimal
+
+    p = DurationParams(weights={1: 1.5, 2: 1})
+    assert p.weight_type == "DECIMAL(9,4)" and p.exact_weights == {1: Decimal("1.5"), 2: Decimal(1), None: Decimal(0)}
+    assert DurationParams(weights={1: 2.0}).exact_weights == {1: 2, None: 0}
+    for bad in (0.12345, 1e6, float("nan"), float("inf")):
+        with pytest.raises(ValueError):
+            DurationParams(weights={1: bad})
     with pytest.raises(ValueError):
         DurationParams(gap_scope="month")
     with pytest.raises(ValueError):

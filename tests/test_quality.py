@@ -90,4 +90,25 @@ def test_area_coverage(spark):
 
 def test_validate_with_examples(spark):
     got = {r.category: r.examples for r in quality.validate(frame(spark), examples=True).collect()}
-    assert len(got["Timestamp Inconsistency"]) == 1 and got["Duplicate Records"] is None
+    assert len(got["Timestamp Inconsistency"]) == 1
+    assert got["Duplicate Records"] == ['{"fwdCode":"B","severityLevel":2,"timeRaised":"2024-01-01T00:00:00.000","count":3}']
+    assert [x[:14] for x in got["Incomplete Warning Lifecycles"]] == ['{"fwdCode":"A"', '{"fwdCode":"C"']
+    by = {(r.year, r.category): r.examples for r in quality.validate(frame(spark), by_year=True, examples=True).collect()}
+    assert len(by[2024, "Duplicate Records"]) == 1 and len(by[None, "Missing timeRaised"]) == 1
+
+
+def test_report_documents_and_run_metrics(spark, tmp_path):
+    from warnindex.sources.sinks import run_metrics, write_quality_reports
+
+    docs = quality.report_documents(frame(spark), by_year=True)
+    write_quality_reports(docs, str(tmp_path / "q"))
+    back = spark.read.schema(docs.schema).json(str(tmp_path / "q")).collect()
+    assert [(r.year, r.total_records, r.error_count) for r in back] == [(2024, 9, 2)]
+    assert [i.check_order for i in back[0].issues] == sorted(i.check_order for i in back[0].issues)
+    failed = spark.createDataFrame([(2022, "load"), (2025, "validation")], "year int, stage string")
+    rep = spark.createDataFrame([(2024, 9, False), (2025, 3, True)], "year int, total_records long, passed boolean")
+    got = {r.year: r for r in run_metrics(rep, range(2022, 2026), failed).collect()}
+    assert [got[y].load_status for y in sorted(got)] == ["failed", "empty", "success", "success"]
+    assert [got[y].validation_status for y in sorted(got)] == ["skipped", "skipped", "success", "failed"]
+    assert [got[y].success for y in sorted(got)] == [False, False, True, False] and got[2024].success_rate_pct == 25.0
+    assert got[2024].validation_passed is False and got[2023].validation_passed is None

@@ -39,3 +39,8 @@ def test_summary_report_bundle(spark):
     rep = summary_report(df)
     assert set(rep) == {"summary", "severity_distribution", "missing_timestamps", "tidal_distribution"}
     assert rep["missing_timestamps"].collect()[0].missing_timeRaised == 0
+
+
+def test_summary_of_nothing(spark):
+    r = data_summary(spark.createDataFrame([], "fwdCode string, timeRaised timestamp_ntz")).collect()[0]
+    assert (r.total_records, r.unique_warning_areas, r.earliest) == (0, 0, None)

@@ -53,9 +53,9 @@ def is_update(c="severity") -> Column:
 
 
 def sql_case(col_sql: str, mapping: dict, default) -> str:
-    """``CASE col WHEN k THEN v ... ELSE default END`` for integer maps (SQL text)."""
-    whens = " ".join(f"WHEN {int(k)} THEN {int(v)}" for k, v in mapping.items())
-    return f"CASE {col_sql} {whens} ELSE {int(default)} END"
+    """``CASE col WHEN k THEN v ... ELSE default END`` for maps of exact numbers (SQL text)."""
+    whens = " ".join(f"WHEN {int(k)} THEN {v}" for k, v in mapping.items())
+    return f"CASE {col_sql} {whens} ELSE {default} END"
 
 
 def default_seconds(level="severityLevel", params: DurationParams | None = None) -> Column:
@@ -65,4 +65,5 @@ def default_seconds(level="severityLevel", params: DurationParams | None = None)
 
 def weight(level="severityLevel", params: DurationParams | None = None) -> Column:
     p = params or DurationParams()
-    return _case(_col(level), p.int_weights, int(p.fallback_weight)).cast("bigint")
+    w = p.exact_weights
+    return _case(_col(level), {k: v for k, v in w.items() if k is not None}, w[None]).cast(p.weight_type)

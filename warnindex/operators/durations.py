@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from warnindex.functions.severity import default_seconds, is_update, sql_case
+from warnindex.functions.severity import is_update, sql_case
 from warnindex.functions.timeparse import seconds_between
 from warnindex.params import DURATION_REQUIRED_COLUMNS, DurationParams
 from warnindex.schema import require_columns
@@ -116,20 +116,23 @@ def calculate_durations(df: DataFrame, params: DurationParams | None = None,
                         id_col: str | None = None) -> DataFrame:
     """Scored messages: input columns plus is_update, gap_seconds,
     gap_to_next_hours, duration_seconds, duration_hours, weight,
-    score_seconds, score.  Seconds are BIGINT (exact sums); hours = s/3600.
+    score_seconds, score.  Seconds are BIGINT and weights BIGINT or DECIMAL (exact
+    sums); hours = s/3600.
 
     P15/F18: an empty input needs no special case -- the schema is static, so
     an empty frame comes back with the added (typed) columns."""
     p = params or DurationParams()
     require_columns(df, DURATION_REQUIRED_COLUMNS, "calculate_durations")
     keep = [f"`{c}`" for c in df.columns]
+    w = p.exact_weights
+    total = "BIGINT" if p.weight_type == "BIGINT" else "DECIMAL(28,4)"
     d = with_next_time(df, p, id_col).withColumn("is_update", is_update("severity"))
     d = d.selectExpr(
         *keep,
         "is_update",
         "timestampdiff(SECOND, timeRaised, _next_time) AS gap_seconds",
         f"CAST({sql_case('severityLevel', p.default_seconds, p.fallback_seconds)} AS BIGINT) AS _default_s",
-        f"CAST({sql_case('severityLevel', p.int_weights, int(p.fallback_weight))} AS BIGINT) AS weight",
+        f"CAST({sql_case('severityLevel', {k: v for k, v in w.items() if k is not None}, w[None])} AS {p.weight_type}) AS weight",
     )
     # Null gap or gap > max -> default; update -> gap; else min(gap, default).
     # F11 (branches in order), F12 (``least``; no null reaches it), F13 (null test)
@@ -146,8 +149,8 @@ def calculate_durations(df: DataFrame, params: DurationParams | None = None,
         "duration_seconds",
         "duration_seconds / 3600.0D AS duration_hours",
         "weight",
-        "duration_seconds * weight AS score_seconds",
-        "(duration_seconds * weight) / 3600.0D AS score",
+        f"CAST(duration_seconds * weight AS {total}) AS score_seconds",
+        "CAST(duration_seconds * weight AS DOUBLE) / 3600.0D AS score",
     )
 
 

@@ -39,8 +39,9 @@ def baseline_row(annual: DataFrame, params: IndexParams) -> Column:
 
 
 def _index(score: Column, base: Column) -> Column:
-    """Score / baseline * 100, or 0.0 when the baseline is not positive."""
-    return F.when(base > F.lit(0.0), score / base * F.lit(100.0)).otherwise(F.lit(0.0))
+    """Score / baseline * 100, or 0.0 when the baseline is not positive; null
+    when there is no baseline (its year is not in the data)."""
+    return F.when(base > F.lit(0.0), score / base * F.lit(100.0)).when(base.isNotNull(), F.lit(0.0))
 
 
 def indicators_from_annual(annual: DataFrame, params: IndexParams | None = None) -> DataFrame:

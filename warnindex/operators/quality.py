@@ -163,14 +163,27 @@ def validate(df: DataFrame, max_days: int = MAX_WARNING_DURATION_DAYS, by_year:
     category, message, count, subtracts_valid).  ``by_year``: the same checks
     for every calendar year of ``timeRaised`` in one job (leading ``year``
     column), instead of one job per year.  ``examples`` adds up to three
-    offending rows (JSON) to the row-level issues (O5; whole-report only)."""
+    examples (JSON) to the issues that have some (O5)."""
     out = _issues(df, max_days, by_year).where(F.col("check_order").isNotNull()).drop("total_records")
-    if examples and not by_year:
-        # both sides hold a handful of rows (one per issue / category)
-        out = out.join(issue_examples(df, ISSUE_EXAMPLES, max_days), "category", "left")
+    if examples:
+        # both sides hold a handful of rows (one per issue / category and year)
+        ex = issue_examples(df, ISSUE_EXAMPLES, max_days, by_year).withColumnsRenamed({"category": "_cat", "year": "_year"})
+        on = F.col("category") == F.col("_cat")
+        if by_year:
+            on = on & F.col("year").eqNullSafe(F.col("_year"))
+        out = out.join(ex, on, "left").drop("_cat", "_year")
     return out
 
 
+def report_documents(df: DataFrame, max_days: int = MAX_WARNING_DURATION_DAYS, by_year: bool = False) -> DataFrame:
+    """One row per report (or year): the header of A18 and ``issues``, the issue rows in order."""
+    keys = ["year"] if by_year else []
+    i = _issues(df, max_days, by_year)
+    one = F.struct(*[F.col(f.name) for f in ISSUE_SCHEMA.fields])
+    lists = i.groupBy(*keys).agg(*_report_aggs(), F.array_sort(F.collect_list(F.when(F.col("check_order").isNotNull(), one))).alias("issues"))
+    return lists
+
+
 def _s(text: str) -> str:
     """A Spark SQL string literal."""
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -285,26 +298,35 @@ def report(df: DataFrame, max_days: int = MAX_WARNING_DURATION_DAYS, by_year: bo
     """One row: total, valid (minus the error counts of V2, V4, V8 -- a
     row failing two checks is subtracted twice, N15), passed (no error), and
     the numbers of errors / warnings / infos."""
-    issues = _issues(df, max_days, by_year)
+    return _issues(df, max_days, by_year).groupBy(*(["year"] if by_year else [])).agg(*_report_aggs())
+
+
+def _report_aggs() -> list[Column]:
     sev = F.col("severity")
     total = F.max("total_records")
-    return issues.groupBy(*(["year"] if by_year else [])).agg(
+    return [
         total.alias("total_records"),
         (total - F.coalesce(F.sum(F.when(F.col("subtracts_valid"), F.col("count"))), F.lit(0))).alias("valid_records"),
         (F.count_if(sev == "error") == 0).alias("passed"),
         F.count_if(sev == "error").alias("error_count"),
         F.count_if(sev == "warning").alias("warning_count"),
         F.count_if(sev == "info").alias("info_count"),
-    )
+    ]
 
 
 # ---- examples (O5) -----------------------------------------------------------
 
-def issue_examples(df: DataFrame, k: int = ISSUE_EXAMPLES, max_days: int = MAX_WARNING_DURATION_DAYS) -> DataFrame:
-    """Up to ``k`` offending rows (as JSON) per row-level check, smallest
-    (area, time) first.  ``row_number() <= k`` lets Spark cut each partition to
-    k rows per check before the shuffle, so no check's rows gather whole; only
+def issue_examples(df: DataFrame, k: int = ISSUE_EXAMPLES, max_days: int = MAX_WARNING_DURATION_DAYS,
+                   by_year: bool = False) -> DataFrame:
+    """Up to ``k`` examples (as JSON) per check, whole or per year: offending rows for the
+    row-level checks, key groups with their counts for the duplicates, areas with their level range
+    for the incomplete ones; smallest (area, time) first.  ``row_number() <= k`` lets Spark cut each
+    partition to k rows per check before the shuffle, so no check's rows gather whole; only
     the kept rows are turned into JSON."""
+    if by_year:
+        df = df.withColumn("year", F.year("timeRaised"))
+    grp = ["year"] if by_year else []
+    own = [c for c in df.columns if c not in grp]
     checks = []
     if _has(df, "timeRaised"):
         checks.append((CAT_NULL_RAISED, F.col("timeRaised").isNull()))
@@ -312,28 +334,39 @@ def issue_examples(df: DataFrame, k: int = ISSUE_EXAMPLES, max_days: int = MAX_W
         checks.append((CAT_INVALID_LEVEL, invalid_level()))
     if _has(df, "timeRaised", "timeSeverityChanged"):
         checks.append((CAT_INCONSISTENT, _both_times(df) & (F.col("timeSeverityChanged") < F.col("timeRaised"))))
-    order_cols = [c for c in ("fwdCode", "timeRaised", "severityLevel", "msg_id") if c in df.columns]
+    order = [c for c in ("fwdCode", "timeRaised", "severityLevel", "msg_id") if c in df.columns]
     cats = F.filter(F.array(*[F.when(cond, F.lit(cat)) for cat, cond in checks]), lambda x: x.isNotNull())
-    every = [F.col(f"`{c}`") for c in df.columns]
     atomic = all(isinstance(f.dataType, T.AtomicType) for f in df.schema.fields)
-    # Final tie-break: the whole row, column by column (a total order SQL can
-    # state too); a hash when some column is not orderable.  Equal rows give
-    # equal JSON, whichever is kept.
-    tie = F.struct(*every) if atomic else F.xxhash64(*every)
-    rows = df.select(
-        F.explode(cats).alias("category"),
-        *[F.col(c) for c in order_cols],
-        tie.alias("_tie"),
-        F.struct(*every).alias("_row"),
-    )
-    w = Window.partitionBy("category").orderBy(*[F.col(c).asc_nulls_first() for c in order_cols + ["_tie"]])
-    top = rows.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k)
-    top = top.withColumn("example", F.to_json("_row"))
-    return top.groupBy("category").agg(
+    row = F.struct(*[F.col(f"`{c}`") for c in own])
+    # the row itself decides ties, column by column (a total order SQL can state too), or a hash
+    # of it when some column is not orderable; equal rows give equal JSON, whichever is kept
+    picked = [_first_rows(df.select(F.explode(cats).alias("category"), *grp, *order, row.alias("_row")), grp, k,
+                          [*order, "_row" if atomic else F.xxhash64("_row")])]
+    if _has(df, *DUP_KEYS):
+        g = df.groupBy(*grp, *DUP_KEYS).agg(F.count(F.lit(1)).alias("count"))
+        dup = g.where(F.col("count") > 1).select(
+            F.lit(CAT_DUPLICATES).alias("category"), *grp, *DUP_KEYS, F.struct(*DUP_KEYS, "count").alias("_row"))
+        picked.append(_first_rows(dup, grp, k, ["fwdCode", "timeRaised", "severityLevel"]))
+        a = g.groupBy(*grp, "fwdCode").agg(F.min("severityLevel").alias("min_severity"), F.max("severityLevel").alias("max_severity"),
+                                           F.coalesce(F.bool_or(F.col("severityLevel") == 4), F.lit(False)).alias("has_level_4"))
+        area = a.where(~F.col("has_level_4")).select(
+            F.lit(CAT_INCOMPLETE).alias("category"), *grp, "fwdCode", F.struct("fwdCode", "min_severity", "max_severity", "has_level_4").alias("_row"))
+        picked.append(_first_rows(area, grp, k, ["fwdCode"]))
+    top = picked[0]
+    for p in picked[1:]:
+        top = top.unionByName(p)
+    return top.groupBy(*grp, "category").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("rn", "example"))), lambda s: s["example"]).alias("examples")
     )
 
 
+def _first_rows(rows: DataFrame, grp: list[str], k: int, order: list) -> DataFrame:
+    cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    w = Window.partitionBy(*grp, "category").orderBy(*[c.asc_nulls_first() for c in cols])
+    top = rows.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k)
+    return top.select(*grp, "category", "rn", F.to_json("_row").alias("example"))
+
+
 # ---- area coverage (J3, U3) --------------------------------------------------
 
 def area_coverage(df: DataFrame, expected_areas: DataFrame, k: int = COVERAGE_EXAMPLES) -> DataFrame:

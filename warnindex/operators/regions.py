@@ -24,7 +24,7 @@ class EmptyRegionError(ValueError):
 def check_region(areas: DataFrame) -> DataFrame:
     """An empty area set is an error (one bounded job)."""
     if areas.isEmpty():
-        raise EmptyRegionError("No warning area codes found")
+        raise EmptyRegionError("the area table is empty")
     return areas
 
 
@@ -53,7 +53,7 @@ def restrict_to_region(df: DataFrame, areas: DataFrame, require_areas: bool = Fa
     dim = _area_classes(areas)
     n = dim.limit(AREA_BROADCAST_MAX_ROWS + 1).count()
     if require_areas and n == 0:
-        raise EmptyRegionError("No warning area codes found")
+        raise EmptyRegionError("the area table is empty")
     if n <= AREA_BROADCAST_MAX_ROWS:
         dim = F.broadcast(dim)
     return df.drop("isTidal").join(dim, "fwdCode", "inner")

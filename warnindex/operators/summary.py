@@ -16,7 +16,7 @@ def data_summary(df: DataFrame) -> DataFrame:
     code = F.col("fwdCode")
     return df.agg(
         F.count(F.lit(1)).alias("total_records"),
-        (F.count_distinct(code) + F.max(code.isNull().cast("int"))).cast("bigint").alias("unique_warning_areas"),
+        (F.count_distinct(code) + F.coalesce(F.max(code.isNull().cast("int")), F.lit(0))).cast("bigint").alias("unique_warning_areas"),
         F.min("timeRaised").alias("earliest"),
         F.max("timeRaised").alias("latest"),
     )

@@ -2,14 +2,15 @@
 
 Everything tunable is a frozen dataclass; the calculators take them as
 arguments so one job can run with any rule set.  Durations are resolved to
-whole seconds and weights to integers so that every sum the library takes is
-an exact BIGINT sum; hours are derived once, after aggregation.
+whole seconds and weights to integers, or to decimals of four places, so that
+every sum the library takes is exact; hours are derived once, after aggregation.
 """
 
 from __future__ import annotations
 
 import math
 from dataclasses import dataclass, field
+from decimal import Decimal
 
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the published rule for results to agree)
@@ -63,7 +64,20 @@ DURATION_REQUIRED_COLUMNS = ("fwdCode", "timeRaised", "severityLevel", "severity
 # Example rows attached to a quality issue.
 ISSUE_EXAMPLES = 3
 COVERAGE_EXAMPLES = 5
+# Published baseline of the original region.
+PUBLISHED_BASELINE_VALUES = {
+    "year": 2020,
+    "fluvial_score": 1051.6469444444444,
+    "coastal_score": 2410.5730555555556,
+    "total_score": 3462.2200000000003,
+    "fluvial_hours": 1051.6469444444444,
+    "coastal_hours": 2338.5730555555556,
+    "fluvial_events": 23,
+    "coastal_events": 72,
+}
 # ---------------------------------------------------------------------------
+# Weights with a fraction are DECIMAL(9,4).
+WEIGHT_DIGITS, WEIGHT_PLACES = 9, 4
 
 
 def _whole_seconds(hours: float) -> int:
@@ -81,7 +95,7 @@ class DurationParams:
     fallback_hours: float = FALLBACK_DURATION_HOURS
     max_gap_hours: float = MAX_GAP_HOURS
     weights: dict = field(default_factory=lambda: dict(SEVERITY_WEIGHTS))
-    fallback_weight: int = FALLBACK_WEIGHT
+    fallback_weight: float = FALLBACK_WEIGHT
     # "year": gaps never cross a calendar year (each year's file on its own);
     # "all": gaps run across the whole frame.
     gap_scope: str = "year"
@@ -101,11 +115,8 @@ class DurationParams:
             self.coarse_bucket_seconds < 2 * self.bucket_seconds or self.coarse_bucket_seconds % self.bucket_seconds
         ):
             raise ValueError("coarse_bucket_seconds must be a multiple (>= 2) of bucket_seconds")
-        for w in list(self.weights.values()) + [self.fallback_weight]:
-            if float(w) != int(w):
-                raise ValueError("severity weights must be whole numbers")
-        # durations must be whole seconds (checked here, not at first use)
-        _ = (self.default_seconds, self.fallback_seconds, self.max_gap_seconds)
+        # durations must be whole seconds and weights fit their type (checked here, not at first use)
+        _ = (self.default_seconds, self.fallback_seconds, self.max_gap_seconds, self.exact_weights)
 
     @property
     def default_seconds(self) -> dict:
@@ -119,9 +130,27 @@ class DurationParams:
     def max_gap_seconds(self) -> int:
         return _whole_seconds(self.max_gap_hours)
 
+    @property
+    def exact_weights(self) -> dict:
+        """Weights by level, and the fallback under None: ints, or decimals of
+        four places as soon as one of them has a fraction."""
+        given = {**{int(k): v for k, v in self.weights.items()}, None: self.fallback_weight}
+        exact = {k: Decimal(repr(v)) if isinstance(v, float) else Decimal(v) for k, v in given.items()}
+        for v in exact.values():
+            if not v.is_finite() or v != round(v, WEIGHT_PLACES) or abs(v) >= 10 ** (WEIGHT_DIGITS - WEIGHT_PLACES):
+                raise ValueError(f"weight {v} does not fit DECIMAL({WEIGHT_DIGITS},{WEIGHT_PLACES})")
+        if all(v == int(v) for v in exact.values()):
+            return {k: int(v) for k, v in exact.items()}
+        return {k: round(v, WEIGHT_PLACES) for k, v in exact.items()}
+
+    @property
+    def weight_type(self) -> str:
+        whole = all(isinstance(v, int) for v in self.exact_weights.values())
+        return "BIGINT" if whole else f"DECIMAL({WEIGHT_DIGITS},{WEIGHT_PLACES})"
+
     @property
     def int_weights(self) -> dict:
-        return {int(k): int(v) for k, v in self.weights.items()}
+        return {k: int(v) for k, v in self.exact_weights.items() if k is not None}
 
 
 @dataclass(frozen=True)
@@ -156,17 +185,7 @@ class IndexParams:
         # Weight-sum check with a float tolerance (driver side).
         total = self.fluvial_weight + self.coastal_weight
         if not math.isclose(total, 1.0):
-            raise ValueError(f"Weights must sum to 1.0, got {total}")
-
-
-# Published baseline of the original region (year 2020).
-PUBLISHED_BASELINE = Baseline(
-    year=2020,
-    fluvial_score=1051.6469444444444,
-    coastal_score=2410.5730555555556,
-    total_score=3462.2200000000003,
-    fluvial_hours=1051.6469444444444,
-    coastal_hours=2338.5730555555556,
-    fluvial_events=23,
-    coastal_events=72,
-)
+            raise ValueError(f"the two class weights add up to {total}, not to 1")
+
+
+PUBLISHED_BASELINE = Baseline(**PUBLISHED_BASELINE_VALUES)

@@ -247,24 +247,39 @@ def q_baseline_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return files.read_baseline(spark, root)
 
 
+def q_index_from_stored_baseline(spark: SparkSession, d: str) -> DataFrame:
+    """S15 + J4: indices of all years against a baseline stored before (that of 1998)."""
+    from warnindex.operators.index import baseline_from_indicators
+    from warnindex.params import DurationParams
+    from warnindex.plans import flows
+
+    root = scratch_path(spark, "baseline")
+    files.write_baseline(baseline_from_indicators(flows.orders_annual_index(spark, d), 1998), root)
+    return flows.index_from_stored_baseline(flows.orders_region_messages(spark, d), root, DurationParams(gap_scope="year"))
+
+
 def q_quality_by_year(spark: SparkSession, d: str) -> DataFrame:
-    """The quality issues of every year in one job, written per year as
-    JSON and read back."""
-    from warnindex.operators.quality import validate
+    """The quality report of every year (header and issues) in one job, written as
+    one JSON document per year and read back."""
+    from warnindex.operators.quality import report_documents
     from warnindex.sources.sinks import write_quality_reports
 
     root = scratch_path(spark, "quality")
-    issues = validate(A.quality_messages(spark, d), by_year=True)
-    write_quality_reports(issues, root)
-    return spark.read.schema(issues.schema).json(root).select(*issues.columns)
+    docs = report_documents(A.quality_messages(spark, d), by_year=True)
+    write_quality_reports(docs, root)
+    back = spark.read.schema(docs.schema).json(root)
+    return back.select("year", "total_records", "valid_records", "passed", "error_count", "warning_count", "info_count", F.inline("issues"))
 
 
 def q_run_metrics(spark: SparkSession, d: str) -> DataFrame:
-    """Per-year load/validation status and the success rate."""
+    """Status per stage of each requested year (some hold nothing, and the load of the
+    one with the fewest messages is taken as broken) and the success rate."""
     from warnindex.operators.quality import report
     from warnindex.sources.sinks import run_metrics
 
-    return run_metrics(report(A.quality_messages(spark, d), by_year=True))
+    rep = files.stage_table(report(A.quality_messages(spark, d), by_year=True), "report")
+    least = rep.where("year is not null").orderBy("total_records", "year").limit(1)
+    return run_metrics(rep, range(1990, 2004), least.select("year", F.lit("load").alias("stage")))
 
 
 def q_area_table(spark: SparkSession, d: str) -> DataFrame:
@@ -316,6 +331,7 @@ FILES = {
     "discover_years": q_discover_years,
     "trend_export": q_trend_export,
     "baseline_roundtrip": q_baseline_roundtrip,
+    "index_from_stored_baseline": q_index_from_stored_baseline,
     "quality_by_year": q_quality_by_year,
     "run_metrics": q_run_metrics,
     "area_table": q_area_table,

@@ -64,8 +64,8 @@ def annual_index(messages: DataFrame, duration: DurationParams | None = None,
     years, so the selection happens after the computation.
 
     ``stage_input``: write the projected messages once as a table in the
-    shared folder first, so an expensive input (a large join, parsed text) is
-    not computed twice (the window and its bucket-head branch both read it).
+    shared folder first (the plan reads its input once either way; a table
+    also survives for further calls).
     """
     from functools import reduce
 
@@ -89,6 +89,19 @@ def annual_index(messages: DataFrame, duration: DurationParams | None = None,
     return ind.where(F.col("year").isin(wanted))
 
 
+def index_from_stored_baseline(messages: DataFrame, baseline_path: str, duration: DurationParams | None = None,
+                               index: IndexParams | None = None, years=None) -> DataFrame:
+    """E2 against the baseline stored at ``baseline_path`` (S15, J4); without one there, an error."""
+    from dataclasses import replace
+
+    from warnindex.sources.files import LoadError, load_baseline
+
+    stored = load_baseline(messages.sparkSession, baseline_path)
+    if stored is None:
+        raise LoadError(f"no baseline is stored at {baseline_path}")
+    return annual_index(messages, duration, replace(index or IndexParams(), baseline=stored), years)
+
+
 def trend_summary(messages: DataFrame, duration: DurationParams | None = None,
                   index: IndexParams | None = None, first_year: int | None = None) -> DataFrame:
     """E3 first step: the yearly summary table."""
@@ -138,8 +151,12 @@ def calculate_year(messages: DataFrame, year: int, duration: DurationParams | No
 
 def trend_report(summary: DataFrame) -> dict[str, DataFrame]:
     """Every table of the trend report from the yearly summary (W2-W4,
-    A15, F17); all run over the year-level rows."""
+    A15, F17).  The summary, a row per year, is computed once and written; all
+    six tables read that."""
     from warnindex.operators import trend
+    from warnindex.sources.files import stage_table
+
+    summary = stage_table(summary, "summary")
 
     return {
         "summary": summary,

@@ -78,7 +78,7 @@ ORDERS_REGION = f"""SELECT m.fwdCode, m.timeRaised, m.severity, m.msg_id, m.seve
 SUPPLIER_ITEMS = """SELECT CAST(s.s_suppkey AS VARCHAR) AS notation, s.s_name AS label, n.n_name AS description,
     CASE WHEN s.s_suppkey % 4 = 0 THEN r.r_name || ', City of ' || n.n_name ELSE r.r_name END AS county,
     CASE s.s_suppkey % 8 WHEN 0 THEN 'River Avon' WHEN 1 THEN 'Severn Estuary' WHEN 2 THEN 'Bristol Channel'
-      WHEN 3 THEN 'Seaton Brook' WHEN 4 THEN 'Tidal Frome' WHEN 5 THEN 'Brislington Brook'
+      WHEN 3 THEN 'Seaton Brook' WHEN 4 THEN 'Tidal Frome' WHEN 5 THEN 'Ellerholt Brook'
       WHEN 6 THEN 'North COAST' END AS riverOrSea
   FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey"""
 
@@ -86,11 +86,12 @@ SUPPLIER_AREAS = f"""SELECT notation AS fwdCode, label, coalesce(description, ''
     coalesce(riverOrSea, '') AS riverOrSea, {_contains_any("lower(coalesce(riverOrSea, ''))", COASTAL_KEYWORDS)} AS isTidal
   FROM ({SUPPLIER_ITEMS})"""
 
-QUALITY_MSGS = """SELECT CAST(l.l_suppkey AS VARCHAR) AS fwdCode, o.o_orderdate AS timeRaised,
+QUALITY_MSGS = """SELECT CAST(l.l_suppkey AS VARCHAR) AS fwdCode,
+    CASE WHEN l.l_orderkey % 23 = 0 THEN NULL ELSE o.o_orderdate END AS timeRaised,
     'line ' || l.l_returnflag || l.l_linestatus AS severity, CAST(CASE WHEN l.l_linenumber = 7 THEN (CASE WHEN l.l_suppkey % 5 = 0 THEN 3 ELSE 4 END)
       WHEN l.l_linenumber = 6 THEN 9 WHEN l.l_linenumber = 5 AND l.l_returnflag = 'N' THEN NULL
       ELSE (l.l_linenumber - 1) % 3 + 1 END AS INTEGER) AS severityLevel,
-    l.l_shipdate AS timeSeverityChanged,
+    CASE WHEN l.l_orderkey % 29 = 0 THEN NULL ELSE l.l_shipdate END AS timeSeverityChanged,
     CASE WHEN l.l_linestatus = 'F' THEN l.l_shipdate END AS timeMessageChanged,
     CASE WHEN l.l_suppkey % 3 = 0 THEN NULL ELSE l.l_suppkey % 2 = 1 END AS isTidal,
     l.l_orderkey AS msg_id, l.l_linenumber AS line_no
@@ -273,9 +274,25 @@ def core_oracles() -> dict[str, str]:
             FROM ({ev_sc}) ORDER BY fwdCode, timeRaised, msg_id LIMIT 10""",
         "union_sources": f"""SELECT fwdCode, timeRaised, severity, severityLevel FROM ({EVENTS})
             UNION ALL SELECT fwdCode, timeRaised, severity, severityLevel FROM ({ORDERS_RAW})""",
-        "timestamp_parse": """SELECT event_id, txt, CAST(try_cast(txt AS TIMESTAMPTZ) AT TIME ZONE 'UTC' AS TIMESTAMP) AS parsed FROM (
-            SELECT event_id, CASE event_id % 3 WHEN 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ')
-              WHEN 1 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+02:00' ELSE props END AS txt FROM events)""",
+        # offsets are taken off by hand: only the first two texts of a row's seven are instants, and the sixth, naive one
+        "timestamp_parse": """SELECT event_id, CASE event_id % 7 WHEN 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ')
+              WHEN 1 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+02:00' WHEN 2 THEN props WHEN 3 THEN strftime(ts, '%H:%M:%S')
+              WHEN 4 THEN strftime(ts, '%Y') WHEN 5 THEN strftime(ts, '%Y-%m-%d %H:%M') ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') || ' Europe/Paris' END AS txt,
+            CASE event_id % 7 WHEN 0 THEN ts WHEN 1 THEN date_trunc('second', ts) - INTERVAL 2 HOUR WHEN 5 THEN date_trunc('minute', ts) END AS parsed
+            FROM events""",
+        "lead_gap_null_area": f"""SELECT msg_id, fwdCode, gap_seconds, gap_seconds / {H} AS gap_to_next_hours FROM ({gaps(
+            f"SELECT * REPLACE (CASE WHEN CAST(fwdCode AS BIGINT) % 5 = 0 THEN NULL ELSE fwdCode END AS fwdCode) FROM ({EVENTS})", 'all')})""",
+        "message_scores_fractional": f"""SELECT msg_id, severityLevel, CAST(w AS DOUBLE) AS weight, CAST(duration_seconds * w AS DOUBLE) / {H} AS score FROM (
+            SELECT *, CAST(CASE severityLevel WHEN 1 THEN 2.5 WHEN 2 THEN 1.25 WHEN 3 THEN 0.3333 WHEN 4 THEN 0 ELSE 0.5 END AS DECIMAL(9,4)) AS w FROM ({ev_sc}))""",
+        "annual_total_fractional": f"""SELECT CAST(year(timeRaised) AS INTEGER) AS year, CAST(sum(duration_seconds * CAST(CASE severityLevel
+              WHEN 1 THEN 2.5 WHEN 2 THEN 1.25 WHEN 3 THEN 0.3333 WHEN 4 THEN 0 ELSE 0.5 END AS DECIMAL(9,4))) AS DOUBLE) / {H} AS total_score,
+            count(*) AS total_events, {_hours('sum(duration_seconds)')} AS total_hours
+            FROM ({ORDERS_SCORED}) WHERE timeRaised IS NOT NULL GROUP BY 1""",
+        "index_without_baseline": f"""SELECT year, total_score AS total_score_raw, CAST(NULL AS DOUBLE) AS fluvial_index, CAST(NULL AS DOUBLE) AS composite_index
+            FROM ({ORDERS_ANNUAL})""",
+        "index_other_weights": f"""SELECT year, composite FROM (SELECT year, fluvial_index * 0.6::DOUBLE + coastal_index * 0.4::DOUBLE AS composite FROM ({ORDERS_IND}))""",
+        "durations_with_empty_part": f"SELECT msg_id, duration_seconds, weight, score_seconds FROM ({ev_sc})",
+        "region_checked": f"""SELECT msg_id, fwdCode, isTidal FROM ({ORDERS_REGION})""",
     }
 
 
@@ -356,6 +373,12 @@ def quality_sql(q: str, by_year: bool = False, has_changes: bool = True,
     return issues, report
 
 
+def tallies() -> str:
+    return " UNION ALL ".join(
+        f"SELECT {_q(c)} AS county, count(*) FILTER (WHERE contains(coalesce(county, ''), {_q(c)})) AS area_count FROM ({SUPPLIER_AREAS})"
+        for c in TEST_COUNTIES)
+
+
 def quality_oracles() -> dict[str, str]:
     q = QUALITY_MSGS
     both = "timeRaised IS NOT NULL AND timeSeverityChanged IS NOT NULL"
@@ -371,7 +394,8 @@ def quality_oracles() -> dict[str, str]:
             count({c})::DOUBLE / count(*)::DOUBLE * 100.0::DOUBLE AS completeness_pct,
             CASE WHEN count({c})::DOUBLE / count(*)::DOUBLE * 100.0::DOUBLE < 50.0 THEN 'warning' ELSE 'info' END AS severity
             FROM ({q})""" for c in cols)
-    expected = f"SELECT DISTINCT fwdCode FROM ({SUPPLIER_AREAS}) WHERE {_contains_any('county', TEST_COUNTIES)}"
+    expected = (f"SELECT fwdCode FROM ({SUPPLIER_AREAS}) WHERE {_contains_any('county', TEST_COUNTIES)} "
+                "UNION SELECT 'N' || n_nationkey FROM nation")
     coverage = f"""WITH a AS (SELECT fwdCode, count(*) AS n FROM ({LINEITEM_MSGS}) GROUP BY fwdCode),
         e AS ({expected}),
         j AS (SELECT a.n, e.fwdCode AS efc, a.fwdCode AS afc FROM a FULL OUTER JOIN e ON a.fwdCode = e.fwdCode),
@@ -382,9 +406,6 @@ def quality_oracles() -> dict[str, str]:
         CAST(missing_areas AS BIGINT) AS count FROM s WHERE missing_areas > 0
       UNION ALL SELECT 'warning', {_q(Q.CAT_UNEXPECTED_AREAS)}, CAST(unexpected_areas AS VARCHAR) || {_q(Q.MSG_UNEXPECTED_AREAS.split("{}")[1])},
         CAST(unexpected_records AS BIGINT) FROM s WHERE unexpected_areas > 0"""
-    tallies = " UNION ALL ".join(
-        f"SELECT {_q(c)} AS county, count(*) FILTER (WHERE contains(coalesce(county, ''), {_q(c)})) AS area_count FROM ({SUPPLIER_AREAS})"
-        for c in TEST_COUNTIES)
     return {
         "data_summary": f"""SELECT count(*) AS total_records,
             CAST(count(DISTINCT fwdCode) + max(CAST(fwdCode IS NULL AS INTEGER)) AS BIGINT) AS unique_warning_areas,
@@ -408,6 +429,8 @@ def quality_oracles() -> dict[str, str]:
         "quality_report": report,
         "area_coverage": coverage,
         "issue_examples": issue_examples_sql(),
+        "issue_examples_by_year": issue_examples_sql(by_year=True),
+        "quality_missing_column": quality_missing_column_sql(),
         "coverage_examples": f"""WITH a AS (SELECT DISTINCT fwdCode FROM ({LINEITEM_MSGS})), e AS ({expected}),
             j AS (SELECT CASE WHEN a.fwdCode IS NULL THEN {_q(Q.CAT_MISSING_AREAS)}
                               WHEN e.fwdCode IS NULL THEN {_q(Q.CAT_UNEXPECTED_AREAS)} END AS category,
@@ -419,7 +442,7 @@ def quality_oracles() -> dict[str, str]:
         "county_filter": f"SELECT fwdCode, county FROM ({SUPPLIER_AREAS}) WHERE {_contains_any('county', TEST_COUNTIES)}",
         "class_from_text": f"SELECT fwdCode, riverOrSea, isTidal FROM ({SUPPLIER_AREAS})",
         "area_dimension": SUPPLIER_AREAS,
-        "county_tallies": tallies,
+        "county_tallies": tallies(),
         "area_class_counts": f"""SELECT count(*) AS total_areas, count(*) FILTER (WHERE isTidal = false) AS fluvial_areas,
             count(*) FILTER (WHERE isTidal = true) AS coastal_areas FROM ({SUPPLIER_AREAS})
             WHERE {_contains_any('county', TEST_COUNTIES)}""",
@@ -432,12 +455,6 @@ def quality_oracles() -> dict[str, str]:
     }
 
 
-def core_tallies() -> str:
-    return " UNION ALL ".join(
-        f"SELECT {_q(c)} AS county, count(*) FILTER (WHERE contains(coalesce(county, ''), {_q(c)})) AS area_count FROM ({SUPPLIER_AREAS})"
-        for c in TEST_COUNTIES)
-
-
 def ingest_region_sql() -> str:
     msgs = f"""SELECT e.fwdCode, e.timeRaised, e.severity, e.severityLevel, a.isTidal
       FROM ({EVENTS}) e JOIN (SELECT DISTINCT CAST(c.c_custkey AS VARCHAR) AS fwdCode, r.isTidal
@@ -460,7 +477,14 @@ def _json_field(name: str, kind: str) -> str:
     return f"CASE WHEN {name} IS NULL THEN NULL ELSE {key} || {val} END"
 
 
-def issue_examples_sql() -> str:
+def quality_missing_column_sql() -> str:
+    """Without levels only the column check and those that need no level are left."""
+    full = quality_sql(QUALITY_MSGS)[0]
+    return f"""SELECT * FROM ({full}) WHERE check_order NOT IN (4, 5, 6)
+      UNION ALL SELECT 1, 'error', {_q(Q.CAT_REQUIRED)}, {_q(Q.MSG_REQUIRED + 'severityLevel')}, count(*), false FROM ({QUALITY_MSGS})"""
+
+
+def issue_examples_sql(by_year: bool = False) -> str:
     cols = [("fwdCode", "string"), ("timeRaised", "timestamp"), ("severity", "string"), ("severityLevel", "int"),
             ("timeSeverityChanged", "timestamp"), ("timeMessageChanged", "timestamp"), ("isTidal", "boolean"),
             ("msg_id", "bigint"), ("line_no", "int")]
@@ -469,11 +493,26 @@ def issue_examples_sql() -> str:
                       + [c for c, _ in cols])
     q = QUALITY_MSGS
     both = "timeRaised IS NOT NULL AND timeSeverityChanged IS NOT NULL"
+    y = "CAST(year(timeRaised) AS INTEGER) AS year, " if by_year else ""
+    ys, yg = ("year, ", "year, ") if by_year else ("", "")
+
+    def js_of(*fields):
+        return "'{' || concat_ws(',', " + ", ".join(_json_field(c, k) for c, k in fields) + ") || '}'"
+
+    dup = js_of(("fwdCode", "string"), ("severityLevel", "int"), ("timeRaised", "timestamp"), ("count", "bigint")).replace("count", '"count"').replace('""count""', '"count"')
+    area = js_of(("fwdCode", "string"), ("min_severity", "int"), ("max_severity", "int"), ("has_level_4", "boolean"))
     return f"""WITH x AS (
-        SELECT {_q(Q.CAT_NULL_RAISED)} AS category, * FROM ({q}) WHERE timeRaised IS NULL
-        UNION ALL SELECT {_q(Q.CAT_INVALID_LEVEL)}, * FROM ({q}) WHERE NOT (severityLevel IN (1, 2, 3, 4))
-        UNION ALL SELECT {_q(Q.CAT_INCONSISTENT)}, * FROM ({q}) WHERE {both} AND timeSeverityChanged < timeRaised)
-      SELECT category, list({js} ORDER BY {order})[1:{ISSUE_EXAMPLES}] AS examples FROM x GROUP BY category"""
+        SELECT {_q(Q.CAT_NULL_RAISED)} AS category, {y}* FROM ({q}) WHERE timeRaised IS NULL
+        UNION ALL SELECT {_q(Q.CAT_INVALID_LEVEL)}, {y}* FROM ({q}) WHERE NOT (severityLevel IN (1, 2, 3, 4))
+        UNION ALL SELECT {_q(Q.CAT_INCONSISTENT)}, {y}* FROM ({q}) WHERE {both} AND timeSeverityChanged < timeRaised),
+      g AS (SELECT {y}fwdCode, severityLevel, timeRaised, count(*) AS "count" FROM ({q}) GROUP BY ALL),
+      a AS (SELECT {ys}fwdCode, min(severityLevel) AS min_severity, max(severityLevel) AS max_severity,
+              coalesce(bool_or(severityLevel = 4), false) AS has_level_4 FROM g GROUP BY {yg}fwdCode)
+      SELECT category, {ys}list({js} ORDER BY {order})[1:{ISSUE_EXAMPLES}] AS examples FROM x GROUP BY {yg}category
+      UNION ALL SELECT {_q(Q.CAT_DUPLICATES)}, {ys}list({dup} ORDER BY fwdCode NULLS FIRST, timeRaised NULLS FIRST, severityLevel NULLS FIRST)[1:{ISSUE_EXAMPLES}]
+        FROM g WHERE "count" > 1 {"GROUP BY year" if by_year else "HAVING count(*) > 0"}
+      UNION ALL SELECT {_q(Q.CAT_INCOMPLETE)}, {ys}list({area} ORDER BY fwdCode NULLS FIRST)[1:{ISSUE_EXAMPLES}]
+        FROM a WHERE NOT has_level_4 {"GROUP BY year" if by_year else "HAVING count(*) > 0"}"""
 
 
 def file_oracles() -> dict[str, str]:
@@ -502,14 +541,23 @@ def file_oracles() -> dict[str, str]:
             WHERE year(timeRaised) >= {ORDERS_BASELINE_YEAR}""",
         "trend_export": ORDERS_SUMMARY,
         "baseline_roundtrip": core_oracles()["self_baseline"],
-        "quality_by_year": f"SELECT * FROM ({issues_y}) WHERE year IS NOT NULL",
+        "quality_by_year": f"""SELECT r.*, i.* EXCLUDE (year) FROM ({report_y}) r JOIN ({issues_y}) i ON r.year = i.year""",
+        "index_from_stored_baseline": indicators(ORDERS_ANNUAL, 1998),
         "area_table": SUPPLIER_AREAS,
-        "area_stats_table": core_tallies(),
+        "area_stats_table": tallies(),
         "ingest_region": ingest_region_sql(),
-        "run_metrics": f"""SELECT year, total_records AS records_loaded, passed AS validation_passed,
-            total_records > 0 AS success,
-            avg(CAST(total_records > 0 AS DOUBLE)) OVER () * 100.0::DOUBLE AS success_rate_pct
-            FROM ({report_y}) WHERE year IS NOT NULL""",
+        "run_metrics": f"""WITH per AS (SELECT CAST(year(timeRaised) AS INTEGER) AS year, count(*) AS n,
+              bool_or((severityLevel IS NOT NULL AND severityLevel NOT IN (1, 2, 3, 4)) OR timeSeverityChanged < timeRaised) AS wrong
+              FROM ({QUALITY_MSGS}) WHERE timeRaised IS NOT NULL GROUP BY 1),
+            broken AS (SELECT year FROM per ORDER BY n, year LIMIT 1),
+            y AS (SELECT CAST(range AS INTEGER) AS year FROM range(1990, 2004)),
+            s AS (SELECT y.year, per.n, per.wrong, CASE WHEN y.year IN (SELECT year FROM broken) THEN 'failed'
+                    WHEN per.n IS NULL THEN 'empty' ELSE 'success' END AS load_status FROM y LEFT JOIN per ON per.year = y.year)
+            SELECT year, CASE load_status WHEN 'success' THEN n ELSE 0 END AS records_loaded, load_status,
+              CASE load_status WHEN 'success' THEN 'success' ELSE 'skipped' END AS validation_status,
+              CASE load_status WHEN 'success' THEN NOT coalesce(wrong, false) END AS validation_passed,
+              load_status = 'success' AS success,
+              (count(*) FILTER (WHERE load_status = 'success') OVER ())::DOUBLE / count(*) OVER () * 100.0::DOUBLE AS success_rate_pct FROM s""",
     }
 
 

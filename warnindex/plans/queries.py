@@ -155,16 +155,78 @@ def q_union_sources(spark, d):
 
 def q_timestamp_parse(spark, d):
     e = A.table(spark, d, "events").select("event_id", "ts", "props")
-    k = F.col("event_id") % 3
+    k = F.col("event_id") % 7
     txt = (
         F.when(k == 0, F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")))
         .when(k == 1, F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+02:00")))
-        .otherwise(F.col("props"))
+        .when(k == 2, F.col("props"))
+        .when(k == 3, F.date_format("ts", "HH:mm:ss"))
+        .when(k == 4, F.date_format("ts", "yyyy"))
+        .when(k == 5, F.date_format("ts", "yyyy-MM-dd HH:mm"))
+        .otherwise(F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit(" Europe/Paris")))
     )
     return e.select("event_id", txt.alias("txt")).select("event_id", "txt", parse_timestamp("txt").alias("parsed"))
 
 
+FRACTIONS = {1: 2.5, 2: 1.25, 3: 0.3333, 4: 0.0}
+
+
+def q_lead_gap_null_area(spark, d):
+    """W1 where many messages have no area code: they are one area of their own."""
+    m = A.events_messages(spark, d)
+    m = m.withColumn("fwdCode", F.when(F.col("fwdCode").cast("bigint") % 5 != 0, F.col("fwdCode")))
+    return durations.lead_gaps(m, ALL).select("msg_id", "fwdCode", "gap_seconds", "gap_to_next_hours")
+
+
+def q_message_scores_fractional(spark, d):
+    p = DurationParams(gap_scope="all", weights=FRACTIONS, fallback_weight=0.5)
+    s = durations.calculate_durations(A.events_messages(spark, d), p)
+    return s.select("msg_id", "severityLevel", F.col("weight").cast("double").alias("weight"), "score")
+
+
+def q_annual_total_fractional(spark, d):
+    p = DurationParams(gap_scope="year", weights=FRACTIONS, fallback_weight=0.5)
+    return scoring.annual_total(durations.calculate_durations(flows.orders_region_messages(spark, d), p))
+
+
+def q_index_without_baseline(spark, d):
+    """The baseline year is not in the data, so there are no indices."""
+    from warnindex.params import IndexParams
+
+    ind = flows.annual_index(flows.orders_region_messages(spark, d), YEAR, IndexParams(baseline_year=1899))
+    return ind.select("year", "total_score_raw", "fluvial_index", "composite_index")
+
+
+def q_index_other_weights(spark, d):
+    """Other class weights that add up to one."""
+    from dataclasses import replace
+
+    p = replace(flows.orders_index_params(), fluvial_weight=0.6, coastal_weight=0.4)
+    ind = flows.annual_index(flows.orders_region_messages(spark, d), YEAR, p)
+    return ind.select("year", F.col("composite_index").alias("composite"))
+
+
+def q_durations_with_empty_part(spark, d):
+    """Scoring no messages gives no rows of the same columns and types."""
+    m = A.events_messages(spark, d)
+    none = durations.calculate_durations(scoring.filter_year(m, 1899), ALL)
+    return none.union(durations.calculate_durations(m, ALL)).select("msg_id", "duration_seconds", "weight", "score_seconds")
+
+
+def q_region_checked(spark, d):
+    """P22 before P7 and J1: the region must not be empty."""
+    areas = regions.check_region(A.region_areas(spark, d))
+    return regions.restrict_to_region(A.orders_raw_messages(spark, d), areas).select("msg_id", "fwdCode", "isTidal")
+
+
 CORE = {
+    "lead_gap_null_area": q_lead_gap_null_area,
+    "message_scores_fractional": q_message_scores_fractional,
+    "annual_total_fractional": q_annual_total_fractional,
+    "index_without_baseline": q_index_without_baseline,
+    "index_other_weights": q_index_other_weights,
+    "durations_with_empty_part": q_durations_with_empty_part,
+    "region_checked": q_region_checked,
     "severity_normalize": q_severity_normalize,
     "unmapped_severity": q_unmapped_severity,
     "is_update_flag": q_is_update_flag,
@@ -195,10 +257,6 @@ CORE = {
 }
 
 
-def registry() -> dict:
-    return dict(CORE)
-
-
 # ---- quality, summary, areas --------------------------------------------------
 
 def _q_msgs(spark, d):
@@ -285,18 +343,35 @@ def q_issue_examples(spark, d):
     return quality.issue_examples(_q_msgs(spark, d))
 
 
+def q_issue_examples_by_year(spark, d):
+    from warnindex.operators import quality
+
+    return quality.issue_examples(_q_msgs(spark, d), by_year=True)
+
+
+def q_quality_missing_column(spark, d):
+    """V1: messages without their levels."""
+    from warnindex.operators import quality
+
+    return quality.validate(_q_msgs(spark, d).drop("severityLevel"))
+
+
+def _expected_areas(spark, d):
+    """Supplier areas of the test counties, and one area per nation that has no message."""
+    own = regions.county_filter(_supplier_areas(spark, d), A.TEST_COUNTIES).select("fwdCode")
+    return own.union(A.table(spark, d, "nation").select(F.concat(F.lit("N"), F.col("n_nationkey").cast("string"))))
+
+
 def q_area_coverage(spark, d):
     from warnindex.operators import quality
 
-    expected = regions.county_filter(_supplier_areas(spark, d), A.TEST_COUNTIES)
-    return quality.area_coverage(A.lineitem_messages(spark, d), expected)
+    return quality.area_coverage(A.lineitem_messages(spark, d), _expected_areas(spark, d))
 
 
 def q_coverage_examples(spark, d):
     from warnindex.operators import quality
 
-    expected = regions.county_filter(_supplier_areas(spark, d), A.TEST_COUNTIES)
-    return quality.coverage_examples(A.lineitem_messages(spark, d), expected)
+    return quality.coverage_examples(A.lineitem_messages(spark, d), _expected_areas(spark, d))
 
 
 def q_county_filter(spark, d):
@@ -352,6 +427,8 @@ QUALITY = {
     "quality_issues": q_quality_issues,
     "quality_report": q_quality_report,
     "issue_examples": q_issue_examples,
+    "issue_examples_by_year": q_issue_examples_by_year,
+    "quality_missing_column": q_quality_missing_column,
     "area_coverage": q_area_coverage,
     "coverage_examples": q_coverage_examples,
     "county_filter": q_county_filter,
@@ -365,7 +442,7 @@ QUALITY = {
 }
 
 
-def registry() -> dict:  # noqa: F811
+def registry() -> dict:
     from warnindex.plans.filequeries import FILES
 
     return {**CORE, **QUALITY, **FILES}

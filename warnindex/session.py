@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,12 +58,35 @@ def suggested_conf(shuffle_bytes: int, cores: int, target_bytes: int = 128 * MiB
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings the library relies on to an existing session."""
+    """Apply the settings the library relies on to an existing session, and ship the package
+    to its workers."""
     for k, v in REQUIRED_CONF.items():
         spark.conf.set(k, v)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Once per application: the package as a zip for the Python workers, so jobs run from any
+    folder and on any machine without an install."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="warnindex-"), "warnindex.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    path = os.path.join(folder, n)
+                    z.write(path, os.path.join("warnindex", os.path.relpath(path, root)))
+    sc.addPyFile(target)  # the driver's own copy; Spark hands it to the executors
+    _SHIPPED.add(sc.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
@@ -75,7 +99,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         d = sc.getCheckpointDir()
     if not d:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("spark.checkpoint.dir must name the cluster's shared folder")
         d = tempfile.mkdtemp(prefix="warnindex-ckpt-")
     if sc.getCheckpointDir() is None:
@@ -88,12 +112,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def fits(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 

@@ -128,7 +128,7 @@ def supplier_area_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k % 8 == 2, "Bristol Channel")
         .when(k % 8 == 3, "Seaton Brook")
         .when(k % 8 == 4, "Tidal Frome")
-        .when(k % 8 == 5, "Brislington Brook")
+        .when(k % 8 == 5, "Ellerholt Brook")
         .when(k % 8 == 6, "North COAST")
     )
     county = F.when(k % 4 == 0, F.concat(F.col("r_name"), F.lit(", City of "), F.col("n_name"))).otherwise(F.col("r_name"))
@@ -153,7 +153,8 @@ def quality_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     level from the line number: 1-4 -> 1, 2, 3, 1; 5 -> 2 (null when the
     return flag is N); 6 -> 9 (invalid); 7 -> 4, except for every fifth
     supplier (3), so those areas never close; class from the supplier key
-    with every third supplier unknown.
+    with every third supplier unknown.  Every 23rd order has no raise time,
+    every 29th no severity change time.
     """
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_linenumber", "l_linestatus", "l_returnflag", "l_shipdate")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
@@ -167,10 +168,10 @@ def quality_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return li.join(o, li.l_orderkey == o.o_orderkey, "inner").select(
         sk.cast("string").alias("fwdCode"),
-        F.col("o_orderdate").cast("timestamp_ntz").alias("timeRaised"),
+        F.when(F.col("l_orderkey") % 23 != 0, F.col("o_orderdate").cast("timestamp_ntz")).alias("timeRaised"),
         F.concat(F.lit("line "), F.col("l_returnflag"), F.col("l_linestatus")).alias("severity"),
         lvl.cast("int").alias("severityLevel"),
-        F.col("l_shipdate").cast("timestamp_ntz").alias("timeSeverityChanged"),
+        F.when(F.col("l_orderkey") % 29 != 0, F.col("l_shipdate").cast("timestamp_ntz")).alias("timeSeverityChanged"),
         F.when(F.col("l_linestatus") == "F", F.col("l_shipdate").cast("timestamp_ntz")).alias("timeMessageChanged"),
         F.when(sk % 3 == 0, F.lit(None).cast("boolean")).otherwise(sk % 2 == 1).alias("isTidal"),
         F.col("l_orderkey").alias("msg_id"),

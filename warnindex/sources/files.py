@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from warnindex.params import CSV_NULL_TOKENS, TREND_FIRST_YEAR
+from warnindex.params import CSV_NULL_TOKENS, TREND_FIRST_YEAR, Baseline
 from warnindex.schema import AREAS, BASELINE, ITEMS, RAW, WARNINGS
 from warnindex.session import scratch_path
 from warnindex.sources.decode import lacking
@@ -353,6 +353,7 @@ def write_areas(areas: DataFrame, path: str, stats_path: str | None = None, coun
     from warnindex.operators.regions import area_class_counts, county_tallies
 
     areas.orderBy("fwdCode").write.mode("overwrite").parquet(path)
+    areas = areas.sparkSession.read.schema(areas.schema).parquet(path)  # the tallies read what was written
     if stats_path is not None:
         area_class_counts(areas).write.mode("overwrite").parquet(os.path.join(stats_path, "classes"))
         if counties:
@@ -374,6 +375,18 @@ def read_baseline(spark: SparkSession, path: str) -> DataFrame | None:
     return df.select(*cols)
 
 
+def load_baseline(spark: SparkSession, path: str) -> Baseline | None:
+    """S15 -> J4: the stored row as ``IndexParams.baseline`` (one row reaches the
+    driver); None when there is no table, an error when it does not hold one row."""
+    df = read_baseline(spark, path)
+    if df is None:
+        return None
+    rows = df.limit(2).collect()
+    if len(rows) != 1:
+        raise LoadError(f"{path} holds {'no' if not rows else 'more than one'} baseline")
+    return Baseline(**rows[0].asDict())
+
+
 def write_baseline(baseline_row: DataFrame, path: str) -> None:
     """Persist the baseline row."""
     baseline_row.coalesce(1).write.mode("overwrite").parquet(path)

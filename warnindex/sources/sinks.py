@@ -23,21 +23,35 @@ def read_trend_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).schema(TREND_SCHEMA).csv(path)
 
 
-def write_quality_reports(issues_by_year: DataFrame, path: str) -> None:
-    """The issue rows of every year, one JSON folder per year."""
-    (issues_by_year.where(F.col("year").isNotNull())
+def write_quality_reports(documents_by_year: DataFrame, path: str) -> None:
+    """One JSON document per year (``quality.report_documents``): the counts of
+    the report's header and its issues."""
+    (documents_by_year.where(F.col("year").isNotNull()).hint("rebalance", "year")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year").json(path))
 
 
-def run_metrics(report_by_year: DataFrame) -> DataFrame:
-    """Per-year status (records loaded, validation passed, success =
-    any records) and the share of successful years in percent."""
-    success = F.col("total_records") > 0
+def run_metrics(report_by_year: DataFrame, years, failed: DataFrame | None = None) -> DataFrame:
+    """A row for each requested year, also the empty and the failed ones: records
+    loaded, a status per stage, and the share of successful years in percent.
+
+    ``failed`` (year, stage): years whose ``load`` or ``validation`` broke off.  A year without
+    records is ``empty``: its load found nothing, its validation was skipped."""
+    spark = report_by_year.sparkSession
+    wanted = spark.createDataFrame([(int(y),) for y in sorted(set(years))], "year int")
+    broke = failed if failed is not None else spark.createDataFrame([], "year int, stage string")
+    broke = broke.groupBy("year").agg(F.bool_or(F.col("stage") == "load").alias("_load"), F.bool_or(F.col("stage") == "validation").alias("_val"))
+    d = wanted.join(report_by_year.where(F.col("year").isNotNull()), "year", "left").join(broke, "year", "left")
+    n = F.coalesce("total_records", F.lit(0))
+    load = F.when(F.coalesce("_load", F.lit(False)), "failed").when(n == 0, "empty").otherwise("success")
+    check = F.when(load != "success", "skipped").when(F.coalesce("_val", F.lit(False)), "failed").otherwise("success")
+    success = (load == "success") & (check == "success")
     w = Window.partitionBy()  # one row per year: a few rows in one window
-    return report_by_year.where(F.col("year").isNotNull()).select(
+    return d.select(
         "year",
-        F.col("total_records").alias("records_loaded"),
-        F.col("passed").alias("validation_passed"),
+        F.when(load == "failed", F.lit(0)).otherwise(n).cast("bigint").alias("records_loaded"),
+        load.alias("load_status"),
+        check.alias("validation_status"),
+        F.when(check == "success", F.col("passed")).alias("validation_passed"),
         success.alias("success"),
         (F.avg(success.cast("double")).over(w) * F.lit(100.0)).alias("success_rate_pct"),
     )
