@@ -38,7 +38,7 @@ def ingest(spark: SparkSession, paths, areas: DataFrame, table_path: str, fmt: s
     per-year report (A18) runs on the written table, one job for all years.
     """
     from warnindex.operators.quality import report
-    from warnindex.sources.files import load_raw, read_year, write_yearly
+    from warnindex.sources.files import load_raw, read_year, stage_table, write_yearly
 
     parsed = parse_timestamps(normalize_schema(load_raw(spark, paths, fmt)), require_offset)
     loaded = Observation("loaded")
@@ -48,6 +48,7 @@ def ingest(spark: SparkSession, paths, areas: DataFrame, table_path: str, fmt: s
         F.count_if(F.col("severityLevel").isNull() & F.col("severity").isNotNull()).alias("unmapped_severity"),
         F.count_if(F.col("timeRaised").isNull()).alias("missing_timeRaised"),
     )
+    areas = stage_table(areas.select("fwdCode", "isTidal").dropDuplicates(["fwdCode"]), "areas")  # counted and joined
     kept = Observation("region")
     region = restrict_to_region(parsed, areas, require_areas=True).observe(kept, F.count(F.lit(1)).alias("region_records"))
     write_yearly(region, table_path)

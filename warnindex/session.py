@@ -108,8 +108,22 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder for an intermediate table."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    """A fresh path under the shared folder for an intermediate table.
+
+    All of an application's are in one folder, which the file system removes when
+    the application ends (a lazy result may be read until then)."""
+    sc = spark.sparkContext
+    root = os.path.join(shared_dir(spark), f"warnindex-{sc.applicationId}")
+    if root not in _SCRATCH:
+        p = sc._jvm.org.apache.hadoop.fs.Path(root)
+        fs = p.getFileSystem(sc._jsc.hadoopConfiguration())
+        fs.mkdirs(p)
+        fs.deleteOnExit(p)
+        _SCRATCH.add(root)
+    return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+
+
+_SCRATCH: set[str] = set()
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
