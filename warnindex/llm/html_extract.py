@@ -256,7 +256,6 @@ def parse_pages(pages: DataFrame, url_col: str = "url", html_col: str = "html")
 
 def style_tree(trees: DataFrame) -> DataFrame:
     """One row per (host, path) key: pages, presentation and content importance."""
-    log = lambda n, m: F.when(m > 1, F.log(n.cast("double")) / F.log(m.cast("double"))).otherwise(0.0)
     looks = trees.select("digest", F.explode("nodes").alias("n")).select("digest", "n.key", "n.layout").distinct()
     looks = looks.groupBy("key", "layout").agg(F.count("*").alias("n"))
     # -sum(p * log_m(p)) with p = n / m, from two sums
@@ -278,9 +277,10 @@ def style_tree(trees: DataFrame) -> DataFrame:
 
     slim = trees.select("digest", "nodes", F.transform("blocks", lambda x: F.struct(x["hash"].alias("hash"), x["node"].alias("node"))).alias("blocks"))
     seen = slim.mapInArrow(held, "digest long, key long, hash long").distinct().groupBy("key", "hash").agg(F.count("*").alias("c"))
-    text = seen.join(shape.select("key", "pages"), "key").groupBy("key").agg(
-        (F.sum(F.col("c") * (1 - log(F.col("c"), F.col("pages")))) / F.sum("c")).alias("content"))
-    return shape.join(text, "key", "left").select("key", "pages", "presentation", F.coalesce("content", F.lit(0.0)).alias("content"))
+    # mean over block occurrences of 1 - log_m(c), c the pages that hold the block, from two sums
+    sums = seen.groupBy("key").agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.log("c")).alias("clogc"))
+    content = F.when(F.col("pages") > 1, 1 - F.col("clogc") / (F.col("c") * F.log("pages"))).otherwise(1.0)
+    return shape.join(sums, "key", "left").select("key", "pages", "presentation", F.coalesce(content, F.lit(0.0)).alias("content"))
 
 
 def main_text(nodes: list[dict], blocks: list[dict], stats: dict[int, tuple[int, float, float]], p: SiteParams = SiteParams()) -> str:
@@ -324,7 +324,7 @@ def main_text(nodes: list[dict], blocks: list[dict], stats: dict[int, tuple[int,
 def extract(pages: DataFrame, p: SiteParams = SiteParams(), url_col: str = "url", html_col: str = "html", text_col: str = "text") -> DataFrame:
     """``pages`` without the html column, with the main text as ``text_col``."""
     rest = [c for c in pages.columns if c != html_col]
-    trees = written(parse_pages(pages, url_col, html_col), "html-trees")
+    trees = written(parse_pages(pages, url_col, html_col), "html-trees", "zstd")
     stats = written(style_tree(trees), "html-style")
     shipped = None
     if fits(stats, p.nodes_to_broadcast):
