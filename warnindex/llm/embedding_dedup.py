@@ -6,7 +6,7 @@ of its neighbours in a few orders by random-hyperplane signs, then rounds of
 local joins refine the lists: all nodes on one node's list (forward and
 sampled reverse) are compared with each other, since neighbours of neighbours
 are likely neighbours.  Only pairs with a new entry are compared again; rounds end
-when few lists change.  The descent runs on half-precision vectors; every
+when few lists change or few new links show up.  The descent runs on half-precision vectors; every
 pair near the threshold is then verified in double precision.
 
 Saturation: a list whose every entry is a link may miss links.  Such lists are
@@ -50,7 +50,8 @@ class NNParams:
     planes: int = 24
     window: int = 8  # neighbours looked at on either side in an order
     rounds: int = 8
-    stop_share: float = 0.002  # of list entries changed
+    least_rounds: int = 2
+    stop_share: float = 0.002  # of list entries changed, or of links newly found
     margin: float = 0.005  # half-precision error allowed for
     block: int = 4096
     representatives: int = 16
@@ -225,11 +226,16 @@ def descend(nodes: DataFrame, p: NNParams, seed: int = 0) -> DataFrame:
     placed = placed.repartitionByRange(*order).sortWithinPartitions(*order)
     start = placed.mapInArrow(_adjacent(p), "u long, v long, s float").withColumn("fresh", F.lit(1))
     lists = written(_best(start, p.k), "nn-lists")
-    for _ in range(p.rounds):
-        total, changed = lists.agg(F.count("*"), F.sum("fresh")).first()
-        if not total or changed <= p.stop_share * total:
+    close = F.col("s") >= p.threshold - p.margin
+    for n in range(p.rounds):
+        total, changed, links, found = lists.agg(
+            F.count("*"), F.sum("fresh"), F.count_if(close), F.count_if(close & (F.col("fresh") == 1))).first()
+        # what is sought are links: the lists need not settle far below the threshold
+        if not total or changed <= p.stop_share * total or n >= p.least_rounds and found <= p.stop_share * links:
             break
-        bound = lists.groupBy("u").agg(F.when(F.count("*") >= p.k, F.min("s")).otherwise(F.lit(-2.0)).cast("float").alias("bound"))
+        # a list to improve must beat its last entry; a saturated one is enlarged later, not improved
+        last = F.when(F.min("s") >= p.threshold - p.margin, F.lit(2.0)).otherwise(F.min("s"))
+        bound = lists.groupBy("u").agg(F.when(F.count("*") >= p.k, last).otherwise(F.lit(-2.0)).cast("float").alias("bound"))
         back = lists.withColumn("r", F.row_number().over(Window.partitionBy("v").orderBy(F.desc("fresh"), F.xxhash64("u", "v")))).filter(
             F.col("r") <= p.reverse)
         member = lists.select(F.col("u").alias("w"), F.col("v").alias("m"), "fresh").unionByName(
