@@ -12,9 +12,10 @@ A leaf with b budgeted and s available tokens gives b div s whole epochs, then
 a prefix of the next one: documents in the order of md5(seed|epoch|doc_id) as
 long as their running sum stays within b mod s.
 
-Scale: token sums per (leaf, first three hex digits of the order) are
-pre-aggregated, the running sum goes over those at most 4096 rows a leaf, and only
-the documents of the one bucket in which the prefix ends are ordered.  The
+Scale: token sums per leaf and first two hex digits of the order are
+pre-aggregated, the running sum goes over those at most 256 rows a leaf, the bucket
+in which the prefix ends is divided by the next two digits in the same way, and only
+the documents of that 65536th part are ordered.  The
 answer per leaf is one row, joined back to the documents; texts are not shuffled
 where those rows fit a broadcast.
 
@@ -27,6 +28,7 @@ an empty result; clashing column names are avoided by prefixing ``_``.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -37,6 +39,7 @@ from warnindex.session import fits
 
 WORD = "[^ \\t\\n\\x0B\\f\\r]+"
 LEAVES_TO_BROADCAST = 20_000
+LEVELS = 2  # pairs of hex digits of the order that are pre-aggregated
 
 
 @dataclass(frozen=True)
@@ -97,19 +100,21 @@ def leaf_budgets(leaves: DataFrame, p: MixParams) -> DataFrame:
     lv = list(p.levels)
     keys = [f"_k{i}" for i in range(len(lv))]
     num = lambda c: F.col(c).cast("decimal(38,0)")
-    base = leaves.withColumn("cap", num("supply") * p.max_epochs).withColumn("_root", F.lit(0))
+    base = leaves.withColumn("cap", num("supply") * p.max_epochs)
     # a node whose own or any ancestor's weight is 0 can give nothing, whatever its leaves hold
     for i, level in enumerate(lv):
         base = base.withColumn("cap", F.when(_weight(level, F.col(keys[i]), p) == 0, 0).otherwise(F.col("cap")).cast("decimal(38,0)"))
-    goal = F.lit(p.budget_tokens) if p.budget_tokens is not None else F.floor(F.sum("supply") * F.lit(p.budget_share))
-    got = base.groupBy("_root").agg(F.least(goal.cast("decimal(38,0)"), F.sum("cap")).alias("budget"))
-    parents = ["_root"]
+    total = base.agg(F.coalesce(F.sum("supply"), F.lit(0)).alias("supply"), F.coalesce(F.sum("cap"), F.lit(0)).cast("long").alias("cap")).first()
+    goal = p.budget_tokens if p.budget_tokens is not None else math.floor(float(total["supply"]) * p.budget_share)
+    root = F.lit(min(int(goal), int(total["cap"]))).cast("decimal(38,0)")
+    got, parents = None, []
     for i, level in enumerate(lv):
         nodes = base.groupBy(*parents, keys[i]).agg(F.sum("cap").alias("cap")).withColumn("w", _weight(level, F.col(keys[i]), p))
-        nodes = _share_out(nodes.join(got, parents), parents, keys[i])
+        nodes = nodes.withColumn("budget", root) if got is None else nodes.join(got, parents)
+        nodes = _share_out(nodes, parents, keys[i])
         parents = parents + [keys[i]]
         got = nodes.select(*parents, F.col("share").alias("budget"))
-    return leaves.join(got.drop("_root"), keys)
+    return leaves.join(got, keys)
 
 
 def _order_key(seed: str, epoch, doc_id) -> Column:
@@ -123,31 +128,36 @@ def plan(docs: DataFrame, p: MixParams = PRODUCTION, id_col: str = "doc_id", tex
     slim = docs.select(*[F.coalesce(F.concat(F.lit("v"), F.col(c).cast("string")), F.lit("n")).alias(k) for k, c in zip(keys, p.levels)],
                        F.col(id_col).alias("_id"), n_words(F.col(text_col)).alias("_n"))
     slim = written(slim, "mix-tokens")
-    leaves = slim.groupBy(*keys).agg(F.sum("_n").cast("long").alias("supply")).filter("supply > 0")
+    leaves = written(slim.groupBy(*keys).agg(F.sum("_n").cast("long").alias("supply")).filter("supply > 0"), "mix-supply")
     leaves = leaf_budgets(leaves, p).withColumn("budget", F.col("budget").cast("long"))
     leaves = written(leaves.withColumn("epochs", F.expr("budget div supply")).withColumn("rest", F.expr("budget % supply")), "mix-leaves")
     small = F.broadcast(leaves) if fits(leaves, LEAVES_TO_BROADCAST) else leaves
     placed = slim.filter("_n > 0").join(small.filter("rest > 0"), keys).withColumn("_key", _order_key(p.seed, F.col("epochs"), F.col("_id")))
-    placed = placed.withColumn("_b", F.substring("_key", 1, 3))
-    buckets = placed.groupBy(*keys, "_b").agg(F.sum("_n").alias("t"), F.first("rest").alias("rest"))
-    run = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    buckets = buckets.withColumn("upto", F.sum("t").over(run))
-    ends = buckets.filter("upto > rest and upto - t <= rest").select(*keys, F.col("_b").alias("end_b"), (F.col("upto") - F.col("t")).alias("before"))
-    ends = written(ends, "mix-ends")
-    small_ends = F.broadcast(ends) if fits(ends, LEAVES_TO_BROADCAST) else ends
-    tail = placed.join(small_ends, keys).filter("_b = end_b")
+    tail = placed.withColumn("before", F.lit(0).cast("long"))
+    for d in range(1, LEVELS + 1):
+        # the running sum over the next two digits: at most 256 rows a leaf; the one in which the rest ends is looked into
+        b = F.substring("_key", 2 * d - 1, 2)
+        sums = tail.groupBy(*keys, b.alias("_b")).agg(F.sum("_n").alias("t"), F.first("rest").alias("rest"), F.first("before").alias("before"))
+        run = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+        sums = sums.withColumn("upto", F.sum("t").over(run) + F.col("before"))
+        ends = sums.filter("upto > rest and upto - t <= rest").select(*keys, F.col("_b").alias("end_b"), (F.col("upto") - F.col("t")).alias("start"))
+        ends = written(ends, "mix-ends")
+        small_ends = F.broadcast(ends) if fits(ends, LEAVES_TO_BROADCAST) else ends
+        tail = tail.join(small_ends, keys).filter(F.substring("_key", 2 * d - 1, 2) == F.col("end_b")).drop("before", "end_b").withColumnRenamed("start", "before")
+        prefix = ends.select(*keys, F.col("end_b").alias("p")) if d == 1 else prefix.join(ends, keys).select(*keys, F.concat("p", "end_b").alias("p"))
     tail = tail.groupBy(*keys, "_key").agg(F.sum("_n").alias("t"), F.first("before").alias("before"), F.first("rest").alias("rest"))
     run = Window.partitionBy(*keys).orderBy("_key").rowsBetween(Window.unboundedPreceding, 0)
     last = tail.withColumn("upto", F.sum("t").over(run) + F.col("before")).filter("upto <= rest")
     last = last.groupBy(*keys).agg(F.max("_key").alias("last_key"))
-    done = leaves.join(ends.drop("before"), keys, "left").join(last, keys, "left")
-    # rest > 0 and no ending bucket cannot happen: rest < supply
+    # rest < supply, so a leaf with a rest always has a prefix in which it ends
+    done = leaves.join(prefix.withColumnRenamed("p", "end_b"), keys, "left").join(last, keys, "left")
     return slim, written(done, "mix-plan")
 
 
 def _copies(p: MixParams, doc_id, has_tokens) -> Column:
     key = _order_key(p.seed, F.col("epochs"), doc_id)
-    part = (F.col("rest") > 0) & ((F.substring(key, 1, 3) < F.col("end_b")) | ((F.substring(key, 1, 3) == F.col("end_b")) & (key <= F.col("last_key"))))
+    head = F.substring(key, 1, 2 * LEVELS)
+    part = (F.col("rest") > 0) & ((head < F.col("end_b")) | ((head == F.col("end_b")) & (key <= F.col("last_key"))))
     return F.when(has_tokens & F.col("epochs").isNotNull(), F.col("epochs") + F.coalesce(part, F.lit(False)).cast("long")).otherwise(F.lit(0)).cast("int")
 
 
