@@ -256,3 +256,17 @@ def test_yearly_write_is_one_file_a_small_year(spark, tmp_path):
     df = spark.range(7000, numPartitions=8).selectExpr("cast(id as string) fwdCode", "timestamp_ntz'2018-01-01 00:00:00' + make_interval(id % 7) timeRaised")
     files.write_yearly(df, str(tmp_path / "t"))
     assert len(glob.glob(str(tmp_path / "t" / "year=*" / "*.parquet"))) == 7
+
+
+def test_json_lines(spark, tmp_path):
+    write(str(tmp_path / "l.json"), '{"DATE": "2024-01-01T00:00:00Z", "CODE": "A", "TYPE": "Flood {Alert}"}\n  {"CODE": "B", "TYPE": "x"}\n\n')
+    assert sorted((r.CODE, r.TYPE) for r in files.load_raw(spark, str(tmp_path / "l.json")).collect()) == [("A", "Flood {Alert}"), ("B", "x")]
+
+
+def test_listing(spark, tmp_path):
+    for n in ("a/b.csv", "a/_c.csv", ".d.csv", "e.ods"):
+        write(str(tmp_path / n), "x")
+    want = [str(tmp_path / "a/b.csv"), str(tmp_path / "e.ods")]
+    assert files.list_paths(spark, str(tmp_path)) == want
+    assert files.list_paths(spark, f"file://{tmp_path}") == [f"file:{p}" for p in want]
+    assert files.list_paths(spark, str(tmp_path / "none")) == []

@@ -125,11 +125,13 @@ def decode_paths(spark: SparkSession, paths, fmt: str) -> DataFrame:
 
 
 def decode_json(spark: SparkSession, paths) -> DataFrame:
-    """DECODED rows of JSON documents holding an array of records (or one record):
+    """DECODED rows of JSON documents holding an array of records (or one record, or one a line):
     every member as text, no inference pass, extra members kept."""
     d = spark.read.text(list(paths), wholetext=True).select(F.col("_metadata.file_path").alias("_path"), "value")
     text = F.regexp_replace(F.trim("value"), "^﻿", "")
-    records = F.from_json(F.when(text.startswith("{"), F.concat(F.lit("["), text, F.lit("]"))).otherwise(text),
+    # one record, or one a line: no string holds a line break, so a closing brace, one and an opening brace part two records
+    lines = F.concat(F.lit("["), F.regexp_replace(text, r"\}\s*[\r\n]\s*\{", "},{"), F.lit("]"))
+    records = F.from_json(F.when(text.startswith("{"), lines).otherwise(text),
                           "array<map<string,string>>", {"mode": "PERMISSIVE"})
     d = d.select("_path", records.alias("r"))
     d = d.withColumn("k", F.array_distinct(F.flatten(F.transform(F.filter("r", lambda m: m.isNotNull()), F.map_keys))))

@@ -118,17 +118,9 @@ def _jvm_fs(spark: SparkSession, path: str):
 def list_paths(spark: SparkSession, directory: str) -> list[str]:
     """Every file under ``directory`` (recursive; empty files included), from
     the file system's listing -- metadata only."""
-    fs, p = _jvm_fs(spark, directory)
-    if not fs.exists(p):
-        return []
-    it = fs.listFiles(p, True)
-    out = []
-    while it.hasNext():
-        st = it.next()
-        name = st.getPath().getName()
-        if not name.startswith((".", "_")):
-            out.append(st.getPath().toString())
-    return out
+    from warnindex.sources.storage import list_tree
+
+    return [p for p in list_tree(directory) if not os.path.basename(p).startswith((".", "_"))]
 
 
 def _probe_headers(it):

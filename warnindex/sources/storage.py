@@ -26,3 +26,13 @@ def save_bytes(path: str, content: bytes) -> None:
     f.create_dir(p.rsplit("/", 1)[0], recursive=True)
     with f.open_output_stream(p, compression=None) as out:
         out.write(content)
+
+
+def list_tree(directory: str) -> list[str]:
+    """Every file below ``directory``, named the way it is (path or URI); one listing call."""
+    from pyarrow import fs
+
+    f, p = _resolve(directory)
+    found = f.get_file_info(fs.FileSelector(p, recursive=True, allow_not_found=True))
+    head = "file:" if directory.startswith("file:") else directory[: len(directory) - len(p)] if "://" in directory else ""
+    return sorted(head + x.path for x in found if x.type == fs.FileType.File)
