@@ -29,7 +29,9 @@ def test_odd_input():
     assert alone(None) == alone("") == alone("<html><body></body>") == ""
     assert alone("plain &amp; text") == "plain & text"
     assert alone("<p>a<p>b</div></article><p>c") == "a\n\nb\n\nc"
-    assert alone("<article><p>cut <a href='x>y") .startswith("cut") and alone("<article>x</article><article>y</article>") == "x\n\ny"
+    assert alone("<article><p>cut <a hre") == alone("<article><p>cut </") == "cut" and alone("<p>1 < 2 <") == "1 < 2 <"
+    assert alone("<div class=main_content><p>in<p style='display: none'>no</div><div>out</div>") == "in"
+    assert alone("<article>x</article><article>y</article>") == "x\n\ny"
     assert alone("<body><div class=ad>only</div></body>") == ""
     assert alone("<p>deep " + "<div>" * 3000 + "end") == "deep\n\nend"
     assert len(alone("<article><p>" + "word " * 400_000)) == 5 * 400_000 - 1

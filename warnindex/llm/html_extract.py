@@ -57,13 +57,17 @@ NOISE_WORDS = frozenset(
     "alert alerts newsletter subscribe subscription signup login share sharing social related recommended recommendations comment comments "
     "commentlist disqus reply replies respond widget widgets toolbar pagination pager copyright disclaimer paywall".split())
 HEADER_WORDS = frozenset("header masthead topbar".split())
-ARTICLE_NAMES = frozenset("article articlebody article-body article-content entry-content post-content post-body story-body".split())
-MAIN_NAMES = frozenset("main content main-content maincontent page-content post entry story".split())
+ARTICLE_NAMES = frozenset(
+    "article articlebody article-body article-content article-text article-main main-article news-article entry-content "
+    "post-content post-body post-text blog-post story-body story-content".split())
+MAIN_NAMES = frozenset("main content main-content maincontent content-main content-body page-content page-body body-content post entry story".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 _SPLIT = re.compile(r"[^a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _DIGITS = re.compile(r"[0-9]+")
+_CUT_TAG = re.compile(r"<[A-Za-z/!][^<>]*\Z")  # a page that ends inside a tag
+_HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 def host_of(url: str | None) -> str:
@@ -97,7 +101,7 @@ class PageTree(HTMLParser):
         self.blocks: list[tuple[str, int]] = []
         self.stack = [_Element("", "", -1, False, {})]
         self.data: list[str] = []
-        self.feed(html or "")
+        self.feed(_CUT_TAG.sub("", html or ""))
         self.close()
         self._flush()
 
@@ -113,10 +117,12 @@ class PageTree(HTMLParser):
         if tag in ("html", "body"):
             return None
         role = (attrs.get("role") or "").lower()
-        names = (attrs.get("class") or "").split() + (attrs.get("id") or "").split()
+        names = ((attrs.get("class") or "") + " " + (attrs.get("id") or "")).replace("_", "-").split()
         words = {w for n in names for w in _SPLIT.split(_CAMEL.sub("-", n).lower())}
         if tag in NOISE_TAGS or role in NOISE_ROLES or words & NOISE_WORDS or "hidden" in attrs:
             return 0
+        if _HIDDEN.search(attrs.get("style") or ""):
+            return 0
         if not inside and (tag == "header" or words & HEADER_WORDS):
             return 0
         plain = {n.lower() for n in names}

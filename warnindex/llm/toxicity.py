@@ -44,7 +44,7 @@ class FtrlParams:
     l1: float = 0.05  # per epoch, in units of the gradient noise of a feature that every document has
     l2: float = 0.0
     epochs: int = 12
-    max_train: int = 12_000
+    max_train: int = 20_000
     seed: int = 17
 
 
