@@ -63,7 +63,7 @@ class LeakParams:
     samples: int = 4
     max_tables: int = 64
     trials: int = 600
-    block_chars: int = 16 << 20
+    block_chars: int = 2 << 20
     seed: int = 5
 
 
@@ -194,7 +194,7 @@ class LeakIndex:
     def _table(self, c: _Class, t: int, flat, starts) -> tuple:
         rng = np.random.default_rng((self.p.seed, c.low, t))
         positions = np.sort(rng.choice(c.steps, size=min(c.samples, c.steps), replace=False)).tolist()
-        filters, bits = [], max(10, (32 * len(starts)).bit_length())
+        filters, bits = [], max(10, (8 * len(starts)).bit_length())
         first = np.zeros(self.stop + 1, dtype=bool)
         _, acc = self._walk(flat, starts, t, positions[:1])
         first[(acc - np.uint64(1)).astype(np.int64)] = True
