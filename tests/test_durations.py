@@ -26,14 +26,14 @@ def test_single_message_gets_default(msgs):
 
 def test_gap_under_default(msgs):
     d = calculate_durations(msgs([("A", "2024-01-01T00:00:00", "Flood Alert", 3),
-                                  ("A", "2024-01-01T10:00:00", "Flood Alert", 3)]), ALL)
-    assert sorted(v[0] for v in by_id(d, "duration_hours").values()) == [10.0, 48.0]
+                                  ("A", "2024-01-01T17:30:00", "Flood Alert", 3)]), ALL)
+    assert sorted(v[0] for v in by_id(d, "duration_hours").values()) == [17.5, 48.0]
 
 
 def test_gap_over_max_gets_default(msgs):
-    d = calculate_durations(msgs([("A", "2024-01-01T00:00:00", "Flood Alert", 3),
-                                  ("A", "2024-01-05T00:00:00", "Flood Alert", 3)]), ALL)
-    assert by_id(d, "duration_hours")[0] == (48.0,)
+    d = calculate_durations(msgs([("A", "2024-01-01T00:00:00", "Flood Warning", 2),
+                                  ("A", "2024-01-04T00:00:01", "Flood Alert", 3)]), ALL)
+    assert by_id(d, "duration_hours")[0] == (24.0,)
 
 
 def test_gap_exactly_max_is_not_over(msgs):
@@ -51,7 +51,7 @@ def test_update_keeps_full_gap_above_default(msgs):
 
 def test_suffix_update_is_not_update(msgs):
     d = calculate_durations(msgs([("A", "2024-01-01T00:00:00", "Flood Alert Update", None),
-                                  ("A", "2024-01-02T00:00:00", "Flood Alert", 3)]), ALL)
+                                  ("A", "2024-01-02T06:00:00", "Flood Alert", 3)]), ALL)
     upd, hours, score = by_id(d, "is_update", "duration_hours", "score")[0]
     assert upd is False and hours == 24.0 and score == 0.0  # N1: null level -> 24 h, weight 0
 
@@ -110,16 +110,16 @@ def test_severity_breakdown_zero_filled(msgs):
 
 
 def test_fixture_by_hand(msgs):
-    # FIXTURES §1: fluvial 10+10+48 = 68 h, score 68; coastal 3+24 = 27 h, score 54.
+    # by hand: fluvial 7 + 13 + 48 = 68 h, all weight 1; coastal 5 + 24 = 29 h, weight 2
     d = calculate_durations(msgs([
         ("F", "2024-01-01T00:00:00", "Flood Alert", 3, False),
-        ("F", "2024-01-01T10:00:00", "Flood Alert", 3, False),
+        ("F", "2024-01-01T07:00:00", "Flood Alert", 3, False),
         ("F", "2024-01-01T20:00:00", "Flood Alert", 3, False),
         ("C", "2024-01-01T00:00:00", "Flood Warning", 2, True),
-        ("C", "2024-01-01T03:00:00", "Flood Warning", 2, True),
+        ("C", "2024-01-01T05:00:00", "Flood Warning", 2, True),
     ]), ALL)
     r = annual_by_class(d).collect()[0]
-    assert (r.fluvial_hours, r.fluvial_score, r.coastal_hours, r.coastal_score) == (68.0, 68.0, 27.0, 54.0)
+    assert (r.fluvial_hours, r.fluvial_score, r.coastal_hours, r.coastal_score) == (68.0, 68.0, 29.0, 58.0)
 
 
 def test_whole_seconds_truncated(msgs):
