@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import codecs
 import csv
-import io
 import re
 import zipfile
 from collections.abc import Iterator
