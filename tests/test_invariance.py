@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def rows(df):
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(r) for r in df.collect()), key=lambda r: [(x is None, 0 if x is None else x) for x in r])
 
 
 def test_index_invariant(spark):
