@@ -87,25 +87,13 @@ def read_csv(spark: SparkSession, paths, header_cols=None, multiline: bool = Fal
 
 
 def read_json(spark: SparkSession, paths, multiline: bool = True, schema: T.StructType | None = None) -> DataFrame:
-    """JSON documents holding an array of records (``multiline``) or JSON
-    lines.  Without ``schema`` the columns present are inferred (one pass,
-    every scalar read as text); with one, there is no inference pass."""
+    """JSON documents holding records.  With a schema Spark reads the declared members
+    (``multiline``: a document a file, else one a line); without one every member
+    that occurs becomes a text column, and no inference pass is run."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    r = spark.read.option("multiLine", multiline)
     if schema is not None:
-        return r.schema(schema).json(paths)
-    return _to_raw(r.option("primitivesAsString", True).json(paths))
-
-
-def list_files(spark: SparkSession, directory: str, pattern: str = "*") -> DataFrame:
-    """Distributed listing (path, length, modificationTime); contents are not read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", True)
-        .load(directory)
-        .select("path", "length", "modificationTime")
-    )
+        return spark.read.option("multiLine", multiline).schema(schema).json(paths)
+    return load_checked(spark, paths, "json")[0]
 
 
 def _jvm_fs(spark: SparkSession, path: str):
