@@ -86,5 +86,20 @@ def test_keep_one(spark):
     assert got == [(False, 1, "a b c d e f"), (False, 3, ""), (True, 0, "zz yy xx ww vv")]
 
 
+@pytest.mark.parametrize("bound", [500_000, 0])
+def test_keep_one_matches_brute_force(spark, monkeypatch, bound):
+    monkeypatch.setattr(S, "IDS_TO_BROADCAST", bound)
+    rows = near_rows(random.Random(11), 120)
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, fp int")
+    want = brute_components([(i, brute_fp(t)) for i, t in rows])
+    kept = S.keep_one(docs)
+    got = kept.collect()
+    assert kept.columns == docs.columns
+    heads = {c for c in want.values() if c is not None}
+    assert sorted(r.doc_id for r in got if r.doc_id is not None) == sorted(heads)
+    assert sum(r.doc_id is None for r in got) == len({f for (i, f), c in want.items() if c is None})
+
+
 def test_empty_table(spark):
-    assert S.simhash_components(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert S.simhash_components(none).collect() == [] and S.keep_one(none).collect() == []

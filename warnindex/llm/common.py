@@ -55,10 +55,6 @@ def arrow_rows(batches: Iterable[pa.RecordBatch], max_bytes: int = 8 << 20) -> I
             yield b.slice(i, step)
 
 
-def hash64(*cols) -> F.Column:
-    return F.xxhash64(*cols)
-
-
 def run_bounds(key: np.ndarray) -> np.ndarray:
     """Start offsets of runs of equal keys, closed by the length."""
     if len(key) == 0:

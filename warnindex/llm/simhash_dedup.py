@@ -27,15 +27,16 @@ repeated rows stay; extra columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from warnindex.llm.common import arrow_rows, run_bounds, written
+from warnindex.llm.common import arrow_rows, fresh_name, run_bounds, written
 from warnindex.llm.components import connected_components
 from warnindex.session import fits
 
@@ -263,27 +264,46 @@ def fingerprint_hex(fp) -> F.Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
+IDS_TO_BROADCAST = 500_000  # about 30 MB
+
+
 def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each group: the smallest doc_id, of its repeated rows the first by
-    a hash of the text.  Groups whose doc_ids are all null keep one row as well.
+    """One row of each group: the smallest doc_id; of rows that repeat that id, the one
+    with the smallest hash of its text.  Groups whose doc_ids are all null keep one row as well.
     Returns the columns of ``docs``.
+
+    The texts are not shuffled where the ids to drop fit a broadcast; rows of repeated
+    ids, and those without an id, are dealt with apart.
     """
-    comp = simhash_components(docs, shingle, max_bits, id_col=id_col, text_col=text_col)
-    heads = comp.filter("doc_id = component_id").select("doc_id").distinct()
-    null_heads = comp.filter("component_id is null").select("fp").distinct()
+    comp = written(simhash_components(docs, shingle, max_bits, id_col=id_col, text_col=text_col), "simhash-components")
     cols = docs.columns
-    one = docs.join(heads, docs[id_col] == heads["doc_id"], "left_semi")
-    one = one.dropDuplicates([id_col])
-    if null_heads.isEmpty():
-        return one.select(cols)
-    # all-null groups: link their fingerprints again among themselves, keep the first of each root
-    nulls = docs.filter(F.col(id_col).isNull())
+    ids = comp.filter("doc_id is not null").groupBy("doc_id").agg(
+        F.count("*").alias("n"), F.bool_or(F.col("doc_id") == F.col("component_id")).alias("head"))
+    special = written(ids.filter("not head or n > 1"), "simhash-special")
+    repeated = special.filter("head").select("doc_id")
+    aside = special.select("doc_id")
+    if fits(aside, IDS_TO_BROADCAST):
+        aside, repeated = F.broadcast(aside), F.broadcast(repeated)
+    mine = docs[id_col].cast("long")
+    parts = [docs.filter(docs[id_col].isNotNull()).join(aside, mine == aside["doc_id"], "left_anti").select(cols)]
+    if not special.filter("head").isEmpty():
+        same = docs.join(repeated, mine == repeated["doc_id"], "left_semi").select(cols)
+        rank = F.row_number().over(Window.partitionBy(id_col).orderBy(F.xxhash64(text_col)))
+        name = fresh_name(docs, "_rank")
+        parts.append(same.withColumn(name, rank).filter(F.col(name) == 1).select(cols))
+    null_heads = comp.filter("component_id is null").select("fp").distinct()
+    if not null_heads.isEmpty():
+        parts.append(_one_of_nameless(docs.filter(docs[id_col].isNull()), null_heads, shingle, max_bits, text_col).select(cols))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _one_of_nameless(nulls: DataFrame, null_heads: DataFrame, shingle: int, max_bits: int, text_col: str) -> DataFrame:
+    """One row of each group that has no doc_id: hashes of the texts stand for ids."""
     rest = fingerprints(nulls.select(F.xxhash64(text_col).alias("h"), text_col), shingle, "h", text_col)
-    roots = rest.join(null_heads, "fp", "left_semi")
-    nodes = roots.groupBy("fp").agg(F.min("doc_id").alias("h"))
+    nodes = written(rest.join(null_heads, "fp", "left_semi").groupBy("fp").agg(F.min("doc_id").alias("h")), "simhash-nameless")
     cc = connected_components(links(nodes.select("fp"), max_bits))
     root = nodes.join(cc, nodes["fp"] == cc["node"], "left").select("h", F.coalesce("component", "fp").alias("root"))
     pick = root.groupBy("root").agg(F.min("h").alias("_pick")).select("_pick")
-    extra = nulls.join(pick, F.xxhash64(nulls[text_col]) == pick["_pick"], "left_semi")
-    extra = extra.withColumn("_h", F.xxhash64(text_col)).dropDuplicates(["_h"]).select(cols)
-    return one.select(cols).unionByName(extra)
+    hashed = fresh_name(nulls, "_h")
+    extra = nulls.withColumn(hashed, F.xxhash64(text_col))
+    return extra.join(pick, F.col(hashed) == F.col("_pick"), "left_semi").dropDuplicates([hashed]).drop(hashed)
