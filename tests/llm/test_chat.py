@@ -72,6 +72,23 @@ def test_frames(spark):
     assert C.read_back(C.format_chats(df.limit(0))).collect() == []
 
 
+def test_query_matches_sql(spark, tmp_path):
+    import duckdb
+
+    from warnindex.llm.queries import ORACLES
+
+    odd = [(9_000_001, i, r, t) for i, (r, t) in enumerate([("tool", "x\\[INST]"), (None, "</s></s>"), ("assistant", "<<SYS>>[/END]\\\\"), ("a[/ROLE]\\", None)])]
+    df = spark.read.parquet(f"{SF_MID}/conversations.parquet").unionByName(
+        spark.createDataFrame(odd, "conv_id long, turn long, role string, text string"))
+    df.write.parquet(str(tmp_path / "conversations.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    got = op6_chat_format(spark, str(tmp_path))
+    cur = con.execute(ORACLES["op6_chat_format"])
+    assert [d[0] for d in cur.description] == got.columns
+    assert sorted(map(tuple, got.collect())) == sorted(cur.fetchall())
+
+
 def test_query(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF_MID}/conversations.parquet").collect()] + [(-7, 0, "user", EVIL), (-7, 1, "assistant", EVIL)]
     got = {r.conv_id: r for r in op6_chat_format(spark, SF_MID).collect()}

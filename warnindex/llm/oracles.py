@@ -51,3 +51,24 @@ SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, p.d AS payload_digest,
   CASE WHEN page_id IS DISTINCT FROM m THEN m END AS refers_to
 FROM p LEFT JOIN g ON p.d = g.d
 """
+
+
+def _escaped_length(col: str) -> str:
+    """Length of a text once backslashes are doubled and one is put into every control string."""
+    controls = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "[ROLE]", "[/ROLE]", "[/END]")
+    extra = [f"(length({col}) - length(replace({col}, '{c}', ''))) // {len(c)}" for c in controls]
+    return f"(2 * length({col}) - length(replace({col}, chr(92), '')) + {' + '.join(extra)})"
+
+
+CHAT = f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum({_escaped_length('text')} + CASE role WHEN 'system' THEN 18 WHEN 'user' THEN 15 WHEN 'assistant' THEN 10
+    ELSE 24 + {_escaped_length('role')} END) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+"""

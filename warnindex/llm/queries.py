@@ -101,6 +101,7 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op1_warc_archives": oracles.WARC,
     "op5_mixing_budgets": oracles.MIX,
+    "op6_chat_format": oracles.CHAT,
 }
 
 
