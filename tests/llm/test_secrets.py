@@ -109,5 +109,21 @@ def test_query_whole_table(spark):
         assert r.spans == show(sorted([*b, *entropy(docs[r.doc_id])]))
 
 
+def test_query_matches_sql(spark, tmp_path):
+    import duckdb
+
+    from warnindex.llm.queries import ORACLES
+
+    spark.createDataFrame(rows(), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    for sf, files in ((str(tmp_path), f"{tmp_path}/documents.parquet/*.parquet"), (SF_MID, f"{SF_MID}/documents.parquet")):
+        con.execute(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM read_parquet('{files}')")
+        got = op7_secret_scan(spark, sf)
+        cur = con.execute(ORACLES["op7_secret_scan"])
+        assert [d[0] for d in cur.description] == got.columns
+        key = lambda r: tuple((x is None, str(x)) for x in r)
+        assert sorted(map(tuple, got.collect()), key=key) == sorted(cur.fetchall(), key=key)
+
+
 def test_empty(spark):
     assert S.scan(spark.createDataFrame([], "doc_id long, text string")).collect() == []

@@ -72,3 +72,46 @@ SELECT conv_id, count(*) AS n_turns,
     ELSE 24 + {_escaped_length('role')} END) AS BIGINT) AS formatted_chars
 FROM t GROUP BY conv_id
 """
+
+
+def _found(rank: int, kind: str, regex: str, group: int = 0) -> str:
+    """(doc_id, rank, kind, s, x, g) of every match: its start comes from the lengths of all before it."""
+    q = regex.replace("'", "''")
+    return f"""SELECT doc_id, n, {rank} AS rank, '{kind}' AS kind, unnest(list_transform(range(1, len(ms) + 1), lambda i: {{
+        's': list_sum(list_transform(ps[1:i], lambda p: length(p))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda m: length(m))), 0),
+        'x': ms[i], 'g': gs[i]}})) AS f
+      FROM (SELECT doc_id, n, regexp_extract_all(t, '{q}') AS ms, string_split_regex(t, '{q}') AS ps, regexp_extract_all(t, '{q}', {group}) AS gs FROM d)
+      WHERE len(ms) > 0"""
+
+
+def _windows(rank: int, kind: str, chars: str, width: int, threshold: float) -> str:
+    """Extent of the windows of high entropy in every run of a class that the allow-list lets pass."""
+    repeats = " OR ".join(f"starts_with(f.x, repeat(substr(f.x, 1, {k}), 3))" for k in range(1, 9))
+    return f"""SELECT doc_id, n, rank, kind, f.s + list_min(hit) AS s, f.s + list_max(hit) + {width} AS e FROM (
+      SELECT *, list_filter(range(0, length(f.x) - {width - 1}), lambda i: list_entropy(string_split(substr(f.x, i + 1, {width}), '')) >= {threshold} - 1e-10) AS hit
+      FROM ({_found(rank, kind, f'[{chars}]{{{width},}}')})
+      WHERE NOT regexp_matches(f.x, '(?i)example|sample|dummy|placeholder|changeme') AND NOT regexp_matches(f.x, '(?i)0123456789|abcdefghijkl')
+        AND NOT ({repeats}) AND NOT regexp_matches(f.x, '^[A-Za-z]+([/_-][A-Za-z]+)+$')) WHERE len(hit) > 0"""
+
+
+# either case letter by letter: this engine's (?i) also folds letters outside ASCII
+_NAMES = "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in "password|passwd|secret|token|api_?key")
+_ASSIGN = f"({_NAMES})" + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+
+SECRETS = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS n FROM documents),
+base AS (
+  SELECT doc_id, n, rank, kind, f.s AS s, f.s + length(f.x) AS e FROM (
+    {_found(0, 'assign', _ASSIGN, 2)}
+    UNION ALL {_found(1, 'access', 'AKIA[A-Z0-9]{14,}')}
+    UNION ALL {_found(2, 'hex', '[0-9a-f]{16,}')}) WHERE kind <> 'assign' OR length(f.g) >= 12),
+more AS (
+  {_windows(3, 'entropy_hex', '0-9a-fA-F', 20, 3.0)}
+  UNION ALL {_windows(4, 'entropy_base64', '0-9a-zA-Z+/_-', 24, 4.0)}),
+b AS (SELECT n, count(*) FILTER (WHERE rank = 0) AS n_assign, count(*) FILTER (WHERE rank = 1) AS n_access, count(*) FILTER (WHERE rank = 2) AS n_hex,
+    string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) AS txt FROM base GROUP BY n),
+a AS (SELECT n, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) AS txt FROM (FROM base UNION ALL FROM more) GROUP BY n)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(b.txt, '')) AS base_sha256, coalesce(a.txt, '') AS spans
+FROM d LEFT JOIN b USING (n) LEFT JOIN a USING (n)
+"""

@@ -102,6 +102,7 @@ ORACLES: dict[str, str] = {
     "op1_warc_archives": oracles.WARC,
     "op5_mixing_budgets": oracles.MIX,
     "op6_chat_format": oracles.CHAT,
+    "op7_secret_scan": oracles.SECRETS,
 }
 
 
