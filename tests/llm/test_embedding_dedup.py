@@ -76,6 +76,19 @@ def test_empty(spark):
     assert out.collect() == [] and recall == 1.0
 
 
+def test_query_matches_sql(spark):
+    import duckdb
+
+    from warnindex.llm.queries import ORACLES
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{SF_MID}/embeddings.parquet')")
+    got = op4_embedding_near_dedup(spark, SF_MID)
+    cur = con.execute(ORACLES["op4_embedding_near_dedup"])
+    assert [d[0] for d in cur.description] == got.columns
+    assert sorted(map(tuple, got.collect())) == sorted(cur.fetchall())
+
+
 def test_query_recall(spark):
     rows = [(r.vec_id, list(r.embedding), r.label) for r in spark.read.parquet(f"{SF_MID}/embeddings.parquet").collect()]
     want = {i: (n, c) for i, n, c in brute(rows)}

@@ -115,3 +115,18 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
   sha256(coalesce(b.txt, '')) AS base_sha256, coalesce(a.txt, '') AS spans
 FROM d LEFT JOIN b USING (n) LEFT JOIN a USING (n)
 """
+
+# all pairs of a label; the smallest vec_id spreads along the links
+EMBEDDINGS = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e, label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS ok
+  FROM embeddings),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE a.ok AND b.ok AND list_cosine_similarity(a.e, b.e) >= 0.93),
+reach(a, c) AS (SELECT vec_id, vec_id FROM v UNION SELECT links.b, reach.c FROM reach JOIN links ON links.a = reach.a),
+comp AS (SELECT a, min(c) AS c FROM reach GROUP BY a),
+deg AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, c AS component_id, vec_id = c AS kept
+FROM v JOIN comp ON comp.a = vec_id LEFT JOIN deg ON deg.a = vec_id
+"""

@@ -100,6 +100,7 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op1_warc_archives": oracles.WARC,
+    "op4_embedding_near_dedup": oracles.EMBEDDINGS,
     "op5_mixing_budgets": oracles.MIX,
     "op6_chat_format": oracles.CHAT,
     "op7_secret_scan": oracles.SECRETS,
