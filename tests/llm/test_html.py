@@ -37,6 +37,29 @@ def test_odd_input():
     assert len(alone("<article><p>" + "word " * 400_000)) == 5 * 400_000 - 1
 
 
+def test_noise_names_and_forms_around_the_page():
+    body = "<nav>Menu</nav>{}<div class=comments><article>Nice!</article></div><footer>End</footer>"
+    art = "<article><h1>Head</h1><p>The story itself, long enough.</p><form>Name <input></form></article>"
+    text = "Head\n\nThe story itself, long enough."
+    for wrap in ("<div class='layout has-sidebar'>{}</div>", "<div id=page class=nav-open>{}</div>", "<form action=/>{}</form>",
+                 "<form><div class='no-sidebar'><div id=wrap>{}<div class=sidebar>Side</div></div></div></form>", "<div class='site header-open'>{}</div>",
+                 "<div class='elementor-widget'>{}<div>stray</div></div>", "<main><form>{}</form></main>"):
+        assert alone(wrap.format(body.format(art))) == alone(body.format(wrap.format(art))) == text, wrap
+    assert alone(art.replace("<article>", "<article class='post comments-open'>")) == text
+    assert alone(f"<div class='main has-sidebar'>{art}</div>") == text
+    # what the names say holds where the article is elsewhere
+    assert alone(f"{art}<div class=has-comments><article>Nice!</article></div><form><div class=content>Sign up</div></form>") == text
+    assert alone("<div><p>No mark at all, but long.</p></div><div class=comments><article>Nice!</article></div>") == "No mark at all, but long."
+    # no article: a form or a layout around the page
+    assert alone("<form><div><p>All of the text</p></div><div class=sidebar>Side</div></form>") == "All of the text"
+
+
+def test_site_tree_saves_wrappers(spark):
+    page = lambda i: f"<body><div class=widget><div><p>Sentence {i} of its own</p></div></div><div class=promo><p>Buy it</p></div></body>"
+    df = spark.createDataFrame([(i, f"https://w.example/{i}", page(i)) for i in range(8)], "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in X.extract(df).collect()} == {i: f"Sentence {i} of its own" for i in range(8)}
+
+
 def soup(i):
     """No semantic tags: only the site tells menus from text."""
     return (f"<body><div class=x1><a>Home</a> <a>News</a> <a>About us</a></div><div class=x2><h2>Story {i}</h2>"

@@ -7,7 +7,9 @@ ids and places are one node of the host's style tree.  A node has
   pages (a menu looks the same everywhere, an article never does).  Elements whose
   tag, role, class or id says what they are get a fixed value instead: 0 for
   menus, headers, footers, sidebars, notices, adverts, forms and comments, 1 for the
-  page's article; what lies inside inherits it, and in a page with an article the rest has 0;
+  page's article; what lies inside inherits it, and in a page with an article the rest has 0.
+  A class, id or form does not hold over the article or main element inside it, nor over
+  most of the page's text where that is its own on every page (see ``_ranks``);
 * content importance: one minus the mean entropy of its text blocks over the
   pages that have the node (a block on every page scores 0, a unique one 1).
 
@@ -57,6 +59,8 @@ NOISE_WORDS = frozenset(
     "alert alerts newsletter subscribe subscription signup login share sharing social related recommended recommendations comment comments "
     "commentlist disqus reply replies respond widget widgets toolbar pagination pager copyright disclaimer paywall".split())
 HEADER_WORDS = frozenset("header masthead topbar".split())
+# parts of names that say how a page is laid out, not what the element is: has-sidebar, nav-open
+STATE_WORDS = frozenset("has with no without is open opened closed enabled disabled active collapsed expanded".split())
 ARTICLE_NAMES = frozenset(
     "article articlebody article-body article-content article-text article-main main-article news-article entry-content "
     "post-content post-body post-text blog-post story-body story-content".split())
@@ -77,6 +81,12 @@ def host_of(url: str | None) -> str:
         return ""
 
 
+def _weak(own: int, named: bool) -> int:
+    """Rank of noise by name or form: ``own``, what the element is but for that, and whether
+    a name says that it is noise (else it is a form or has names of state only)."""
+    return -(1 + own + 3 * named)
+
+
 @dataclass
 class _Element:
     tag: str
@@ -91,7 +101,7 @@ class PageTree(HTMLParser):
     """Blocks of one page and the containers they lie in.
 
     ``nodes``: (path, parent node, rank) with rank 0 noise, 1 main, 2 article, None
-    unmarked; ``layout``: child tags in order, runs of one tag as one.
+    unmarked, below 0 noise by name or form only (see ``_weak``); ``layout``: child tags in order, runs of one tag as one.
     ``blocks``: (text, node)."""
 
     def __init__(self, html: str | None):
@@ -119,18 +129,21 @@ class PageTree(HTMLParser):
         role = (attrs.get("role") or "").lower()
         names = ((attrs.get("class") or "") + " " + (attrs.get("id") or "")).replace("_", "-").split()
         words = {w for n in names for w in _SPLIT.split(_CAMEL.sub("-", n).lower())}
-        if tag in NOISE_TAGS or role in NOISE_ROLES or words & NOISE_WORDS or "hidden" in attrs:
-            return 0
-        if _HIDDEN.search(attrs.get("style") or ""):
+        if tag in NOISE_TAGS - {"form"} or role in NOISE_ROLES - {"form"} or "hidden" in attrs or _HIDDEN.search(attrs.get("style") or ""):
             return 0
-        if not inside and (tag == "header" or words & HEADER_WORDS):
+        if not inside and tag == "header":
             return 0
         plain = {n.lower() for n in names}
+        own = None
         if tag == "article" or role == "article" or (attrs.get("itemprop") or "").lower() == "articlebody" or plain & ARTICLE_NAMES:
-            return 2
-        if tag == "main" or role == "main" or plain & MAIN_NAMES:
-            return 1
-        return None
+            own = 2
+        elif tag == "main" or role == "main" or plain & MAIN_NAMES:
+            own = 1
+        noisy = NOISE_WORDS if inside else NOISE_WORDS | HEADER_WORDS
+        if words & noisy:
+            parts = [set(_SPLIT.split(_CAMEL.sub("-", n).lower())) for n in names]
+            return _weak(own or 0, any(w & noisy and not w & STATE_WORDS for w in parts))
+        return _weak(own or 0, False) if tag == "form" or role == "form" else own
 
     def _marked(self, node: int) -> int | None:
         while node >= 0:
@@ -168,7 +181,7 @@ class PageTree(HTMLParser):
             self.nodes.append((path, top.node, rank))
             self.layout.append([])
             node = len(self.nodes) - 1
-        elif rank == 0:
+        elif rank is not None and rank <= 0:
             skip = True  # a marked inline element: its text goes, the block around it stays
         if top.node >= 0 and tag in BLOCK and (not self.layout[top.node] or self.layout[top.node][-1] != tag):
             self.layout[top.node].append(tag)
@@ -220,6 +233,8 @@ class SiteParams:
     marked_weight: float = 0.7  # of the presentation of marked branches
     free_weight: float = 0.3  # of that of unmarked ones
     min_pages: int = 3  # for unmarked branches to be judged
+    wrapper_share: float = 0.8  # of the page's text in a branch that is no noise, whatever its name
+    wrapper_content: float = 0.5  # and its content importance
     nodes_to_broadcast: int = 50_000
 
 
@@ -289,6 +304,56 @@ def style_tree(trees: DataFrame) -> DataFrame:
     return shape.join(sums, "key", "left").select("key", "pages", "presentation", F.coalesce(content, F.lit(0.0)).alias("content"))
 
 
+def _ranks(nodes: list[dict], blocks: list[dict], stats: dict[int, tuple[int, float, float]], p: SiteParams) -> list[int | None]:
+    """Ranks of the nodes, where noise by name or form around the page's text gives way to what
+    the elements are else: around the longest article or main element in such noise, if it has no less
+    text than all that is out of noise; on a page without one, around the longest text, if it is most of
+    the page's and, over ``min_pages`` pages, each page's own (on fewer, not if a name says noise)."""
+    ranks = [n["rank"] for n in nodes]
+    if all(r is None or r >= 0 for r in ranks):
+        return ranks
+    weak, firm = [False] * len(nodes), [False] * len(nodes)  # inside of noise by name or form; inside of other noise
+    for i, n in enumerate(nodes):
+        up = n["parent"]
+        weak[i] = ranks[i] is not None and ranks[i] < 0 or up >= 0 and weak[up]
+        firm[i] = ranks[i] == 0 or up >= 0 and firm[up]
+    text, clean = [0] * len(nodes), 0  # texts without those of noise inside
+    for b in blocks:
+        i = b["node"]
+        if i >= 0:
+            text[i] += len(b["text"])
+        if i < 0 or not weak[i] and not firm[i]:
+            clean += len(b["text"])
+    for i in range(len(nodes) - 1, -1, -1):
+        if nodes[i]["parent"] >= 0 and (ranks[i] is None or ranks[i] > 0):
+            text[nodes[i]["parent"]] += text[i]
+    own = [r if r is None or r >= 0 else (-r - 1) % 3 or None for r in ranks]
+    named = [r is not None and r < -3 for r in ranks]
+
+    def opened(i):
+        around = [i]
+        while nodes[around[-1]]["parent"] >= 0:
+            around.append(nodes[around[-1]]["parent"])
+        return [j for j in around if ranks[j] is not None and ranks[j] < 0]
+
+    def most(i):
+        pages, _, content = stats.get(nodes[i]["key"], (1, 1.0, 1.0))
+        unlike = content >= p.wrapper_content if pages >= p.min_pages else not any(named[j] for j in opened(i))
+        return unlike and text[i] >= p.wrapper_share * (clean + text[i])
+
+    live = [i for i in range(len(nodes)) if text[i] and not firm[i]]
+    found = [i for i in live if own[i]]
+    if found:
+        i = max((i for i in found if weak[i]), key=lambda i: (text[i], -i), default=None)
+        wraps = opened(i) if i is not None and text[i] >= clean else ()
+    else:
+        by_size = sorted((i for i in live if ranks[i] is not None and ranks[i] < 0), key=lambda i: (named[i], -text[i]))
+        wraps = next((opened(i) for i in by_size if most(i)), ())
+    for j in wraps:
+        ranks[j] = own[j]
+    return [r if r is None else max(r, 0) for r in ranks]
+
+
 def main_text(nodes: list[dict], blocks: list[dict], stats: dict[int, tuple[int, float, float]], p: SiteParams = SiteParams()) -> str:
     """The page's blocks outside of every branch of low importance, in page order."""
     textual = set()
@@ -297,20 +362,21 @@ def main_text(nodes: list[dict], blocks: list[dict], stats: dict[int, tuple[int,
         while n >= 0 and n not in textual:
             textual.add(n)
             n = nodes[n]["parent"]
+    ranks = _ranks(nodes, blocks, stats, p)
     noise, best = [False] * len(nodes), 0
     for i, n in enumerate(nodes):
-        noise[i] = n["rank"] == 0 or n["parent"] >= 0 and noise[n["parent"]]
+        noise[i] = ranks[i] == 0 or n["parent"] >= 0 and noise[n["parent"]]
         if not noise[i] and i in textual:
-            best = max(best, n["rank"] or 0)
+            best = max(best, ranks[i] or 0)
     inside, keep, around = [False] * len(nodes), [True] * len(nodes), set()
     for i, n in enumerate(nodes):
-        if best and n["rank"] == best and not noise[i]:
+        if best and ranks[i] == best and not noise[i]:
             while i >= 0 and i not in around:
                 around.add(i)
                 i = nodes[i]["parent"]
     for i, n in enumerate(nodes):
         up = n["parent"]
-        inside[i] = not noise[i] and (best > 0 and n["rank"] == best or up >= 0 and inside[up])
+        inside[i] = not noise[i] and (best > 0 and ranks[i] == best or up >= 0 and inside[up])
         marked = 0.0 if noise[i] else 1.0 if inside[i] else 0.0 if best else None
         pages, look, text = stats.get(n["key"], (1, 1.0, 1.0))
         w = p.free_weight if marked is None else p.marked_weight
