@@ -213,6 +213,21 @@ def test_mixed_formats_and_skipped_files(spark, tmp_path):
     assert files.load_directory(spark, d, pattern="*").count() == 4
 
 
+def test_malformed_rows_of_an_archive(spark, tmp_path):
+    row = "C{},2024-01-01T00:00:00Z,{}\n"
+    whole = "CODE,DATE,TYPE\n" + "".join(row.format(i, "Flood Alert") for i in range(3))
+    torn = ("CODE,DATE,TYPE\n" + row.format(3, "too,many") + row.format(4, '"two\nlines"') + "short\n" + row.format(5, '"open') + row.format(6, "Flood\x85 Alert")
+            + row.format(7, '"a ""b"""') + row.format(8, '"last'))
+    (tmp_path / "t.zip").write_bytes(encode_zip({"a.csv": whole, "b.csv": torn, "c.csv": whole.replace("\nC", "\nD")}))
+    rows, skipped = files.load_checked(spark, [str(tmp_path / "t.zip")])
+    assert sorted((r.CODE, r.TYPE) for r in rows.collect()) == [
+        ("C0", "Flood Alert"), ("C1", "Flood Alert"), ("C2", "Flood Alert"), ("C4", "two\nlines"), ("C6", "Flood\x85 Alert"), ("C7", 'a "b"'),
+        ("D0", "Flood Alert"), ("D1", "Flood Alert"), ("D2", "Flood Alert")]
+    got = skipped.collect()
+    assert sorted(r.record for r in got) == ["C3,2024-01-01T00:00:00Z,too,many", 'C5,2024-01-01T00:00:00Z,"open', 'C8,2024-01-01T00:00:00Z,"last', "short"]
+    assert all(r.reason and os.path.basename(r.path) == "t.zip" for r in got)
+
+
 def test_normalised_columns_pass(spark, tmp_path):
     (tmp_path / "n.ods").write_bytes(encode_ods(["timeRaised", "fwdCode", "severity"], [("2024-01-01T00:00:00", "N", "Flood Alert")]))
     r = files.load_directory(spark, str(tmp_path)).collect()[0]

@@ -1,20 +1,22 @@
 """File decoding in tasks: spreadsheets, ZIP members and JSON documents.
 
 Each task opens its files by path, maps the header to columns in the same pass
-and hands back bounded batches of rows ``(_source, fields, error)``.  A file that
+and hands back bounded batches of rows ``(_source, fields, error, record)``.  A file that
 fails to open, to decode or to show the required columns gives one row with
-the reason instead; rows it gave before failing are dropped.  The decoded rows
+the reason instead; rows it gave before failing are dropped.  A malformed row of a ZIP
+member gives a row with the reason and its text as ``record``; the others stay.  The decoded rows
 are written once to the shared folder, so the bytes are read once and the
 column names come from a scan of the staged table.
 """
 
 from __future__ import annotations
 
-import codecs
 import csv
+import io
 import re
 import zipfile
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 from warnindex.params import CSV_NULL_TOKENS, RAW_COLUMN_NAMES
 from warnindex.sources.storage import open_path
 
-DECODED = "_path string, _source string, fields map<string,string>, error string"
+DECODED = "_path string, _source string, fields map<string,string>, error string, record string"
 BATCH_ROWS = 5_000
 MAX_TASKS = 8_192
 # Either the raw or the clean name of each column that a message file must have.
@@ -67,7 +69,42 @@ def spreadsheet_rows(path: str) -> Iterator[tuple[str, dict]]:
         raise ValueError("no rows")
 
 
-def zipped_csv_rows(path: str, pattern: str = r"(?i)\.csv$") -> Iterator[tuple[str, dict]]:
+@dataclass(frozen=True)
+class Malformed:
+    reason: str
+    record: str
+
+
+def _csv_records(lines: Iterator[str]) -> Iterator[tuple[list, str] | Malformed]:
+    """The records of CSV text and their text.  Where quotes do not match, the first line goes as
+    malformed and those that its open quote took in are read again."""
+    held: list[str] = []  # lines of the record being read
+    again: list[str] = []  # lines to read anew, the last one first
+
+    def feed():
+        while again or (line := next(lines, None)) is not None:
+            held.append(again.pop() if again else line)
+            yield held[-1]
+
+    rows = csv.reader(feed(), strict=True)
+    while True:
+        try:
+            row = next(rows, None)
+        except csv.Error as e:
+            bad = Malformed(f"quotes do not match: {e}", held[0].rstrip("\r\n"))
+            again.extend(reversed(held[1:]))
+            rows = csv.reader(feed(), strict=True)
+            held.clear()
+            yield bad
+            continue
+        if row is None:
+            return
+        text = "".join(held).rstrip("\r\n")
+        held.clear()
+        yield row, text
+
+
+def zipped_csv_rows(path: str, pattern: str = r"(?i)\.csv$") -> Iterator[tuple[str, dict | Malformed]]:
     """Rows of the CSV members, one member after the other, streamed (quoted line breaks included)."""
     from warnindex.sources.archive import UnsafeMemberError, safe_member
 
@@ -80,14 +117,22 @@ def zipped_csv_rows(path: str, pattern: str = r"(?i)\.csv$") -> Iterator[tuple[s
             if info.is_dir() or not rx.search(info.filename):
                 continue
             with z.open(info) as fh:
-                rows = csv.reader(codecs.getreader("utf-8-sig")(fh), strict=True)
-                header = [h.strip() for h in next(rows, [])]
+                records = _csv_records(io.TextIOWrapper(fh, encoding="utf-8-sig", newline=""))
+                first = next(records, ([], ""))
+                if isinstance(first, Malformed):
+                    raise ValueError(f"{info.filename}: {first.reason}")
+                header = [h.strip() for h in first[0]]
                 _check(header)
-                for n, row in enumerate(rows, 2):
+                for r in records:
+                    if isinstance(r, Malformed):
+                        yield info.filename, r
+                        continue
+                    row, text = r
                     if not row:
                         continue
                     if len(row) != len(header):
-                        raise ValueError(f"{info.filename}: row {n} has {len(row)} fields, the header {len(header)}")
+                        yield info.filename, Malformed("fields do not match the header", text)
+                        continue
                     yield info.filename, _named(header, [None if v == "" or v in CSV_NULL_TOKENS else v for v in row])
 
 
@@ -98,18 +143,21 @@ def _decode(fmt: str):
     read = ROWS[fmt]
 
     def run(it):
-        cols = ["_path", "_source", "fields", "error"]
+        cols = ["_path", "_source", "fields", "error", "record"]
         for pdf in it:
             for path in pdf["path"]:
                 buf = []
                 try:
                     for source, row in read(path):
-                        buf.append((path, source, row, None))
+                        if isinstance(row, Malformed):
+                            buf.append((path, source, None, row.reason, row.record))
+                        else:
+                            buf.append((path, source, row, None, None))
                         if len(buf) >= BATCH_ROWS:
                             yield pd.DataFrame(buf, columns=cols)
                             buf = []
                 except Exception as e:  # noqa: BLE001 - whatever a file holds, the others load
-                    buf = [(path, None, None, f"{type(e).__name__}: {e}")]
+                    buf = [(path, None, None, f"{type(e).__name__}: {e}", None)]
                 if buf:
                     yield pd.DataFrame(buf, columns=cols)
 
@@ -143,16 +191,20 @@ def decode_json(spark: SparkSession, paths) -> DataFrame:
              .when(~F.coalesce(ok, F.lit(False)), F.lit("a required column is missing")))
     d = d.withColumn("error", error)
     one = F.array(F.lit(None).cast("map<string,string>"))
-    return d.select("_path", F.col("_path").alias("_source"), F.explode(F.when(F.col("error").isNotNull(), one).otherwise(F.col("r"))).alias("fields"), "error")
+    return d.select("_path", F.col("_path").alias("_source"), F.explode(F.when(F.col("error").isNotNull(), one).otherwise(F.col("r"))).alias("fields"), "error",
+                    F.lit(None).cast("string").alias("record"))
 
 
-def assemble(decoded: DataFrame) -> tuple[DataFrame | None, DataFrame]:
-    """(rows as text columns and ``_source``, skipped files ``path, reason``) of a staged DECODED table."""
-    skipped = decoded.filter("error is not null").groupBy(F.col("_path").alias("path")).agg(F.min("error").alias("reason"))
+def assemble(decoded: DataFrame) -> tuple[DataFrame | None, DataFrame, DataFrame]:
+    """(rows as text columns and ``_source``, skipped files, malformed rows, both ``path, reason, record``) of a staged
+    DECODED table."""
+    skipped = decoded.filter("error is not null and record is null").groupBy(F.col("_path").alias("path")).agg(F.min("error").alias("reason"))
+    skipped = skipped.withColumn("record", F.lit(None).cast("string"))
+    malformed = decoded.filter("record is not null").select(F.col("_path").alias("path"), F.col("error").alias("reason"), "record")
     good = decoded.filter("error is null and fields is not null")
     if not skipped.isEmpty():
         good = good.join(skipped, good["_path"] == skipped["path"], "left_anti")
     names = sorted(r["k"] for r in good.select(F.explode(F.map_keys("fields")).alias("k")).distinct().collect())
     if not names:
-        return None, skipped
-    return good.select(*[F.try_element_at("fields", F.lit(n)).alias(n) for n in names], "_source"), skipped
+        return None, skipped, malformed
+    return good.select(*[F.try_element_at("fields", F.lit(n)).alias(n) for n in names], "_source"), skipped, malformed

@@ -186,7 +186,7 @@ def load_checked(spark: SparkSession, paths, fmt: str | None = None, multiline:
     """S4 + S5 raw part: (rows, skipped).  The format of each file is its own
     (by suffix) unless ``fmt`` says otherwise.  A file that fails to open, to
     decode or to show the required columns is skipped and named in ``skipped`` (path, reason, record: the text of
-    single malformed CSV rows); the load fails only when nothing is left."""
+    single malformed rows of CSV files and ZIP members); the load fails only when nothing is left."""
     from warnindex.sources import decode
 
     paths = [paths] if isinstance(paths, str) else list(paths)
@@ -198,14 +198,16 @@ def load_checked(spark: SparkSession, paths, fmt: str | None = None, multiline:
         except LoadError as e:
             unknown.append((p, str(e), None))
     skipped = spark.createDataFrame(unknown, SKIPPED)
-    frames, malformed = [], None
+    frames, torn = [], []
     for kind, files in sorted(kinds.items()):
         if kind == "csv":
             df, bad, malformed = load_csv_files(spark, files, multiline)
+            if malformed is not None:
+                torn.append(malformed)
         elif kind in ("json", "ods", "zip"):
             rows = decode.decode_json(spark, files) if kind == "json" else decode.decode_paths(spark, files, kind)
-            df, bad = decode.assemble(stage_table(rows, f"decoded-{kind}"))
-            bad = bad.withColumn("record", F.lit(None).cast("string"))
+            df, bad, malformed = decode.assemble(stage_table(rows, f"decoded-{kind}"))
+            torn.append(malformed)
             df = df if df is None else _to_raw(df.drop("_source") if kind != "zip" else df)
         else:
             raise LoadError(f"no reader for format {kind!r}")
@@ -218,8 +220,7 @@ def load_checked(spark: SparkSession, paths, fmt: str | None = None, multiline:
                     [tuple(r) for r in skipped.orderBy("path").limit(20).select("path", "reason").collect()])
     if not frames:
         raise LoadError(f"none of {len(paths)} files could be read")
-    if malformed is not None:
-        skipped = skipped.unionByName(malformed)
+    skipped = reduce(DataFrame.unionByName, torn, skipped)
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames), skipped
 
 
