@@ -79,6 +79,23 @@ def test_recall_and_precision_against_brute_force(share):
     assert len(found) >= (1.0 if share == 0 else 0.95) * len(want) and len(want) >= 100
 
 
+@pytest.mark.parametrize("n", [31, 64, 127])
+@pytest.mark.parametrize("place", [0.0, 0.5, 1.0])
+def test_recall_of_edits_in_one_half(n, place):
+    rng = random.Random(n)
+    vocab = [f"v{i}" for i in range(2000)]
+    items = [[rng.choice(vocab) for _ in range(n)] for _ in range(30)]
+    ix = D.LeakIndex([(i, " ".join(w)) for i, w in enumerate(items)])
+    assert all(c.recall >= 0.98 for c in ix.classes.values())
+    texts, low = [], int(place * (n - n // 2))
+    for d in range(300):
+        w = list(items[d % 30])
+        for at in sorted(rng.sample(range(low, low + n // 2), n // 5), reverse=True):
+            w[at:at + 1] = rng.choice([[], ["new"], ["new", w[at]]])
+        texts.append(" ".join([rng.choice(vocab) for _ in range(rng.randrange(60))] + w))
+    assert sum(any(h[0] == d % 30 for h in hs) for d, hs in enumerate(ix.search(texts))) >= 0.95 * 300
+
+
 def test_edges(spark):
     item = "one two three four five six seven eight nine ten"
     bench = spark.createDataFrame([(1, item, 0), (2, None, 0), (3, "", 0), (4, "too short", 0), (None, item, 0)], "item_id long, text string, leaks int")

@@ -12,11 +12,15 @@ candidate.  Windows are as long as the items of a length class (n in [m, 2m)):
 steps are sampled over the part of the walk that stays inside them.
 
 Document windows start at every (m/4)-th word only; each item is indexed from
-each of its first m/4 words, so every occurrence has an aligned window.
+each of its first m/4 words, so every occurrence has an aligned window, and from
+m/4 words more whose windows end with the item (n < 2m), so that all of it is
+sampled wherever the edits crowd.
 
 Recall: per length class the number of tables is raised until mutated copies of
 the class's own items, at the full edit budget and at random phases, are found
-at ``target_recall`` (copies with fewer edits are found more often).  Candidates
+at ``target_recall`` for each place of the edits: spread, or all in the first, the
+middle or the last half (copies with fewer edits are found more often).  A class
+that misses the target with ``max_tables`` is logged as a warning.  Candidates
 are verified exactly with bit-parallel edit distance over the whole item and all
 alignments around the window.
 
@@ -32,6 +36,7 @@ and the added column gives way to a clashing name by prefixing ``_``.
 
 from __future__ import annotations
 
+import logging
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -46,7 +51,9 @@ from pyspark.sql import types as T
 
 from warnindex.llm.common import arrow_rows, fresh_name
 
+log = logging.getLogger(__name__)
 _WORD = re.compile(r"[^\W_]+")
+PLACES = (None, 0.0, 0.5, 1.0)  # of a copy's edits: spread, or all in the first, middle or last half
 _MUL, _FIN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 HITS = T.ArrayType(T.StructType([
@@ -117,7 +124,7 @@ class _Class:
     items: list[int] = field(default_factory=list)
     samples: int = 4
     tables: list = field(default_factory=list)  # (positions, sorted keys, owner of key, filters)
-    recall: float = 0.0
+    recall: float = 0.0  # the worst over the places of the edits
 
 
 class LeakIndex:
@@ -157,7 +164,8 @@ class LeakIndex:
         """All items of the class in one padded array; start of each (item, offset)."""
         pad, flat, starts, owner = [self.stop] * (c.steps + 1), [], [], []
         for i in c.items:
-            for o in range(c.stride):
+            last = max(0, len(self.words[i]) - c.low)
+            for o in sorted({*range(c.stride), *range(last, last + c.stride)}):
                 starts.append(len(flat) + o)
                 owner.append((i, o))
             flat += self.words[i] + pad
@@ -207,23 +215,31 @@ class LeakIndex:
         order = np.argsort(acc, kind="stable")
         return positions, acc[order], order, filters
 
+    def _mutated(self, i: int, place: float | None, rng) -> list[int]:
+        """Item ``i`` after its full budget of edits, spread or all in the half at ``place`` (0 head, 1 tail)."""
+        w = list(self.words[i])
+        run = len(w) if place is None else max(self.budget[i], len(w) // 2)
+        low = int((place or 0) * (len(w) - run))
+        for at in sorted((low + rng.choice(run, self.budget[i], replace=False)).tolist(), reverse=True):
+            kind = rng.integers(3)
+            if kind == 0:
+                del w[at]
+            else:
+                w[at:at + (kind == 1)] = [int(rng.integers(0, self.stop))]
+        return w
+
     def _fit(self, c: _Class) -> None:
         """Add tables until mutated copies of the class's items are found at the target."""
         p, rng = self.p, np.random.default_rng((self.p.seed, c.low))
         flat, starts, owner = self._variants(c)
         c.owner = owner
-        copies = []
-        for n in range(p.trials):
+        copies, place = [], []
+        for n in range(len(PLACES) * p.trials):
             i = c.items[rng.integers(len(c.items))]
-            w = list(self.words[i])
-            for _ in range(self.budget[i]):
-                at, kind = int(rng.integers(len(w))), rng.integers(3)
-                if kind == 0:
-                    del w[at]
-                else:
-                    w[at:at + (kind == 1)] = [int(rng.integers(0, self.stop))]
             phase = int(rng.integers(c.stride))
-            copies.append((i, rng.integers(0, self.stop, phase).tolist() + w))
+            place.append(n % len(PLACES))
+            copies.append((i, rng.integers(0, self.stop, phase).tolist() + self._mutated(i, PLACES[place[-1]], rng)))
+        place = np.array(place)
         for c.samples in range(p.samples, 0, -1):
             c.tables, found = [], np.zeros(len(copies), dtype=bool)
             x, at = [], []
@@ -239,9 +255,10 @@ class LeakIndex:
                 c.tables.append(self._table(c, t, flat, starts))
                 for s, item, _ in self._candidates(c, t, x, grid):
                     found[whose[s // c.stride]] |= copies[whose[s // c.stride]][0] == item
-                c.recall = float(found.mean())
+                c.recall = min(float(found[place == k].mean()) for k in range(len(PLACES)))
                 if c.recall >= p.target_recall:
                     return
+        log.warning("items of %d to %d words: mutated copies are found at %.3f, the target is %.3f", c.low, 2 * c.low - 1, c.recall, p.target_recall)
 
     def _candidates(self, c: _Class, t: int, x: np.ndarray, grid: np.ndarray):
         positions, keys, order, filters = c.tables[t]
