@@ -12,7 +12,9 @@ the counts and the sum of c*log2(c) incrementally, so a step costs the same for
 width.  From the first to the last window at or above the class's threshold the
 characters become a span, unless an allow-list pattern matches the candidate
 (the alphabet in order, published example keys, repeated units, ...).  The
-allow-list never removes spans of the pattern kinds.
+allow-list never removes spans of the pattern kinds.  ``redact`` lets only that text
+pass which the allow-list names: a candidate that is a repeated unit as a whole, or one
+that without its path parts of such words and its alphabet runs is shorter than a window.
 
 Every row is scanned on its own, whole; nothing is shuffled.
 
@@ -76,6 +78,9 @@ ALLOW = (
     r"^(.{1,8})\1{2,}",
     r"^[A-Za-z]+([/_-][A-Za-z]+)+$",
 )
+# for ``redact``: patterns of whole candidates, and of the parts that are taken out of one
+ALLOW_WHOLE = (r"^(.{1,8})\1{2,}.{0,7}$", ALLOW[3])
+ALLOW_PARTS = (r"(?i)[^/]*(?:example|sample|dummy|placeholder|changeme)[^/]*", r"(?i)0123456789(?:abcdef)?|abcdefghijkl(?:mnopqrstuvwxyz)?")
 
 
 def _q(s: str) -> str:
@@ -144,9 +149,13 @@ def entropy_extent(word: str, c: EntropyClass) -> str:
     return _let(logs, "f", _let(f"filter({chars}, k -> k >= 0)", "a", fold))
 
 
-def entropy_spans(text: str, c: EntropyClass, rank: int, allow: tuple[str, ...]) -> str:
+def entropy_spans(text: str, c: EntropyClass, rank: int, allow: tuple[str, ...], parts: tuple[str, ...] = ()) -> str:
     found = _located(text, c.regex)
-    keep = f"filter({found}, z -> " + (" and ".join(f"not (z.m rlike {_q(a)})" for a in allow) or "true") + ")"
+    rest = "z.m"
+    for a in parts:
+        rest = f"regexp_replace({rest}, {_q(a)}, '')"
+    left = [f"length({rest}) >= {c.window}"] if parts else []
+    keep = f"filter({found}, z -> " + (" and ".join([f"not (z.m rlike {_q(a)})" for a in allow] + left) or "true") + ")"
     ext = f"transform({keep}, z -> named_struct('start', z.start, 'x', {entropy_extent('z.m', c)}))"
     spans = (f"transform(filter({ext}, z -> z.x.first is not null), z -> named_struct('start', z.start + z.x.first - {c.window - 1}, "
              f"'rank', {rank}, 'kind', {_q(c.kind)}, 'stop', z.start + z.x.last + 1))")
@@ -154,14 +163,14 @@ def entropy_spans(text: str, c: EntropyClass, rank: int, allow: tuple[str, ...])
 
 
 def scan(docs: DataFrame, text_col: str = "text", patterns: tuple[Pattern, ...] = PATTERNS,
-         classes: tuple[EntropyClass, ...] = CLASSES, allow: tuple[str, ...] = ALLOW,
+         classes: tuple[EntropyClass, ...] = CLASSES, allow: tuple[str, ...] = ALLOW, parts: tuple[str, ...] = (),
          base: str = "base_spans", added: str = "entropy_spans") -> DataFrame:
     """``docs`` with two arrays of (start, rank, kind, stop): code points, stop exclusive,
     ordered by start, then by the order in which the kinds are listed."""
     t = fresh_name(docs, "_scanned")
     out = docs.withColumn(t, F.coalesce(F.col(text_col), F.lit("")))
     first = [f"cast({pattern_spans(f'`{t}`', p, i)} as {SPAN})" for i, p in enumerate(patterns)]
-    more = [f"cast({entropy_spans(f'`{t}`', c, len(patterns) + i, allow)} as {SPAN})" for i, c in enumerate(classes)]
+    more = [f"cast({entropy_spans(f'`{t}`', c, len(patterns) + i, allow, parts)} as {SPAN})" for i, c in enumerate(classes)]
     out = out.withColumn(base, F.expr(f"array_sort(concat({', '.join(first or [_NONE])}))"))
     return out.withColumn(added, F.expr(f"array_sort(concat({', '.join(more or [_NONE])}))")).drop(t)
 
@@ -176,7 +185,7 @@ def redact(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_c
     base = fresh_name(docs, "base_spans")
     more = fresh_name(docs, "entropy_spans")
     both = fresh_name(docs, "all_spans")
-    d = scan(docs, text_col, base=base, added=more)
+    d = scan(docs, text_col, allow=ALLOW_WHOLE, parts=ALLOW_PARTS, base=base, added=more)
     d = d.withColumn(both, F.array_sort(F.concat(base, more)))
     t = f"`{text_col}`"
     fold = (f"aggregate(`{both}`, named_struct('at', 0L, 'out', cast('' as string)), (a, s) -> if(s.stop <= a.at, a, named_struct('at', s.stop, 'out', "
