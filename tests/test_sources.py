@@ -213,6 +213,16 @@ def test_mixed_formats_and_skipped_files(spark, tmp_path):
     assert files.load_directory(spark, d, pattern="*").count() == 4
 
 
+def test_quoted_files_grow_with_the_table(spark, tmp_path, monkeypatch):
+    from conftest import SF_SMALL
+    from warnindex.plans import filequeries as Q
+
+    monkeypatch.setattr(Q, "ROWS_PER_FILE", 50)
+    monkeypatch.setattr(Q, "scratch_path", lambda spark, name: str(tmp_path / name))
+    n = Q.q_csv_quoted(spark, SF_SMALL).count()
+    assert n == spark.read.parquet(f"{SF_SMALL}/events.parquet").count() and len(list((tmp_path / "landed-quoted").glob("*.csv"))) >= n / 50 > 4
+
+
 def test_malformed_rows_of_an_archive(spark, tmp_path):
     row = "C{},2024-01-01T00:00:00Z,{}\n"
     whole = "CODE,DATE,TYPE\n" + "".join(row.format(i, "Flood Alert") for i in range(3))

@@ -134,7 +134,8 @@ def q_csv_quoted(spark: SparkSession, d: str) -> DataFrame:
     raw = _raw_events(spark, d)
     raw = raw.withColumn("WARNING / ALERT AREA NAME", _odd_label())
     root = scratch_path(spark, "landed-quoted")
-    raw.repartition(4, "msg_id").write.options(**files.CSV_WRITE).csv(root)
+    chunk = F.floor(F.col("msg_id") / ROWS_PER_FILE)
+    raw.withColumn("_c", chunk).repartition("_c").drop("_c").write.options(**files.CSV_WRITE).option("maxRecordsPerFile", ROWS_PER_FILE).csv(root)
     m = files.load_directory(spark, root, multiline=True)
     return m.select(F.col("msg_id").cast("bigint").alias("msg_id"), "label", *MSG_COLS)
 
