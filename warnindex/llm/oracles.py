@@ -130,3 +130,31 @@ deg AS (SELECT a, count(*) AS n FROM links GROUP BY a)
 SELECT vec_id, coalesce(n, 0) AS n_links, c AS component_id, vec_id = c AS kept
 FROM v JOIN comp ON comp.a = vec_id LEFT JOIN deg ON deg.a = vec_id
 """
+
+COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM w, (VALUES (1), (2), (3)) v(m))),
+f AS (SELECT lang, m, phrase, count(*) AS f FROM grams GROUP BY lang, m, phrase),
+sizes AS (SELECT lang, sum(f) AS n FROM f WHERE m = 1 GROUP BY lang),
+cand AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND f >= 10),
+cuts AS (SELECT c.*, k, array_to_string(w[1:k], ' ') AS lp, array_to_string(w[k + 1:m], ' ') AS rp FROM cand c, (VALUES (1), (2)) v(k) WHERE k < m),
+scored AS (
+  SELECT c.lang, c.m, c.phrase, c.a, k, fl.f AS l, fr.f AS r, (1000000::HUGEINT * a * a) // (fl.f::HUGEINT * fr.f) AS score
+  FROM cuts c JOIN f fl ON fl.lang = c.lang AND fl.m = k AND fl.phrase = lp JOIN f fr ON fr.lang = c.lang AND fr.m = c.m - k AND fr.phrase = rp),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+outer_f AS (
+  SELECT lang, phrase, max(a) AS outer_a
+  FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase FROM cand WHERE m = 3) GROUP BY lang, phrase),
+ranked AS (
+  SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, encode(b.phrase)) AS rank, b.phrase, a, l, r, score
+  FROM best b LEFT JOIN outer_f o ON o.lang = b.lang AND o.phrase = b.phrase AND 100 * o.outer_a >= 50 * b.a
+  WHERE o.phrase IS NULL)
+SELECT r.lang, rank, phrase, a, l, r.r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked r JOIN sizes USING (lang) WHERE rank <= 2000
+"""

@@ -85,6 +85,12 @@ def op9_simhash_near_dedup(spark, d):
     return c.select("doc_id", fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op13_phrase_collocations(spark, d):
+    from warnindex.llm.collocations import collocations
+
+    return collocations(table(spark, d, "documents").select("lang", "text"))
+
+
 QUERIES = {
     "op1_warc_archives": op1_warc_archives,
     "op2_toxicity_ftrl": op2_toxicity_ftrl,
@@ -96,6 +102,7 @@ QUERIES = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op10_html_site_style_tree": op10_html_site_style_tree,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
 
 ORACLES: dict[str, str] = {
@@ -104,6 +111,7 @@ ORACLES: dict[str, str] = {
     "op5_mixing_budgets": oracles.MIX,
     "op6_chat_format": oracles.CHAT,
     "op7_secret_scan": oracles.SECRETS,
+    "op13_phrase_collocations": oracles.COLLOCATIONS,
 }
 
 
