@@ -158,3 +158,43 @@ ranked AS (
 SELECT r.lang, rank, phrase, a, l, r.r, n::BIGINT AS n, score::BIGINT AS score
 FROM ranked r JOIN sizes USING (lang) WHERE rank <= 2000
 """
+
+LICENSES = r"""
+WITH t(tid, label, phrase, text) AS (VALUES
+  (1, 'gpl', true, 'gnu general public license'), (2, 'apache', true, 'apache license'), (3, 'cc-by', true, 'cc by'), (4, 'mit', true, 'mit license'),
+  (5, 'apache-2.0', false, 'licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0 unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations under the license'),
+  (6, 'apache-2.0', false, 'licensed under the apache license version 2 0'),
+  (7, 'mit', false, 'permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so'),
+  (8, 'mit', false, 'released under the mit license'),
+  (9, 'bsd', false, 'redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer'),
+  (10, 'gpl-3.0', false, 'this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version'),
+  (11, 'gpl-3.0', false, 'licensed under the gnu general public license version 3'),
+  (12, 'cc-by-4.0', false, 'this work is licensed under a creative commons attribution 4 0 international license'),
+  (13, 'cc-by-nc-4.0', false, 'this work is licensed under a creative commons attribution noncommercial 4 0 international license'),
+  (14, 'cc-by-nc-4.0', false, 'licensed under cc by nc 4 0')),
+tw AS (SELECT tid, label, phrase, string_split(text, ' ') AS tw FROM t),
+tk AS (SELECT DISTINCT tid, label, phrase, len(tw) AS span, len(list_distinct(tw)) AS n, unnest(tw) AS token, tw FROM tw),
+d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+pos AS (SELECT rid, unnest(w) AS token, unnest(range(0, len(w))) AS pos FROM d),
+hits AS (SELECT p.rid, p.pos, k.* FROM pos p JOIN tk k USING (token)),
+base AS (
+  SELECT h.rid, h.pos, h.label, 1.0::DOUBLE AS score, true AS phrase
+  FROM hits h JOIN d USING (rid) WHERE h.phrase AND h.token = h.tw[1] AND d.w[h.pos + 1:h.pos + h.span] = h.tw),
+enough AS (SELECT rid, tid FROM hits WHERE NOT phrase GROUP BY rid, tid, n HAVING count(DISTINCT token) * 100 >= 80 * n),
+near AS (SELECT h.* FROM hits h JOIN enough USING (rid, tid)),
+blocks AS (
+  SELECT a.rid, a.pos, a.label, count(DISTINCT b.token)::DOUBLE / a.n AS score, false AS phrase
+  FROM near a JOIN near b ON a.rid = b.rid AND a.tid = b.tid AND b.pos >= a.pos AND b.pos < a.pos + a.span
+  GROUP BY a.rid, a.tid, a.pos, a.label, a.n HAVING count(DISTINCT b.token) * 100 >= 80 * a.n),
+found AS (SELECT * FROM base UNION ALL SELECT * FROM blocks),
+per AS (
+  SELECT rid, count(*) FILTER (WHERE phrase) AS n_base, min(pos) FILTER (WHERE phrase) AS first_word, max(pos) FILTER (WHERE phrase) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE phrase) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(score) AS score
+  FROM found GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0)::DOUBLE AS score
+FROM d LEFT JOIN per USING (rid)
+"""

@@ -85,6 +85,17 @@ def op9_simhash_near_dedup(spark, d):
     return c.select("doc_id", fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op12_license_scan(spark, d):
+    from warnindex.llm.licenses import license_links
+
+    s = license_links(table(spark, d, "documents").select("doc_id", "text"))
+    base, labels = F.filter("links", lambda x: x["phrase"]), lambda c: F.array_join(F.array_sort(F.array_distinct(c["label"])), ",")
+    return s.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(base["first"]).alias("first_word"), F.array_max(base["first"]).alias("last_word"),
+        labels(base).alias("base_labels"), labels(F.col("links")).alias("labels"), F.coalesce(F.array_max(F.col("links")["containment"]), F.lit(0.0)).alias("score"),
+    )
+
+
 def op13_phrase_collocations(spark, d):
     from warnindex.llm.collocations import collocations
 
@@ -102,6 +113,7 @@ QUERIES = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op10_html_site_style_tree": op10_html_site_style_tree,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op12_license_scan": op12_license_scan,
     "op13_phrase_collocations": op13_phrase_collocations,
 }
 
@@ -111,6 +123,7 @@ ORACLES: dict[str, str] = {
     "op5_mixing_budgets": oracles.MIX,
     "op6_chat_format": oracles.CHAT,
     "op7_secret_scan": oracles.SECRETS,
+    "op12_license_scan": oracles.LICENSES,
     "op13_phrase_collocations": oracles.COLLOCATIONS,
 }
 
