@@ -85,6 +85,15 @@ def op9_simhash_near_dedup(spark, d):
     return c.select("doc_id", fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op11_hard_negatives(spark, d):
+    from warnindex.llm.hard_negatives import hard_negatives
+
+    v = table(spark, d, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("e"))
+    finite = F.forall("e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(v.filter(finite).select("vec_id", shifted.alias("label"), F.transform("e", lambda x: F.floor(x * 256.0)).alias("x"), (F.col("vec_id") % 50 == 0).alias("anchor")))
+
+
 def op12_license_scan(spark, d):
     from warnindex.llm.licenses import license_links
 
@@ -113,6 +122,7 @@ QUERIES = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op10_html_site_style_tree": op10_html_site_style_tree,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_license_scan": op12_license_scan,
     "op13_phrase_collocations": op13_phrase_collocations,
 }
@@ -123,6 +133,7 @@ ORACLES: dict[str, str] = {
     "op5_mixing_budgets": oracles.MIX,
     "op6_chat_format": oracles.CHAT,
     "op7_secret_scan": oracles.SECRETS,
+    "op11_hard_negatives": oracles.NEGATIVES,
     "op12_license_scan": oracles.LICENSES,
     "op13_phrase_collocations": oracles.COLLOCATIONS,
 }
