@@ -279,44 +279,61 @@ class Shard:
         return cls(x.astype(np.float64) if exact_floats else x, col("label"), [r["ids"] for r in rows], col("radius") + SLACK, col("first"), col("last"), col("again"))
 
 
-def search(shard: Shard, a: Anchor, q: np.ndarray, same: bool, most: float, scored: dict) -> None:
-    """Best-first descent for all that is wanted of one anchor.  ``scored`` keeps the exact scores
-    of expanded vertices' children, which several windows share."""
-    reach = math.sqrt(float((q.astype(np.float64) ** 2).sum())) * most
+@dataclass
+class Expanded:
+    """A vertex's children as an anchor sees them: those that may be results by falling score, and
+    bounds for what lies below the others."""
+
+    minus_scores: np.ndarray
+    at: np.ndarray
+    deep: np.ndarray
+    upper: np.ndarray
+    lower: np.ndarray
+
+
+def expand(shard: Shard, a: Anchor, same: bool, reach: float, v: int, s: np.ndarray | None = None) -> Expanded:
+    c0, c1 = (0, 1) if v < 0 else (int(shard.first[v]), int(shard.last[v]))
+    if s is None:
+        s = (shard.x[c0:c1] @ a.x).astype(np.int64)  # integers, also where they are held as doubles
+    low, high = min(w.low for w in a.wanted), max(w.high for w in a.wanted)
+    at = np.flatnonzero(((shard.labels[c0:c1] == a.label) == same) & ~shard.again[c0:c1] & (s >= low) & (s <= high))
+    at = at[np.argsort(-s[at], kind="stable")]
+    deep = np.flatnonzero(shard.last[c0:c1] > shard.first[c0:c1])
+    if reach:
+        t, r = np.arccos(np.clip(s[deep] / reach, -1.0, 1.0)), shard.radius[c0:c1][deep]
+        spare = 1.0 + SLACK * reach
+        upper, lower = reach * np.cos(np.maximum(t - r, 0.0)) + spare, reach * np.cos(np.minimum(t + r, math.pi)) - spare
+    else:
+        upper = lower = np.zeros(len(deep))
+    return Expanded(-s[at], at + c0, deep + c0, upper, lower)
+
+
+def search(shard: Shard, a: Anchor, same: bool, most: float, seen: dict[int, Expanded]) -> None:
+    """Best-first descent for all that is wanted of one anchor.  ``seen`` keeps expanded vertices,
+    which several windows share."""
+    reach = math.sqrt(float((a.x.astype(np.float64) ** 2).sum())) * most
     for w in a.wanted:
         if w.low > w.high:
             continue
-        heap = [(-math.inf, -1, math.inf)]  # upper bound (negated), vertex (-1: above the root), lower bound negated
+        heap = [(-math.inf, -1)]  # upper bound (negated), vertex (-1: above the root)
         while heap:
-            upper, v, lower = heapq.heappop(heap)
+            upper, v = heapq.heappop(heap)
             if -upper < w.floor():
                 break  # and so is all the rest
-            c0, c1 = (0, 1) if v < 0 else (int(shard.first[v]), int(shard.last[v]))
-            s = scored.get(v)
-            if s is None:
-                s = scored[v] = (shard.x[c0:c1] @ q).astype(np.int64)  # integers, also where they are held as doubles
-            right = (shard.labels[c0:c1] == a.label) == same
-            hit = np.flatnonzero((s >= w.floor()) & (s <= w.high) & right & ~shard.again[c0:c1])
-            for i in hit[np.argsort(-s[hit], kind="stable")].tolist():
-                if s[i] < w.floor():
+            e = seen.get(v)
+            if e is None:
+                e = seen[v] = expand(shard, a, same, reach, v)
+            for i in range(int(np.searchsorted(e.minus_scores, -w.high)), len(e.at)):
+                score = -int(e.minus_scores[i])
+                if score < w.floor():
                     break
-                ids = shard.ids[c0 + i]
-                if same and a.vec_id in ids and np.array_equal(shard.x[c0 + i], q):
+                ids = shard.ids[e.at[i]]
+                if same and a.vec_id in ids and np.array_equal(shard.x[e.at[i]], a.x):
                     ids = [k for k in ids if k != a.vec_id]
-                w.offer(int(s[i]), ids)
-            deep = np.flatnonzero(shard.last[c0:c1] > shard.first[c0:c1])
-            if not len(deep):
-                continue
-            if reach:
-                t, r = np.arccos(np.clip(s[deep] / reach, -1.0, 1.0)), shard.radius[c0:c1][deep]
-                spare = 1.0 + SLACK * reach
-                up = reach * np.cos(np.maximum(t - r, 0.0)) + spare
-                down = reach * np.cos(np.minimum(t + r, math.pi)) - spare
-            else:
-                up = down = np.zeros(len(deep))
-            inside = (up >= w.floor()) & (down <= w.high)
-            for i, u, d in zip((deep[inside] + c0).tolist(), up[inside].tolist(), down[inside].tolist()):
-                heapq.heappush(heap, (-u, i, -d))
+                w.offer(score, ids)
+            if len(e.deep):
+                for i in np.flatnonzero((e.upper >= w.floor()) & (e.lower <= w.high)).tolist():
+                    heapq.heappush(heap, (-float(e.upper[i]), int(e.deep[i])))
 
 
 def _search_block(anchors: list[tuple], same: bool, most: float, k: int):
@@ -343,7 +360,8 @@ def _search_block(anchors: list[tuple], same: bool, most: float, k: int):
                 some = asked[i:i + 256]
                 top = (np.stack([a.x for a in some]) @ shard.x[c0:c1].T).astype(np.int64)
                 for a, s in zip(some, top):
-                    search(shard, a, a.x, same, most, {0: s})
+                    reach = math.sqrt(float((a.x.astype(np.float64) ** 2).sum())) * most
+                    search(shard, a, same, most, {0: expand(shard, a, same, reach, 0, s)} if c1 > c0 else {})
         out = [(a.qid, slot, -s, i) for some in todo.values() for a in some for slot, w in enumerate(a.wanted) for s, i in w.best]
         if out:
             c = list(zip(*out))
