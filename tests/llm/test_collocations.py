@@ -59,14 +59,14 @@ def rows():
 
 def test_equals_brute_force_with_groups_split_and_whole(spark):
     r = rows()
-    for p in (CollocationParams(), CollocationParams(group_entries=3, buffer_entries=20, chunk_words=200, part_bytes=64),
-              CollocationParams(max_words=5, min_count=2, group_entries=2, top=50, longer_percent=90), CollocationParams(max_words=2, min_count=1)):
+    for p in (CollocationParams(), CollocationParams(group_entries=40, least_group=5, routes=3, chunk_words=200, part_bytes=64),
+              CollocationParams(max_words=5, min_count=2, group_entries=20, least_group=2, top=50, longer_percent=90), CollocationParams(max_words=2, min_count=1)):
         assert mined(spark, r, p) == brute(r, p)
 
 
 def test_all_counts_from_one_to_three_words(spark):
     r = rows()
-    p = CollocationParams(min_count=4, group_entries=5)
+    p = CollocationParams(min_count=4, group_entries=50, least_group=9, routes=2)
     f, n = counts(r, 3)
     phrases, sizes = phrase_counts(spark.createDataFrame(r, "lang string, text string"), p)
     assert {(x["lang"], x["phrase"]): x["f"] for x in phrases.collect()} == {(k, " ".join(w)): a for k, c in f.items() for w, a in c.items() if a >= 4}

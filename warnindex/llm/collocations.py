@@ -4,15 +4,14 @@ A suffix pointer stands for the words from one word of a piece on, at most ``max
 of them.  Sorting pointers word by word with a three-way partition puts all that share their
 first d words into one equal partition at depth d, whose size is the count of that phrase.
 
-1. In tasks, texts are cut into pieces and words, pointers of a bounded chunk are
-   sorted to full depth, and the equal partitions of one leading word become one row: its
-   occurrences, the different continuations and their counts (pre-aggregated).
-2. Rows are routed by (lang, leading word).  There the weighted pointers of all chunks are
-   sorted again; partitions below ``min_count`` are abandoned, leading words below it
-   without looking at their continuations.  What is left is counted.
-3. A leading word with more than ``group_entries`` continuations is not one task's work: its
-   rows are split by the next word and routed by both, and so on to full depth,
-   where plain sums are left.  Which words these are is known from exact totals.
+1. In tasks, texts are cut into pieces and words, and the pointers of a bounded chunk are
+   sorted to full depth; equal partitions become one entry with a count (pre-aggregated).
+2. Entries are routed by their leading word (a row holds the entries of one chunk and route).  There the
+   weighted pointers of all chunks are sorted again; partitions lighter than ``min_count`` are
+   abandoned, the sizes of the others are the counts.
+3. A route with too many entries for one task (a frequent leading word) is split by the leading two words,
+   and what is still too large by one more.  Counts of phrases shorter than a route's words
+   are then partial sums, which are added up; all others are whole.
 4. Cuts, scores and the filter by longer phrases are joins over the counted phrases.
 
 Defined results: null text is empty; null lang is ``und``; texts, pieces and langs without words give
@@ -31,6 +30,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,7 +43,7 @@ _END = b"."
 _FOLD = bytes(ord(_END) if c in PIECE_ENDS else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
 NO_LANG = "und"
 
-GROUPS = "lang string, lead string, n long, m long, tails binary, counts binary"
+ROUTED = "lang string, route long, n long, m long, vocab binary, entries binary, counts binary"
 COUNTS = "lang string, phrase string, words int, f long"
 
 
@@ -53,16 +53,21 @@ class CollocationParams:
     min_count: int = 10
     longer_percent: int = 50  # a longer phrase with this share of the occurrences displaces
     top: int = 2000
-    chunk_words: int = 2_000_000  # pointers sorted at once where texts are read
-    part_bytes: int = 8 << 20  # of text tokenised at once
-    group_entries: int = 1 << 16  # continuations of one leading word in one task
-    buffer_entries: int = 1 << 20  # sorted at once where rows are routed to
+    chunk_words: int = 1_500_000  # pointers sorted at once where texts are read
+    part_bytes: int = 1 << 20  # of text tokenised at once
+    routes: int | None = None  # by leading word; None: four for each shuffle partition
+    group_entries: int = 1 << 19  # of one route in one task, at most; fewer where there are more tasks than that fills
+    least_group: int = 1 << 14
 
     def __post_init__(self):
         if self.max_words < 2 or self.min_count < 1:
             raise ValueError("phrases have two words or more, and occur")
 
 
+def shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 # ---- the sort -------------------------------------------------------------------
 
 LEAF = 4096
@@ -91,7 +96,7 @@ def equal_partitions(keys: list[np.ndarray], weights: np.ndarray, least: int = 1
     each and that weight, those of one depth in ascending order.  Lighter partitions are
     abandoned as a whole."""
     pick = np.random.default_rng(len(weights))
-    stack = [(np.arange(len(weights)), 0, False)]
+    stack = [(np.arange(len(weights), dtype=np.int32), 0, False)]
     while stack:
         ptr, d, equal = stack.pop()
         if not len(ptr):
@@ -133,45 +138,67 @@ def folded_words(text: bytes) -> list[bytes]:
     return text.replace(_END, b" . ").split()
 
 
-def _collect(p: CollocationParams):
+def _word_hash(words: list[bytes]) -> np.ndarray:
+    h = xxhash.xxh64_intdigest
+    return np.fromiter(map(h, words), np.uint64, len(words))
+
+
+def _pack(a: np.ndarray) -> bytes:
+    """Whole numbers in as few bytes each as the largest one needs."""
+    return a.astype(np.min_scalar_type(int(a.max()))).tobytes()
+
+
+def _unpacked(blob: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(blob, f"<u{len(blob) // n}")
+
+
+def _routed(lang: str, words: list[bytes], keys: np.ndarray, counts: np.ndarray, route: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Entries (rows of word numbers) and their counts -> a row for each route: the words that occur
+    there, the entries as numbers of these, and the counts."""
+    order = np.argsort(route, kind="stable")
+    route = route[order]
+    cut = run_bounds(route).tolist()
+    out, held = [], 0
+    for i, j in zip(cut[:-1], cut[1:]):
+        if i == j:
+            continue
+        at = order[i:j]
+        used, ids = np.unique(keys[at], return_inverse=True)
+        c = counts[at]
+        out.append((int(route[i]), int(c.sum()), j - i, b"\n".join(map(words.__getitem__, used.tolist())), _pack(ids), _pack(c)))
+        held += 16 * (j - i)
+        if held >= 8 << 20:
+            yield _batch(lang, out)
+            out, held = [], 0
+    if out:
+        yield _batch(lang, out)
+
+
+def _batch(lang: str, rows: list[tuple]) -> pa.RecordBatch:
+    cols = list(zip(*rows))
+    kinds = [pa.int64()] * 3 + [pa.binary()] * 3
+    return pa.RecordBatch.from_arrays([pa.array([lang] * len(rows), pa.string()), *(pa.array(c, t) for c, t in zip(cols, kinds))],
+                                      names=["lang", "route", "n", "m", "vocab", "entries", "counts"])
+
+
+def _collect(p: CollocationParams, routes: int):
     def rows(vocab: dict, by_lang: dict) -> Iterator[pa.RecordBatch]:
         words = [b"", *list(vocab)[1:]]
-        for lang, arrays in by_lang.items():
-            a = np.concatenate([*arrays, np.zeros(p.max_words, np.int32)])
-            at = np.flatnonzero(a[: len(a) - p.max_words])
+        to = (_word_hash(words) % np.uint64(routes)).astype(np.int64)
+        for lang in list(by_lang):
+            a = np.concatenate([*by_lang.pop(lang), np.zeros(p.max_words, np.int32)])
+            at = np.flatnonzero(a[: len(a) - p.max_words]).astype(np.int32)
             keys = [a[at]]
             for d in range(1, p.max_words):
-                keys.append(np.where(keys[-1] == 0, 0, a[at + d]).astype(np.int32))
+                keys.append(np.where(keys[-1] == 0, np.int32(0), a[at + d]))
             del a, at
-            last = [(q, s) for d, q, s in equal_partitions(keys, np.ones(len(keys[0]), np.int64)) if d == p.max_words - 1]
-            if not last:
-                continue
-            q, sizes = np.concatenate([x[0] for x in last]), np.concatenate([x[1] for x in last])
-            lead = keys[0][q]
-            tails = np.stack([k[q] for k in keys[1:]], axis=1)
-            cut = run_bounds(lead)
-            out = {"lead": [], "n": [], "m": [], "tails": [], "counts": []}
-            held = 0
-            for i, j in zip(cut[:-1].tolist(), cut[1:].tolist()):
-                if i == j:
-                    continue
-                out["lead"].append(words[lead[i]])
-                out["n"].append(int(sizes[i:j].sum()))
-                out["m"].append(j - i)
-                out["tails"].append(b"\n".join(map(words.__getitem__, tails[i:j].ravel().tolist())))
-                out["counts"].append(sizes[i:j].astype("<i8").tobytes())
-                held += len(out["tails"][-1])
-                if held > p.part_bytes or len(out["lead"]) >= 10_000:
-                    yield batch(lang, out)
-                    out, held = {k: [] for k in out}, 0
-            if out["lead"]:
-                yield batch(lang, out)
-
-    def batch(lang: str, out: dict) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(out["lead"]), pa.string()), pa.array(out["lead"], pa.binary()).cast(pa.string()), pa.array(out["n"], pa.int64()),
-             pa.array(out["m"], pa.int64()), pa.array(out["tails"], pa.binary()), pa.array(out["counts"], pa.binary())],
-            names=["lang", "lead", "n", "m", "tails", "counts"])
+            last = [(q, s) for d, q, s in equal_partitions(keys, np.ones(len(keys[0]), np.int32)) if d == p.max_words - 1]
+            if last:
+                q, counts = np.concatenate([x[0] for x in last]), np.concatenate([x[1] for x in last])
+                del last
+                entries = np.stack([k[q] for k in keys], axis=1)
+                del keys, q
+                yield from _routed(lang, words, entries, counts, to[entries[:, 0]])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab, by_lang, held = None, None, 0
@@ -185,7 +212,8 @@ def _collect(p: CollocationParams):
                         vocab, by_lang, held = defaultdict(count().__next__), defaultdict(list), 0
                         vocab[_END]  # number 0 is the end of a piece
                     found = folded_words(part)
-                    by_lang[lang].append(np.fromiter(map(vocab.__getitem__, [*found, _END]), np.int32, len(found) + 1))
+                    found.append(_END)
+                    by_lang[lang].append(np.fromiter(map(vocab.__getitem__, found), np.int32, len(found)))
                     held += len(found)
                     if held >= p.chunk_words:
                         yield from rows(vocab, by_lang)
@@ -196,89 +224,82 @@ def _collect(p: CollocationParams):
     return run
 
 
-def suffix_groups(docs: DataFrame, p: CollocationParams, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """One row per chunk, lang and leading word: its occurrences ``n``, how many different
-    continuations ``m``, these (max_words - 1 words each, empty beyond the piece) and their counts."""
+def routed_entries(docs: DataFrame, p: CollocationParams, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """Rows (lang, route by the leading word, occurrences n, different entries m, entries, counts) of bounded chunks."""
     slim = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(NO_LANG)).alias("lang"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"))
-    return slim.mapInArrow(_collect(p), GROUPS)
+    return slim.mapInArrow(_collect(p, p.routes or 4 * shuffle_partitions(docs)), ROUTED)
 
 
 # ---- where rows are routed to ---------------------------------------------------
 
-def _entries(tails: list[bytes], k: int, vocab: dict) -> np.ndarray:
-    """Numbers of the continuations' words, one row each."""
-    words = b"\n".join(tails).split(b"\n")
-    return np.fromiter(map(vocab.__getitem__, words), np.int64, len(words)).reshape(-1, k)
+def _unpack(rows: list[tuple], k: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Words, entries as numbers of these (0 is no word) and counts of rows (m, vocab, entries, counts)."""
+    vocab: dict = defaultdict(count().__next__)
+    vocab[b""]
+    entries, counts = [], []
+    for m, names, e, c in rows:
+        names = names.split(b"\n")
+        entries.append(np.fromiter(map(vocab.__getitem__, names), np.int32, len(names))[_unpacked(e, m * k)])
+        counts.append(_unpacked(c, m).astype(np.int64))
+    return list(vocab), np.concatenate(entries).reshape(-1, k), np.concatenate(counts)
 
 
-def _count_groups(p: CollocationParams, prefix: int):
-    """Rows sorted by route -> phrases longer than the leading ``prefix`` words, and their counts."""
-    k = p.max_words - prefix
+def _count_routes(p: CollocationParams, prefix: int):
+    """Rows in order of their route (by ``prefix`` leading words) -> phrases and their counts; those
+    of phrases shorter than ``prefix`` words are partial."""
 
     def counted(held: list[tuple]) -> Iterator[pa.RecordBatch]:
-        total: dict = defaultdict(int)
-        for lang, lead, n, _, _ in held:
-            total[lang, lead] += n
-        groups = {g: i for i, g in enumerate(g for g, n in total.items() if n >= p.min_count)}
-        rows = [r for r in held if (r[0], r[1]) in groups]  # the others are abandoned
-        if not rows:
-            return
-        vocab: dict = defaultdict(count().__next__)
-        vocab[b""]
-        tails = _entries([r[3] for r in rows], k, vocab)
-        weights = np.frombuffer(b"".join(r[4] for r in rows), "<i8")
-        lead = np.repeat([groups[r[0], r[1]] for r in rows], [len(r[4]) // 8 for r in rows])
-        names, words = list(groups), list(vocab)
-        out: list[tuple] = []
-        for d, ptr, size in equal_partitions([lead, *tails.T], weights, p.min_count):
-            if d == 0:
-                continue
-            for q, f in zip(ptr.tolist(), size.tolist()):
-                if tails[q, d - 1]:
-                    lang, head = names[lead[q]]
-                    out.append((lang, b" ".join([head.encode(), *(words[i] for i in tails[q, :d])]), prefix + d, f))
-        if out:
-            lang, phrase, n, f = zip(*out)
-            yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(phrase, pa.binary()).cast(pa.string()), pa.array(n, pa.int32()), pa.array(f, pa.int64())],
-                                             names=["lang", "phrase", "words", "f"])
+        langs = {}
+        for r in held:
+            langs.setdefault(r[0], []).append(r[1:])
+        for lang, rows in langs.items():
+            words, entries, weights = _unpack(rows, p.max_words)
+            keys = list(np.ascontiguousarray(entries.T))
+            found = [x for x in equal_partitions(keys, weights, p.min_count) if x[0] >= prefix - 1]
+            if prefix > 1:
+                found += equal_partitions(keys[: prefix - 1], weights)
+            for d in range(p.max_words):
+                some = [(q, f) for x, q, f in found if x == d]
+                if not some:
+                    continue
+                q, f = np.concatenate([x[0] for x in some]), np.concatenate([x[1] for x in some])
+                whole = keys[d][q] != 0
+                q, f = q[whole], f[whole]
+                phrase = [b" ".join(map(words.__getitem__, e)) for e in entries[q, : d + 1].tolist()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(q), pa.string()), pa.array(phrase, pa.binary()).cast(pa.string()), pa.array(np.full(len(q), d + 1, np.int32)), pa.array(f)],
+                    names=["lang", "phrase", "words", "f"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, entries, last = [], 0, None
         for b in arrow_rows(batches):
-            cols = [c.to_pylist() for c in b.columns]
-            for route, lang, lead, n, m, tails, counts in zip(*cols):
-                if entries >= p.buffer_entries and route != last:
+            for key, lang, m, *blobs in zip(*[c.to_pylist() for c in b.columns]):
+                if held and key != last and entries + m > p.group_entries:
                     yield from counted(held)
                     held, entries = [], 0
-                held.append((lang, lead, n, tails, counts))
+                held.append((lang, m, *blobs))
                 entries += m
-                last = route
-        yield from counted(held)
+                last = key
+        if held:
+            yield from counted(held)
 
     return run
 
 
-def _split_groups(p: CollocationParams, prefix: int):
-    """Rows of ``prefix`` leading words -> rows of one word more (pieces that end are left out)."""
-    k = p.max_words - prefix
+def _split_routes(p: CollocationParams, prefix: int):
+    """Rows with their number of parts -> rows routed by ``prefix`` leading words."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in arrow_rows(batches):
-            for lang, lead, _, _, tails, counts in zip(*[c.to_pylist() for c in b.columns]):
-                words = tails.split(b"\n")
-                nxt, weights = words[::k], np.frombuffer(counts, "<i8")
-                ids: dict = defaultdict(count().__next__)
-                cut = run_bounds(np.fromiter(map(ids.__getitem__, nxt), np.int64, len(nxt))).tolist()
-                out = []
-                for i, j in zip(cut[:-1], cut[1:]):
-                    if nxt[i]:
-                        rest = b"\n".join(b"\n".join(words[e * k + 1:(e + 1) * k]) for e in range(i, j)) if k > 1 else b""
-                        out.append((lang, lead.encode() + b" " + nxt[i], int(weights[i:j].sum()), j - i, rest, weights[i:j].tobytes()))
-                if out:
-                    c = list(zip(*out))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c[0], pa.string()), pa.array(c[1], pa.binary()).cast(pa.string()), pa.array(c[2], pa.int64()), pa.array(c[3], pa.int64()),
-                         pa.array(c[4], pa.binary()), pa.array(c[5], pa.binary())], names=["lang", "lead", "n", "m", "tails", "counts"])
+            for lang, route, parts, *row in zip(*[c.to_pylist() for c in b.columns]):
+                words, entries, weights = _unpack([tuple(row)], p.max_words)
+                hashes = _word_hash(words)
+                h = np.zeros(len(entries), np.uint64)
+                for d in range(prefix):
+                    h = h * np.uint64(0x9E3779B97F4A7C15) + hashes[entries[:, d]]
+                h ^= h >> np.uint64(32)
+                to = (h % np.uint64(parts)).astype(np.int64)
+                yield from _routed(lang, words, entries, weights, route * parts + to)
 
     return run
 
@@ -287,25 +308,25 @@ def phrase_counts(docs: DataFrame, p: CollocationParams | None = None, text_col:
     """(phrases, sizes): every phrase of 1 to ``max_words`` words with f >= min_count
     (lang, phrase, words, f), and n, the number of words, per lang."""
     p = p or CollocationParams()
-    rows = written(suffix_groups(docs, p, text_col, lang_col), "suffix-groups", "zstd")
-    found, sizes = [], None
+    rows = written(routed_entries(docs, p, text_col, lang_col), "suffix-entries", "zstd")
+    sizes = rows.groupBy("lang").agg(F.sum("n").alias("n"))
+    most = min(p.group_entries, max(p.least_group, (rows.agg(F.sum("m")).first()[0] or 0) // (2 * shuffle_partitions(docs))))
+    found = []
     for prefix in range(1, p.max_words + 1):
-        totals = written(rows.groupBy("lang", "lead").agg(F.sum("n").alias("f"), F.sum("m").alias("m")), "suffix-totals")
-        if sizes is None:
-            sizes = totals.groupBy("lang").agg(F.sum("f").alias("n"))
-        found.append(totals.filter(F.col("f") >= p.min_count).select("lang", F.col("lead").alias("phrase"), F.lit(prefix).alias("words"), "f"))
-        if prefix == p.max_words:
-            break
-        hot = totals.filter((F.col("m") > p.group_entries) & (F.col("f") >= p.min_count)).select("lang", "lead")
-        any_hot = not hot.isEmpty()
-        hot = broadcast_if_small(hot)
-        cold = rows.join(hot, ["lang", "lead"], "left_anti") if any_hot else rows
-        route = cold.select(F.xxhash64("lang", "lead").alias("route"), "lang", "lead", "n", "m", "tails", "counts")
-        found.append(route.repartition("route").sortWithinPartitions("route").mapInArrow(_count_groups(p, prefix), COUNTS))
-        if not any_hot:
+        key = F.xxhash64("lang", "route").alias("key")
+        large = rows.groupBy("lang", "route").agg(F.sum("m").alias("m")).filter(F.col("m") > most)
+        large = written(large.select("lang", "route", F.ceil(F.col("m") / most).cast("long").alias("parts")), "suffix-large")
+        split = prefix < p.max_words and not large.isEmpty()
+        large = broadcast_if_small(large)
+        small = rows.join(large, ["lang", "route"], "left_anti") if split else rows
+        small = small.select(key, "lang", "m", "vocab", "entries", "counts").repartition(4 * shuffle_partitions(docs), "key").sortWithinPartitions("key")
+        found.append(small.mapInArrow(_count_routes(p, prefix), COUNTS))
+        if not split:
             break
-        rows = written(rows.join(hot, ["lang", "lead"], "left_semi").select("lang", "lead", "n", "m", "tails", "counts").mapInArrow(_split_groups(p, prefix), GROUPS), "suffix-split", "zstd")
-    return written(reduce(DataFrame.unionByName, found), "phrases"), sizes
+        rows = rows.join(large, ["lang", "route"]).select("lang", "route", "parts", "m", "vocab", "entries", "counts")
+        rows = written(rows.mapInArrow(_split_routes(p, prefix + 1), ROUTED), "suffix-split", "zstd")
+    f = reduce(DataFrame.unionByName, found).groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f"))
+    return written(f.filter(F.col("f") >= p.min_count), "phrases"), sizes
 
 
 # ---- scores ---------------------------------------------------------------------
