@@ -204,13 +204,14 @@ def test_mixed_formats_and_skipped_files(spark, tmp_path):
     paths = files.list_paths(spark, d)
     rows, skipped = files.load_checked(spark, paths)
     assert sorted((r.CODE, r.extra, r.TYPE) for r in rows.collect()) == [
-        ("A", "e", "Flood Alert"), ("J", "5", "Flood Warning"), ("O", "x", "Flood Alert"), ("Z", "z", 'Flood "x"\nAlert')]
-    assert rows.count() == 4
+        ("A", "e", "Flood Alert"), ("GOOD", None, "Flood Alert"), ("J", "5", "Flood Warning"), ("O", "x", "Flood Alert"), ("Z", "z", 'Flood "x"\nAlert')]
+    assert rows.count() == 5
     got = sorted((os.path.basename(r.path), r.record) for r in skipped.collect())
     assert got == [("a.csv", "2024-01-01T00:00:00Z,B,too,many,fields"), ("a.csv", "short"), ("bad.json", None), ("bad.ods", None),
                    ("e.zip", None), ("f.zip", None), ("foo.csv", None), ("notes.txt", None)]
     assert all(r.reason for r in skipped.collect())
-    assert files.load_directory(spark, d, pattern="*").count() == 4
+    assert [r.reason for r in skipped.collect() if r.path.endswith("e.zip")] == ["bad.csv: ValueError: no column for timeRaised, severity"]
+    assert files.load_directory(spark, d, pattern="*").count() == 5
 
 
 def test_quoted_files_grow_with_the_table(spark, tmp_path, monkeypatch):
@@ -295,3 +296,81 @@ def test_listing(spark, tmp_path):
     assert files.list_paths(spark, str(tmp_path)) == want
     assert files.list_paths(spark, f"file://{tmp_path}") == [f"file:{p}" for p in want]
     assert files.list_paths(spark, str(tmp_path / "none")) == []
+
+
+def test_json_loses_only_torn_records(spark, tmp_path):
+    row = '{{"DATE": "2024-01-01T00:00:00Z", "CODE": "{}", "TYPE": "Flood Alert"}}'
+    write(str(tmp_path / "l.json"), "\n".join([row.format("A"), '{"DATE": "2024-01-01T00:00:00Z", "CODE": ', row.format("B"), '{"CODE": "x', "7", row.format("C")]))
+    write(str(tmp_path / "a.json"), "[\n  " + ",\n  ".join([row.format("D"), '{"CODE": "torn" "TYPE"}', row.format("E")]) + "\n]")
+    write(str(tmp_path / "p.json"), json.dumps([{"DATE": "2024-01-01T00:00:00Z", "CODE": "F", "TYPE": None, "n": 1.50, "o": {"k": [1, "é", None]}, "b": True},
+                                               {"CODE": "G", "late": "x"}], indent=2))
+    write(str(tmp_path / "m.json"), '[{"CODE": "only"}]')
+    rows, skipped = files.load_checked(spark, files.list_paths(spark, str(tmp_path)))
+    got = {r.CODE: r for r in rows.collect()}
+    assert set(got) == set("ABCDEFG") and rows.count() == 7
+    f = got["F"]
+    assert (f.TYPE, f.n, f.o, f.b, f.late, got["G"].late, got["G"].TYPE) == (None, "1.5", '{"k":[1,"é",null]}', "true", None, "x", None)
+    torn = sorted((os.path.basename(r.path), r.record) for r in skipped.collect())
+    assert torn == [("a.json", '{"CODE": "torn" "TYPE"},'), ("l.json", '{"CODE": "x\n7'), ("l.json", '{"DATE": "2024-01-01T00:00:00Z", "CODE":'), ("m.json", None)]
+
+
+def test_json_is_read_in_bounded_parts(monkeypatch):
+    import io
+
+    from warnindex.sources import decode
+
+    monkeypatch.setattr(decode, "CHUNK", 16)
+    records = [{"a": "x" * n, "b": [n, {"c": "}{,\n"}], "d": n * 1.5} for n in range(60)]
+    want = [{"a": r["a"], "b": json.dumps(r["b"], separators=(",", ":")), "d": str(r["d"])} for r in records]
+    for text in (json.dumps(records), json.dumps(records, indent=1), "\n".join(map(json.dumps, records)), "".join(map(json.dumps, records))):
+        assert list(decode.json_records(io.StringIO(text))) == want
+    monkeypatch.setattr(decode, "MAX_RECORD", 100)
+    kinds = [type(r).__name__ for r in decode.json_records(io.StringIO('{"a": "' + "y" * 500 + "\n" + '{"a": "z"}\n{"a": "w"}'))]
+    assert kinds == ["Malformed", "dict", "dict"]
+
+
+def test_archive_members_are_units(spark, tmp_path):
+    import zipfile
+
+    from warnindex.sources import decode
+
+    head = "CODE,DATE,TYPE\n"
+    many = {f"d/m{i:03}.csv": head + f"C{i},2024-01-01T00:00:00Z,Flood Alert\n" for i in range(60)}
+    (tmp_path / "many.zip").write_bytes(encode_zip({**many, "d/lacks.csv": "CODE\nX\n", "d/empty.csv": "", "d/readme.txt": "text"}))
+    torn = bytearray(encode_zip({"ok.csv": head + "OK,2024-01-01T00:00:00Z,Flood Alert\n", "bad.csv": head + "BAD,2024-01-01T00:00:00Z,Flood Alert\n" * 50}))
+    with zipfile.ZipFile(__import__("io").BytesIO(bytes(torn))) as z:
+        info = z.getinfo("bad.csv")
+    at = info.header_offset + 30 + len("bad.csv") + info.compress_size // 2
+    torn[at:at + 8] = b"\xff" * 8
+    (tmp_path / "torn.zip").write_bytes(bytes(torn))
+    with zipfile.ZipFile(tmp_path / "stored.zip", "w", zipfile.ZIP_STORED) as z:
+        z.writestr("s.csv", head + "S,2024-01-01T00:00:00Z,Flood Alert\n")
+    with zipfile.ZipFile(tmp_path / "lzma.zip", "w", zipfile.ZIP_LZMA) as z:
+        z.writestr("x.csv", head + "L,2024-01-01T00:00:00Z,Flood Alert\n")
+    paths = files.list_paths(spark, str(tmp_path))
+    rows, skipped = files.load_checked(spark, paths)
+    assert sorted(r.CODE for r in rows.collect()) == sorted(["OK", "S"] + [f"C{i}" for i in range(60)])
+    bad = sorted((os.path.basename(r.path), r.reason.split(":")[0]) for r in skipped.collect())
+    assert bad == [("lzma.zip", "x.csv"), ("many.zip", "d/empty.csv"), ("many.zip", "d/lacks.csv"), ("torn.zip", "bad.csv")]
+    # one archive with many members is many tasks' work
+    staged, failed, torn_rows = decode.decode_paths(spark, [str(tmp_path / "many.zip")], "zip")
+    assert (failed, torn_rows) == (2, 0)
+    assert decode.list_members(spark, [str(tmp_path / "many.zip")]).count() == 62
+    from pyspark.sql import functions as F
+
+    used = staged.select(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("f")).distinct().count()
+    assert used > 30
+
+
+def test_drifting_headers_are_one_scan(spark, tmp_path):
+    import itertools
+
+    names = ["DATE", "CODE", "TYPE", "AREA", "x", "y z"]
+    for k, order in enumerate(itertools.islice(itertools.permutations(names), 0, 700, 7)):
+        cell = {"DATE": "2024-01-01T00:00:00Z", "CODE": f"C{k}", "TYPE": "Flood Alert", "AREA": "", "x": f"{k},x", "y z": "null"}
+        write(str(tmp_path / f"f {k}.csv"), ",".join(order) + "\n" + ",".join(f'"{cell[c]}"' if "," in cell[c] else cell[c] for c in order) + "\n" + ("a,b\n" if k == 5 else ""))
+    paths = files.list_paths(spark, str(tmp_path))
+    rows, skipped, malformed, n_bad = files.load_csv_files(spark, paths)
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("Relation [_c0") == 1
+    assert sorted((r.CODE, r.x, r.AREA, r["y z"]) for r in rows.collect()) == sorted((f"C{k}", f"{k},x", None, None) for k in range(100))
+    assert n_bad == 0 and skipped.count() == 0 and [r.record for r in malformed.collect()] == ["a,b"]

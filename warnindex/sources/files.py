@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from warnindex.params import CSV_NULL_TOKENS, TREND_FIRST_YEAR, Baseline
 from warnindex.schema import AREAS, BASELINE, ITEMS, RAW, WARNINGS
-from warnindex.session import scratch_path
+from warnindex.session import broadcast_if_small, scratch_path
 from warnindex.sources.decode import lacking
 
 log = logging.getLogger(__name__)
@@ -111,8 +111,11 @@ def list_paths(spark: SparkSession, directory: str) -> list[str]:
     return [p for p in list_tree(directory) if not os.path.basename(p).startswith((".", "_"))]
 
 
+UNITS = "path string, file string, header array<string>, reason string"
+
+
 def _probe_headers(it):
-    """(path, header fields, reason) of each file: its first line only, read in a task."""
+    """Header fields of each file, or the reason why there are none: its first line only, read in a task."""
     import csv
     import io
 
@@ -122,7 +125,7 @@ def _probe_headers(it):
 
     for pdf in it:
         rows = []
-        for path in pdf["path"]:
+        for path, file in zip(pdf["path"], pdf["file"]):
             try:
                 with open_path(path) as f:
                     header = next(csv.reader(io.TextIOWrapper(f, encoding="utf-8-sig", newline="")), None)
@@ -134,39 +137,69 @@ def _probe_headers(it):
                 miss = lacking(names)
                 if miss:
                     raise ValueError("no column for " + ", ".join(miss))
-                rows.append((path, names, None))
+                rows.append((path, file, names, None))
             except Exception as e:  # noqa: BLE001 - any unreadable file is skipped
-                rows.append((path, None, f"{type(e).__name__}: {e}"))
-        yield pd.DataFrame(rows, columns=["path", "header", "reason"])
-
-
-def load_csv_files(spark: SparkSession, paths, multiline: bool = False) -> tuple[DataFrame | None, DataFrame, DataFrame | None]:
-    """S5 for CSV: (rows, skipped files, malformed rows).  Files are grouped by header, so drifting headers
-    still land on the same columns (U1 is the union by name); headers are read in
-    tasks, one row of metadata a file reaches the driver.  Files that cannot be read or lack a required column are
+                rows.append((path, file, None, f"{type(e).__name__}: {e}"))
+        yield pd.DataFrame(rows, columns=["path", "file", "header", "reason"])
+
+
+def csv_units(spark: SparkSession, paths) -> DataFrame:
+    """Each CSV file's path, its name in scans, and its header or the reason it has none."""
+    listed = spark.read.format("binaryFile").load(list(paths)).select("path", F.col("_metadata.file_path").alias("file"))
+    probed = listed.repartition(max(1, min(len(paths), HEADER_PROBE_TASKS))).mapInPandas(_probe_headers, UNITS)
+    return stage_table(probed, "csv-headers")
+
+
+def _csv_group(spark: SparkSession, files, headers: list[list[str]], units: DataFrame, multiline: bool) -> tuple[DataFrame, DataFrame]:
+    """(whole rows, malformed rows) of files whose headers have the same number of columns: one scan.
+    Where headers differ, columns are read by place and each row finds its own by its file's header."""
+    width = len(headers[0])
+    one = len(headers) == 1
+    names = headers[0] if one else [f"_c{i}" for i in range(width)]
+    rows = _csv_rows(spark, files, names, multiline)
+    # not a null test: that would be pushed into the parser, which does not know the
+    # column yet; and a second column, as Spark refuses a scan of the corrupt one alone
+    length, any_ = F.length(F.concat_ws("", CORRUPT)), F.length(F.concat_ws("", CORRUPT, f"`{names[0]}`")) >= 0
+    torn, whole = (length > 0) & any_, (length == 0) & any_
+    malformed = rows.select(F.col("_metadata.file_path").alias("path"), "*").filter(torn).select(
+        "path", F.lit("fields do not match the header").alias("reason"), F.col(CORRUPT).alias("record"))
+    if one:
+        return null_tokens_to_null(rows.filter(whole).drop(CORRUPT)), malformed
+    heads = units.filter("reason is null").select(F.col("file").alias("_file"), "header")
+    found = rows.select(F.col("_metadata.file_path").alias("_file"), "*").filter(whole).join(broadcast_if_small(heads), "_file")
+    cells = F.array(*[F.col(n) for n in names])
+    every = sorted({h for header in headers for h in header})
+    found = found.select(cells.alias("_cells"), "header").select(
+        *[F.get("_cells", F.array_position("header", F.lit(n)).cast("int") - 1).alias(n) for n in every])
+    return null_tokens_to_null(found), malformed
+
+
+def load_csv_files(spark: SparkSession, paths, multiline: bool = False) -> tuple[DataFrame | None, DataFrame, DataFrame | None, int]:
+    """S5 for CSV: (rows, skipped files, malformed rows, how many files are skipped).  Headers are read in tasks and only the distinct
+    ones reach the driver.  All files whose headers have equally many columns are one scan, in which drifting headers
+    land on the same columns (U1 is the union by name).  Files that cannot be read or lack a required column are
     skipped whole, malformed rows one by one."""
     paths = list(paths)
-    probe = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, min(len(paths), HEADER_PROBE_TASKS)))
-    groups: dict[tuple, list[str]] = {}
-    bad = []
-    for r in probe.mapInPandas(_probe_headers, "path string, header array<string>, reason string").collect():
-        if r["reason"] is not None:
-            bad.append((r["path"], r["reason"], None))
-        else:
-            groups.setdefault(tuple(r["header"]), []).append(r["path"])
-    frames, malformed = [], None
-    for header, files in sorted(groups.items()):
-        rows = _csv_rows(spark, files, header, multiline)
-        # not a null test: that would be pushed into the parser, which does not know the
-        # column yet; and a second column, as Spark refuses a scan of the corrupt one alone
-        length, any_ = F.length(F.concat_ws("", CORRUPT)), F.length(F.concat_ws("", CORRUPT, f"`{header[0]}`")) >= 0
-        torn, whole = (length > 0) & any_, (length == 0) & any_
-        bad_rows = rows.select(F.col("_metadata.file_path").alias("path"), "*").filter(torn).select(
-            "path", F.lit("fields do not match the header").alias("reason"), F.col(CORRUPT).alias("record"))
-        malformed = bad_rows if malformed is None else malformed.unionByName(bad_rows)
-        frames.append(_to_raw(null_tokens_to_null(rows.filter(whole).drop(CORRUPT))))
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else None
-    return rows, spark.createDataFrame(bad, SKIPPED), malformed
+    units = csv_units(spark, paths)
+    counts = {None if r["header"] is None else tuple(r["header"]): r["n"] for r in units.groupBy("header").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n_bad = counts.pop(None, 0)
+    skipped = units.filter("reason is not null").select("path", "reason", F.lit(None).cast("string").alias("record"))
+    widths: dict[int, list] = {}
+    for h in sorted(counts):
+        widths.setdefault(len(h), []).append(list(h))
+    of = {w: paths for w in widths}
+    if n_bad or len(widths) > 1:
+        of = {}
+        for r in units.filter("reason is null").select("path", F.size("header").alias("w")).collect():
+            of.setdefault(r["w"], []).append(r["path"])
+    frames, torn = [], []
+    for w, headers in sorted(widths.items()):
+        rows, malformed = _csv_group(spark, of[w], headers, units, multiline)
+        frames.append(_to_raw(rows))
+        torn.append(malformed)
+    if not frames:
+        return None, skipped, None, n_bad
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames), skipped, reduce(DataFrame.unionByName, torn), n_bad
 
 
 def choose_snapshot(spark: SparkSession, directory: str) -> tuple[str, list[str]]:
@@ -184,9 +217,9 @@ def choose_snapshot(spark: SparkSession, directory: str) -> tuple[str, list[str]
 
 def load_checked(spark: SparkSession, paths, fmt: str | None = None, multiline: bool = False) -> tuple[DataFrame, DataFrame]:
     """S4 + S5 raw part: (rows, skipped).  The format of each file is its own
-    (by suffix) unless ``fmt`` says otherwise.  A file that fails to open, to
+    (by suffix) unless ``fmt`` says otherwise.  A file or archive member that fails to open, to
     decode or to show the required columns is skipped and named in ``skipped`` (path, reason, record: the text of
-    single malformed rows of CSV files and ZIP members); the load fails only when nothing is left."""
+    single malformed records); the load fails only when nothing is left."""
     from warnindex.sources import decode
 
     paths = [paths] if isinstance(paths, str) else list(paths)
@@ -198,25 +231,27 @@ def load_checked(spark: SparkSession, paths, fmt: str | None = None, multiline:
         except LoadError as e:
             unknown.append((p, str(e), None))
     skipped = spark.createDataFrame(unknown, SKIPPED)
-    frames, torn = [], []
+    frames, torn, n = [], [], len(unknown)
     for kind, files in sorted(kinds.items()):
         if kind == "csv":
-            df, bad, malformed = load_csv_files(spark, files, multiline)
+            df, bad, malformed, failed = load_csv_files(spark, files, multiline)
             if malformed is not None:
                 torn.append(malformed)
-        elif kind in ("json", "ods", "zip"):
-            rows = decode.decode_json(spark, files) if kind == "json" else decode.decode_paths(spark, files, kind)
-            df, bad, malformed = decode.assemble(stage_table(rows, f"decoded-{kind}"))
-            torn.append(malformed)
+        elif kind in decode.ROWS:
+            rows, failed, n_torn = decode.decode_paths(spark, files, kind)
+            df, bad, malformed = decode.assemble(rows, failed)
+            if n_torn:
+                torn.append(malformed)
             df = df if df is None else _to_raw(df.drop("_source") if kind != "zip" else df)
         else:
             raise LoadError(f"no reader for format {kind!r}")
-        skipped = skipped.unionByName(bad)
+        n += failed
+        if failed:
+            skipped = skipped.unionByName(bad)
         if df is not None:
             frames.append(df)
-    n = skipped.count()
     if n:
-        log.warning("%d of %d files are skipped, the first: %s", n, len(paths),
+        log.warning("%d files or members are skipped, the first: %s", n,
                     [tuple(r) for r in skipped.orderBy("path").limit(20).select("path", "reason").collect()])
     if not frames:
         raise LoadError(f"none of {len(paths)} files could be read")

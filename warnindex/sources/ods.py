@@ -59,10 +59,11 @@ def iter_sheet_rows(source):
     binary file), repeats expanded, fully empty rows skipped.  A table inside a
     cell is not part of the sheet."""
     with zipfile.ZipFile(io.BytesIO(source) if isinstance(source, bytes) else source) as z, z.open("content.xml") as fh:
-        depth = 0
+        depth, sheet = 0, None
         for event, el in ET.iterparse(fh, events=("start", "end")):
             if el.tag == _T + "table":
                 depth += 1 if event == "start" else -1
+                sheet = el if event == "start" and depth == 1 else sheet
                 if depth == 0:
                     return  # first sheet done
                 continue
@@ -83,6 +84,8 @@ def iter_sheet_rows(source):
                     row.extend([v] * rep)
             rrep = int(el.get(_T + "number-rows-repeated", "1"))
             el.clear()
+            if sheet is not None:
+                sheet.clear()  # rows done are no longer its children
             if not row:
                 continue
             for _ in range(rrep):
