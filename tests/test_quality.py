@@ -97,18 +97,50 @@ def test_validate_with_examples(spark):
     assert len(by[2024, "Duplicate Records"]) == 1 and len(by[None, "Missing timeRaised"]) == 1
 
 
-def test_report_documents_and_run_metrics(spark, tmp_path):
-    from warnindex.sources.sinks import run_metrics, write_quality_reports
+def test_report_documents(spark, tmp_path):
+    from warnindex.sources.sinks import write_quality_reports
 
     docs = quality.report_documents(frame(spark), by_year=True)
     write_quality_reports(docs, str(tmp_path / "q"))
     back = spark.read.schema(docs.schema).json(str(tmp_path / "q")).collect()
     assert [(r.year, r.total_records, r.error_count) for r in back] == [(2024, 9, 2)]
     assert [i.check_order for i in back[0].issues] == sorted(i.check_order for i in back[0].issues)
-    failed = spark.createDataFrame([(2022, "load"), (2025, "validation")], "year int, stage string")
-    rep = spark.createDataFrame([(2024, 9, False), (2025, 3, True)], "year int, total_records long, passed boolean")
-    got = {r.year: r for r in run_metrics(rep, range(2022, 2026), failed).collect()}
-    assert [got[y].load_status for y in sorted(got)] == ["failed", "empty", "success", "success"]
-    assert [got[y].validation_status for y in sorted(got)] == ["skipped", "skipped", "success", "failed"]
-    assert [got[y].success for y in sorted(got)] == [False, False, True, False] and got[2024].success_rate_pct == 25.0
-    assert got[2024].validation_passed is False and got[2023].validation_passed is None
+
+
+def test_run_record(spark, tmp_path, monkeypatch):
+    """Load and export decide; a validation that breaks off is an error only; a year without records succeeds."""
+    from warnindex.plans import flows
+    from warnindex.sources import files
+    from warnindex.sources.sinks import read_run_log, run_metrics
+
+    def run(name, load=lambda: frame(spark), years=range(2023, 2025), **more):
+        return {r.year: r for r in flows.run_years(spark, load, years, str(tmp_path / "t"), str(tmp_path / "log"), name, **more).collect()}
+
+    ok = run("ok", reports_path=str(tmp_path / "reports"), logged_at="2025-01-01T00:00:00")
+    assert [(r.load_status, r.validation_status, r.export_status, r.success, r.errors) for r in (ok[2023], ok[2024])] == [("success",) * 3 + (True, "")] * 2
+    assert (ok[2024].records_loaded, ok[2024].records_exported, ok[2024].validation_passed, ok[2023].records_loaded) == (9, 9, False, 0)
+    assert ok[2024].success_rate_pct == 100.0 and (tmp_path / "reports" / "year=2024").exists()
+
+    def broken():
+        raise files.LoadError("nothing there")
+
+    bad = run("load", broken)
+    assert {(r.load_status, r.validation_status, r.export_status, r.success, r.errors) for r in bad.values()} == {("failed", None, None, False, "load: LoadError: nothing there")}
+    assert bad[2023].success_rate_pct == 0.0
+
+    def breaks(*a, **k):
+        raise RuntimeError("broke off")
+
+    with monkeypatch.context() as m:
+        m.setattr(quality, "report_documents", breaks)
+        got = run("validation")
+    assert {(r.validation_status, r.validation_passed, r.export_status, r.success, r.errors) for r in got.values()} == {
+        ("failed", None, "success", True, "validation: RuntimeError: broke off")}
+    with monkeypatch.context() as m:
+        m.setattr(files, "write_yearly", breaks)
+        got = run("export", validate=False)
+    assert {(r.validation_status, r.export_status, r.success) for r in got.values()} == {(None, "failed", False)}
+    log = read_run_log(spark, str(tmp_path / "log"))
+    assert {r.run_id: r.success_rate_pct for r in run_metrics(log).collect()} == {"ok": 100.0, "load": 0.0, "validation": 100.0, "export": 0.0}
+    assert log.filter("run_id = 'ok'").select("logged_at").distinct().collect()[0][0] == "2025-01-01T00:00:00"
+    assert log.filter("run_id = 'ok' and stage = 'export'").count() == 2

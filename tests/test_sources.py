@@ -374,3 +374,26 @@ def test_drifting_headers_are_one_scan(spark, tmp_path):
     assert rows._jdf.queryExecution().optimizedPlan().toString().count("Relation [_c0") == 1
     assert sorted((r.CODE, r.x, r.AREA, r["y z"]) for r in rows.collect()) == sorted((f"C{k}", f"{k},x", None, None) for k in range(100))
     assert n_bad == 0 and skipped.count() == 0 and [r.record for r in malformed.collect()] == ["a,b"]
+
+
+def test_landed_pages_name_what_is_torn_or_missing(spark, tmp_path):
+    page = lambda k, nxt=None, n=2: json.dumps({"meta": {"offset": 2 * k, "limit": 2, "next": nxt}, "items": [{"notation": f"N{2 * k + i}"} for i in range(n)]}, indent=1)
+    for k, text in {0: page(0, "u1"), 1: page(1, "u2")[:50], 2: page(2, "u3"), 4: page(4, "u5"), 5: page(5, None, 1)}.items():
+        write(str(tmp_path / "a" / f"{k}.json"), text)
+    write(str(tmp_path / "b" / "0.json"), page(0))
+    write(str(tmp_path / "b" / "plain.json"), json.dumps({"items": [{"notation": "X"}]}))
+    items, faults = files.load_landed_pages(spark, [str(tmp_path / "a"), str(tmp_path / "b")])
+    assert sorted(r.notation for r in items.collect()) == ["N0", "N0", "N1", "N1", "N10", "N4", "N5", "N8", "N9", "X"]
+    got = sorted((os.path.basename(r.path), r.reason, r.record) for r in faults.collect())
+    assert got == [("0.json", "no page starts at offset 2", None), ("1.json", "not a page of items", page(1, "u2")[:50]), ("2.json", "no page ends at offset 4", None),
+                   ("2.json", "no page starts at offset 6", None), ("4.json", "no page ends at offset 8", None)]
+    assert files.read_landed_pages(spark, str(tmp_path / "a")).count() == 7
+
+
+def test_area_metadata(spark, tmp_path):
+    areas = spark.createDataFrame([("B", "Bristol", True), ("A", "Bristol, Bath", False), ("C", None, None)], "fwdCode string, county string, isTidal boolean")
+    files.write_areas(areas, str(tmp_path / "a"), str(tmp_path / "s"), ["Bristol", "Bath", "Devon"], "West", "2024-05-01T10:00:00+00:00")
+    m = files.read_area_metadata(spark, str(tmp_path / "s")).collect()
+    assert len(m) == 1
+    assert m[0].asDict() == {"description": "Warning areas of West", "region": "West", "counties": ["Bristol", "Bath", "Devon"], "fetched_at": "2024-05-01T10:00:00+00:00",
+                             "total_areas": 3, "fluvial_areas": 1, "coastal_areas": 1, "areas_by_county": {"Bristol": 2, "Bath": 1, "Devon": 0}}

@@ -107,6 +107,23 @@ def area_class_counts(areas: DataFrame) -> DataFrame:
     )
 
 
+AREA_METADATA = ("description string, region string, counties array<string>, fetched_at string, total_areas bigint, fluvial_areas bigint, "
+                 "coastal_areas bigint, areas_by_county map<string,bigint>")
+
+
+def area_metadata(areas: DataFrame, region: str, counties, fetched_at: str | None) -> DataFrame:
+    """One row about the area table, from one aggregate over it."""
+    counties = list(counties)
+    t = F.col("isTidal")
+    by = [F.count_if(contains_any("county", [c])).alias(f"_c{i}") for i, c in enumerate(counties)]
+    d = areas.agg(F.count(F.lit(1)).alias("total_areas"), F.count_if(t == F.lit(False)).alias("fluvial_areas"), F.count_if(t == F.lit(True)).alias("coastal_areas"), *by)
+    pairs = [x for i, c in enumerate(counties) for x in (F.lit(c), F.col(f"_c{i}"))]
+    return d.select(
+        F.lit(f"Warning areas of {region}").alias("description"), F.lit(region).alias("region"), F.array(*map(F.lit, counties)).cast("array<string>").alias("counties"),
+        F.lit(fetched_at).cast("string").alias("fetched_at"), "total_areas", "fluvial_areas", "coastal_areas",
+        F.create_map(*pairs).cast("map<string,bigint>").alias("areas_by_county"))
+
+
 def flood_areas(areas: DataFrame, county: str | None = None) -> DataFrame:
     """Optional county predicate over landed areas (falsy = all)."""
     return county_filter(areas, [county]) if county else areas

@@ -8,10 +8,12 @@ equal the source table, so these scans get a value check against SQL too.
 
 from __future__ import annotations
 
+import io
 import os
+import zipfile
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,49 +64,95 @@ def q_csv_scan(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_json_scan(spark: SparkSession, d: str) -> DataFrame:
-    """Documents that each hold one JSON array of records."""
+    """Documents that each hold one JSON array of records, some with a torn record, which alone is left out."""
     raw = _raw_events(spark, d)
     root = scratch_path(spark, "landed-json")
     rec = F.struct(*[F.col(f"`{c}`") for c in ("DATE", "CODE", "TYPE", "AREA")])
     docs = (raw.withColumn("_c", F.floor(F.col("msg_id") / ROWS_PER_FILE))
             .groupBy("_c").agg(F.to_json(F.collect_list(rec)).alias("value")))
-    _save_text(docs, root, "json")
+    torn = F.regexp_replace("value", r"^\[", '[{"DATE": "2024-01-01T00:00:00Z", "CODE" "torn"\n')
+    _save_text(docs.withColumn("value", F.when(F.col("_c") % 2 == 0, torn).otherwise(F.col("value"))), root, "json")
     return _clean(files.load_raw(spark, files.list_paths(spark, root)))
 
 
+def q_torn_records(spark: SparkSession, d: str) -> DataFrame:
+    """S2 + S16: a JSON-lines file and an archive per supplier, each with a torn record or member; what
+    is torn is named, with its text or its member, and everything else is loaded (counted per file)."""
+    s = A.table(spark, d, "supplier").select("s_suppkey")
+    k = F.col("s_suppkey")
+    root = scratch_path(spark, "landed-torn")
+    line = F.concat(F.lit('{"DATE": "2024-01-01T00:00:00Z", "CODE": "'), k, F.lit('", "TYPE": "Flood Alert"}\n'))
+    cut = F.concat(F.lit('{"DATE": "2024-01-01T00:00:00Z", "CODE": "'), k, F.lit("\n"))
+    _save_text(s.where(k % 2 == 0).select(k.alias("_c"), F.concat(line, cut, line, line).alias("value")), root, "json")
+    _save_zips(s.where(k % 2 == 1).select(k.alias("_c")), root)
+    rows, skipped = files.load_checked(spark, files.list_paths(spark, root))
+    loaded = rows.groupBy(F.col("CODE").alias("code")).agg(F.count(F.lit(1)).alias("loaded"))
+    file = F.element_at(F.split("path", "/"), -1)
+    torn = skipped.select(F.regexp_extract(file, r"^(\d+)", 1).alias("code"), F.coalesce("record", F.regexp_extract("reason", "^([^:]*)", 1)).alias("torn"))
+    return loaded.join(torn, "code", "full")
+
+
+def _save_zips(keys: DataFrame, root: str) -> None:
+    """Each row (_c) becomes an archive of a whole member, one without the columns and a torn one."""
+
+    def run(it):
+        from warnindex.sources.archive import encode_zip
+        from warnindex.sources.storage import save_bytes
+
+        for pdf in it:
+            for c in pdf["_c"]:
+                row = f"{c},2024-01-01T00:00:00Z,Flood Alert\n"
+                content = bytearray(encode_zip({"a.csv": "CODE,DATE,TYPE\n" + row * 2, "torn.csv": "CODE,DATE,TYPE\n" + row * 200}))
+                with zipfile.ZipFile(io.BytesIO(bytes(content))) as z:
+                    info = z.getinfo("torn.csv")
+                at = info.header_offset + 30 + len("torn.csv") + info.compress_size // 2
+                content[at:at + 2] = b"\xff\xff"
+                save_bytes(f"{root}/{c}.zip", bytes(content))
+            yield pd.DataFrame({"n": [len(pdf)]})
+
+    keys.mapInPandas(run, "n long").write.format("noop").mode("overwrite").save()
+
+
 RAW_HEADER = ["DATE", "CODE", "TYPE", "WARNING / ALERT AREA NAME", "AREA"]
 
 
 def _save_files(root: str, suffix: str):
-    """mapInPandas: the rows of each batch become one landed file; (path) out."""
+    """The rows of one chunk become one landed file of that chunk's number, in the order of their id: a task that is
+    tried again writes the same file."""
 
-    def run(it):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
         import io
 
         from warnindex.sources.archive import encode_zip
         from warnindex.sources.ods import encode_ods
         from warnindex.sources.storage import save_bytes
 
-        for pdf in it:
-            if len(pdf) == 0:
-                continue
-            name = f"warnings_{pdf['msg_id'].min()}"
-            if suffix == "ods":
-                content = encode_ods(RAW_HEADER, pdf[RAW_HEADER].itertuples(index=False, name=None), date_columns=())
-            else:
+        pdf = pdf.sort_values("msg_id")
+        name = f"warnings_{pdf['_c'].iloc[0]}"
+        if suffix == "ods":
+            content = encode_ods(RAW_HEADER, pdf[RAW_HEADER].itertuples(index=False, name=None), date_columns=())
+        else:
+            half, members = len(pdf) // 2, {f"{name}/README.txt": "landed"}
+            for k, rows in enumerate((pdf.iloc[:half], pdf.iloc[half:])):
                 buf = io.StringIO()
-                pdf[RAW_HEADER].to_csv(buf, index=False)
-                content = encode_zip({f"{name}/data.csv": buf.getvalue(), f"{name}/README.txt": "landed"})
-            path = f"{root}/{name}.{suffix}"
-            save_bytes(path, content)
-            yield pd.DataFrame({"path": [path]})
+                rows[RAW_HEADER].to_csv(buf, index=False)
+                members[f"{name}/data{k}.csv"] = buf.getvalue()
+            # one member without the columns, one cut off in the middle of its bytes: neither may cost the others a row
+            members[f"{name}/lacking.csv"] = "CODE\nX\n"
+            content = encode_zip({**members, f"{name}/torn.csv": ",".join(RAW_HEADER) + "\n" + "x,y,z,,\n" * 400})
+            with zipfile.ZipFile(io.BytesIO(content)) as z:
+                info = z.getinfo(f"{name}/torn.csv")
+            at = info.header_offset + 30 + len(info.filename.encode()) + info.compress_size // 2
+            content = content[:at] + b"\xff\xff" + content[at + 2:]
+        save_bytes(f"{root}/{name}.{suffix}", content)
+        return pd.DataFrame({"path": [f"{root}/{name}.{suffix}"]})
 
     return run
 
 
 def _land(raw: DataFrame, root: str, suffix: str) -> None:
-    n = max(1, raw.sparkSession.sparkContext.defaultParallelism)
-    raw.repartition(n, "msg_id").mapInPandas(_save_files(root, suffix), "path string").write.format("noop").mode("overwrite").save()
+    chunks = raw.withColumn("_c", F.floor(F.col("msg_id") / ROWS_PER_FILE))
+    chunks.groupBy("_c").applyInPandas(_save_files(root, suffix), "path string").write.format("noop").mode("overwrite").save()
 
 
 def q_ods_scan(spark: SparkSession, d: str) -> DataFrame:
@@ -183,17 +231,37 @@ def q_skipped_files(spark: SparkSession, d: str) -> DataFrame:
     return skipped.select(F.element_at(F.split("path", "/"), -1).alias("file"), "reason", "record")
 
 
+PAGE_ITEMS = 25
+
+
+def _land_pages(items: DataFrame, root: str, lost=None) -> None:
+    """A file per page of PAGE_ITEMS items; ``lost(page)`` gives what a page is torn by or None where it is not landed."""
+    page = F.floor(F.col("notation").cast("bigint") / PAGE_ITEMS)
+    last = F.max("_p").over(Window.partitionBy())  # a row for each page
+    pages = items.withColumn("_p", page).groupBy("_p").agg(F.collect_list(F.struct(*items.columns)).alias("items"))
+    meta = F.struct((F.col("_p") * PAGE_ITEMS).alias("offset"), F.lit(PAGE_ITEMS).alias("limit"), F.when(F.col("_p") < last, F.lit("next")).alias("next"))
+    docs = pages.select(F.col("_p").alias("_c"), F.to_json(F.struct("items", meta.alias("meta"))).alias("value"))
+    if lost is not None:
+        docs = docs.filter(~lost[0](F.col("_c"))).withColumn("value", F.when(lost[1](F.col("_c")), F.expr("left(value, 40)")).otherwise(F.col("value")))
+    _save_text(docs, root, "json")
+
+
 def q_landed_pages(spark: SparkSession, d: str) -> DataFrame:
     """S17 + P20: API pages of area items -> area dimension."""
-    items = A.supplier_area_items(spark, d)
     root = scratch_path(spark, "landed-pages")
-    page = F.floor(F.col("notation").cast("bigint") / 25)
-    pages = items.withColumn("_p", page).groupBy("_p").agg(
-        F.collect_list(F.struct(*items.columns)).alias("items"),
-        F.struct(F.lit("landed").alias("source"), F.count(F.lit(1)).alias("limit")).alias("meta"),
-    )
-    pages.drop("_p").write.json(root)
-    return regions.areas_from_items(files.read_landed_pages(spark, root, multiline=False))
+    _land_pages(A.supplier_area_items(spark, d), root)
+    return regions.areas_from_items(files.read_landed_pages(spark, root))
+
+
+def q_page_faults(spark: SparkSession, d: str) -> DataFrame:
+    """Every fifth page is torn and every seventh is not there: torn pages are named, and so are the
+    pages beside a hole; the items of all others are loaded (counted)."""
+    root = scratch_path(spark, "landed-pages")
+    _land_pages(A.supplier_area_items(spark, d), root, (lambda p: p % 7 == 3, lambda p: p % 5 == 2))
+    items, faults = files.load_landed_pages(spark, root)
+    file = F.element_at(F.split("path", "/"), -1)
+    loaded = items.agg(F.count(F.lit(1)).alias("n")).select(F.lit("all").alias("file"), F.concat(F.lit("items loaded: "), F.col("n").cast("string")).alias("reason"))
+    return faults.select(file.alias("file"), "reason").unionByName(loaded)
 
 
 def q_yearly_roundtrip(spark: SparkSession, d: str) -> DataFrame:
@@ -273,14 +341,19 @@ def q_quality_by_year(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_run_metrics(spark: SparkSession, d: str) -> DataFrame:
-    """Status per stage of each requested year (some hold nothing, and the load of the
-    one with the fewest messages is taken as broken) and the success rate."""
-    from warnindex.operators.quality import report
-    from warnindex.sources.sinks import run_metrics
+    """The flow loads, checks and exports the requested years (some hold nothing) and logs every
+    stage; a second run's load breaks off.  The metrics of both come from the log."""
+    from warnindex.plans.flows import run_years
+    from warnindex.sources.sinks import read_run_log, run_metrics
+
+    root = scratch_path(spark, "run")
+
+    def broken():
+        raise files.LoadError("no input")
 
-    rep = files.stage_table(report(A.quality_messages(spark, d), by_year=True), "report")
-    least = rep.where("year is not null").orderBy("total_records", "year").limit(1)
-    return run_metrics(rep, range(1990, 2004), least.select("year", F.lit("load").alias("stage")))
+    run_years(spark, lambda: A.quality_messages(spark, d), range(1990, 2004), os.path.join(root, "table"), os.path.join(root, "log"), "first")
+    run_years(spark, broken, range(1995, 1998), os.path.join(root, "table"), os.path.join(root, "log"), "second")
+    return run_metrics(read_run_log(spark, os.path.join(root, "log")))
 
 
 def q_area_table(spark: SparkSession, d: str) -> DataFrame:
@@ -300,6 +373,16 @@ def q_area_stats_table(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(os.path.join(root, "stats", "counties"))
 
 
+def q_area_metadata(spark: SparkSession, d: str) -> DataFrame:
+    """The metadata document written beside the area table, read back."""
+    root = scratch_path(spark, "areas")
+    areas = regions.areas_from_items(A.supplier_area_items(spark, d))
+    files.write_areas(areas, os.path.join(root, "areas"), os.path.join(root, "stats"), A.TEST_COUNTIES, "the test region", "2024-01-01T00:00:00Z")
+    m = files.read_area_metadata(spark, os.path.join(root, "stats"))
+    return m.select("description", "region", F.array_join("counties", ",").alias("counties"), "fetched_at", "total_areas", "fluvial_areas", "coastal_areas",
+                    *[F.col("areas_by_county")[c].alias("in_" + c.lower().replace(" ", "_")) for c in A.TEST_COUNTIES])
+
+
 def q_ingest_region(spark: SparkSession, d: str) -> DataFrame:
     """E1 end to end: landed CSV -> clean region messages -> per-year table
     -> per-year quality report.  The region: user areas whose customer lives
@@ -326,7 +409,9 @@ FILES = {
     "csv_quoted": q_csv_quoted,
     "mixed_directory": q_mixed_directory,
     "skipped_files": q_skipped_files,
+    "torn_records": q_torn_records,
     "landed_pages": q_landed_pages,
+    "page_faults": q_page_faults,
     "yearly_roundtrip": q_yearly_roundtrip,
     "csv_roundtrip": q_csv_roundtrip,
     "discover_years": q_discover_years,
@@ -337,5 +422,6 @@ FILES = {
     "run_metrics": q_run_metrics,
     "area_table": q_area_table,
     "area_stats_table": q_area_stats_table,
+    "area_metadata": q_area_metadata,
     "ingest_region": q_ingest_region,
 }

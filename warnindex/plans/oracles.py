@@ -546,18 +546,30 @@ def file_oracles() -> dict[str, str]:
         "area_table": SUPPLIER_AREAS,
         "area_stats_table": tallies(),
         "ingest_region": ingest_region_sql(),
+        "area_metadata": f"""SELECT 'Warning areas of the test region' AS description, 'the test region' AS region, {_q(",".join(TEST_COUNTIES))} AS counties,
+            '2024-01-01T00:00:00Z' AS fetched_at, count(*) AS total_areas, count(*) FILTER (WHERE NOT isTidal) AS fluvial_areas,
+            count(*) FILTER (WHERE isTidal) AS coastal_areas,
+            {", ".join(f"count(*) FILTER (WHERE contains(coalesce(county, ''), {_q(c)})) AS in_{c.lower().replace(' ', '_')}" for c in TEST_COUNTIES)}
+            FROM ({SUPPLIER_AREAS})""",
+        "torn_records": """SELECT CAST(s_suppkey AS VARCHAR) AS code, 3::BIGINT AS loaded,
+              '{"DATE": "2024-01-01T00:00:00Z", "CODE": "' || s_suppkey AS torn FROM supplier WHERE s_suppkey % 2 = 0
+            UNION ALL SELECT CAST(s_suppkey AS VARCHAR), 2::BIGINT, 'torn.csv' FROM supplier WHERE s_suppkey % 2 = 1""",
+        "page_faults": f"""WITH i AS (SELECT CAST(notation AS BIGINT) // 25 AS p FROM ({SUPPLIER_ITEMS})),
+            pages AS (SELECT p, count(*) AS n FROM i GROUP BY p), top AS (SELECT max(p) AS m FROM pages),
+            good AS (SELECT * FROM pages WHERE p % 7 <> 3 AND p % 5 <> 2)
+            SELECT p || '.json' AS file, 'not a page of items' AS reason FROM pages WHERE p % 7 <> 3 AND p % 5 = 2
+            UNION ALL SELECT p || '.json', 'no page starts at offset ' || ((p + 1) * 25) FROM good, top WHERE p < m AND p + 1 NOT IN (SELECT p FROM good)
+            UNION ALL SELECT p || '.json', 'no page ends at offset ' || (p * 25) FROM good WHERE p > 0 AND p - 1 NOT IN (SELECT p FROM good)
+            UNION ALL SELECT 'all', 'items loaded: ' || coalesce(sum(n), 0) FROM good""",
+        # after the run record of the yearly download: load and export decide, a year without records succeeds too
         "run_metrics": f"""WITH per AS (SELECT CAST(year(timeRaised) AS INTEGER) AS year, count(*) AS n,
               bool_or((severityLevel IS NOT NULL AND severityLevel NOT IN (1, 2, 3, 4)) OR timeSeverityChanged < timeRaised) AS wrong
               FROM ({QUALITY_MSGS}) WHERE timeRaised IS NOT NULL GROUP BY 1),
-            broken AS (SELECT year FROM per ORDER BY n, year LIMIT 1),
-            y AS (SELECT CAST(range AS INTEGER) AS year FROM range(1990, 2004)),
-            s AS (SELECT y.year, per.n, per.wrong, CASE WHEN y.year IN (SELECT year FROM broken) THEN 'failed'
-                    WHEN per.n IS NULL THEN 'empty' ELSE 'success' END AS load_status FROM y LEFT JOIN per ON per.year = y.year)
-            SELECT year, CASE load_status WHEN 'success' THEN n ELSE 0 END AS records_loaded, load_status,
-              CASE load_status WHEN 'success' THEN 'success' ELSE 'skipped' END AS validation_status,
-              CASE load_status WHEN 'success' THEN NOT coalesce(wrong, false) END AS validation_passed,
-              load_status = 'success' AS success,
-              (count(*) FILTER (WHERE load_status = 'success') OVER ())::DOUBLE / count(*) OVER () * 100.0::DOUBLE AS success_rate_pct FROM s""",
+            y AS (SELECT CAST(range AS INTEGER) AS year FROM range(1990, 2004))
+            SELECT 'first' AS run_id, y.year, coalesce(n, 0) AS records_loaded, 'success' AS load_status, 'success' AS validation_status, 'success' AS export_status,
+              NOT coalesce(wrong, false) AS validation_passed, coalesce(n, 0) AS records_exported, '' AS errors, true AS success, 100.0::DOUBLE AS success_rate_pct
+            FROM y LEFT JOIN per ON per.year = y.year
+            UNION ALL SELECT 'second', CAST(range AS INTEGER), 0, 'failed', NULL, NULL, NULL, NULL, 'load: LoadError: no input', false, 0.0::DOUBLE FROM range(1995, 1998)""",
     }
 
 

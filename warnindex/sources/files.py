@@ -252,7 +252,7 @@ def load_checked(spark: SparkSession, paths, fmt: str | None = None, multiline:
             frames.append(df)
     if n:
         log.warning("%d files or members are skipped, the first: %s", n,
-                    [tuple(r) for r in skipped.orderBy("path").limit(20).select("path", "reason").collect()])
+                    [tuple(r) for r in skipped.orderBy("path").limit(5).select("path", "reason").collect()])
     if not frames:
         raise LoadError(f"none of {len(paths)} files could be read")
     skipped = reduce(DataFrame.unionByName, torn, skipped)
@@ -349,12 +349,41 @@ def discover_years(spark: SparkSession, path: str, first_year: int | None = TREN
 
 # ---- landed pages, areas, baseline (S13-S15, S17) ------------------------------
 
+PAGE_META = T.StructType([T.StructField("offset", T.LongType()), T.StructField("limit", T.LongType()), T.StructField("next", T.StringType())])
+
+
+def load_landed_pages(spark: SparkSession, paths, multiline: bool = True, item_schema: T.StructType = ITEMS) -> tuple[DataFrame, DataFrame]:
+    """API response pages ({"items": [...], "meta": {...}}) -> (items of the declared fields, faults).
+
+    ``multiline``: a file is one document, however it is indented; else every line is one.  Faults
+    (path, reason, record) name each page that is torn, with its text, and the holes that the pages' ``meta`` gives away: a
+    page with a ``next`` link and none that starts where it ends, or one that starts beyond 0
+    where none ends.  The pages of one folder belong together.  Pages are read once."""
+    fields = [T.StructField("items", T.ArrayType(item_schema)), T.StructField("meta", PAGE_META), T.StructField(CORRUPT, T.StringType())]
+    pages = (spark.read.option("multiLine", multiline).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+             .schema(T.StructType(fields)).json(paths).select(F.col("_metadata.file_path").alias("path"), "items", "meta", CORRUPT))
+    pages = stage_table(pages, "landed-pages")
+    items = pages.filter(F.col(CORRUPT).isNull()).select(F.explode("items").alias("item")).select("item.*")
+    torn = pages.filter(F.col(CORRUPT).isNotNull()).select("path", F.lit("not a page of items").alias("reason"), F.col(CORRUPT).alias("record"))
+    spans = pages.filter(F.col(CORRUPT).isNull() & F.col("meta.offset").isNotNull() & F.col("meta.limit").isNotNull()).select(
+        "path", F.regexp_replace("path", "/[^/]*$", "").alias("chain"), F.col("meta.offset").alias("start"),
+        (F.col("meta.offset") + F.col("meta.limit")).alias("end"), F.col("meta.next").alias("next"))
+    at = lambda c: spans.select("chain", F.col(c).alias("at")).distinct()
+    none = F.lit(None).cast("string").alias("record")
+    after = spans.filter("next is not null").withColumn("at", F.col("end")).join(at("start"), ["chain", "at"], "left_anti").select(
+        "path", F.concat(F.lit("no page starts at offset "), F.col("at").cast("string")).alias("reason"), none)
+    before = spans.filter("start > 0").withColumn("at", F.col("start")).join(at("end"), ["chain", "at"], "left_anti").select(
+        "path", F.concat(F.lit("no page ends at offset "), F.col("at").cast("string")).alias("reason"), none)
+    return items, torn.unionByName(after).unionByName(before)
+
+
 def read_landed_pages(spark: SparkSession, paths, multiline: bool = True, item_schema: T.StructType = ITEMS) -> DataFrame:
-    """API response pages ({"items": [...], "meta": {...}}) -> one row per item,
-    of the declared fields.  ``multiline``: a file is one document, however it is
-    indented; else every line is one."""
-    pages = spark.read.option("multiLine", multiline).schema(T.StructType([T.StructField("items", T.ArrayType(item_schema))])).json(paths)
-    return pages.select(F.explode("items").alias("item")).select("item.*")
+    """``load_landed_pages`` without the faults (they are logged)."""
+    items, faults = load_landed_pages(spark, paths, multiline, item_schema)
+    first = faults.limit(5).collect()
+    if first:
+        log.warning("landed pages are torn or missing, among them: %s", [(r["path"], r["reason"]) for r in first])
+    return items
 
 
 def read_areas(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -364,9 +393,11 @@ def read_areas(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
                        else F.lit(None).cast(f.dataType).alias(f.name) for f in AREAS.fields])
 
 
-def write_areas(areas: DataFrame, path: str, stats_path: str | None = None, counties=None) -> None:
-    """Areas sorted by code (O4) plus the class and county tallies."""
-    from warnindex.operators.regions import area_class_counts, county_tallies
+def write_areas(areas: DataFrame, path: str, stats_path: str | None = None, counties=None, region: str | None = None,
+                fetched_at: str | None = None) -> None:
+    """Areas sorted by code (O4), the class and county tallies, and (with ``region``) the metadata
+    document: what the areas are, for which region and counties, when they were fetched (given, as text), and the tallies."""
+    from warnindex.operators.regions import area_class_counts, area_metadata, county_tallies
 
     areas.orderBy("fwdCode").write.mode("overwrite").parquet(path)
     areas = areas.sparkSession.read.schema(areas.schema).parquet(path)  # the tallies read what was written
@@ -374,6 +405,15 @@ def write_areas(areas: DataFrame, path: str, stats_path: str | None = None, coun
         area_class_counts(areas).write.mode("overwrite").parquet(os.path.join(stats_path, "classes"))
         if counties:
             county_tallies(areas, counties).write.mode("overwrite").parquet(os.path.join(stats_path, "counties"))
+        if region is not None:
+            area_metadata(areas, region, counties or (), fetched_at).coalesce(1).write.mode("overwrite").json(os.path.join(stats_path, "metadata"))
+
+
+def read_area_metadata(spark: SparkSession, stats_path: str) -> DataFrame:
+    """The metadata document written beside the tallies."""
+    from warnindex.operators.regions import AREA_METADATA
+
+    return spark.read.schema(AREA_METADATA).json(os.path.join(stats_path, "metadata"))
 
 
 def read_baseline(spark: SparkSession, path: str) -> DataFrame | None:

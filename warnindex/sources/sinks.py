@@ -30,28 +30,33 @@ def write_quality_reports(documents_by_year: DataFrame, path: str) -> None:
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year").json(path))
 
 
-def run_metrics(report_by_year: DataFrame, years, failed: DataFrame | None = None) -> DataFrame:
-    """A row for each requested year, also the empty and the failed ones: records
-    loaded, a status per stage, and the share of successful years in percent.
-
-    ``failed`` (year, stage): years whose ``load`` or ``validation`` broke off.  A year without
-    records is ``empty``: its load found nothing, its validation was skipped."""
-    spark = report_by_year.sparkSession
-    wanted = spark.createDataFrame([(int(y),) for y in sorted(set(years))], "year int")
-    broke = failed if failed is not None else spark.createDataFrame([], "year int, stage string")
-    broke = broke.groupBy("year").agg(F.bool_or(F.col("stage") == "load").alias("_load"), F.bool_or(F.col("stage") == "validation").alias("_val"))
-    d = wanted.join(report_by_year.where(F.col("year").isNotNull()), "year", "left").join(broke, "year", "left")
-    n = F.coalesce("total_records", F.lit(0))
-    load = F.when(F.coalesce("_load", F.lit(False)), "failed").when(n == 0, "empty").otherwise("success")
-    check = F.when(load != "success", "skipped").when(F.coalesce("_val", F.lit(False)), "failed").otherwise("success")
-    success = (load == "success") & (check == "success")
-    w = Window.partitionBy()  # one row per year: a few rows in one window
-    return d.select(
-        "year",
-        F.when(load == "failed", F.lit(0)).otherwise(n).cast("bigint").alias("records_loaded"),
-        load.alias("load_status"),
-        check.alias("validation_status"),
-        F.when(check == "success", F.col("passed")).alias("validation_passed"),
-        success.alias("success"),
-        (F.avg(success.cast("double")).over(w) * F.lit(100.0)).alias("success_rate_pct"),
-    )
+RUN_LOG = ("run_id string, year int, stage string, status string, error string, records bigint, passed boolean, output_path string, logged_at string")
+STAGES = ("load", "validation", "export")
+
+
+def append_run_log(spark: SparkSession, path: str, rows: list[tuple]) -> None:
+    """Append rows of RUN_LOG; each call is one file, committed as a whole."""
+    spark.createDataFrame(rows, RUN_LOG).coalesce(1).write.mode("append").parquet(path)
+
+
+def read_run_log(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
+    log = spark.read.schema(RUN_LOG).parquet(path)
+    return log if run_id is None else log.filter(F.col("run_id") == run_id)
+
+
+def run_metrics(log: DataFrame) -> DataFrame:
+    """A row for each run and year of a run log: status and counts of each stage, the errors, and the run's
+    share of successful years in percent.
+
+    A year succeeds when its load and its export did; a validation that broke off is an error
+    but no failure, since the export goes on.  A year without records is loaded, checked and exported like any other."""
+    stage = lambda name, value: F.max(F.when(F.col("stage") == name, value))
+    errors = F.array_sort(F.collect_list(F.when(F.col("error").isNotNull(), F.concat_ws(": ", "stage", "error"))))
+    d = log.groupBy("run_id", "year").agg(
+        F.coalesce(stage("load", F.col("records")), F.lit(0)).alias("records_loaded"),
+        *[stage(s, F.col("status")).alias(f"{s}_status") for s in STAGES],
+        stage("validation", F.col("passed")).alias("validation_passed"),
+        stage("export", F.col("records")).alias("records_exported"), F.array_join(errors, "; ").alias("errors"))
+    d = d.withColumn("success", (F.coalesce("load_status", F.lit("")) == "success") & (F.coalesce("export_status", F.lit("")) == "success"))
+    w = Window.partitionBy("run_id")  # one row per year
+    return d.withColumn("success_rate_pct", F.avg(F.col("success").cast("double")).over(w) * F.lit(100.0))
