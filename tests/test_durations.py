@@ -320,14 +320,33 @@ def test_fractional_weights_sum_exactly(spark, msgs):
     assert annual_by_class(d).collect()[0].total_score == (29 * 24 + 48) / 10
 
 
+def executed_plan(df):
+    """The plan that ran, stages shared."""
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "== Final Plan ==" in text
+    return text.split("== Final Plan ==")[1].split("== Initial Plan ==")[0]
+
+
 def test_input_is_read_once(spark):
     from warnindex.plans.flows import orders_annual_index
 
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = orders_annual_index(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        plan = executed_plan(orders_annual_index(spark, "/root/testdata/sf0.001"))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert plan.count("orders.parquet") == 1
     assert len(re.findall(r"(?:SortMergeJoin|ShuffledHashJoin) \[o_custkey", plan)) == 1
+
+
+@pytest.mark.parametrize("coarse", [None, 86400])
+def test_messages_are_shuffled_once(spark, coarse):
+    """One exchange takes the input rows; whatever else is exchanged comes from ends of buckets."""
+    from warnindex.sources import adapters
+
+    events = adapters.events_messages(spark, "/root/testdata/sf0.01")
+    plan = executed_plan(lead_gaps(events, DurationParams(gap_scope="all", bucket_seconds=3600, coarse_bucket_seconds=coarse)))
+    assert plan.count("events.parquet") == 1
+    assert len(re.findall(r"- Exchange hashpartitioning\([^)]*_salt", plan)) == 1 and "ReusedExchange" in plan

@@ -8,17 +8,20 @@ task.  Instead the window is split by fixed time buckets:
 1. ``lead`` over ``(scope, bucket)`` gives the next message inside the bucket;
 2. the first and the last message of every bucket then meet in a second window
    over the area (at most two rows per non-empty bucket), where the last one finds the head of
-   the next bucket; all other rows are spread over many groups of that window
-   and pass through.  With ``coarse_bucket_seconds`` there is a level in between.
+   the next bucket; all other rows stay where they are.
+   With ``coarse_bucket_seconds`` there is a level in between.
 
-The input is computed once and nothing is joined; windows group null area
-codes like any other value.  The result is exactly the unsplit lead for any
+The messages are shuffled once: the rows that stay and the ends are two readings of the same
+exchange, which Spark reuses, and their union is the result.  The input is computed once and nothing is
+joined; windows group null area codes like any other value.  The result is exactly the unsplit lead for any
 bucket width; the width only bounds the largest task (messages of one area
 in one bucket, or buckets of one area).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,9 +33,6 @@ from warnindex.schema import require_columns
 _EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
 # Null times never get a gap; they are spread over this many window groups.
 _NULL_TIME_SALT = 1024
-# Rows that are no end of a bucket are spread over this many groups per scope.
-_SPREAD = 1024
-
 
 def tie_break_columns(df: DataFrame, id_col: str | None = None) -> list[str]:
     """Order of messages with equal (area, time): level, text, then an id."""
@@ -91,25 +91,31 @@ def with_next_time(df: DataFrame, params: DurationParams | None = None, id_col:
     d = d.withColumns({"_next_time": F.lead(t).over(w), "_pos": F.row_number().over(w), "_end": F.lead(F.lit(1)).over(w).isNull()})
     # the ends of a group, in order, as long as they still matter: first its head, then its last row
     d = d.withColumn("_at", F.when(t.isNotNull() & (F.col("_end") | (F.col("_pos") == 1)), F.col("_pos")))
+    groups = [scope]
     if p.coarse_bucket_seconds is not None:
         ratio = p.coarse_bucket_seconds // p.bucket_seconds
-        d = _link_ends(d, scope, F.floor(F.col("_bucket") / F.lit(ratio)).cast("bigint"), t)
-    d = _link_ends(d, scope, F.lit(0).cast("bigint"), t)
+        groups.insert(0, [*scope, F.floor(F.col("_bucket") / F.lit(ratio)).cast("bigint")])
+    # all parts read the same exchange, so the input is computed and shuffled once
+    open_ = F.col("_at").isNotNull()
+    parts, ends = [d.where(~open_)], d.where(open_)
+    for group in groups:
+        ends = _link_ends(ends, group, t)
+        if group is not scope:
+            parts.append(ends.where(~open_))
+            ends = ends.where(open_)
+    d = reduce(DataFrame.unionByName, [*parts, ends])
     return d.drop("_bucket", "_salt", "_scope_year", "_pos", "_end", "_at")
 
 
-def _link_ends(d: DataFrame, scope: list[str], group: Column, t: Column) -> DataFrame:
-    """Among the end rows (``_at`` not null) of each (scope, group): the last row of a bucket
-    takes the time of the next row, which is the head of the next non-empty bucket.
-    Only the group's own head and last row stay end rows.  All other rows are
-    spread by their bucket and a hash, where they order nothing."""
-    end = F.col("_at").isNotNull()
-    d = d.withColumns({"_group": F.when(end, group), "_spread": F.when(~end, F.pmod(F.xxhash64("_bucket", "_pos"), F.lit(_SPREAD)))})
-    w = Window.partitionBy(*scope, "_group", "_spread").orderBy(F.when(end, F.col("_bucket")), "_at")
-    d = d.withColumns({"_lead": F.lead(t).over(w), "_rank": F.row_number().over(w), "_closes": F.lead(F.lit(1)).over(w).isNull()})
-    d = d.withColumn("_next_time", F.when(end & F.col("_end") & F.col("_next_time").isNull(), F.col("_lead")).otherwise(F.col("_next_time")))
-    d = d.withColumn("_at", F.when(end & ((F.col("_rank") == 1) | F.col("_closes")), F.col("_at")))
-    return d.drop("_group", "_spread", "_lead", "_rank", "_closes")
+def _link_ends(ends: DataFrame, group: list, t: Column) -> DataFrame:
+    """Among the end rows: the last row of a bucket takes the time of the next row of its group, which is the head
+    of the next non-empty bucket.  Only the group's own head and last row stay open (``_at``) for a wider group."""
+    w = Window.partitionBy(*group).orderBy("_bucket", "_pos")
+    e = ends.withColumns({"_lead": F.lead(t).over(w), "_rank": F.row_number().over(w), "_closes": F.lead(F.lit(1)).over(w).isNull()})
+    e = e.withColumns({
+        "_next_time": F.when(F.col("_end") & F.col("_next_time").isNull(), F.col("_lead")).otherwise(F.col("_next_time")),
+        "_at": F.when((F.col("_rank") == 1) | F.col("_closes"), F.col("_at"))})
+    return e.drop("_lead", "_rank", "_closes")
 
 
 def calculate_durations(df: DataFrame, params: DurationParams | None = None,
