@@ -26,19 +26,28 @@ def entropy(text):
     for rank, c in enumerate(S.CLASSES, 3):
         for m in re.finditer("[" + re.escape(c.alphabet) + "]+", text):
             w = m[0]
-            if len(w) < c.window or any(re.search(a, w) for a in S.ALLOW):
+            if len(w) < c.window:
                 continue
             ok = []
             for i in range(len(w) - c.window + 1):
                 x = w[i:i + c.window]
-                h = -sum(x.count(k) / len(x) * math.log2(x.count(k) / len(x)) for k in set(x))
+                h = -sum(x.count(k) / len(x) * math.log2(x.count(k) / len(x)) for k in set(x)) if len(set(x)) > 1 else 0.0
                 if h >= c.threshold - 1e-10:
                     ok.append(i)
-            if ok:
+            if ok and not allowed(w[ok[0]:ok[-1] + c.window]):
                 out.append((m.start() + ok[0], rank, m.start() + ok[-1] + c.window))
     return sorted(out)
 
 
+def allowed(x):
+    """Rules for a whole span: example keys, alphabets in order, words between separators, one unit repeated."""
+    words = re.findall("[A-Z]?[a-z]+|[A-Z]+", x)
+    return bool(re.search("(?i)(example|sample|dummy|placeholder|changeme)(key|token|secret)?$", x)
+                or not re.sub("abcdefghijklmnopqrstuvwxyz|0123456789|abcdef|[+/_-]", "", x.lower())
+                or (re.search("[/_-]", x) and not re.search("[0-9+]", x) and len(words) * 3.5 <= len(x))
+                or any(2 * k <= len(x) and x[k:] == x[:-k] for k in range(1, 11)))
+
+
 def show(spans):
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
 
@@ -125,5 +134,27 @@ def test_query_matches_sql(spark, tmp_path):
         assert sorted(map(tuple, got.collect()), key=key) == sorted(cur.fetchall(), key=key)
 
 
+KEY, HEX = "kX3v9Qz1LmP7rT2wYb8NcD4fGh6JsK0aUeViWoxq", "00f3a91c7d2b4e856fa0c9d1"
+
+
+def test_what_stands_beside_a_key_does_not_hide_it(spark):
+    beside = ["---", "___", "///", "docs/sample/", "example_", "placeholder-", "0123456789", "aaa", "abcdefghijkl/", "some/path/of/words/"]
+    texts = [f"see {b}{KEY} there" for b in beside] + [f"see 000{HEX} there"]
+    out = S.redact(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    for r in out:
+        assert "[SECRET]" in r.text and KEY not in r.text and HEX not in r.text, r.text
+    known = ["wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "some/path/of-words/that_is_long",
+             "aB3dE5fG" * 5, "org/apacheCommons/someLibrary_TestCase", "-" * 60]
+    got = S.scan(spark.createDataFrame(list(enumerate(known)), "doc_id long, text string")).collect()
+    assert [len(r.entropy_spans) for r in got] == [0] * len(known)
+
+
+def test_scan_keeps_columns_of_its_names(spark):
+    got = S.scan(spark.createDataFrame([(1, KEY, 7, "x")], "doc_id long, text string, base_spans int, Entropy_Spans string"))
+    r = got.collect()[0]
+    assert got.columns == ["doc_id", "text", "base_spans", "Entropy_Spans", "_base_spans", "_entropy_spans"]
+    assert (r.base_spans, r.Entropy_Spans, len(r._entropy_spans)) == (7, "x", 1)
+
+
 def test_empty(spark):
     assert S.scan(spark.createDataFrame([], "doc_id long, text string")).collect() == []

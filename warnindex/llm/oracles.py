@@ -85,13 +85,16 @@ def _found(rank: int, kind: str, regex: str, group: int = 0) -> str:
 
 
 def _windows(rank: int, kind: str, chars: str, width: int, threshold: float) -> str:
-    """Extent of the windows of high entropy in every run of a class that the allow-list lets pass."""
-    repeats = " OR ".join(f"starts_with(f.x, repeat(substr(f.x, 1, {k}), 3))" for k in range(1, 9))
-    return f"""SELECT doc_id, n, rank, kind, f.s + list_min(hit) AS s, f.s + list_max(hit) + {width} AS e FROM (
+    """Extent of the windows of high entropy in every run of a class, unless the allow-list holds for it."""
+    repeats = " OR ".join(f"(2 * {k} <= length(x) AND substr(x, {k} + 1) = substr(x, 1, length(x) - {k}))" for k in range(1, 11))
+    return f"""SELECT doc_id, n, rank, kind, s, e FROM (
+      SELECT *, f.s + list_min(hit) AS s, f.s + list_max(hit) + {width} AS e, substr(f.x, list_min(hit) + 1, list_max(hit) - list_min(hit) + {width}) AS x FROM (
       SELECT *, list_filter(range(0, length(f.x) - {width - 1}), lambda i: list_entropy(string_split(substr(f.x, i + 1, {width}), '')) >= {threshold} - 1e-10) AS hit
-      FROM ({_found(rank, kind, f'[{chars}]{{{width},}}')})
-      WHERE NOT regexp_matches(f.x, '(?i)example|sample|dummy|placeholder|changeme') AND NOT regexp_matches(f.x, '(?i)0123456789|abcdefghijkl')
-        AND NOT ({repeats}) AND NOT regexp_matches(f.x, '^[A-Za-z]+([/_-][A-Za-z]+)+$')) WHERE len(hit) > 0"""
+      FROM ({_found(rank, kind, f'[{chars}]{{{width},}}')})) WHERE len(hit) > 0)
+      WHERE NOT regexp_matches(x, '(?i)(example|sample|dummy|placeholder|changeme)(key|token|secret)?$')
+        AND regexp_replace(lower(x), 'abcdefghijklmnopqrstuvwxyz|0123456789|abcdef|[+/_-]', '', 'g') <> ''
+        AND NOT (regexp_matches(x, '[/_-]') AND NOT regexp_matches(x, '[0-9+]') AND len(regexp_extract_all(x, '[A-Z]?[a-z]+|[A-Z]+')) * 3.5 <= length(x))
+        AND NOT ({repeats})"""
 
 
 # either case letter by letter: this engine's (?i) also folds letters outside ASCII

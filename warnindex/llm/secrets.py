@@ -10,9 +10,10 @@ Entropy kinds scan candidate strings, one character class each.  A window of
 fixed width slides over the candidate; entering and leaving characters change
 the counts and the sum of c*log2(c) incrementally, so a step costs the same for any
 width.  From the first to the last window at or above the class's threshold the
-characters become a span, unless an allow-list pattern matches the candidate
-(the alphabet in order, published example keys, repeated units, ...).  The
-allow-list never removes spans of the pattern kinds.
+characters become a span, unless an allow-list rule holds for that span from end to end
+(alphabets in order, published example keys, one unit repeated, words between
+slashes).  What stands beside it in the candidate (a folder, dashes) does not count,
+so a key after such text is found.  The allow-list never removes spans of the pattern kinds.
 
 Every row is scanned on its own, whole; nothing is shuffled.
 
@@ -70,11 +71,16 @@ CLASSES = (
     EntropyClass("entropy_hex", _DIGITS + "abcdefABCDEF", 20, 3.0),
     EntropyClass("entropy_base64", _DIGITS + _LOWER + _LOWER.upper() + "+/_-", 24, 4.0),
 )
+# Allow-list: what a span as a whole may be without being a secret.
+EXAMPLE = r"(?i)(?:example|sample|dummy|placeholder|changeme)(?:key|token|secret)?$"  # published example keys end so
+RUNS = "abcdefghijklmnopqrstuvwxyz|0123456789|abcdef|[+/_-]"  # nothing but alphabets in order
+WORD, WORD_LENGTH = "[A-Z]?[a-z]+|[A-Z]+", 3.5  # words between / _ -, long ones on average
+UNIT = 10  # a unit of as many characters at most, repeated from end to end
 ALLOW = (
-    r"(?i)example|sample|dummy|placeholder|changeme",
-    r"(?i)0123456789|abcdefghijkl",
-    r"^(.{1,8})\1{2,}",
-    r"^[A-Za-z]+([/_-][A-Za-z]+)+$",
+    f"x rlike '{EXAMPLE}'",
+    f"regexp_replace(lower(x), '{RUNS}', '') = ''",
+    f"x rlike '[/_-]' and not (x rlike '[0-9+]') and size(regexp_extract_all(x, '{WORD}', 0)) * {WORD_LENGTH}D <= length(x)",
+    f"exists(sequence(1, {UNIT}), k -> 2 * k <= length(x) and substring(x, k + 1) = substring(x, 1, length(x) - k))",
 )
 
 
@@ -145,19 +151,25 @@ def entropy_extent(word: str, c: EntropyClass) -> str:
 
 
 def entropy_spans(text: str, c: EntropyClass, rank: int, allow: tuple[str, ...]) -> str:
+    """Spans of a class; ``allow``: SQL conditions on a span's text ``x``."""
     found = _located(text, c.regex)
-    keep = f"filter({found}, z -> " + (" and ".join(f"not (z.m rlike {_q(a)})" for a in allow) or "true") + ")"
-    ext = f"transform({keep}, z -> named_struct('start', z.start, 'x', {entropy_extent('z.m', c)}))"
-    spans = (f"transform(filter({ext}, z -> z.x.first is not null), z -> named_struct('start', z.start + z.x.first - {c.window - 1}, "
-             f"'rank', {rank}, 'kind', {_q(c.kind)}, 'stop', z.start + z.x.last + 1))")
+    # fewer different characters than 2 ** threshold cannot reach it in any window
+    rich = f"filter({found}, z -> size(array_distinct(split(z.m, ''))) >= {math.ceil(2 ** c.threshold - 1e-6)})"
+    ext = f"transform({rich}, z -> named_struct('start', z.start, 'm', z.m, 'e', {entropy_extent('z.m', c)}))"
+    part = f"substring(z.m, z.e.first - {c.window - 2}, z.e.last - z.e.first + {c.window})"
+    known = _let(part, "x", " or ".join(f"({a})" for a in allow)) if allow else "false"
+    spans = (f"transform(filter(filter({ext}, z -> z.e.first is not null), z -> not {known}), z -> named_struct('start', z.start + z.e.first - {c.window - 1}, "
+             f"'rank', {rank}, 'kind', {_q(c.kind)}, 'stop', z.start + z.e.last + 1))")
     return f"if({text} rlike {_q(c.regex)}, {spans}, {_NONE})"
 
 
 def scan(docs: DataFrame, text_col: str = "text", patterns: tuple[Pattern, ...] = PATTERNS,
          classes: tuple[EntropyClass, ...] = CLASSES, allow: tuple[str, ...] = ALLOW,
-         base: str = "base_spans", added: str = "entropy_spans") -> DataFrame:
+         base: str | None = None, added: str | None = None) -> DataFrame:
     """``docs`` with two arrays of (start, rank, kind, stop): code points, stop exclusive,
-    ordered by start, then by the order in which the kinds are listed."""
+    ordered by start, then by the order in which the kinds are listed.  They are called ``base_spans`` and
+    ``entropy_spans``, prefixed by ``_`` where ``docs`` has such columns."""
+    base, added = base or fresh_name(docs, "base_spans"), added or fresh_name(docs, "entropy_spans")
     t = fresh_name(docs, "_scanned")
     out = docs.withColumn(t, F.coalesce(F.col(text_col), F.lit("")))
     first = [f"cast({pattern_spans(f'`{t}`', p, i)} as {SPAN})" for i, p in enumerate(patterns)]
