@@ -92,3 +92,19 @@ def test_query_matches_sql(spark, sf):
     cur = con.execute(ORACLES["op5_mixing_budgets"])
     assert [d[0] for d in cur.description] == df.columns
     assert sorted(map(tuple, df.collect())) == sorted(cur.fetchall())
+
+
+def test_columns_of_the_same_names_stay(spark):
+    from warnindex.llm.mixing import mix_by_source
+    from warnindex.llm.toxicity import score
+
+    rows = [(i, "a b c", "en", f"site{i % 4}", 9, f"own{i}", "x") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, copies int, domain string, score string")
+    out = mix_by_source(docs)
+    assert out.columns == [*docs.columns, "_copies"]
+    plain = mix_by_source(docs.drop("copies", "domain"))
+    assert {r.doc_id: r._copies for r in out.collect()} == {r.doc_id: r.copies for r in plain.collect()} != {}
+    assert all((r.copies, r.domain) == (9, f"own{r.doc_id}") for r in out.collect())
+    weights = spark.createDataFrame([(-1, 0.5)], "idx long, weight double")
+    scored = score(docs, weights)
+    assert scored.columns == [*docs.columns, "_score"] and {r.score for r in scored.collect()} == {"x"}

@@ -29,7 +29,7 @@ an empty result; clashing column names are avoided by prefixing ``_``.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -183,3 +183,12 @@ def mix(docs: DataFrame, p: MixParams = PRODUCTION, id_col: str = "doc_id", text
     m = small.alias("m")
     n = _copies(p, F.col(f"d.{id_col}"), F.col(f"d.{text_col}").rlike(WORD))
     return d.join(m, on).select("d.*", n.alias(name)).filter(F.col(name) > 0)
+
+
+def mix_by_source(docs: DataFrame, p: MixParams = PRODUCTION) -> DataFrame:
+    """``mix`` over the tree of domains (read off the sources), langs and sources; the columns of
+    ``docs`` stay as they are, also one called ``domain``."""
+    name = fresh_name(docs, "domain")
+    called = lambda level: name if level == "domain" else level
+    p = replace(p, levels=tuple(map(called, p.levels)), weights={called(k): w for k, w in p.weights.items()})
+    return mix(with_domain(docs, name=name), p).drop(name)

@@ -130,7 +130,8 @@ def train(docs: DataFrame, labels: DataFrame, p: FtrlParams = FtrlParams(), id_c
 
 def score(docs: DataFrame, weights: DataFrame, p: FtrlParams = FtrlParams(), text_col: str = "text",
           score_col: str = "score") -> DataFrame:
-    """``docs`` with a column ``score_col``.  ``weights``: at most 2^bits + 1 rows."""
+    """``docs`` with a column ``score_col`` (prefixed by ``_`` where there is one).  ``weights``: at most 2^bits + 1 rows."""
+    score_col = fresh_name(docs, score_col)
     got = weights.collect()
     table = np.zeros(1 << p.bits, dtype=np.float32)
     bias = 0.0
