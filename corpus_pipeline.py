@@ -42,8 +42,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents selected for the target weights, with ``copies``."""
-    cols = docs.columns
-    return mixing.mix(mixing.with_domain(docs)).select(*cols, "copies")
+    return mixing.mix_by_source(docs)
 
 
 STAGES = [
