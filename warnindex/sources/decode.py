@@ -137,8 +137,8 @@ class MemberStream(io.RawIOBase):
 
 
 def _csv_records(lines: Iterator[str]) -> Iterator[tuple[list, str] | Malformed]:
-    """The records of CSV text and their text.  Where quotes do not match, the first line goes as
-    malformed and those that its open quote took in are read again."""
+    """The records of CSV text and their text; a line without a quote is a record of its own.  Where quotes do not
+    match, the first line goes as malformed and those that its open quote took in are read again."""
     held: list[str] = []  # lines of the record being read
     again: list[str] = []  # lines to read anew, the last one first
 
@@ -147,19 +147,23 @@ def _csv_records(lines: Iterator[str]) -> Iterator[tuple[list, str] | Malformed]
             held.append(again.pop() if again else line)
             yield held[-1]
 
-    rows = csv.reader(feed(), strict=True)
     while True:
+        line = again.pop() if again else next(lines, None)
+        if line is None:
+            return
+        if '"' not in line:
+            text = line.rstrip("\r\n")
+            yield (text.split(",") if text else []), text
+            continue
+        again.append(line)
         try:
-            row = next(rows, None)
+            row = next(csv.reader(feed(), strict=True))
         except csv.Error as e:
             bad = Malformed(f"quotes do not match: {e}", held[0].rstrip("\r\n"))
             again.extend(reversed(held[1:]))
-            rows = csv.reader(feed(), strict=True)
             held.clear()
             yield bad
             continue
-        if row is None:
-            return
         text = "".join(held).rstrip("\r\n")
         held.clear()
         yield row, text
@@ -374,7 +378,8 @@ def decode_paths(spark: SparkSession, paths, fmt: str) -> tuple[DataFrame, int,
     else:
         units, n = spark.createDataFrame([(p,) for p in paths], "path string"), len(paths)
     seen = Observation(f"decoded-{fmt}")
-    rows = units.repartition(max(1, min(n, MAX_TASKS))).mapInArrow(_decode(fmt), DECODED).observe(
+    tasks = min(n, MAX_TASKS, 4 * spark.sparkContext.defaultParallelism)  # a few units each: small ones cost less than a task
+    rows = units.repartition(max(1, tasks)).mapInArrow(_decode(fmt), DECODED).observe(
         seen, F.count_if(F.col("error").isNotNull() & F.col("record").isNull()).alias("failed"), F.count_if(F.col("record").isNotNull()).alias("torn"))
     path = scratch_path(spark, f"decoded-{fmt}")
     rows.write.parquet(path)
