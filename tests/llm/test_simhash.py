@@ -103,3 +103,16 @@ def test_keep_one_matches_brute_force(spark, monkeypatch, bound):
 def test_empty_table(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert S.simhash_components(none).collect() == [] and S.keep_one(none).collect() == []
+
+
+def test_query_on_a_given_table(spark):
+    from conftest import SF_SMALL
+    from warnindex.llm.queries import op9_simhash_near_dedup
+
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()
+    rows = [(r.doc_id, brute_fp(r.text)) for r in docs]
+    want = brute_components(rows)
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in op9_simhash_near_dedup(spark, SF_SMALL).collect()}
+    assert len(got) == len(rows)
+    assert {i: g[0] for i, g in got.items()} == {i: f"{fp:016x}" for i, fp in rows}
+    assert {i: g[1] for i, g in got.items()} == {i: want[i, fp] for i, fp in rows}

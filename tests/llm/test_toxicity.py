@@ -60,3 +60,40 @@ def test_training_ignores_held_out_labels(spark):
     flipped = labels.withColumn("toxic", F.when(held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
     a = {(r.idx, r.weight) for r in X.train(docs, labels).collect()}
     assert a == {(r.idx, r.weight) for r in X.train(docs, flipped).collect()}
+
+
+def test_ftrl_follows_the_published_update_rule():
+    """Coordinate by coordinate in plain Python: w = 0 where |z| <= l1, else -(z - sign(z) l1) / ((beta + sqrt n) / alpha + l2);
+    z += g - (sqrt(n + g^2) - sqrt n) / alpha * w; n += g^2.  The bias is a coordinate without l1 that starts at the base rate."""
+    import math
+
+    import numpy as np
+
+    from warnindex.llm.toxicity import FtrlParams, ftrl
+
+    rng = np.random.default_rng(4)
+    p = FtrlParams(bits=6, epochs=3, alpha=0.7, beta=0.9, l1=0.02, l2=0.3, seed=5)
+    rows = [np.unique(rng.integers(0, 64, rng.integers(0, 9))) for _ in range(50)]
+    y = np.array([float(3 in r or rng.random() < 0.2) for r in rows])
+    z, n = [0.0] * 65, [0.0] * 65
+    rate = sum(y) / len(y)
+    l1 = p.l1 * p.epochs * math.sqrt(max(1.0, len(y) * rate * (1 - rate)))
+    start = math.log((rate + 1e-3) / (1 - rate + 1e-3))
+
+    def w(i):
+        if i == 64:
+            return -z[i] / ((p.beta + math.sqrt(n[i])) / p.alpha)
+        return 0.0 if abs(z[i]) <= l1 else -(z[i] - math.copysign(l1, z[i])) / ((p.beta + math.sqrt(n[i])) / p.alpha + p.l2)
+
+    order = np.random.default_rng(p.seed)
+    for _ in range(p.epochs):
+        for r in order.permutation(len(y)):
+            at = [*rows[r].tolist(), 64]
+            now = {i: w(i) for i in at}
+            g = 1 / (1 + math.exp(-(sum(now.values()) + start))) - y[r]
+            for i in at:
+                z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / p.alpha * now[i]
+                n[i] += g * g
+    got, bias = ftrl(rows, y, p)
+    assert np.allclose(got, [w(i) for i in range(64)], atol=1e-9) and abs(bias - start - w(64)) < 1e-9
+    assert 0 < np.count_nonzero(got) < 64
