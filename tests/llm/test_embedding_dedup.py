@@ -71,6 +71,54 @@ def test_against_brute_force(spark, block):
     assert sum(a == b for a, b in zip(got, want)) >= 0.95 * len(want)
 
 
+def touching_groups(seed, n_crowd, n_pairs, dim=16):
+    """A crowd and pairs of tight groups of 15 whose centres are at cosine 0.942, all of one label."""
+    rng = np.random.default_rng(seed)
+    unit = lambda v: v / np.linalg.norm(v)
+    near = lambda c, r: unit(c + r * rng.standard_normal(dim) / np.sqrt(dim))
+    c = unit(rng.standard_normal(dim))
+    vecs = [near(c, 0.25) for _ in range(n_crowd)]
+    for _ in range(n_pairs):
+        a = unit(rng.standard_normal(dim))
+        o = rng.standard_normal(dim)
+        o = unit(o - (o @ a) * a)
+        b = 0.942 * a + np.sqrt(1 - 0.942 ** 2) * o
+        vecs += [near(a, 0.05) for _ in range(15)] + [near(b, 0.05) for _ in range(15)]
+    order = rng.permutation(len(vecs))
+    return [(int(i), vecs[j].tolist(), 1) for i, j in enumerate(order)]
+
+
+@pytest.mark.parametrize("cell_rows", [2048, 100])
+def test_touching_groups_beside_a_crowd(spark, cell_rows):
+    rows = touching_groups(5, 1500, 40)
+    out, recall = E.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"),
+                                    E.NNParams(cell_rows=cell_rows, block=512))
+    x = np.array([r[1] for r in rows])
+    hit = x @ x.T >= 0.93
+    np.fill_diagonal(hit, False)
+    comp, old = np.arange(len(x)), None
+    while old is None or (comp != old).any():
+        old = comp
+        comp = np.minimum(comp, np.where(hit, comp[None, :], len(x)).min(axis=1))
+    got = {r.vec_id: (r.n_links, r.component_id) for r in out.collect()}
+    assert got == {i: (int(hit[i].sum()), int(comp[i])) for i in range(len(x))} and recall == 1.0
+
+
+def test_label_below_the_target_is_searched_exactly(spark):
+    """Lists that find next to nothing: the audit sees it and the label's lists are enlarged."""
+    rows = [r for r in data(4) if r[0] is not None]
+    weak = E.NNParams(trees=1, planes=1, window=1, rounds=0, extra_descents=0)
+    out, recall = E.near_duplicates(spark.createDataFrame([(i, e, l) for i, e, l in rows], "vec_id long, embedding array<double>, label int"), weak)
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in out.collect())
+    assert got == sorted(brute(rows)) and recall == 1.0
+
+
+def test_audit_counts_vectors_by_degree_class(spark):
+    truth = spark.createDataFrame([(i, 7, 1000, 1000) for i in range(100)] + [(200 + i, 8, 2, 2) for i in range(4)], "q long, grp long, links long, n long")
+    degree = spark.createDataFrame([(i, 1000) for i in range(100)] + [(200, 2), (201, 2), (202, 1)], "nid long, n long")
+    assert E._audit(truth, degree, E.NNParams()) == (0.5, [8])
+
+
 def test_empty(spark):
     out, recall = E.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int"))
     assert out.collect() == [] and recall == 1.0
