@@ -238,6 +238,7 @@ def core_oracles() -> dict[str, str]:
             total_score_raw AS total_score, fluvial_hours, coastal_hours, fluvial_events, coastal_events
             FROM ({ORDERS_IND}) WHERE year = {ORDERS_BASELINE_YEAR}""",
         "annual_index": ORDERS_IND,
+        "index_refreshed": ORDERS_IND,
         "baseline_change": f"""SELECT year, composite_index, {_label('composite_index', 'higher', 'lower')} AS composite_vs_baseline,
             abs(composite_index - 100.0::DOUBLE) AS composite_pct,
             {_label('fluvial_index', 'increase', 'decrease')} AS fluvial_change, abs(fluvial_index - 100.0::DOUBLE) AS fluvial_pct,
