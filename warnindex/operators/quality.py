@@ -95,10 +95,27 @@ def invalid_levels(df: DataFrame) -> DataFrame:
     return df.agg(F.count_if(invalid_level()).alias("invalid_records"))
 
 
+def repeated_keys(df: DataFrame, keys=DUP_KEYS, max_broadcast: int = 1_000_000) -> DataFrame:
+    """``keys`` and ``n`` of the key groups seen more than once, exactly.
+
+    Counted in two phases, as most keys occur once: 64-bit hashes of the keys first (8 bytes a row are
+    shuffled, with a count), then only rows whose hash repeats meet in the exact aggregate, which tells
+    equal keys from equal hashes.  Null keys are equal to each other.  The repeated hashes are a table in the
+    shared folder: broadcast when there are few, else joined."""
+    from warnindex.session import broadcast_if_small
+    from warnindex.sources.files import stage_table
+
+    h = F.xxhash64(*keys)
+    slim = df.select(*keys, h.alias("_hash"))
+    twice = slim.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("_hash")
+    twice = broadcast_if_small(stage_table(twice, "repeated-hashes"), max_broadcast)
+    g = slim.join(twice, "_hash", "left_semi").groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return g.where(F.col("n") > 1)
+
+
 def duplicate_keys(df: DataFrame) -> DataFrame:
     """Key groups seen more than once, and the excess rows."""
-    g = df.groupBy(*DUP_KEYS).agg(F.count(F.lit(1)).alias("n"))
-    return g.where(F.col("n") > 1).agg(
+    return repeated_keys(df).agg(
         F.count(F.lit(1)).alias("duplicate_groups"),
         (F.coalesce(F.sum("n"), F.lit(0)) - F.count(F.lit(1))).cast("bigint").alias("excess_records"),
     )
@@ -203,9 +220,9 @@ def _issues(df: DataFrame, max_days: int, by_year: bool = False) -> DataFrame:
     """Issue rows, each carrying ``total_records``; there is always at least
     one row per group (a null issue when none fired).
 
-    One aggregation chain, one scan: messages -> per duplicate key (carrying
-    the row-level counters as partial sums) -> per area (lifecycle and
-    duplicate statistics) -> per report.  Each step is map-side combined.
+    Messages -> per area (row-level counters, lifecycle) -> per report in one scan,
+    each step map-side combined; the duplicate groups come from ``repeated_keys``,
+    which shuffles a hash a row and only repeated keys whole.
     The aggregate lists are Spark SQL expressions (same plan, far fewer
     driver round trips than composing Column objects).
     """
@@ -238,22 +255,17 @@ def _issues(df: DataFrame, max_days: int, by_year: bool = False) -> DataFrame:
 
     has_keys = _has(df, *DUP_KEYS)
     if has_keys:
-        # V2 and V4 depend on key columns only: counted from the key groups
-        # instead of being carried through the key shuffle.
-        on_keys = [k for k in ("v2", "v4") if k in counters]
-        carried = [k for k in counters if k not in on_keys]
-        g = agg(df, [*grp, *DUP_KEYS], ["count(1) AS n"]
-                + [f"sum(CASE WHEN {counters[k]} THEN 1 ELSE 0 END) AS {k}" for k in carried]
-                + [f"max({e}) AS {k}" for k, e in maxima.items()])
-        a = agg(g, [*grp, "fwdCode"], ["sum(n) AS n"]
-                + [f"sum(CASE WHEN {counters[k]} THEN n ELSE 0 END) AS {k}" for k in on_keys]
-                + [f"sum({k}) AS {k}" for k in carried] + [f"max({k}) AS {k}" for k in maxima]
-                + ["coalesce(bool_or(severityLevel = 4), false) AS has4", "count_if(n > 1) AS dup_groups",
-                   "sum(CASE WHEN n > 1 THEN n - 1 END) AS dup_excess"])
+        a = agg(df, [*grp, "fwdCode"], ["count(1) AS n"]
+                + [f"sum(CASE WHEN {c} THEN 1 ELSE 0 END) AS {k}" for k, c in counters.items()]
+                + [f"max({e}) AS {k}" for k, e in maxima.items()]
+                + ["coalesce(bool_or(severityLevel = 4), false) AS has4"])
         w = agg(a, grp, ["sum(n) AS total"] + [f"sum({k}) AS {k}" for k in counters]
                 + [f"max({k}) AS {k}" for k in maxima]
-                + ["sum(dup_groups) AS groups", "sum(dup_excess) AS excess", "count_if(NOT has4) AS inc_areas",
-                   "sum(CASE WHEN NOT has4 THEN n END) AS inc_records"])
+                + ["count_if(NOT has4) AS inc_areas", "sum(CASE WHEN NOT has4 THEN n END) AS inc_records"])
+        # one row per report from either side; sums and maxima skip the columns a side lacks
+        dups = agg(repeated_keys(df, [*grp, *DUP_KEYS]), grp, ["count(1) AS groups", "sum(n - 1) AS excess"])
+        w = agg(w.unionByName(dups, allowMissingColumns=True), grp,
+                [f"{'max' if c in maxima else 'sum'}({c}) AS {c}" for c in [*w.columns, "groups", "excess"] if c not in grp])
     else:
         w = agg(df, grp, ["count(1) AS total"]
                 + [f"sum(CASE WHEN {c} THEN 1 ELSE 0 END) AS {k}" for k, c in counters.items()]
@@ -343,11 +355,11 @@ def issue_examples(df: DataFrame, k: int = ISSUE_EXAMPLES, max_days: int = MAX_W
     picked = [_first_rows(df.select(F.explode(cats).alias("category"), *grp, *order, row.alias("_row")), grp, k,
                           [*order, "_row" if atomic else F.xxhash64("_row")])]
     if _has(df, *DUP_KEYS):
-        g = df.groupBy(*grp, *DUP_KEYS).agg(F.count(F.lit(1)).alias("count"))
-        dup = g.where(F.col("count") > 1).select(
+        g = repeated_keys(df, [*grp, *DUP_KEYS]).withColumnRenamed("n", "count")
+        dup = g.select(
             F.lit(CAT_DUPLICATES).alias("category"), *grp, *DUP_KEYS, F.struct(*DUP_KEYS, "count").alias("_row"))
         picked.append(_first_rows(dup, grp, k, ["fwdCode", "timeRaised", "severityLevel"]))
-        a = g.groupBy(*grp, "fwdCode").agg(F.min("severityLevel").alias("min_severity"), F.max("severityLevel").alias("max_severity"),
+        a = df.groupBy(*grp, "fwdCode").agg(F.min("severityLevel").alias("min_severity"), F.max("severityLevel").alias("max_severity"),
                                            F.coalesce(F.bool_or(F.col("severityLevel") == 4), F.lit(False)).alias("has_level_4"))
         area = a.where(~F.col("has_level_4")).select(
             F.lit(CAT_INCOMPLETE).alias("category"), *grp, "fwdCode", F.struct("fwdCode", "min_severity", "max_severity", "has_level_4").alias("_row"))
