@@ -89,6 +89,29 @@ def test_style_tree_finds_repeated_branches(spark):
                 assert r.text == f"Home News About us\n\n{own(50 if r.page_id == 50 else 3)}\n\nTerms\n\nPrivacy"
 
 
+def strip_page(i, strip=True, quote=False):
+    """An article mark, and inside of it an unmarked strip on every page and a quotation on some."""
+    return (f"<body><nav>Menu</nav><article><h1>Story {i}</h1><div class=q7><p>lead {i} of its own</p></div><p>sentence {i}</p><p>A passage that all share.</p>"
+            + ("<blockquote><p>A quotation that some share.</p></blockquote>" if quote else "")
+            + ("<div class=z9><ul><li>Post it</li><li>Mail it</li></ul></div>" if strip else "") + "</article><footer>End</footer></body>")
+
+
+def test_the_tree_drops_strips_inside_the_article(spark):
+    rows = [(i, "https://s.example/%d" % i, strip_page(i, quote=i % 4 == 0)) for i in range(12)]
+    rows += [(20 + i, "https://few.example/%d" % i, strip_page(i)) for i in range(2)]  # too few pages to judge
+    rows += [(30 + i, "https://same.example/%d" % i, strip_page(1).replace("<nav>", f"<nav>{i} ")) for i in range(6)]  # one article at six places
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    strip = ["Post it", "Mail it"]
+    for p in (P, X.SiteParams(nodes_to_broadcast=0)):
+        for r in X.extract(df, p).collect():
+            n = r.page_id if r.page_id < 20 else r.page_id - 20 if r.page_id < 30 else 1
+            want = [f"Story {n}", f"lead {n} of its own", f"sentence {n}", "A passage that all share."]
+            want += ["A quotation that some share."] if r.page_id < 20 and n % 4 == 0 else []
+            assert r.text.split("\n\n") == want + ([] if r.page_id < 20 else strip), r
+    # without the tree the strip stays
+    assert alone(strip_page(3)).split("\n\n")[-2:] == strip
+
+
 def test_empty(spark):
     assert X.extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 

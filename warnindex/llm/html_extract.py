@@ -13,6 +13,10 @@ ids and places are one node of the host's style tree.  A node has
 * content importance: one minus the mean entropy of its text blocks over the
   pages that have the node (a block on every page scores 0, a unique one 1).
 
+Inside the article, what the marks say is a prior only: an unmarked branch that stands on most of the host's pages
+with this article and is of low importance there (a share strip, a "read more" box) goes, where the articles themselves differ
+from page to page.  A branch on few of them, such as a passage that some articles quote, stays.
+
 A branch whose weighted importance is low is removed from the page; what is left is
 the main text.  If nothing were left, only the branches marked by tag, role,
 class or id go.
@@ -234,7 +238,8 @@ class SiteParams:
     free_weight: float = 0.3  # of that of unmarked ones
     min_pages: int = 3  # for unmarked branches to be judged
     wrapper_share: float = 0.8  # of the page's text in a branch that is no noise, whatever its name
-    wrapper_content: float = 0.5  # and its content importance
+    wrapper_content: float = 0.5  # and its content importance; also an article's, for branches in it to be judged
+    strip_share: float = 0.5  # of the host's pages with the article, for an unmarked branch in it to be judged
     nodes_to_broadcast: int = 50_000
 
 
@@ -369,6 +374,7 @@ def main_text(nodes: list[dict], blocks: list[dict], stats: dict[int, tuple[int,
         if not noise[i] and i in textual:
             best = max(best, ranks[i] or 0)
     inside, keep, around = [False] * len(nodes), [True] * len(nodes), set()
+    root = [-1] * len(nodes)  # the article a node lies in
     for i, n in enumerate(nodes):
         if best and ranks[i] == best and not noise[i]:
             while i >= 0 and i not in around:
@@ -377,8 +383,14 @@ def main_text(nodes: list[dict], blocks: list[dict], stats: dict[int, tuple[int,
     for i, n in enumerate(nodes):
         up = n["parent"]
         inside[i] = not noise[i] and (best > 0 and ranks[i] == best or up >= 0 and inside[up])
+        if inside[i]:
+            root[i] = root[up] if up >= 0 and inside[up] else i
         marked = 0.0 if noise[i] else 1.0 if inside[i] else 0.0 if best else None
         pages, look, text = stats.get(n["key"], (1, 1.0, 1.0))
+        if inside[i] and ranks[i] is None:
+            of, _, unlike = stats.get(nodes[root[i]]["key"], (1, 1.0, 1.0))
+            if pages >= p.strip_share * of and unlike >= p.wrapper_content:
+                marked = None  # the site tells what it is
         w = p.free_weight if marked is None else p.marked_weight
         score = w * (look if marked is None else marked) + (1 - w) * text
         low = score < p.threshold and (marked is not None or pages >= p.min_pages)
