@@ -47,6 +47,16 @@ def test_states():
     assert valid("assistant") == [True] * 3 and valid("tool") == [False] * 3 and valid("user") == [False] * 3
 
 
+def test_order_reaches_the_result(spark):
+    talks = {1: ("system", "user", "assistant"), 2: ("user",), 3: ("assistant", "user", "user", "assistant"), 4: ("user", "tool", "user", "assistant"),
+             5: ("", "user", "assistant"), 6: ("user", "assistant", "user")}
+    df = spark.createDataFrame([(c, i, r, EVIL) for c, t in talks.items() for i, r in enumerate(t)], "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: (r.invalid_turns, r.complete) for r in C.read_back(C.format_chats(df)).collect()}
+    assert got == {1: (0, True), 2: (0, False), 3: (2, True), 4: (2, True), 5: (2, True), 6: (0, False)}
+    seg = C.format_chats(df).filter("not valid").select("conv_id", "role", "seq").collect()
+    assert len(seg) == 3 * sum(n for n, _ in got.values())
+
+
 @pytest.mark.parametrize("bad", [dict(controls=("<s>", "x\\y")), dict(close="nothing"), dict(close="NST] [/END]\n")])
 def test_template_is_checked(bad):
     t = C.INST

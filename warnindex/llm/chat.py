@@ -5,6 +5,8 @@ the turn's own text is under the loss; and, for every state, which roles may
 follow.  Turns are read in order; the machine emits text segments, each with a
 loss flag, and marks a turn that the current state does not allow as not
 valid (it is formatted all the same, and the machine goes on from its role).
+Read back, a conversation shows how many turns were out of order and whether it
+ends in a final state (one that stops at a user's turn does not).
 
 Control strings inside texts are made harmless and come back exactly: a
 backslash doubles, and one more is put behind the first character of every place
@@ -36,7 +38,7 @@ from pyspark.sql import functions as F
 
 from warnindex.llm.common import arrow_rows
 
-START = ""  # the state before the first turn
+START = None  # the state before the first turn; no role, an empty one neither, leads back to it
 
 
 @dataclass(frozen=True)
@@ -52,7 +54,7 @@ class Template:
     roles: dict[str, Turn]
     other: Turn  # ``before`` and ``after`` surround the role; the text follows up to ``close``
     close: str
-    follows: dict[str, tuple[str, ...]]  # state -> roles that may come next; the role is the next state
+    follows: dict[str | None, tuple[str, ...]]  # state -> roles that may come next; the role is the next state
     final: tuple[str, ...] = ("assistant",)
     controls: tuple[str, ...] = ()
     _break: re.Pattern = field(init=False, repr=False, compare=False)
@@ -166,6 +168,7 @@ class Reader:
         self.role = self.until = None
         self.named = False
         self.turns, self.chars, self.loss_chars = 0, 0, 0
+        self.state, self.invalid = START, 0
         self.all, self.loss = hashlib.sha256(), hashlib.sha256()
         self.rest = ""
 
@@ -204,6 +207,8 @@ class Reader:
         self.rest = s
 
     def _head(self) -> None:
+        self.invalid += self.role not in self.t.follows.get(self.state, ())
+        self.state = self.role
         self.all.update(self.role.encode("utf-8", "surrogatepass") + b"\n")
 
     def done(self) -> tuple[int, str, int, str, int]:
@@ -212,16 +217,22 @@ class Reader:
         return self.turns, self.all.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars
 
 
+    def order(self) -> tuple[int, bool]:
+        """Turns that their state did not allow, and whether the last one leaves a final state."""
+        return self.invalid, self.state in self.t.final
+
+
 def read_back(segments: DataFrame, template: Template = INST) -> DataFrame:
-    """Digests of every conversation, recovered from the formatted text and its loss flags."""
+    """Digests of every conversation and the order of its turns (``invalid_turns``, ``complete``), recovered from the
+    formatted text and its loss flags."""
     s = ordered(segments.select("conv_id", "seq", "text", "loss"), "conv_id", "seq")
-    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "invalid_turns", "complete"]
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, reader = object(), None
 
         def batch(rows):
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
+            kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.bool_())
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
         for b in arrow_rows(batches):
@@ -229,12 +240,13 @@ def read_back(segments: DataFrame, template: Template = INST) -> DataFrame:
             for conv, text, loss in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()):
                 if conv != now:
                     if reader is not None:
-                        out.append((now, *reader.done()))
+                        out.append((now, *reader.done(), *reader.order()))
                     now, reader = conv, Reader(template)
                 reader.feed(text, loss)
             if out:
                 yield batch(out)
         if reader is not None:
-            yield batch([(now, *reader.done())])
+            yield batch([(now, *reader.done(), *reader.order())])
 
-    return s.mapInArrow(go, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return s.mapInArrow(go, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, "
+                           "invalid_turns long, complete boolean")

@@ -63,14 +63,19 @@ def _escaped_length(col: str) -> str:
 CHAT = f"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+o AS (SELECT *, row_number() OVER w AS n, lag(role) OVER w AS state, lead(conv_id IS NOT DISTINCT FROM conv_id) OVER w IS NULL AS last
+  FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS LAST, role, text))
 SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, role, text)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
   CAST(sum({_escaped_length('text')} + CASE role WHEN 'system' THEN 18 WHEN 'user' THEN 15 WHEN 'assistant' THEN 10
-    ELSE 24 + {_escaped_length('role')} END) AS BIGINT) AS formatted_chars
-FROM t GROUP BY conv_id
+    ELSE 24 + {_escaped_length('role')} END) AS BIGINT) AS formatted_chars,
+  count(*) FILTER (WHERE NOT CASE WHEN n = 1 THEN role IN ('system', 'user') WHEN state IN ('system', 'assistant') THEN role = 'user'
+    WHEN state = 'user' THEN role = 'assistant' ELSE false END) AS invalid_turns,
+  bool_or(last AND role = 'assistant') AS complete
+FROM o GROUP BY conv_id
 """
 
 
