@@ -96,6 +96,44 @@ def test_recall_of_edits_in_one_half(n, place):
     assert sum(any(h[0] == d % 30 for h in hs) for d, hs in enumerate(ix.search(texts))) >= 0.95 * 300
 
 
+def whole_search(items, texts):
+    want = {}
+    for d, t in enumerate(texts):
+        w = D.words_of(t)
+        for i, x in items:
+            b = D.words_of(x)
+            dist = brute(b, w)
+            if b and dist <= int(0.2 * len(b) + 1e-9):
+                want[d, i] = dist
+    return want
+
+
+def test_short_items_are_found_exactly():
+    rng = random.Random(9)
+    vocab = [f"w{i}" for i in range(12)]
+    items = [(i, " ".join(rng.choice(vocab) for _ in range(1 + i % 4))) for i in range(24)] + [(90, ""), (91, None), (92, "absent"), (93, "...")]
+    texts = [" ".join(rng.choice(vocab) for _ in range(rng.randrange(0, 25))) for _ in range(80)] + [None, "", "W1, w2!"]
+    found = {(d, h[0]): h[3] for d, hs in enumerate(D.LeakIndex(items).search(texts, chunk_words=100)) for h in hs}
+    assert found == whole_search(items, texts) and found
+
+
+def test_a_class_below_the_target_is_searched_exactly():
+    rng = random.Random(11)
+    vocab = [f"v{i}" for i in range(400)]
+    items = [(i, " ".join(rng.choice(vocab) for _ in range(rng.randrange(5, 40)))) for i in range(30)]
+    texts = []
+    for d in range(120):
+        w = rng.choice(items)[1].split()
+        body = [rng.choice(vocab) for _ in range(rng.randrange(0, 60))]
+        at = rng.randrange(len(body) + 1)
+        body[at:at] = mutate(rng, w, rng.randrange(len(w) // 5 + 2))
+        texts.append(" ".join(body))
+    ix = D.LeakIndex(items, D.LeakParams(max_tables=1, trials=50, target_recall=1.01))
+    assert not ix.classes
+    found = {(d, h[0]): h[3] for d, hs in enumerate(ix.search(texts, chunk_words=300)) for h in hs}
+    assert found == whole_search(items, texts) and len(found) > 60
+
+
 def test_edges(spark):
     item = "one two three four five six seven eight nine ten"
     bench = spark.createDataFrame([(1, item, 0), (2, None, 0), (3, "", 0), (4, "too short", 0), (None, item, 0)], "item_id long, text string, leaks int")

@@ -20,7 +20,9 @@ Recall: per length class the number of tables is raised until mutated copies of
 the class's own items, at the full edit budget and at random phases, are found
 at ``target_recall`` for each place of the edits: spread, or all in the first, the
 middle or the last half (copies with fewer edits are found more often).  A class
-that misses the target with ``max_tables`` is logged as a warning.  Candidates
+that misses the target with ``max_tables``, and items too short for a walk (below ``walk_words``),
+are searched exactly instead: of an item cut into one piece more than its edits, one piece
+stands unedited in every copy, so the items' pieces are looked up at every word.  Candidates
 are verified exactly with bit-parallel edit distance over the whole item and all
 alignments around the window.
 
@@ -28,8 +30,8 @@ Benchmark items are a stated query set: they are cut into blocks of at most
 about ``block_chars`` characters, each block is broadcast and every document is
 searched whole, in one map pass a block, without a shuffle.
 
-Defined results: null and empty texts hold nothing; items with fewer than
-``min_words`` words (null and empty ones too) are not searched; equal items
+Defined results: null and empty texts hold nothing; items without a word (null and empty ones too) are
+in no text; an item of fewer than five words leaks where it stands word by word (its budget is no edit); equal items
 match each; repeated rows and null ids are kept as they are; extra columns stay,
 and the added column gives way to a clashing name by prefixing ``_``.
 """
@@ -66,7 +68,7 @@ _ARROW_HITS = pa.list_(pa.struct([("item_id", pa.int64()), ("start_word", pa.int
 class LeakParams:
     similarity: float = 0.8
     target_recall: float = 0.98
-    min_words: int = 5
+    walk_words: int = 5  # items below are looked up whole
     samples: int = 4
     max_tables: int = 64
     trials: int = 600
@@ -135,7 +137,7 @@ class LeakIndex:
         self.ids, self.words, vocab = [], [], {}
         for item_id, text in items:
             w = words_of(text)
-            if len(w) >= p.min_words:
+            if w:
                 self.ids.append(item_id)
                 self.words.append([vocab.setdefault(x, len(vocab) + 1) for x in w])
         self.vocab = vocab
@@ -143,15 +145,53 @@ class LeakIndex:
         self.budget = [int((1 - p.similarity) * len(w) + 1e-9) for w in self.words]
         self.sets = [frozenset(w) for w in self.words]
         self.classes: dict[int, _Class] = {}
+        exact = []
         for i, w in enumerate(self.words):
+            if len(w) < p.walk_words:
+                exact.append(i)
+                continue
             low = 1 << (len(w).bit_length() - 1)
             if low not in self.classes:
                 stride = max(1, low // 4)
                 self.classes[low] = _Class(low, stride, max(4, int(1.6 * (low - stride + 1))))
             self.classes[low].items.append(i)
         self._bits: dict[tuple[int, int], np.ndarray] = {}
-        for c in self.classes.values():
-            self._fit(c)
+        for low, c in list(self.classes.items()):
+            if not self._fit(c):
+                exact += c.items
+                del self.classes[low]
+        self.pieces = self._pieces(exact)
+
+    def _grams(self, x: np.ndarray, n: int) -> np.ndarray:
+        """A hash of the ``n`` symbols from every place on."""
+        acc = np.zeros(max(0, len(x) - n + 1), dtype=np.uint64)
+        for k in range(n):
+            acc = acc * _MUL + x[k:k + len(acc)].astype(np.uint64) + np.uint64(1)
+        return acc
+
+    def _pieces(self, items: list[int]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        """length -> (sorted hashes, (item, offset) of each) of the items' pieces, one more than their edits."""
+        found: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
+        for i in items:
+            w, cuts = np.array(self.words[i], dtype=np.int32), self.budget[i] + 1
+            for k in range(cuts):
+                a, b = k * len(w) // cuts, (k + 1) * len(w) // cuts
+                found[b - a].append((int(self._grams(w[a:b], b - a)[0]), i, a))
+        out = {}
+        for n, rows in found.items():
+            keys = np.array([r[0] for r in rows], dtype=np.uint64)
+            order = np.argsort(keys, kind="stable")
+            out[n] = keys[order], np.array([r[1:] for r in rows], dtype=np.int64)[order]
+        return out
+
+    def _exact(self, x: np.ndarray):
+        """(place, item, offset) of every piece that stands in ``x``."""
+        for n, (keys, owner) in self.pieces.items():
+            acc = self._grams(x, n)
+            lo, hi = np.searchsorted(keys, acc, "left"), np.searchsorted(keys, acc, "right")
+            for at in np.flatnonzero(hi > lo):
+                for item, off in owner[lo[at]:hi[at]].tolist():
+                    yield int(at), item, off
 
     def bits(self, table: int, word: int) -> np.ndarray:
         """64 random bits for every symbol: those of steps 64*word ... of the table's walk."""
@@ -228,8 +268,8 @@ class LeakIndex:
                 w[at:at + (kind == 1)] = [int(rng.integers(0, self.stop))]
         return w
 
-    def _fit(self, c: _Class) -> None:
-        """Add tables until mutated copies of the class's items are found at the target."""
+    def _fit(self, c: _Class) -> bool:
+        """Add tables until mutated copies of the class's items are found at the target; whether they are."""
         p, rng = self.p, np.random.default_rng((self.p.seed, c.low))
         flat, starts, owner = self._variants(c)
         c.owner = owner
@@ -257,8 +297,10 @@ class LeakIndex:
                     found[whose[s // c.stride]] |= copies[whose[s // c.stride]][0] == item
                 c.recall = min(float(found[place == k].mean()) for k in range(len(PLACES)))
                 if c.recall >= p.target_recall:
-                    return
-        log.warning("items of %d to %d words: mutated copies are found at %.3f, the target is %.3f", c.low, 2 * c.low - 1, c.recall, p.target_recall)
+                    return True
+        log.warning("items of %d to %d words: mutated copies are found at %.3f, the target is %.3f; they are searched exactly",
+                    c.low, 2 * c.low - 1, c.recall, p.target_recall)
+        return False
 
     def _candidates(self, c: _Class, t: int, x: np.ndarray, grid: np.ndarray):
         positions, keys, order, filters = c.tables[t]
@@ -274,7 +316,7 @@ class LeakIndex:
         out: list[list[tuple]] = [[] for _ in texts]
         if not self.ids:
             return out
-        get, pad = self.vocab.get, max(c.steps for c in self.classes.values()) + 1
+        get, pad = self.vocab.get, max((c.steps for c in self.classes.values()), default=0) + 1
         group, size = [], 0
         for n, text in enumerate(texts):
             w = words_of(text)
@@ -299,6 +341,9 @@ class LeakIndex:
                 for s, item, off in self._candidates(c, t, x, grid):
                     d = int(np.searchsorted(begin, s, side="right")) - 1
                     seen[d, item].add(s - off - int(begin[d]))
+        for s, item, off in self._exact(x):
+            d = int(np.searchsorted(begin, s, side="right")) - 1
+            seen[d, item].add(s - off - int(begin[d]))
         for (d, item), starts in sorted(seen.items()):
             n, w = group[d]
             k, size, best = self.budget[item], len(self.words[item]), None
