@@ -1,5 +1,6 @@
 """V1-V11, A9-A12, A18, J3, O5 on hand-made rows (FIXTURES §5)."""
 
+from collections import Counter
 from datetime import datetime, timedelta
 
 from warnindex.operators import quality
@@ -144,3 +145,45 @@ def test_run_record(spark, tmp_path, monkeypatch):
     assert {r.run_id: r.success_rate_pct for r in run_metrics(log).collect()} == {"ok": 100.0, "load": 0.0, "validation": 100.0, "export": 0.0}
     assert log.filter("run_id = 'ok'").select("logged_at").distinct().collect()[0][0] == "2025-01-01T00:00:00"
     assert log.filter("run_id = 'ok' and stage = 'export'").count() == 2
+
+
+def test_messages_are_computed_once(spark):
+    """However many checks read them: a report computes its input once, examples once more for whole rows."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def passing(it):
+        for pdf in it:
+            seen.add(len(pdf))
+            yield pdf
+
+    def computed(run):
+        before = seen.value
+        run(frame(spark).mapInPandas(passing, SCHEMA)).collect()
+        return (seen.value - before) / 10
+
+    assert computed(lambda df: quality.report_documents(df, by_year=True)) == 1
+    assert computed(quality.validate) == 1
+    assert computed(quality.duplicate_keys) == 1
+    assert computed(lambda df: quality.issue_examples(df, by_year=True)) == 2
+    assert computed(lambda df: quality.validate(df, examples=True)) == 2
+
+
+def test_many_repeated_keys_pass_a_bitmap(spark, monkeypatch):
+    """Beyond the broadcast bound rows meet a bitmap of bounded size, not a join that shuffles all of them."""
+    rows = [(f"A{i % 1500}", T0 + timedelta(hours=i % 11), i % 4 if i % 7 else None) for i in range(20_000)] + [(None, None, None)] * 2
+    rows += [(f"B{i}", None, i % 3) for i in range(3000)]
+    want = {(k[0], k[2], k[1], n) for k, n in Counter(rows).items() if n > 1}
+    df = spark.createDataFrame(rows, "fwdCode string, timeRaised timestamp_ntz, severityLevel int").repartition(5)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = quality.repeated_keys(df, max_broadcast=0)
+        assert {tuple(r) for r in got.collect()} == want
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+        # a full bitmap lets every row pass; the exact count still decides
+        monkeypatch.setattr(quality, "MAX_FILTER_BITS", 64)
+        monkeypatch.setattr(quality, "BITMAP_BITS", 8)
+        assert {tuple(r) for r in quality.repeated_keys(df, max_broadcast=0).collect()} == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)

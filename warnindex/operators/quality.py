@@ -1,17 +1,16 @@
 """Data-quality checks and the report.
 
 Plan shape for ``validate`` (V11):
-one aggregation chain over a single scan of the messages:
-* per duplicate key (fwdCode, severityLevel, timeRaised): the row count
-  (A9/V5) plus the row-level counters of V3, V7-V9 as partial sums (V2 and
-  V4 depend on key columns only and are counted from the key groups);
-* per area: lifecycle (any level 4, A10/V6) and duplicate statistics, so the
-  records of areas without a closing message are summed from per-area counts
-  (no semi join over the messages, J2);
-* per report (or per year): the totals, turned into issue rows by one
-  ``explode`` of an array of conditional structs.
-Every step is map-side combined (one row per key and task crosses a shuffle);
-nothing but the handful of issue rows reaches the driver.
+the messages are computed once and staged as a narrow table (the duplicate key
+and a flag per row-level check); narrow scans of it give
+* per report (or per year): the totals of V2-V4, V7-V9, straight from the rows;
+* per area: lifecycle (any level 4, A10/V6) and row count, so the records of
+  areas without a closing message are summed from per-area counts (no semi
+  join over the messages, J2);
+* the duplicate keys (A9/V5), by hashes first (``repeated_keys``).
+These meet in one row per report, turned into issue rows by one ``explode`` of
+an array of conditional structs.  Every aggregate is map-side combined; nothing
+but the handful of issue rows reaches the driver.
 """
 
 from __future__ import annotations
@@ -95,22 +94,41 @@ def invalid_levels(df: DataFrame) -> DataFrame:
     return df.agg(F.count_if(invalid_level()).alias("invalid_records"))
 
 
-def repeated_keys(df: DataFrame, keys=DUP_KEYS, max_broadcast: int = 1_000_000) -> DataFrame:
+# Bits of the filter per repeated hash, and at most in all (32 MiB).
+FILTER_BITS_PER_HASH = 16
+MAX_FILTER_BITS = 1 << 28
+BITMAP_BITS = 32_768  # of one row of bitmap_construct_agg
+
+
+def repeated_keys(df: DataFrame, keys=DUP_KEYS, max_broadcast: int = 1_000_000, staged: bool = False) -> DataFrame:
     """``keys`` and ``n`` of the key groups seen more than once, exactly.
 
     Counted in two phases, as most keys occur once: 64-bit hashes of the keys first (8 bytes a row are
     shuffled, with a count), then only rows whose hash repeats meet in the exact aggregate, which tells
-    equal keys from equal hashes.  Null keys are equal to each other.  The repeated hashes are a table in the
-    shared folder: broadcast when there are few, else joined."""
-    from warnindex.session import broadcast_if_small
+    equal keys from equal hashes.  Null keys are equal to each other.  The keys are staged once (``staged``: ``df``
+    is a stored table already), so ``df`` is not computed for each phase.  The repeated hashes are a table in the
+    shared folder: broadcast when there are few, else as a bitmap of bounded size, which lets some rows more pass
+    into the exact aggregate but no key in part; the rows of other keys are not shuffled either way."""
     from warnindex.sources.files import stage_table
 
-    h = F.xxhash64(*keys)
-    slim = df.select(*keys, h.alias("_hash"))
+    slim = df.select(*keys)
+    slim = (slim if staged else stage_table(slim, "keys")).withColumn("_hash", F.xxhash64(*keys))
     twice = slim.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("_hash")
-    twice = broadcast_if_small(stage_table(twice, "repeated-hashes"), max_broadcast)
-    g = slim.join(twice, "_hash", "left_semi").groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return g.where(F.col("n") > 1)
+    twice = stage_table(twice, "repeated-hashes")
+    n = twice.count()  # from the files' footers
+    rows = slim.join(F.broadcast(twice), "_hash", "left_semi") if n <= max_broadcast else _in_bitmap(slim, twice, n)
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+
+
+def _in_bitmap(rows: DataFrame, hashes: DataFrame, n: int) -> DataFrame:
+    """The rows whose ``_hash`` falls on a bit set by one of the ``n`` hashes: all rows of these hashes, and few others."""
+    blocks = -(-min(n * FILTER_BITS_PER_HASH, MAX_FILTER_BITS) // BITMAP_BITS)
+    bit = F.expr(f"pmod(_hash, {blocks * BITMAP_BITS}L)")
+    block, at = F.floor(bit / BITMAP_BITS), (bit % BITMAP_BITS).cast("int")
+    bitmaps = hashes.groupBy(block.alias("_block")).agg(F.bitmap_construct_agg(at.cast("bigint")).alias("_bits"))
+    byte = F.conv(F.hex(F.expr("substring(_bits, _at div 8 + 1, 1)")), 16, 10).cast("int")
+    near = rows.withColumns({"_block": block, "_at": at}).join(F.broadcast(bitmaps), "_block")
+    return near.where(F.bit_get(byte, F.col("_at") % 8) == 1).drop("_block", "_at", "_bits")
 
 
 def duplicate_keys(df: DataFrame) -> DataFrame:
@@ -181,10 +199,11 @@ def validate(df: DataFrame, max_days: int = MAX_WARNING_DURATION_DAYS, by_year:
     for every calendar year of ``timeRaised`` in one job (leading ``year``
     column), instead of one job per year.  ``examples`` adds up to three
     examples (JSON) to the issues that have some (O5)."""
-    out = _issues(df, max_days, by_year).where(F.col("check_order").isNotNull()).drop("total_records")
+    checked = _checked_rows(df, max_days) if _has(df, *DUP_KEYS) else None
+    out = _issues(df, max_days, by_year, checked).where(F.col("check_order").isNotNull()).drop("total_records")
     if examples:
         # both sides hold a handful of rows (one per issue / category and year)
-        ex = issue_examples(df, ISSUE_EXAMPLES, max_days, by_year).withColumnsRenamed({"category": "_cat", "year": "_year"})
+        ex = issue_examples(df, ISSUE_EXAMPLES, max_days, by_year, checked).withColumnsRenamed({"category": "_cat", "year": "_year"})
         on = F.col("category") == F.col("_cat")
         if by_year:
             on = on & F.col("year").eqNullSafe(F.col("_year"))
@@ -216,21 +235,8 @@ def _fmt1_sql(x: str) -> str:
     return f"format_string('%.1f', bround(CAST({x} AS DOUBLE), 1))"
 
 
-def _issues(df: DataFrame, max_days: int, by_year: bool = False) -> DataFrame:
-    """Issue rows, each carrying ``total_records``; there is always at least
-    one row per group (a null issue when none fired).
-
-    Messages -> per area (row-level counters, lifecycle) -> per report in one scan,
-    each step map-side combined; the duplicate groups come from ``repeated_keys``,
-    which shuffles a hash a row and only repeated keys whole.
-    The aggregate lists are Spark SQL expressions (same plan, far fewer
-    driver round trips than composing Column objects).
-    """
-    miss = missing_columns(df, REQUIRED_COLUMNS)
-    grp: list[str] = []
-    if by_year:
-        df = df.withColumn("year", F.year("timeRaised"))
-        grp = ["year"]
+def _row_checks(df: DataFrame, max_days: int) -> tuple[dict[str, str], dict[str, str]]:
+    """The row-level checks that the columns of ``df`` allow, as SQL: conditions to count and values to take the maximum of."""
     both = "timeRaised IS NOT NULL AND timeSeverityChanged IS NOT NULL"
     days = "timestampdiff(DAY, timeRaised, timeSeverityChanged)"
     counters: dict[str, str] = {}  # per-row conditions, summed
@@ -246,30 +252,60 @@ def _issues(df: DataFrame, max_days: int, by_year: bool = False) -> DataFrame:
         counters["v7"] = long_cond
         maxima["v7max"] = f"CASE WHEN {long_cond} THEN {days} END"
         counters["v8"] = f"{both} AND timeSeverityChanged < timeRaised"
+    for i, c in enumerate(OPTIONAL_COLUMNS):
+        if c in df.columns:
+            counters[f"nn{i}"] = f"`{c}` IS NOT NULL"
+    return counters, maxima
+
+
+def _checked_rows(df: DataFrame, max_days: int) -> DataFrame:
+    """A row per message with what the report needs of it: the duplicate key, a flag per row-level check, the
+    long span.  Staged, as several aggregates read it and ``df`` may be a join of large tables."""
+    from warnindex.sources.files import stage_table
+
+    counters, maxima = _row_checks(df, max_days)
+    return stage_table(df.selectExpr(*DUP_KEYS, *[f"{e} AS {k}" for k, e in {**counters, **maxima}.items()]), "quality-rows")
+
+
+def _issues(df: DataFrame, max_days: int, by_year: bool = False, checked: DataFrame | None = None) -> DataFrame:
+    """Issue rows, each carrying ``total_records``; there is always at least
+    one row per group (a null issue when none fired).
+
+    ``df`` is computed once, into ``_checked_rows`` (or ``checked``, if these are there already); totals per
+    report, areas and duplicate groups (``repeated_keys``, which shuffles a hash a row and only
+    repeated keys whole) are aggregates over that table.
+    The aggregate lists are Spark SQL expressions (same plan, far fewer
+    driver round trips than composing Column objects).
+    """
+    miss = missing_columns(df, REQUIRED_COLUMNS)
+    grp = ["year"] if by_year else []
+    counters, maxima = _row_checks(df, max_days)
     opt = [(i, c) for i, c in enumerate(OPTIONAL_COLUMNS) if c in df.columns]
-    for i, c in opt:
-        counters[f"nn{i}"] = f"`{c}` IS NOT NULL"
 
     def agg(frame: DataFrame, keys, exprs) -> DataFrame:
         return frame.groupBy(*keys).agg(*[F.expr(e) for e in exprs])
 
+    def with_year(frame: DataFrame) -> DataFrame:
+        return frame.withColumn("year", F.year("timeRaised")) if by_year else frame
+
+    def totals(frame: DataFrame, counted: dict[str, str], largest: dict[str, str]) -> DataFrame:
+        return agg(frame, grp, ["count(1) AS total"]
+                   + [f"sum(CASE WHEN {c} THEN 1 ELSE 0 END) AS {k}" for k, c in counted.items()]
+                   + [f"max({e}) AS {k}" for k, e in largest.items()])
+
     has_keys = _has(df, *DUP_KEYS)
     if has_keys:
-        a = agg(df, [*grp, "fwdCode"], ["count(1) AS n"]
-                + [f"sum(CASE WHEN {c} THEN 1 ELSE 0 END) AS {k}" for k, c in counters.items()]
-                + [f"max({e}) AS {k}" for k, e in maxima.items()]
-                + ["coalesce(bool_or(severityLevel = 4), false) AS has4"])
-        w = agg(a, grp, ["sum(n) AS total"] + [f"sum({k}) AS {k}" for k in counters]
-                + [f"max({k}) AS {k}" for k in maxima]
-                + ["count_if(NOT has4) AS inc_areas", "sum(CASE WHEN NOT has4 THEN n END) AS inc_records"])
-        # one row per report from either side; sums and maxima skip the columns a side lacks
-        dups = agg(repeated_keys(df, [*grp, *DUP_KEYS]), grp, ["count(1) AS groups", "sum(n - 1) AS excess"])
-        w = agg(w.unionByName(dups, allowMissingColumns=True), grp,
-                [f"{'max' if c in maxima else 'sum'}({c}) AS {c}" for c in [*w.columns, "groups", "excess"] if c not in grp])
+        rows = with_year(_checked_rows(df, max_days) if checked is None else checked)
+        w = totals(rows, {k: k for k in counters}, {k: k for k in maxima})
+        a = agg(rows, [*grp, "fwdCode"], ["count(1) AS n", "coalesce(bool_or(severityLevel = 4), false) AS has4"])
+        areas = agg(a, grp, ["count_if(NOT has4) AS inc_areas", "sum(CASE WHEN NOT has4 THEN n END) AS inc_records"])
+        # the year follows from the key
+        dups = agg(with_year(repeated_keys(rows, staged=True)), grp, ["count(1) AS groups", "sum(n - 1) AS excess"])
+        # one row per report from each side; sums and maxima skip the columns a side lacks
+        w = w.unionByName(areas, allowMissingColumns=True).unionByName(dups, allowMissingColumns=True)
+        w = agg(w, grp, [f"{'max' if c in maxima else 'sum'}({c}) AS {c}" for c in w.columns if c not in grp])
     else:
-        w = agg(df, grp, ["count(1) AS total"]
-                + [f"sum(CASE WHEN {c} THEN 1 ELSE 0 END) AS {k}" for k, c in counters.items()]
-                + [f"max({e}) AS {k}" for k, e in maxima.items()])
+        w = totals(with_year(df), counters, maxima)
     zero = [c for c in w.columns if c not in grp and c not in maxima]
     w = w.selectExpr(*grp, *[f"coalesce({c}, 0) AS {c}" for c in zero], *maxima)
 
@@ -329,12 +365,15 @@ def _report_aggs() -> list[Column]:
 # ---- examples (O5) -----------------------------------------------------------
 
 def issue_examples(df: DataFrame, k: int = ISSUE_EXAMPLES, max_days: int = MAX_WARNING_DURATION_DAYS,
-                   by_year: bool = False) -> DataFrame:
+                   by_year: bool = False, checked: DataFrame | None = None) -> DataFrame:
     """Up to ``k`` examples (as JSON) per check, whole or per year: offending rows for the
     row-level checks, key groups with their counts for the duplicates, areas with their level range
     for the incomplete ones; smallest (area, time) first.  ``row_number() <= k`` lets Spark cut each
     partition to k rows per check before the shuffle, so no check's rows gather whole; only
-    the kept rows are turned into JSON."""
+    the kept rows are turned into JSON.  Key groups and areas are found in the staged keys (``checked``, if these
+    rows are staged already)."""
+    from warnindex.sources.files import stage_table
+
     if by_year:
         df = df.withColumn("year", F.year("timeRaised"))
     grp = ["year"] if by_year else []
@@ -355,11 +394,13 @@ def issue_examples(df: DataFrame, k: int = ISSUE_EXAMPLES, max_days: int = MAX_W
     picked = [_first_rows(df.select(F.explode(cats).alias("category"), *grp, *order, row.alias("_row")), grp, k,
                           [*order, "_row" if atomic else F.xxhash64("_row")])]
     if _has(df, *DUP_KEYS):
-        g = repeated_keys(df, [*grp, *DUP_KEYS]).withColumnRenamed("n", "count")
+        staged = (stage_table(df.select(*DUP_KEYS), "keys") if checked is None else checked).select(*DUP_KEYS)
+        year = {"year": F.year("timeRaised")} if by_year else {}
+        g = repeated_keys(staged, staged=True).withColumnRenamed("n", "count").withColumns(year)
         dup = g.select(
             F.lit(CAT_DUPLICATES).alias("category"), *grp, *DUP_KEYS, F.struct(*DUP_KEYS, "count").alias("_row"))
         picked.append(_first_rows(dup, grp, k, ["fwdCode", "timeRaised", "severityLevel"]))
-        a = df.groupBy(*grp, "fwdCode").agg(F.min("severityLevel").alias("min_severity"), F.max("severityLevel").alias("max_severity"),
+        a = staged.withColumns(year).groupBy(*grp, "fwdCode").agg(F.min("severityLevel").alias("min_severity"), F.max("severityLevel").alias("max_severity"),
                                            F.coalesce(F.bool_or(F.col("severityLevel") == 4), F.lit(False)).alias("has_level_4"))
         area = a.where(~F.col("has_level_4")).select(
             F.lit(CAT_INCOMPLETE).alias("category"), *grp, "fwdCode", F.struct("fwdCode", "min_severity", "max_severity", "has_level_4").alias("_row"))

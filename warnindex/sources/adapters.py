@@ -156,7 +156,7 @@ def quality_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     with every third supplier unknown.  Every 23rd order has no raise time,
     every 29th no severity change time.
     """
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_linenumber", "l_linestatus", "l_returnflag", "l_shipdate")
+    li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     sk = F.col("l_suppkey")
     ln = F.col("l_linenumber")
@@ -166,13 +166,20 @@ def quality_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when((ln == 5) & (F.col("l_returnflag") == "N"), F.lit(None))
         .otherwise((ln - 1) % 3 + 1)
     )
+    # what follows from the line alone is computed before the join, so flags and texts do not cross its shuffle
+    li = li.select(
+        "l_orderkey", "l_suppkey", "l_linenumber", "l_shipdate",
+        lvl.cast("int").alias("severityLevel"),
+        (F.col("l_linestatus") == "F").alias("finished"),
+        F.concat(F.lit("line "), F.col("l_returnflag"), F.col("l_linestatus")).alias("severity"),
+    )
     return li.join(o, li.l_orderkey == o.o_orderkey, "inner").select(
         sk.cast("string").alias("fwdCode"),
         F.when(F.col("l_orderkey") % 23 != 0, F.col("o_orderdate").cast("timestamp_ntz")).alias("timeRaised"),
-        F.concat(F.lit("line "), F.col("l_returnflag"), F.col("l_linestatus")).alias("severity"),
-        lvl.cast("int").alias("severityLevel"),
+        "severity",
+        "severityLevel",
         F.when(F.col("l_orderkey") % 29 != 0, F.col("l_shipdate").cast("timestamp_ntz")).alias("timeSeverityChanged"),
-        F.when(F.col("l_linestatus") == "F", F.col("l_shipdate").cast("timestamp_ntz")).alias("timeMessageChanged"),
+        F.when(F.col("finished"), F.col("l_shipdate").cast("timestamp_ntz")).alias("timeMessageChanged"),
         F.when(sk % 3 == 0, F.lit(None).cast("boolean")).otherwise(sk % 2 == 1).alias("isTidal"),
         F.col("l_orderkey").alias("msg_id"),
         F.col("l_linenumber").alias("line_no"),
